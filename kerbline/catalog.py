@@ -2,5 +2,10 @@
 
 from __future__ import annotations
 
+from kerbline.plans import aggregates
+
 QUERIES: dict = {}
 SQL: dict = {}
+for _part in (aggregates,):
+    QUERIES |= _part.QUERIES
+    SQL |= _part.SQL
