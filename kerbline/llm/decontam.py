@@ -3,7 +3,9 @@
 Texts are cut to words (lower case, runs of letters and digits) and words to five-word shingles.  A window has
 as many words as a benchmark item and stands where at least one shingle of the document lies as it does in an
 item of that size; a window that shares no shingle with any item has similarity 0, so nothing is lost by not
-looking at it.  Each window and each item gets a 64-bit SimHash in which a shingle votes as often as it occurs.
+looking at it.  A window at the threshold holds at least that share of an item's shingles, so of any
+``floor((1 - threshold) * n) + 1`` shingles of an item one must be there; for each item those with the longest
+words are taken, and only documents with one of these shingles are looked at further.  Each window and each item gets a 64-bit SimHash in which a shingle votes as often as it occurs.
 Fingerprints are cut into ten blocks; two within :data:`RADIUS` (19) bits differ by at most one bit in some
 block, so an index of the items' blocks and their one-bit neighbours finds every item within the radius.  Each
 candidate is verified exactly: the weighted Jaccard similarity of the two bags of shingles (sum of the smaller
@@ -27,24 +29,34 @@ from kerbline.llm.common import checkpoint, small
 SHINGLE = 5
 THRESHOLD = 0.8
 BITS, BLOCKS, RADIUS = 64, 10, 19
+#: Up to so many shingles are constants of the plan; more are joined.
+MARKS_IN_PLAN = 10_000
 
 
 def words(text: Column) -> Column:
     """Lower-case runs of letters and digits; an empty array for none."""
-    plain = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
-    return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, " "))
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, also where a lambda inside asks for it again and again."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def shingles(w: Column) -> Column:
     """A 64-bit hash for each run of five words."""
-    starts = F.when(F.size(w) >= SHINGLE, F.sequence(F.lit(0), F.size(w) - SHINGLE)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(SHINGLE)]))
+
+    def hashed(w):
+        starts = F.when(F.size(w) >= SHINGLE, F.sequence(F.lit(0), F.size(w) - SHINGLE)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(SHINGLE)]))
+
+    return let(w, hashed)
 
 
 def _simhash(df: DataFrame, hashes: str, out: str) -> DataFrame:
     """Adds the fingerprint of an array column; plain SQL, as the shift is by a lambda's variable."""
-    bit = f"CASE WHEN 2 * aggregate({hashes}, 0, (n, h) -> n + CAST(shiftrightunsigned(h, b) & 1L AS INT)) > size({hashes}) THEN shiftleft(1L, b) ELSE 0L END"
-    return df.withColumn(out, F.expr(f"aggregate(transform(sequence(0, {BITS - 1}), b -> {bit}), 0L, (x, y) -> x | y)"))
+    bit = f"CASE WHEN 2 * aggregate(hs, 0, (n, h) -> n + CAST(shiftrightunsigned(h, b) & 1L AS INT)) > size(hs) THEN shiftleft(1L, b) ELSE 0L END"
+    return df.withColumn(out, F.expr(f"get(transform(array({hashes}), hs -> aggregate(transform(sequence(0, {BITS - 1}), b -> {bit}), 0L, (x, y) -> x | y)), 0)"))
 
 
 def _block(fingerprint: str) -> str:
@@ -61,26 +73,58 @@ def _bag_similarity(a: str, b: str) -> str:
     return f"CAST({common} AS DOUBLE) / (size({a}) + size({b}) - {common})"
 
 
+def _marks(benchmark: DataFrame, threshold: float) -> DataFrame:
+    """word, hash: enough shingles of each item that no match can do without all of them, and the longest word of each."""
+    longest = f"array_max(transform(slice(w, i + 1, {SHINGLE}), x -> named_struct('n', length(x), 'word', x)))"
+    hashed = f"xxhash64({', '.join(f'get(w, i + {k})' for k in range(SHINGLE))})"
+    runs = f"transform(sequence(0, size(w) - {SHINGLE}), i -> named_struct('longest', {longest}, 'hash', {hashed}))"
+    items = benchmark.select(words(F.col("text")).alias("w")).where(F.size("w") >= SHINGLE).select(F.sort_array(F.expr(runs), asc=False).alias("runs"))
+    enough = (F.floor(F.size("runs") * (1 - threshold) + 1e-9) + 1).cast("int")
+    return items.select(F.explode(F.slice("runs", F.lit(1), enough)).alias("x")).select("x.longest.word", "x.hash").distinct()
+
+
+def _marked(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """doc_id, text_hash, w of the documents that hold a marked shingle, each text of an id once.
+
+    Where the marks are few they are constants of the plan and a document is looked at in its own row: only the
+    shingles around a marked word are hashed.  Else all shingles are joined with the marks.
+    """
+    body = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("w"))
+    n = marks.count()
+    if not n:
+        found = body.limit(0)
+    elif n <= MARKS_IN_PLAN:
+        rows = marks.collect()  # counted above
+        names, hashes = sorted({r["word"] for r in rows}), sorted({r["hash"] for r in rows})
+
+        def holds(w, i):
+            around = F.sequence(F.greatest(i - SHINGLE + 1, F.lit(0)), F.least(i, F.size(w) - SHINGLE))
+            return F.exists(around, lambda k: F.xxhash64(*[F.get(w, k + x) for x in range(SHINGLE)]).isin(hashes))
+
+        def marked(w):
+            places = F.sequence(F.lit(0), F.size(w) - 1)
+            return F.when(F.size(w) >= SHINGLE, F.when(F.exists(places, lambda i: F.get(w, i).isin(names) & holds(w, i)), w))
+
+        found = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), let(words(F.col("text")), marked).alias("w")).where(F.col("w").isNotNull())
+    else:
+        keys = body.select("doc_id", "text_hash", F.explode(shingles(F.col("w"))).alias("hash")).join(small(marks.select("hash").distinct(), n), "hash", "left_semi").select("doc_id", "text_hash").distinct().alias("k")
+        found = body.alias("b").join(keys, F.col("b.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("b.text_hash") == F.col("k.text_hash")), "left_semi")
+    return found.dropDuplicates(["doc_id", "text_hash"])
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, item_id, start (word), n_words, similarity: each item that a document holds, where it fits best."""
-    items = checkpoint(
-        _simhash(benchmark.select("item_id", words(F.col("text")).alias("w")).select("item_id", F.size("w").alias("n"), shingles(F.col("w")).alias("item_hashes")).where(F.size("item_hashes") > 0).distinct(), "item_hashes", "item_print")
-    )
+    cut_items = benchmark.select("item_id", words(F.col("text")).alias("w")).select("item_id", F.size("w").alias("n"), shingles(F.col("w")).alias("item_hashes"))
+    items = checkpoint(_simhash(cut_items.where(F.size("item_hashes") > 0).distinct(), "item_hashes", "item_print"))
     places = items.select("n", F.posexplode("item_hashes").alias("at", "hash")).distinct()
     n_places = places.count()
-    # Which document rows have windows, and where; a row is known by id and text hash.
-    body = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("w"))
-    found = body.select("doc_id", "text_hash", F.size("w").alias("doc_words"), F.posexplode(shingles(F.col("w"))).alias("pos", "hash"))
+    texts = checkpoint(_marked(docs, checkpoint(_marks(benchmark, threshold))))
+    found = texts.select("doc_id", "text_hash", F.size("w").alias("doc_words"), F.posexplode(shingles(F.col("w"))).alias("pos", "hash"))
     windows = (
         found.join(small(places, n_places), "hash")
         .select("doc_id", "text_hash", F.greatest(F.lit(0), F.col("pos") - F.col("at")).alias("start"), F.least(F.col("doc_words"), F.col("pos") - F.col("at") + F.col("n")).alias("stop"), "n")
         .distinct()
     )
-    windows = checkpoint(windows)
-    keys = checkpoint(windows.select("doc_id", "text_hash").distinct())
-    n_keys = keys.count()
-    texts = docs.withColumn("text_hash", F.xxhash64("text")).alias("d").join(small(keys, n_keys).alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("d.text_hash") == F.col("k.text_hash")), "left_semi").select("doc_id", "text_hash", "text")
-    texts = checkpoint(texts.dropDuplicates(["doc_id", "text_hash"]).select("doc_id", "text_hash", words(F.col("text")).alias("w")))
     cut = (
         windows.alias("v").join(texts.alias("t"), F.col("v.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("v.text_hash") == F.col("t.text_hash")))
         .select("v.doc_id", "start", "n", F.slice("w", F.col("start") + 1, F.col("stop") - F.col("start")).alias("w"))
