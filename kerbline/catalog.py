@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from kerbline.plans import aggregates
+from kerbline.plans import aggregates, cleaning
 
 QUERIES: dict = {}
 SQL: dict = {}
-for _part in (aggregates,):
+for _part in (aggregates, cleaning):
     QUERIES |= _part.QUERIES
     SQL |= _part.SQL
