@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from kerbline.plans import aggregates, cleaning
+from kerbline.plans import aggregates, cleaning, spatial
 
 QUERIES: dict = {}
 SQL: dict = {}
-for _part in (aggregates, cleaning):
+for _part in (aggregates, cleaning, spatial):
     QUERIES |= _part.QUERIES
     SQL |= _part.SQL
