@@ -19,3 +19,75 @@ def percentile_bounds(crashes: DataFrame, least: int = 100, margin: float = 0.05
     at = lambda c, p: F.percentile(c, F.lit(p))
     one = crashes.agg(F.count("*").alias("n"), *[at(c, p).alias(f"{c}_{s}") for c in ("lat", "lon") for s, p in (("min", 0.02), ("max", 0.98))]).where(F.col("n") >= least)
     return one.select(*[F.round(F.col(f"{c}_{s}") + (margin if s == "max" else -margin), 4).alias(f"{c}_{s}") for c in ("lat", "lon") for s in ("min", "max")])
+
+
+def issues(rows: DataFrame, row_id: str, checks: dict[str, tuple]) -> DataFrame:
+    """Long table of what is wrong: row_id, check, severity, field, value.
+
+    checks: name -> (severity, field, condition).  All are evaluated in one pass over the rows.
+    """
+    found = F.array_compact(F.array(*[F.when(F.coalesce(cond, F.lit(False)), F.struct(F.lit(name).alias("check"), F.lit(sev).alias("severity"), F.lit(field).alias("field"), F.col(field).cast("string").alias("value"))) for name, (sev, field, cond) in checks.items()]))
+    return rows.select(F.col(row_id).alias("row_id"), F.explode(found).alias("x")).select("row_id", "x.*")
+
+
+def row_rules(severities=("K", "A", "B", "C", "O")) -> dict[str, tuple]:
+    """Required fields, severity set, date and coordinate range."""
+    blank = lambda c: F.col(c).isNull() | (F.trim(F.col(c).cast("string")) == "")
+    return {
+        "missing_severity": ("error", "severity", blank("severity")), "bad_severity": ("error", "severity", ~blank("severity") & ~F.col("severity").isin(*severities)),
+        "missing_route": ("warning", "route", blank("route")), "missing_node": ("info", "node", blank("node")),
+        "date_range": ("error", "crash_date", ~F.col("crash_date").between("1990-01-01", "2100-01-01")),
+        "latitude_range": ("error", "lat", ~F.col("lat").between(17, 72)), "longitude_range": ("error", "lon", ~F.col("lon").between(-180, -65)),
+    }
+
+
+def check_severity(rows: DataFrame) -> DataFrame:
+    """The class that the people hurt ask for, and whether it was changed."""
+    from kerbline.functions.severity import severity_from_counts
+
+    told = severity_from_counts(*[F.col(f"{k}_people") for k in "kabc"])
+    return rows.withColumns({"severity_old": F.col("severity"), "severity": F.when(told != "O", told).otherwise(F.col("severity"))}).withColumn("severity_fixed", F.col("severity") != F.col("severity_old"))
+
+
+def fix_swapped(rows: DataFrame) -> DataFrame:
+    """Latitude and longitude that stand in each other's place are put right."""
+    swapped = F.col("lat").between(-180, -65) & F.col("lon").between(17, 72)
+    return rows.withColumns({"lat": F.when(swapped, F.col("lon")).otherwise(F.col("lat")), "lon": F.when(swapped, F.col("lat")).otherwise(F.col("lon")), "swapped": F.coalesce(swapped, F.lit(False))})
+
+
+def fix_gps_route_median(rows: DataFrame) -> DataFrame:
+    """Missing positions from the middle crash of the route."""
+    known = rows.where(F.col("lat").isNotNull() & F.col("lon").isNotNull() & (F.col("route") != ""))
+    m = route_medians(known).select("route", F.col("lat").alias("m_lat"), F.col("lon").alias("m_lon"))
+    fixed = F.col("lat").isNull() & F.col("m_lat").isNotNull()
+    return rows.join(m, "route", "left").select("id", F.coalesce("lat", "m_lat").alias("lat"), F.coalesce("lon", "m_lon").alias("lon"), fixed.alias("fixed"))
+
+
+def snap_to_cells(bad: DataFrame, good: DataFrame, reach: int = 10) -> DataFrame:
+    """Out-of-bounds points to the nearest occupied 0.01 degree cell within ``reach`` cells; only the bad rows are spread over offsets."""
+    key = lambda c: F.floor(F.col(c) * 100)
+    cells = good.groupBy(key("lat").alias("gy"), key("lon").alias("gx")).agg(F.count("*").alias("n"))
+    steps = F.sequence(F.lit(-reach), F.lit(reach))
+    spread = bad.select("id", key("lat").alias("y"), key("lon").alias("x"), F.explode(steps).alias("a")).select("id", "y", "x", "a", F.explode(steps).alias("b"))
+    hits = spread.withColumns({"gy": F.col("y") + F.col("a"), "gx": F.col("x") + F.col("b")}).join(cells, ["gy", "gx"])
+    best = hits.groupBy("id").agg(F.min(F.struct((F.col("a") * F.col("a") + F.col("b") * F.col("b")).alias("d"), "gy", "gx")).alias("m"))
+    return best.select("id", F.col("m.gy").alias("gy"), F.col("m.gx").alias("gx"), F.col("m.d").alias("d"))
+
+
+def infer_functional_class(rows: DataFrame) -> DataFrame:
+    """Blank classes from the route's majority, else its prefix; with the way told."""
+    from kerbline.functions.text import fc_from_route
+    from kerbline.operators.aggregate import majority
+
+    m = majority(rows.where("route <> '' AND fc <> ''"), "route", "fc").select("route", F.col("fc").alias("m_fc"))
+    out = rows.join(m, "route", "left")
+    blank = F.coalesce("fc", F.lit("")) == ""
+    way = F.when(~blank, "source").when(F.col("m_fc").isNotNull(), "route_majority").when(fc_from_route(F.col("route")).isNotNull(), "prefix").otherwise("none")
+    return out.select("id", F.when(~blank, F.col("fc")).otherwise(F.coalesce("m_fc", fc_from_route(F.col("route")))).alias("fc"), way.alias("way"))
+
+
+def sanity(rows: DataFrame, checks: dict) -> DataFrame:
+    """check, passed, total, pct of range rules: one aggregation, then turned to rows."""
+    one = rows.agg(F.count("*").alias("total"), *[F.count(F.when(c, 1)).alias(k) for k, c in checks.items()])
+    turned = one.select("total", F.explode(F.array(*[F.struct(F.lit(k).alias("check"), F.col(k).alias("passed")) for k in checks])).alias("x"))
+    return turned.select("x.check", "x.passed", "total", F.round(F.col("x.passed") / F.col("total") * 100, 1).alias("pct"))
