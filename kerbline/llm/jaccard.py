@@ -217,7 +217,7 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float =
     bodies = docs.select("doc_id", "text").alias("d").join(small(keyed.select("of").distinct(), n_members).alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.of")), "left_semi").select("doc_id", "text")
     # Where an id is repeated with other texts, the text's own key tells which row is meant.
     sets = checkpoint(_shingle_rows(bodies))
-    pooled = keyed.join(sets, "text_key").join(sizes, "root")
+    pooled = keyed.join(sets, "text_key").join(small(sizes, n_members), "root")  # pools are fewer than their members
     block = F.pmod(F.xxhash64("text_key"), F.ceil(F.col("pool") / BLOCK)).cast("int")
     blocks = F.ceil(F.col("pool") / BLOCK).cast("int")
     dealt = pooled.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))

@@ -26,7 +26,7 @@ from kerbline.llm.common import UPPER, LOWER, checkpoint, small
 #: (verdict, host, path)
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 #: Blocked where mean - Z * deviation of the posterior rate of bad pages is over the limit.
-Z, LIMIT = 1.0, 0.2
+Z, LIMIT = 1.645, 0.2
 MIN_STRENGTH, MAX_STRENGTH = 2.0, 1000.0
 
 
@@ -55,10 +55,10 @@ def best_rule(host: Column, path: Column, rules=RULES) -> Column:
     return F.coalesce(*[F.when(fits(r), F.struct(F.lit(r[1] + r[2]).alias("rule"), F.lit(r[0]).alias("verdict"))) for r in longest])
 
 
-def _shrunk(children: DataFrame, parent: list[str]) -> DataFrame:
+def _shrunk(children: DataFrame) -> DataFrame:
     """Adds the posterior of each child under its parent's mean: mean and strength of the prior, then a and b.
 
-    children: n, bad and the parent's ``mean``.  One prior strength is fitted for the whole level from sums of
+    children: n, bad and the parent's ``pa``, ``pb`` and ``mean``.  One prior strength is fitted for the whole level from sums of
     integers and of products, so that any order of adding gives nearly the same.
     """
     spread = F.sum(F.col("n") * F.pow(F.col("bad") / F.col("n") - F.col("mean"), F.lit(2.0)))
@@ -66,9 +66,9 @@ def _shrunk(children: DataFrame, parent: list[str]) -> DataFrame:
     scale = F.sum((F.col("n") - 1) * F.col("mean") * (1 - F.col("mean")))
     fit = children.agg(F.round((spread - within) / scale, 6).alias("rho"))
     strength = F.when(F.col("rho").isNull() | (F.col("rho") <= 1 / (1 + MAX_STRENGTH)), MAX_STRENGTH).otherwise(F.greatest(F.lit(MIN_STRENGTH), 1 / F.col("rho") - 1))
-    return children.crossJoin(F.broadcast(fit.select(strength.alias("strength")))).withColumns({
-        "a": F.col("mean") * F.col("strength") + F.col("bad"), "b": (1 - F.col("mean")) * F.col("strength") + F.col("n") - F.col("bad"),
-    })
+    rest = F.col("pa") + F.col("pb") - F.col("n")
+    prior, worth = (F.col("pa") - F.col("bad")) / rest, F.least(F.col("strength"), rest)
+    return children.crossJoin(F.broadcast(fit.select(strength.alias("strength")))).withColumns({"a": prior * worth + F.col("bad"), "b": (1 - prior) * worth + F.col("n") - F.col("bad")})
 
 
 def reputation(outcomes: DataFrame) -> DataFrame:
@@ -81,8 +81,8 @@ def reputation(outcomes: DataFrame) -> DataFrame:
     up, levels = root, [root]
     for level, key, above in (("suffix", suffix_of, lambda h: F.lit("")), ("domain", domain_of, suffix_of), ("host", lambda h: h, domain_of)):
         rows = hosts.groupBy(key(F.col("host")).alias("name"), above(F.col("host")).alias("above")).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-        parents = up.select(F.col("name").alias("above"), (F.col("a") / (F.col("a") + F.col("b"))).alias("mean"))
-        up = checkpoint(_shrunk(rows.join(parents, "above"), ["above"]).select(F.lit(level).alias("level"), "name", "a", "b"))
+        parents = up.select(F.col("name").alias("above"), F.col("a").alias("pa"), F.col("b").alias("pb"), (F.col("a") / (F.col("a") + F.col("b"))).alias("mean"))
+        up = checkpoint(_shrunk(rows.join(parents, "above")).select(F.lit(level).alias("level"), "name", "a", "b"))
         levels.append(up)
     out = levels[0]
     for x in levels[1:]:
