@@ -43,6 +43,13 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Computes ``df`` once into a compressed table in the shared folder, and reads that."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """A broadcast hint where ``rows``, a count of ``df``, is within ``limit``; else Spark shuffles."""
     return F.broadcast(df) if rows <= limit else df

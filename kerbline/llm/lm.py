@@ -4,9 +4,9 @@ A text is a sequence of tokens: its words, A-Z lower-cased, then an end.  The mo
 closed by an end-of-word sign, and a byte as the binary decisions of a prefix code built from the training
 bytes, so the probability of a text is a product of bit probabilities.
 
-* **Hashed-context bit predictors.**  Six contexts look at a decision: none, the byte before, two bytes, four
-  bytes, the word so far, and the word so far with the class of the word before (the commonest words have a class
-  each).  Each hashes to a slot of a table of fixed size that counts zeros and ones over all training text.
+* **Hashed-context bit predictors.**  Four contexts look at a decision: the byte before, three bytes, the word so
+  far, and the word so far with the class of the word before (short words have hashed classes, long ones share
+  one).  Each hashes to a slot of a table of fixed size that counts zeros and ones over all training text.
 * **Gated mixing.**  Their log odds are added with weights.  A gate, told by how much evidence the three longest
   contexts have, chooses the weights.  They are learnt online, block by block, from leave-one-out predictions on
   all training text; tasks start alike and their weights are averaged by evidence.
@@ -16,7 +16,7 @@ bytes, so the probability of a text is a product of bit probabilities.
 What a decision's probability hangs on is the token and the class of the one before, so equal pairs are gathered
 over the corpus first (a shuffle that grows with the input) and learnt once with their count; nothing is sampled.
 Counts, weights and refinement have fixed sizes whatever the corpus (:data:`TABLE_BITS`) and travel to the tasks
-as a broadcast of some 50 MB.  The base score, a smoothed unigram, needs the count of every word: those of the
+as a broadcast of some 20 MB.  The base score, a smoothed unigram, needs the count of every word: those of the
 65,536 commonest are broadcast, the others are joined.
 
 A null text is empty: an end alone.  Rows are scored each, repeats too; a null id is in the training part when
@@ -35,63 +35,56 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kerbline.llm.common import checkpoint
+from kerbline.llm.common import stored
 from kerbline.llm.tokens import slices
 
 END = 256
 SYMBOLS = END + 1
 #: Slots of each context's table, as powers of two.
-TABLE_BITS = (9, 17, 20, 21, 22, 22)
+TABLE_BITS = (16, 20, 21, 21)
 CONTEXTS = len(TABLE_BITS)
 _SLICE = 1 << 15
-#: Commonest words that are a class of their own as the word before; then other words, and the start.
-CLASSES = 14
+#: Hashed classes of short words as the word before; then longer words, and the start.
+CLASSES, SHORT = 14, 4
 OTHER, START = CLASSES, CLASSES + 1
 HEAD = 65_536
 GATES, CELLS = 64, 48
-#: Token pairs in a training task and in a block of one.
-PAIRS_A_TASK, PAIRS_A_BLOCK = 1_000_000, 4_096
+#: Documents whose pairs make a training task, on average, and token pairs in a block of one.
+DOCS_A_TASK, PAIRS_A_BLOCK = 32_768, 4_096
 FAN_IN = 16
 _R = np.uint64(0x9E3779B97F4A7C15)
+_NODE = np.random.default_rng(7).permutation(1 << 16)[:SYMBOLS].astype(np.int64)
 _R_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
-def tokens(text: str | None) -> list[bytes]:
-    """The words, then b"" for the end."""
-    return [*(text or "").encode("utf-8", "surrogatepass").lower().split(), b""]
-
-
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 10 == 0, F.lit(False))
 
 
-class _Names(dict):
-    """Word -> number, in order of appearance."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self)
-        return n
-
-
-def pair_codes(texts: list[str | None], names: _Names, class_of: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-    """The (word number * 16 + class of the word before) of each token of the texts, and the tokens of each text."""
-    lists = [tokens(t) for t in texts]
-    sizes = np.array([len(x) for x in lists], np.int64)
-    flat = [w for x in lists for w in x]
-    codes = np.fromiter(map(names.__getitem__, flat), np.int64, len(flat))
-    classes = np.full(len(flat) + 1, START, np.int64)
-    if class_of:
-        lookup = np.full(len(names), OTHER, np.int64)
-        for word, c in class_of.items():
-            if word in names:
-                lookup[names[word]] = c
-        classes[1:] = lookup[codes]
-    else:
-        classes[1:] = OTHER
-    classes = classes[:-1]
-    if len(sizes):
-        classes[np.concatenate([[0], np.cumsum(sizes)[:-1]])] = START
-    return codes * 16 + classes, sizes
+def cut(texts) -> tuple:
+    """An Arrow column of texts -> its distinct words (binary, the first is the empty one: the end), the token
+    pairs (word * 16 + class of the word before) and the number of tokens of each text."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "").cast(pa.large_string())))
+    offsets, flat = np.asarray(lists.offsets), lists.flatten()
+    filled = np.asarray(pc.greater(pc.binary_length(flat), 0))  # blanks at either side of a text leave empty strings
+    coded = flat.filter(pa.array(filled)).dictionary_encode()
+    words = pa.concat_arrays([pa.array([b""], pa.large_binary()), coded.dictionary.cast(pa.large_binary())])
+    before = np.concatenate([[0], np.cumsum(filled)])
+    sizes = np.diff(before[offsets]) + 1
+    ends = np.cumsum(sizes) - 1
+    word = np.zeros(int(sizes.sum()), np.int64)
+    inside = np.ones(len(word), bool)
+    inside[ends] = False
+    word[inside] = np.asarray(coded.indices) + 1
+    length = np.asarray(pc.binary_length(words))
+    kind = np.array([sum(w) % CLASSES if n <= SHORT else OTHER for w, n in zip(words.to_pylist(), length.tolist())], np.int64)
+    classes = np.empty(len(word), np.int64)
+    classes[1:] = kind[word[:-1]]
+    classes[np.concatenate([[0], ends[:-1] + 1]) if len(ends) else []] = START
+    return words, word * 16 + classes, sizes
 
 
 def prefix_code(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -129,7 +122,7 @@ def decisions(words: list[bytes], classes: np.ndarray, code) -> tuple[list[np.nd
     word = np.repeat(np.arange(len(words)), sizes)
     place = np.arange(total) - first[word]
     before = []
-    for k in range(1, 5):
+    for k in range(1, 4):
         b = np.full(total, END + k, np.uint64)
         b[k:] = np.where(place[k:] >= k, signs[:-k], END + k)
         before.append(b)
@@ -138,21 +131,20 @@ def decisions(words: list[bytes], classes: np.ndarray, code) -> tuple[list[np.nd
     sums = np.concatenate([[np.uint64(0)], np.cumsum((signs.astype(np.uint64) + np.uint64(1)) * power, dtype=np.uint64)[:-1]])
     back = np.cumprod(np.full(total, _R_INVERSE), dtype=np.uint64)
     prefix = (sums - sums[first][word]) * back[first][word]
-    b1, b2, b3, b4 = before
-    two = b1 * np.uint64(1021) + b2
-    contexts = [
-        np.zeros(total, np.uint64), b1, two, (two * np.uint64(1021) + b3) * np.uint64(1021) + b4, prefix,
-        prefix * np.uint64(31) + classes.astype(np.uint64)[word] + np.uint64(1),
-    ]
+    b1, b2, b3 = before
+    contexts = [b1, (b1 * np.uint64(1021) + b2) * np.uint64(1021) + b3, prefix, prefix * np.uint64(31) + classes.astype(np.uint64)[word] + np.uint64(1)]
     reps = (starts[1:] - starts[:-1])[signs]
     at = np.repeat(np.arange(total), reps)
-    path = starts[signs][at] + np.arange(len(at)) - np.repeat(np.cumsum(reps) - reps, reps)
-    node = path_nodes[path].astype(np.uint64)
+    path = np.arange(len(at)) + np.repeat(starts[signs] - np.cumsum(reps) + reps, reps)
+    node = _NODE[path_nodes[path]]
     slots = []
     for c, bits in zip(contexts, TABLE_BITS):
-        h = c * np.uint64(0xD6E8FEB86659FD93)
-        h ^= h >> np.uint64(32)
-        slots.append((((h[at] + node) * _R) >> np.uint64(64 - bits)).astype(np.int64) if bits > 9 else node.astype(np.int64))
+        h = (c + np.uint64(1)) * _R
+        h ^= h >> np.uint64(29)
+        h = ((h * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - bits)).astype(np.int64)
+        s = h[at]
+        s ^= node  # 16 bits, so all decisions of a context lie in one stretch of its table
+        slots.append(s)
     return slots, path_bits[path], word[at]
 
 
@@ -167,7 +159,7 @@ def _log_odds(n0, n1) -> np.ndarray:
 
 def first_weights() -> np.ndarray:
     w = np.zeros((GATES, CONTEXTS + 1))
-    w[:, 2:CONTEXTS] = 0.3
+    w[:, 1:CONTEXTS] = 0.35
     return w
 
 
@@ -185,17 +177,21 @@ class Learner:
 
     def block(self, words, classes, counts, code) -> None:
         slots, bit, at = decisions(words, classes, code)
-        c, one = counts[at].astype(np.float64), bit.astype(np.int64)
-        x, evidence = np.empty((CONTEXTS + 1, len(bit))), []
+        c, one = counts[at].astype(np.float32), bit.astype(np.int32)
+        x, evidence = np.empty((CONTEXTS + 1, len(bit)), np.float32), []
         for k in range(CONTEXTS):
-            n0, n1 = (t[slots[k]].astype(np.int64) for t in self.tables[k])
+            n0, n1 = (t[slots[k]].astype(np.int32) for t in self.tables[k])
             n0, n1 = np.maximum(n0 - (1 - one), 0), np.maximum(n1 - one, 0)
             x[k] = _log_odds(n0, n1)
             if k >= CONTEXTS - 3:
                 evidence.append(_evidence(n0 + n1))
         x[CONTEXTS] = 1
         gate = evidence[2] * 16 + evidence[1] * 4 + evidence[0]
-        st = np.clip((self.w[gate].T * x).sum(axis=0), -12, 12)
+        w = self.w.astype(np.float32)[gate]
+        st = w[:, CONTEXTS].copy()
+        for k in range(CONTEXTS):
+            st += w[:, k] * x[k]
+        st = np.clip(st, -12, 12)
         p = 1 / (1 + np.exp(-st))
         self.cells[1] += np.bincount(_cell(st, gate), c * one, 4 * CELLS)
         self.cells[0] += np.bincount(_cell(st, gate), c * (1 - one), 4 * CELLS)
@@ -241,43 +237,41 @@ class Model:
         return out
 
 
-def _pairs(train: DataFrame, class_of) -> DataFrame:
-    """class, word, n: token pairs of the training texts, summed per task, then over all."""
+def _pairs(train: DataFrame) -> DataFrame:
+    """class, word, n: token pairs of the training texts, summed per Arrow batch, then over all."""
 
     def count(batches):
         import pyarrow as pa
 
-        names, parts = _Names(), []
         for batch in batches:
-            for piece in slices(batch, 1024):
-                codes, _ = pair_codes(piece.column(0).to_pylist(), names, class_of)
-                parts.append(np.unique(codes, return_counts=True))
-                if len(parts) == 64:
-                    parts = [_added(parts)]
-        if not parts:
-            return
-        codes, n = _added(parts)
-        words = list(names)
-        for a in range(0, len(codes), 100_000):
-            c = codes[a : a + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array((c & 15).astype(np.int32)), pa.array([words[x] for x in (c >> 4).tolist()], pa.binary()), pa.array(n[a : a + 100_000])], ["class", "word", "n"])
+            for piece in slices(batch, 16_384):
+                words, codes, _ = cut(piece.column(0))
+                codes, n = np.unique(codes, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array((codes & 15).astype(np.int32)), words.take(pa.array(codes >> 4)).cast(pa.binary()), pa.array(n)], ["class", "word", "n"])
 
     return train.select("text").mapInArrow(count, "class int, word binary, n long").groupBy("class", "word").agg(F.sum("n").alias("n"))
 
 
-def _added(parts):
-    codes, at = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
-    return codes, np.bincount(at, np.concatenate([n for _, n in parts])).astype(np.int64)
+def _packed(n) -> bytes:
+    """Two rows of counts: where there are any, and how many."""
+    at = np.flatnonzero(n.any(axis=0))
+    return at.astype(np.uint16).tobytes() + n[:, at].astype(np.int64).tobytes()
+
+
+def _unpacked(b: bytes) -> np.ndarray:
+    k, out = len(b) // 18, np.zeros((2, _SLICE), np.int64)
+    out[:, np.frombuffer(b, np.uint16, k)] = np.frombuffer(b, np.int64, 2 * k, 2 * k).reshape(2, k)
+    return out
 
 
 def _reduced(parts: DataFrame, n_tasks: int, key: str) -> DataFrame:
-    """Adds arrays of int64 (as bytes) of one key, in rounds of FAN_IN, so that no group grows with the input."""
+    """Adds packed counts of one key, in rounds of FAN_IN, so that no group grows with the input."""
 
     def add(names, table):
         import pyarrow as pa
 
-        total = sum(np.frombuffer(b, np.int64) for b in table["sums"].to_pylist())
-        return pa.table({key: pa.array([names[0].as_py()], pa.int64()), "task": pa.array([names[1].as_py()], pa.int64()), "sums": pa.array([total.tobytes()], pa.binary())})
+        total = sum(map(_unpacked, table["sums"].to_pylist()))
+        return pa.table({key: pa.array([names[0].as_py()], pa.int64()), "task": pa.array([names[1].as_py()], pa.int64()), "sums": pa.array([_packed(total)], pa.binary())})
 
     while True:
         parts = parts.withColumn("task", F.floor(F.col("task") / FAN_IN)).groupBy(key, "task").applyInArrow(add, f"{key} long, task long, sums binary")
@@ -293,11 +287,9 @@ def _as_batches(batches):
             yield piece.column(1).to_pylist(), piece.column(0).to_numpy(), piece.column(2).to_numpy()
 
 
-def train_model(pairs: DataFrame, spark) -> tuple:
-    """(code, tables, weights, cells) from pairs (class, word, n); sizes are fixed."""
-    n_pairs = pairs.count()
-    n_tasks = max(1, math.ceil(n_pairs / PAIRS_A_TASK))
-    dealt = checkpoint(pairs.repartition(n_tasks, F.xxhash64("word", "class")))
+def train_model(dealt: DataFrame, n_tasks: int) -> tuple:
+    """(code, tables, weights, cells) from pairs (class, word, n) dealt to some tasks; sizes are fixed."""
+    spark = dealt.sparkSession
 
     def histogram(batches):
         import pyarrow as pa
@@ -320,21 +312,18 @@ def train_model(pairs: DataFrame, spark) -> tuple:
     def count(batches):
         import pyarrow as pa
 
-        tables = np.zeros((2, offsets[-1]), np.int64)
+        flat = np.zeros(2 * offsets[-1], np.int64)
+        tables = flat.reshape(2, -1)
         for words, classes, n in _as_batches(batches):
             slots, bit, at = decisions(words, classes, code)
-            weight = n[at]
+            weight, mine = n[at], bit.astype(np.int64) * offsets[-1]
             for k in range(CONTEXTS):
-                where = slots[k] + offsets[k]
-                for b in (0, 1):
-                    mine = bit == b
-                    used, back = np.unique(where[mine], return_inverse=True)
-                    tables[b][used] += np.bincount(back, weight[mine]).astype(np.int64)
+                np.add.at(flat, slots[k] + (mine + offsets[k]), weight)
         task = TaskContext.get().partitionId()
         for s in range(offsets[-1] // _SLICE):
             part = tables[:, s * _SLICE : (s + 1) * _SLICE]
             if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([s], pa.int64()), pa.array([task], pa.int64()), pa.array([part.tobytes()], pa.binary())], ["slice", "task", "sums"])
+                yield pa.RecordBatch.from_arrays([pa.array([s], pa.int64()), pa.array([task], pa.int64()), pa.array([_packed(part)], pa.binary())], ["slice", "task", "sums"])
 
     def narrow(batches):
         import pyarrow as pa
@@ -342,7 +331,7 @@ def train_model(pairs: DataFrame, spark) -> tuple:
         for batch in batches:
             out = []
             for b in batch.column(1).to_pylist():
-                n = np.frombuffer(b, np.int64).reshape(2, -1)
+                n = _unpacked(b)
                 scale = np.maximum(1, n.max(axis=0) / 65_535)
                 out.append(np.round(n / scale).astype(np.uint16).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["slice", "sums"])
@@ -383,46 +372,35 @@ def score(docs: DataFrame, held: Column | None = None) -> DataFrame:
     spark = docs.sparkSession
     held = held_out(F.col("doc_id")) if held is None else held
     train = docs.where(~held)
-    class_of = {bytes(r["word"]): k for k, r in enumerate(_word_counts(train).orderBy(F.desc("n"), "word").limit(CLASSES).collect())}
-    pairs = checkpoint(_pairs(train, class_of))
-    counts = checkpoint(pairs.groupBy("word").agg(F.sum("n").alias("c")))
+    n_tasks = max(1, math.ceil(train.count() / DOCS_A_TASK))
+    pairs = stored(_pairs(train).repartition(n_tasks), "pairs")
+    counts = stored(pairs.groupBy("word").agg(F.sum("n").alias("c")), "counts")
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n, v = total["n"], total["v"]
     head = {bytes(r["word"]): r["c"] for r in counts.orderBy(F.desc("c"), "word").limit(HEAD).collect()}
-    model = spark.sparkContext.broadcast((class_of, head, train_model(pairs, spark)))
+    model = spark.sparkContext.broadcast((head, train_model(pairs.repartition(n_tasks), n_tasks)))
     below = math.log10(n + 0.1 * (v + 1))
 
     def rows(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
-        class_of, head, parts = model.value
-        known, names = Model(*parts), _Names()
-        base, task, key = np.empty(0), TaskContext.get().partitionId(), 0
-        pair_bits, pair_at = np.empty(0), np.empty(0, np.int64)
+        head, parts = model.value
+        known, task, key = Model(*parts), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for piece in slices(batch, 512):
-                texts = piece.column(2).to_pylist()
-                codes, sizes = pair_codes(texts, names, class_of)
-                words = list(names)
-                new = words[len(base) :]
-                base = np.concatenate([base, [head.get(w, -1) for w in new]])
+            for piece in slices(batch, 16_384):
+                words, codes, sizes = cut(piece.column(2))
+                names = words.to_pylist()
+                base = np.array([head.get(w, -1) for w in names], np.float64)
                 uniq, back = np.unique(codes, return_inverse=True)
-                at = np.searchsorted(pair_at, uniq)
-                have = (at < len(pair_at)) & (pair_at[np.minimum(at, max(0, len(pair_at) - 1))] == uniq) if len(pair_at) else np.zeros(len(uniq), bool)
-                bits = np.empty(len(uniq))
-                bits[have] = pair_bits[at[have]]
-                miss = uniq[~have]
-                bits[~have] = known.bits([words[x] for x in (miss >> 4).tolist()], miss & 15)
-                pair_at, pair_bits = np.concatenate([pair_at, miss]), np.concatenate([pair_bits, bits[~have]])
-                order = np.argsort(pair_at, kind="stable")
-                pair_at, pair_bits = pair_at[order], pair_bits[order]
+                bits = known.bits([names[x] for x in (uniq >> 4).tolist()], uniq & 15)
                 doc = np.repeat(np.arange(len(sizes)), sizes)
                 total_bits = np.bincount(doc, bits[back], len(sizes))
                 c = base[codes >> 4]
                 in_head = c >= 0
                 head_sum = np.bincount(doc[in_head], np.log10(c[in_head] + 0.1) - below, len(sizes))
                 head_known = np.bincount(doc[in_head], minlength=len(sizes))
-                n_bytes = [len((t or "").encode("utf-8", "surrogatepass")) for t in texts]
+                n_bytes = np.asarray(pc.fill_null(pc.binary_length(piece.column(2)), 0))
                 keys = (task << 40) + key + np.arange(len(sizes))
                 key += len(sizes)
                 # Words outside the head, once per document, to be joined with their counts.
@@ -435,11 +413,9 @@ def score(docs: DataFrame, held: Column | None = None) -> DataFrame:
                     pa.array(np.concatenate([sizes, np.zeros(t, np.int64)])), pa.array(np.concatenate([head_known, np.zeros(t, np.int64)]).astype(np.int64)),
                     pa.array(np.concatenate([head_sum, np.zeros(t)])), pa.array(np.concatenate([total_bits, np.zeros(t)])), pa.array(np.concatenate([n_bytes, np.zeros(t, np.int64)]).astype(np.int64)),
                     # 0xFF never stands in UTF-8, so these match no word, and they spread over all partitions.
-                    pa.array([b"\xff" + int(k).to_bytes(8, "big") for k in keys] + [words[x] for x in name.tolist()], pa.binary()),
+                    pa.concat_arrays([pa.array([b"\xff" + int(k).to_bytes(8, "big") for k in keys], pa.binary()), words.take(pa.array(name)).cast(pa.binary())]),
                     pa.array(np.concatenate([np.zeros(m, np.int64), times]).astype(np.int64)),
                 ], schema.fieldNames())
-                if len(names) > 400_000:
-                    names, base, pair_at, pair_bits = _Names(), np.empty(0), np.empty(0, np.int64), np.empty(0)
 
     doc_id = docs.schema["doc_id"].dataType.simpleString()
     schema = T.StructType.fromDDL(f"key long, doc_id {doc_id}, held_out boolean, n_tokens long, n_known long, head double, bits double, n_bytes long, word binary, times long")
@@ -451,23 +427,3 @@ def score(docs: DataFrame, held: Column | None = None) -> DataFrame:
         (F.sum("head") + F.sum(F.col("times") * (F.log10(c + 0.1) - below))).alias("base_score"), F.sum("bits").alias("bits"), F.sum("n_bytes").alias("n_bytes"),
     )
     return joined.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", (-F.col("bits") * math.log10(2)).alias("score"), (F.col("bits") / F.greatest("n_bytes", F.lit(1))).alias("bits_per_byte"))
-
-
-def _word_counts(train: DataFrame) -> DataFrame:
-    """word, n over all training text, summed per task first; the end is no word here."""
-
-    def count(batches):
-        import pyarrow as pa
-
-        names, totals = _Names(), np.zeros(0, np.int64)
-        for batch in batches:
-            for piece in slices(batch, 1024):
-                codes, _ = pair_codes(piece.column(0).to_pylist(), names, {})
-                counted = np.bincount(codes >> 4, minlength=len(names))
-                counted[: len(totals)] += totals
-                totals = counted
-        words = list(names)
-        for a in range(0, len(words), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(words[a : a + 100_000], pa.binary()), pa.array(totals[a : a + 100_000])], ["word", "n"])
-
-    return train.select("text").mapInArrow(count, "word binary, n long").where(F.length("word") > 0).groupBy("word").agg(F.sum("n").alias("n"))

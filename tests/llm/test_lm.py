@@ -25,6 +25,27 @@ def corpus(prose):
     return docs + [(500, None, "s"), (501, "", "s"), (502, "zzqx unseen wörd É", "s"), (None, "no id Here", "s"), (3, "The THE the", "s"), (3, "The THE the", "s")]
 
 
+def test_cut():
+    import pyarrow as pa
+
+    texts = ["  The the\tÉ\x0b\nX ", None, "", "\x85a\x1cb", "one"]
+    words, codes, sizes = lm.cut(pa.array(texts))
+    want = [toks(t) for t in texts]
+    assert [[words[c >> 4].as_py() for c in part] for part in np.split(codes, np.cumsum(sizes)[:-1])] == want
+    at = 0
+    for t in want:
+        kinds = [lm.START] + [sum(w) % lm.CLASSES if len(w) <= lm.SHORT else lm.OTHER for w in t[:-1]]
+        assert (codes[at : at + len(t)] & 15).tolist() == kinds
+        at += len(t)
+    assert lm.cut(pa.array([], pa.string()))[1].size == 0
+
+
+def test_packing():
+    n = np.zeros((2, lm._SLICE), np.int64)
+    n[0, 3], n[1, 3], n[1, lm._SLICE - 1] = 5, 1 << 40, 7
+    assert (lm._unpacked(lm._packed(n)) == n).all() and (lm._unpacked(lm._packed(0 * n)) == 0).all()
+
+
 def test_base_score(spark, docs_of, corpus, monkeypatch):
     monkeypatch.setattr(lm, "HEAD", 20)  # most words take the join
     rows = lm.score(docs_of(corpus, extra=True)).collect()
@@ -43,7 +64,7 @@ def test_probabilities_sum_to_one():
     """After any word, the next tokens of up to two bytes, longer ones cut there, have probabilities that add up to 1."""
     rng = np.random.default_rng(4)
     code = lm.prefix_code(rng.integers(1, 100, lm.SYMBOLS))
-    tables = [(rng.integers(0, 50, 1 << max(b, 15), dtype=np.uint16), rng.integers(0, 50, 1 << max(b, 15), dtype=np.uint16)) for b in lm.TABLE_BITS]
+    tables = [(rng.integers(0, 50, 1 << b, dtype=np.uint16), rng.integers(0, 50, 1 << b, dtype=np.uint16)) for b in lm.TABLE_BITS]
     model = lm.Model(code, tables, lm.first_weights() + rng.normal(0, 0.2, (lm.GATES, lm.CONTEXTS + 1)), rng.integers(0, 90, (2, 4 * lm.CELLS)).astype(float))
     one = [bytes([k]) for k in range(256)]
     ends = model.bits(one + [b""], np.full(257, 3))  # a byte and the end sign, or the end sign alone
