@@ -1,8 +1,8 @@
 """Encoding of whole texts with a tokenizer file, inside Spark tasks.
 
-The byte-level pre-tokenizer never joins what stands before and after a blank between two words, so a text is
-cut there and each distinct cut is encoded once and remembered; the tokenizer itself decides everything inside
-a cut.  A text with one of the control characters 28 to 31, which the cutting pattern and the tokenizer see
+The byte-level pre-tokenizer never joins what stands before and after a blank between two words, nor letters or
+digits with the marks after them, so a text is cut there and each distinct cut is encoded once and remembered;
+the tokenizer itself decides everything inside a cut (an apostrophe and the letters after it stay in one).  A text with one of the control characters 28 to 31, which the cutting pattern and the tokenizer see
 differently, is encoded as it is.  Both ways give the same ids as encoding the text in one call.
 """
 
@@ -16,8 +16,8 @@ import public_tokenizers
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Distinct cuts that a worker remembers; beyond it starts afresh.
-REMEMBERED = 400_000
-_CUTS = re.compile(r" ?\S+|\s+(?!\S)|\s")
+REMEMBERED = 1_000_000
+_CUTS = re.compile(r" ?[^\W_]+| ?(?:[^\w\s']|_)*'(?:[^\w\s]|_)*[^\W_]*| ?(?:[^\w\s]|_)+|\s+(?!\S)|\s")
 _ODD = re.compile("[\x1c-\x1f]")
 
 
@@ -29,6 +29,7 @@ class Encoder:
     """Encodes texts to arrays of little-endian ids, 16 bits wide where the vocabulary allows, else 32."""
 
     _of_path: dict[str, Encoder] = {}
+    _line_end = re.compile("[\n\r]")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -37,6 +38,7 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {}
+        self.line_feed = self._ids(["\n"])[0][0]
 
     @classmethod
     def get(cls, path: str) -> Encoder:
@@ -45,8 +47,22 @@ class Encoder:
             cls._of_path[path] = cls(path)
         return cls._of_path[path]
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, cuts: list[str]) -> None:
+        """Encodes cuts a thousand at a time, one to a line: a line feed between two words is a token of its own."""
+        plain = [c for c in cuts if c.strip() and not self._line_end.search(c)]
+        for at in range(0, len(plain), 1000):
+            part = plain[at : at + 1000]
+            ids = self._ids(["\n".join(part)])[0]
+            ends = np.flatnonzero(ids == self.line_feed)
+            if len(ends) != len(part) - 1:
+                raise ValueError("this tokenizer joins lines")
+            for cut, a, b in zip(part, np.concatenate([[0], ends + 1]).tolist(), np.concatenate([ends, [len(ids)]]).tolist()):
+                self.known[cut] = ids[a:b].tobytes()
+        odd = list(set(cuts).difference(plain))
+        self.known.update(zip(odd, (x.tobytes() for x in self._ids(odd))))
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         """The ids of each text as bytes; null is empty."""
@@ -54,12 +70,11 @@ class Encoder:
         cuts = [None if _ODD.search(t) else _CUTS.findall(t) for t in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        new = {c for cs in cuts if cs for c in cs} - self.known.keys()
+        new = list(set().union(*filter(None, cuts)).difference(self.known))
         if new:
-            new = list(new)
-            self.known.update(zip(new, self._ids(new)))
+            self._learn(new)
         known = self.known.__getitem__
-        return [self._ids([t])[0] if cs is None else b"".join(map(known, cs)) for t, cs in zip(texts, cuts)]
+        return [self._ids([t])[0].tobytes() if cs is None else b"".join(map(known, cs)) for t, cs in zip(texts, cuts)]
 
 
 def slices(batch, size: int = 256):

@@ -22,8 +22,8 @@ def direct():
 
 def test_same_ids_as_one_call(direct):
     rng = random.Random(3)
-    signs = list("ab'sEé1. ,\n\t\r\x0b\x0c\x1c\x85\u00a0\u2003😀-")
-    texts = ODD + ["".join(rng.choices(signs, k=rng.randrange(40))) for _ in range(3000)]
+    signs = list("ab'sEé1. ,_²e\u0301\n\t\r\x0b\x0c\x1c\x85\u00a0\u2003😀-")
+    texts = ODD + ["".join(rng.choices(signs, k=rng.randrange(40))) for _ in range(6000)]
     e = Encoder(default_path())
     for text, raw in zip(texts, e.encode(texts)):
         assert np.frombuffer(raw, e.dtype).tolist() == direct(text), repr(text)
