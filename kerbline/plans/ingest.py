@@ -326,3 +326,44 @@ def _complete(spark, d):
 def _geography(spark, d):
     s = segments(spark, d).select(F.col("seg_id").alias("id"), F.col("mid_lat").alias("lat"), F.col("mid_lon").alias("lon"), (F.col("seg_id") % 5).cast("int").alias("region"))
     return sp.nearest_centroid(s, _centroids(spark, d), "region").select(F.col("id").alias("seg_id"), "centroid_id")
+
+
+@query("poi_from_tags", "SELECT s_suppkey AS osm_id, CASE s_suppkey % 4 WHEN 0 THEN 'hospital' WHEN 1 THEN 'school' WHEN 2 THEN 'crossing' ELSE 'motorway_junction' END AS category, CASE WHEN s_suppkey % 4 = 3 THEN CAST(s_suppkey % 90 AS VARCHAR) ELSE '' END AS subcategory FROM supplier")
+def _poi_tags(spark, d):
+    """Tagged features to points of interest: the first known key tells the category; exits keep their number."""
+    k = F.col("s_suppkey") % 4
+    tags = F.when(k == 0, F.create_map(F.lit("amenity"), F.lit("hospital"))).when(k == 1, F.create_map(F.lit("amenity"), F.lit("school"))).when(k == 2, F.create_map(F.lit("highway"), F.lit("crossing"))).otherwise(F.create_map(F.lit("highway"), F.lit("motorway_junction"), F.lit("ref"), (F.col("s_suppkey") % 90).cast("string")))
+    rows = table(spark, d, "supplier").select(F.col("s_suppkey").alias("osm_id"), tags.alias("tags"))
+    category = F.coalesce(F.try_element_at("tags", F.lit("amenity")), F.try_element_at("tags", F.lit("highway")))
+    return rows.select("osm_id", category.alias("category"), F.when(category == "motorway_junction", F.try_element_at("tags", F.lit("ref"))).otherwise("").alias("subcategory"))
+
+
+@query("road_departure_builders", "SELECT id, CASE WHEN collision IN ('MACHINERY', 'FURNITURE') THEN 'RD_LEFT' ELSE 'NOT_RD' END AS departure, CASE WHEN id % 2 = 0 AND id % 3 = 0 THEN '4. Grade - Curve' WHEN id % 2 = 0 THEN '2. Curve - Level' WHEN id % 3 = 0 THEN '3. Grade - Straight' ELSE '1. Straight - Level' END AS alignment, CASE WHEN route < collision THEN concat(route, ' & ', collision) ELSE concat(collision, ' & ', route) END AS node FROM crashes WHERE route <> ''", "crashes")
+def _builders(spark, d):
+    """Departure by keyword, alignment from curve and grade, node names of two roads in order."""
+    curve, grade = F.col("id") % 2 == 0, F.col("id") % 3 == 0
+    alignment = F.when(curve & grade, "4. Grade - Curve").when(curve, "2. Curve - Level").when(grade, "3. Grade - Straight").otherwise("1. Straight - Level")
+    return crashes(spark, d).where("route <> ''").select("id", F.when(F.col("collision").rlike("MACHINERY|FURNITURE"), "RD_LEFT").otherwise("NOT_RD").alias("departure"), alignment.alias("alignment"), F.array_join(F.array_sort(F.array("route", "collision")), " & ").alias("node"))
+
+
+@query("normalize_template", "SELECT concat_ws('-', 'DE', strftime(crash_date, '%Y%m%d'), lpad(CAST(hour * 100 + minute AS VARCHAR), 4, '0'), lpad(CAST(row_number() OVER (ORDER BY crash_date, id) AS VARCHAR), 7, '0')) AS document, severity, epdo FROM crashes", "crashes")
+def _template(spark, d):
+    """The general layout: dates parsed, ids made, severity checked against people, score added."""
+    from kerbline.functions.severity import epdo
+    from kerbline.operators import validate as va
+
+    c = crashes(spark, d).select("id", F.date_format("crash_date", "MM/dd/yyyy").alias("raw"), "hour", "minute", "severity", *[f"{k}_people" for k in "kabc"])
+    c = va.check_severity(c.withColumn("crash_date", text.parse_datetime(F.col("raw")).cast("date")))
+    return clean.generate_crash_ids(c, "DE", ["crash_date", "id"]).select("document", "severity", epdo(F.col("severity")).cast("int").alias("epdo"))
+
+
+_ROADS = {"va": ("VDOT", "name"), "co": ("CDOT", "ref"), "de": ("DELDOT", "name"), "in": ("INDOT", "ref")}
+for _state, (_agency, _column) in _ROADS.items():
+
+    @query(f"normalize_road_inventory_{_state}", f"SELECT seg_id, CASE fc_code WHEN 1 THEN '1-Interstate (A,1)' WHEN 3 THEN '3-Principal Arterial - Other (E,2)' ELSE '7-Local (J,6)' END AS fc, CASE WHEN own_code = 1 THEN '{text.OWNERS['state']}' WHEN own_code = 2 THEN '{text.OWNERS['county']}' ELSE '{text.OWNERS['city']}' END AS owner, {_column} AS route, coalesce(aadt, 0) AS aadt FROM segments WHERE seg_id % 13 <> 0", "segments")
+    def _roads(spark, d, agency=_agency, column=_column):
+        """A state's road layer to standard segment columns: class codes, owner words, route name, volumes, inactive ones left out."""
+        s = segments(spark, d).withColumns({"status": F.when(F.col("seg_id") % 13 == 0, "Abandoned").otherwise("Open"), "hint": F.when(F.col("own_code") == 1, agency).when(F.col("own_code") == 2, "County").otherwise("City")})
+        s = s.where(~F.lower("status").rlike("proposed|deleted|retired|removed|abandoned"))
+        fc = clean.map_values(F.col("fc_code").cast("string"), {"1": "1-Interstate (A,1)", "3": "3-Principal Arterial - Other (E,2)"}, F.lit("7-Local (J,6)"))
+        return s.select("seg_id", fc.alias("fc"), text.derive_ownership(F.lit("city"), F.lit(""), F.lit(""), F.lit(""), F.col("hint")).alias("owner"), F.trim(column).alias("route"), F.coalesce("aadt", F.lit(0)).alias("aadt"))
