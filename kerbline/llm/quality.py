@@ -93,12 +93,12 @@ def line_counts(docs: DataFrame, host: str = "source") -> DataFrame:
     return counted.alias("c").join(limits.alias("h"), F.col("c.host").eqNullSafe(F.col("h.host"))).where(over).select("c.host", "line_hash", "docs")
 
 
-def judge(docs: DataFrame, host: str = "source") -> DataFrame:
+def judge(docs: DataFrame, host: str = "source", frequent: DataFrame | None = None) -> DataFrame:
     """doc_id, the base figures, base_failed, words_left and kept, a row per row of ``docs``."""
     keyed = docs.select("doc_id", F.col(host).alias("host"), F.xxhash64("text").alias("text_hash"), "text")
     base = measured(keyed, ["doc_id", "host", "text_hash"])
     # A text has the same lines wherever it stands, so what is lost is told per host and text.
-    lost = _lost_per_text(keyed)
+    lost = _lost_per_text(keyed, checkpoint(line_counts(keyed, "host")) if frequent is None else frequent)
     n = lost.count()
     joined = base.alias("b").join(small(lost, n).alias("x"), F.col("b.host").eqNullSafe(F.col("x.host")) & (F.col("b.text_hash") == F.col("x.text_hash")), "left")
     left = F.col("n_words") - F.coalesce(F.col("x.lost"), F.lit(0))
@@ -108,9 +108,8 @@ def judge(docs: DataFrame, host: str = "source") -> DataFrame:
     )
 
 
-def _lost_per_text(keyed: DataFrame) -> DataFrame:
+def _lost_per_text(keyed: DataFrame, frequent: DataFrame) -> DataFrame:
     """host, text_hash, lost: the words in boilerplate lines, for texts that hold any."""
-    frequent = checkpoint(line_counts(keyed, "host"))
     line = F.explode(F.split("text", "\n")).alias("line")
     lines = keyed.select("doc_id", "host", "text_hash", line).withColumns({"line_hash": F.xxhash64(normalised(F.col("line")))})
     mine = lines.alias("l").join(small(frequent, frequent.count()).alias("f"), F.col("l.host").eqNullSafe(F.col("f.host")) & (F.col("l.line_hash") == F.col("f.line_hash")))
@@ -119,8 +118,25 @@ def _lost_per_text(keyed: DataFrame) -> DataFrame:
     return checkpoint(mine.groupBy("host", "text_hash", "doc_id").agg(F.sum("words").alias("lost")).groupBy("host", "text_hash").agg(F.min("lost").alias("lost")))
 
 
+def without_boilerplate(docs: DataFrame, frequent: DataFrame, host: str = "source") -> DataFrame:
+    """``docs`` with the lines of ``frequent`` (host, line_hash) taken out; other lines stay as they are.
+
+    A host has few such lines (each is in a fixed share of its documents), so they travel as one array per host.
+    Where a text changes, ``n_chars`` is counted anew.
+    """
+    per_host = checkpoint(frequent.groupBy(F.col("host").alias("_host")).agg(F.collect_set("line_hash").alias("_lines")))
+    kept = F.array_join(F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("_lines", F.xxhash64(normalised(x)))), "\n")
+    out = docs.join(small(per_host, per_host.count(), 20_000), F.col(host).eqNullSafe(F.col("_host")), "left").withColumn("_text", F.when(F.col("_lines").isNull(), F.col("text")).otherwise(kept))
+    new = {"text": F.col("_text")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(F.col("_text").eqNullSafe(F.col("text")), F.col("n_chars")).otherwise(F.length("_text").cast(docs.schema["n_chars"].dataType))
+    return out.withColumns(new).select(*docs.columns)
+
+
 def clean(docs: DataFrame, host: str = "source") -> DataFrame:
-    """``docs`` without the rejected documents and with boilerplate lines left in place."""
-    verdicts = judge(docs, host).where(~F.col("kept")).select(F.col("host").alias("bad_host"), F.col("text_hash").alias("bad_text")).distinct()
+    """``docs`` without the rejected documents, and the others without their boilerplate lines."""
+    frequent = checkpoint(line_counts(docs, host))
+    verdicts = judge(docs, host, frequent).where(~F.col("kept")).select(F.col("host").alias("bad_host"), F.col("text_hash").alias("bad_text")).distinct()
     verdicts = checkpoint(verdicts)
-    return docs.join(small(verdicts, verdicts.count()), F.col(host).eqNullSafe(F.col("bad_host")) & (F.xxhash64("text") == F.col("bad_text")), "left_anti")
+    kept = docs.join(small(verdicts, verdicts.count()), F.col(host).eqNullSafe(F.col("bad_host")) & (F.xxhash64("text") == F.col("bad_text")), "left_anti")
+    return without_boilerplate(kept, frequent, host)

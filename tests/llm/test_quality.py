@@ -57,5 +57,7 @@ def test_clean(spark, docs_of, prose):
     left = quality.clean(docs_of(docs))
     want = Counter(k[0] for k, n in brute(docs).items() for _ in range(n) if k[-1])
     assert left.columns == ["doc_id", "text", "lang", "source", "n_chars"] and Counter(r.doc_id for r in left.collect()) == want
+    lines = {r.doc_id: (r.text.split("\n"), r.n_chars) for r in left.collect() if r.doc_id in range(30)}
+    assert all(x == [f"{prose[0]} number{'x' * k}"] and n == len(x[0]) for k, (x, n) in lines.items() if k not in (3, 5))
     assert set(range(30)) <= set(want) and 200 in want and 100 not in want
     assert quality.judge(docs_of([])).count() == 0 and quality.clean(docs_of([])).count() == 0
