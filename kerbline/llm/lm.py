@@ -51,6 +51,8 @@ HEAD = 65_536
 GATES, CELLS = 64, 48
 #: Documents whose pairs make a training task, on average, and token pairs in a block of one.
 DOCS_A_TASK, PAIRS_A_BLOCK = 32_768, 4_096
+#: Documents cut at once; bounds a worker's memory.
+PIECE = 5_000
 FAN_IN = 16
 _R = np.uint64(0x9E3779B97F4A7C15)
 _NODE = np.random.default_rng(7).permutation(1 << 16)[:SYMBOLS].astype(np.int64)
@@ -187,10 +189,10 @@ class Learner:
                 evidence.append(_evidence(n0 + n1))
         x[CONTEXTS] = 1
         gate = evidence[2] * 16 + evidence[1] * 4 + evidence[0]
-        w = self.w.astype(np.float32)[gate]
-        st = w[:, CONTEXTS].copy()
+        w = np.ascontiguousarray(self.w.T, np.float32)
+        st = w[CONTEXTS][gate]
         for k in range(CONTEXTS):
-            st += w[:, k] * x[k]
+            st += w[k][gate] * x[k]
         st = np.clip(st, -12, 12)
         p = 1 / (1 + np.exp(-st))
         self.cells[1] += np.bincount(_cell(st, gate), c * one, 4 * CELLS)
@@ -212,7 +214,7 @@ class Model:
         self.code = code
         self.odds = [_log_odds(*t) for t in tables]
         self.evidence = [_evidence(t[0].astype(np.int64) + t[1]).astype(np.uint8) for t in tables[-3:]]
-        self.w = weights.astype(np.float32)
+        self.w = np.ascontiguousarray(weights.T, np.float32)
         self.refined = np.log((cells[1] + 1) / (cells[0] + 1)).astype(np.float32)
         seen = cells.sum(axis=0)
         middle = (np.arange(CELLS) + 0.5) * (24 / CELLS) - 12
@@ -226,10 +228,9 @@ class Model:
             slots, bit, at = decisions(part, classes[a : a + PAIRS_A_BLOCK], self.code)
             e = [t[s] for t, s in zip(self.evidence, slots[-3:])]
             gate = e[2].astype(np.int64) * 16 + e[1] * 4 + e[0]
-            w = self.w[gate]
-            st = w[:, CONTEXTS].copy()
+            st = self.w[CONTEXTS][gate]
             for k in range(CONTEXTS):
-                st += w[:, k] * self.odds[k][slots[k]]
+                st += self.w[k][gate] * self.odds[k][slots[k]]
             st = np.clip(st, -12, 12)
             st = (st + self.refined[_cell(st, gate)]) * np.float32(0.5)
             signed = np.where(bit, -st, st)
@@ -244,7 +245,7 @@ def _pairs(train: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            for piece in slices(batch, 16_384):
+            for piece in slices(batch, PIECE):
                 words, codes, _ = cut(piece.column(0))
                 codes, n = np.unique(codes, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array((codes & 15).astype(np.int32)), words.take(pa.array(codes >> 4)).cast(pa.binary()), pa.array(n)], ["class", "word", "n"])
@@ -377,53 +378,74 @@ def score(docs: DataFrame, held: Column | None = None) -> DataFrame:
     counts = stored(pairs.groupBy("word").agg(F.sum("n").alias("c")), "counts")
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n, v = total["n"], total["v"]
-    head = {bytes(r["word"]): r["c"] for r in counts.orderBy(F.desc("c"), "word").limit(HEAD).collect()}
-    model = spark.sparkContext.broadcast((head, train_model(pairs.repartition(n_tasks), n_tasks)))
+    top = counts.orderBy(F.desc("c"), "word").limit(HEAD)
+    model = spark.sparkContext.broadcast(train_model(pairs.repartition(n_tasks), n_tasks))
     below = math.log10(n + 0.1 * (v + 1))
 
-    def rows(batches):
+    def head_bits(batches):
+        import pyarrow as pa
+
+        known = Model(*model.value)
+        for batch in batches:
+            words = batch.column(0).to_pylist()
+            bits = known.bits([w for w in words for _ in range(16)], np.tile(np.arange(16), len(words)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bits.reshape(-1, 16).tolist(), pa.list_(pa.float64()))], ["word", "c", "bits"])
+
+    rows = stored(top, "head").repartition(16).mapInArrow(head_bits, "word binary, c long, bits array<double>").collect()  # HEAD rows at most
+    head = spark.sparkContext.broadcast(({bytes(r["word"]): k for k, r in enumerate(rows)}, np.array([[math.log10(r["c"] + 0.1) - below, *r["bits"]] for r in rows]).reshape(-1, 17)))
+
+    def cut_texts(batches):
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        head, parts = model.value
-        known, task, key = Model(*parts), TaskContext.get().partitionId(), 0
+        (place, figures), task, key = head.value, TaskContext.get().partitionId(), 0
         for batch in batches:
-            for piece in slices(batch, 16_384):
+            for piece in slices(batch, PIECE):
                 words, codes, sizes = cut(piece.column(2))
-                names = words.to_pylist()
-                base = np.array([head.get(w, -1) for w in names], np.float64)
-                uniq, back = np.unique(codes, return_inverse=True)
-                bits = known.bits([names[x] for x in (uniq >> 4).tolist()], uniq & 15)
+                of = np.array([place.get(w, -1) for w in words.to_pylist()], np.int64)[codes >> 4]
                 doc = np.repeat(np.arange(len(sizes)), sizes)
-                total_bits = np.bincount(doc, bits[back], len(sizes))
-                c = base[codes >> 4]
-                in_head = c >= 0
-                head_sum = np.bincount(doc[in_head], np.log10(c[in_head] + 0.1) - below, len(sizes))
-                head_known = np.bincount(doc[in_head], minlength=len(sizes))
+                common = of >= 0
+                mine, at = doc[common], of[common]
+                base = np.bincount(mine, figures[at, 0], len(sizes)).astype(float)  # of nothing, it would be whole numbers
+                bits = np.bincount(mine, figures[at, 1 + (codes[common] & 15)], len(sizes)).astype(float)
                 n_bytes = np.asarray(pc.fill_null(pc.binary_length(piece.column(2)), 0))
                 keys = (task << 40) + key + np.arange(len(sizes))
                 key += len(sizes)
-                # Words outside the head, once per document, to be joined with their counts.
-                tail, times = np.unique(doc[~in_head] * (1 << 40) + (codes[~in_head] >> 4), return_counts=True)
-                owner, name = tail >> 40, tail & ((1 << 40) - 1)
+                # Words outside the head, once per document and class, to be joined with their counts.
+                tail, times = np.unique(doc[~common] * (1 << 40) + codes[~common], return_counts=True)
+                owner, code = tail >> 40, tail & ((1 << 40) - 1)
                 m, t = len(sizes), len(tail)
-                none = pa.nulls(t, piece.column(0).type)
+                zeros = np.zeros(t, np.int64)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate([keys, keys[owner]])), pa.concat_arrays([piece.column(0), none]), pa.concat_arrays([piece.column(1), pa.nulls(t, pa.bool_())]),
-                    pa.array(np.concatenate([sizes, np.zeros(t, np.int64)])), pa.array(np.concatenate([head_known, np.zeros(t, np.int64)]).astype(np.int64)),
-                    pa.array(np.concatenate([head_sum, np.zeros(t)])), pa.array(np.concatenate([total_bits, np.zeros(t)])), pa.array(np.concatenate([n_bytes, np.zeros(t, np.int64)]).astype(np.int64)),
+                    pa.array(np.concatenate([keys, keys[owner]])), pa.concat_arrays([piece.column(0), pa.nulls(t, piece.column(0).type)]), pa.concat_arrays([piece.column(1), pa.nulls(t, pa.bool_())]),
+                    pa.array(np.concatenate([sizes, zeros])), pa.array(np.concatenate([np.bincount(mine, minlength=m), zeros]).astype(np.int64)), pa.array(np.concatenate([base, zeros])), pa.array(np.concatenate([bits, zeros])), pa.array(np.concatenate([n_bytes, zeros]).astype(np.int64)),
                     # 0xFF never stands in UTF-8, so these match no word, and they spread over all partitions.
-                    pa.concat_arrays([pa.array([b"\xff" + int(k).to_bytes(8, "big") for k in keys], pa.binary()), words.take(pa.array(name)).cast(pa.binary())]),
-                    pa.array(np.concatenate([np.zeros(m, np.int64), times]).astype(np.int64)),
-                ], schema.fieldNames())
+                    pa.concat_arrays([pa.array([b"\xff" + int(k).to_bytes(8, "big") for k in keys], pa.binary()), words.take(pa.array(code >> 4)).cast(pa.binary())]),
+                    pa.array(np.concatenate([np.zeros(m, np.int64), code & 15]).astype(np.int32)), pa.array(np.concatenate([np.zeros(m, np.int64), times]).astype(np.int64)),
+                ], names)
+
+    def score_tail(batches):
+        """Rows come sorted by word, so a pair is met once or twice in all."""
+        import pyarrow as pa
+
+        known = Model(*model.value)
+        for batch in batches:
+            column = dict(zip([*names, "c"], batch.columns))
+            times, coded = np.asarray(column["times"]), column["word"].dictionary_encode()
+            told, words = times > 0, coded.dictionary.to_pylist()
+            uniq, back = np.unique(np.asarray(coded.indices)[told].astype(np.int64) * 16 + np.asarray(column["class"])[told], return_inverse=True)
+            each = known.bits([words[x] for x in (uniq >> 4).tolist()], uniq & 15)
+            c = np.asarray(column["c"].fill_null(0))
+            bits, base, have = np.asarray(column["bits"]).copy(), np.asarray(column["base"]).copy(), np.asarray(column["n_known"]).copy()
+            bits[told] += each[back] * times[told]
+            base[told] += (np.log10(c[told] + 0.1) - below) * times[told]
+            have[told] += np.where(c[told] > 0, times[told], 0)
+            yield pa.RecordBatch.from_arrays([column["key"], column["doc_id"], column["held_out"], column["n_tokens"], pa.array(have), pa.array(base), pa.array(bits), column["n_bytes"]], names[:8])
 
     doc_id = docs.schema["doc_id"].dataType.simpleString()
-    schema = T.StructType.fromDDL(f"key long, doc_id {doc_id}, held_out boolean, n_tokens long, n_known long, head double, bits double, n_bytes long, word binary, times long")
-    found = docs.select("doc_id", held.alias("held_out"), "text").mapInArrow(rows, schema)
-    c = F.coalesce("c", F.lit(0))
-    joined = found.join(counts, "word", "left").groupBy("key").agg(
-        F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.sum("n_tokens").alias("n_tokens"),
-        (F.sum("n_known") + F.sum(F.when(c > 0, F.col("times")).otherwise(0))).alias("n_known"),
-        (F.sum("head") + F.sum(F.col("times") * (F.log10(c + 0.1) - below))).alias("base_score"), F.sum("bits").alias("bits"), F.sum("n_bytes").alias("n_bytes"),
-    )
-    return joined.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", (-F.col("bits") * math.log10(2)).alias("score"), (F.col("bits") / F.greatest("n_bytes", F.lit(1))).alias("bits_per_byte"))
+    told = f"key long, doc_id {doc_id}, held_out boolean, n_tokens long, n_known long, base double, bits double, n_bytes long"
+    schema = T.StructType.fromDDL(f"{told}, word binary, class int, times long")
+    names = schema.fieldNames()
+    found = docs.select("doc_id", held.alias("held_out"), "text").mapInArrow(cut_texts, schema).join(counts, "word", "left").select(*names, "c")
+    sums = found.mapInArrow(score_tail, told).groupBy("key").agg(F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), *[F.sum(k).alias(k) for k in ("n_tokens", "n_known", "base", "bits", "n_bytes")])
+    return sums.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), (-F.col("bits") * math.log10(2)).alias("score"), (F.col("bits") / F.greatest("n_bytes", F.lit(1))).alias("bits_per_byte"))
