@@ -171,9 +171,10 @@ def _tags(spark, d):
     return crashes(spark, d).select("id", F.array_join(text.crash_type_tags(raw, {"rear end": "rear_end", "angle": "angle", "pedestrian": "pedestrian"}), ",").alias("tags"))
 
 
-@query("combined_cmf", "SELECT l_orderkey AS id, round(product(1 - l_discount), 6) AS cmf, round((1 - product(1 - l_discount)) * 100, 4) AS crf FROM lineitem GROUP BY 1")
+@query("combined_cmf", "SELECT id, round(p, 6) AS cmf, round((1 - p) * 100, 4) AS crf FROM (SELECT l_orderkey AS id, product(100 - round(l_discount * 100)) / pow(100.0E0, count(*)) AS p FROM lineitem GROUP BY 1)")
 def _cmf(spark, d):
-    got = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(text.combined_cmf(F.collect_list(1 - F.col("l_discount"))).alias("p"))
+    """Factors in hundredths are multiplied as whole numbers, so that no order of rows changes a digit."""
+    got = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg((text.combined_cmf(F.collect_list(100 - F.round(F.col("l_discount") * 100))) / F.pow(F.lit(100.0), F.count("*"))).alias("p"))
     return got.select("id", F.round("p", 6).alias("cmf"), F.round((1 - F.col("p")) * 100, 4).alias("crf"))
 
 
