@@ -52,7 +52,7 @@ GATES, CELLS = 64, 48
 #: Documents whose pairs make a training task, on average, and token pairs in a block of one.
 DOCS_A_TASK, PAIRS_A_BLOCK = 32_768, 4_096
 #: Documents cut at once; bounds a worker's memory.
-PIECE = 5_000
+PIECE = 2_500
 FAN_IN = 16
 _R = np.uint64(0x9E3779B97F4A7C15)
 _NODE = np.random.default_rng(7).permutation(1 << 16)[:SYMBOLS].astype(np.int64)
@@ -173,7 +173,9 @@ class Learner:
     """Online mixing over blocks of token pairs, with leave-one-out counts."""
 
     def __init__(self, tables):
-        self.tables, self.w, self.mass = tables, first_weights(), np.zeros(GATES)
+        # Both counts of a slot in one number: a look-up costs more than taking them apart.
+        self.tables = [n0.astype(np.uint32) << np.uint32(16) | n1 for n0, n1 in tables]
+        self.w, self.mass = first_weights(), np.zeros(GATES)
         self.cells = np.zeros((2, 4 * CELLS))
         self.blocks = 0
 
@@ -182,8 +184,9 @@ class Learner:
         c, one = counts[at].astype(np.float32), bit.astype(np.int32)
         x, evidence = np.empty((CONTEXTS + 1, len(bit)), np.float32), []
         for k in range(CONTEXTS):
-            n0, n1 = (t[slots[k]].astype(np.int32) for t in self.tables[k])
-            n0, n1 = np.maximum(n0 - (1 - one), 0), np.maximum(n1 - one, 0)
+            both = self.tables[k][slots[k]]
+            n0 = np.maximum((both >> np.uint32(16)).astype(np.int32) - 1 + one, 0)
+            n1 = np.maximum((both & np.uint32(0xFFFF)).astype(np.int32) - one, 0)
             x[k] = _log_odds(n0, n1)
             if k >= CONTEXTS - 3:
                 evidence.append(_evidence(n0 + n1))
@@ -198,12 +201,13 @@ class Learner:
         self.cells[1] += np.bincount(_cell(st, gate), c * one, 4 * CELLS)
         self.cells[0] += np.bincount(_cell(st, gate), c * (1 - one), 4 * CELLS)
         rate = 0.3 / math.sqrt(1 + self.blocks / 8)
-        err, curve = c * (one - p), c * p * (1 - p)
+        err = c * (one - p)
         self.mass += np.bincount(gate, c, GATES)
+        curve = np.bincount(gate, c * p * (1 - p), GATES)
         for k in range(CONTEXTS + 1):
-            up = np.bincount(gate, err * x[k], GATES)
-            down = np.bincount(gate, curve * x[k] ** 2, GATES)
-            self.w[:, k] += rate * up / (down + 50)
+            # The second derivative, with the mean square of the input for that of each gate.
+            square = float(x[k] @ x[k]) / max(1, len(bit))
+            self.w[:, k] += rate * np.bincount(gate, err * x[k], GATES) / (curve * square + 50)
         self.blocks += 1
 
 
