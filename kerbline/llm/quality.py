@@ -110,12 +110,13 @@ def judge(docs: DataFrame, host: str = "source", frequent: DataFrame | None = No
 
 def _lost_per_text(keyed: DataFrame, frequent: DataFrame) -> DataFrame:
     """host, text_hash, lost: the words in boilerplate lines, for texts that hold any."""
-    line = F.explode(F.split("text", "\n")).alias("line")
-    lines = keyed.select("doc_id", "host", "text_hash", line).withColumns({"line_hash": F.xxhash64(normalised(F.col("line")))})
+    # Rows are told apart by their place, not their id: ids and texts may repeat, and ids may be null.
+    rows = keyed.select(F.monotonically_increasing_id().alias("row"), "host", "text_hash", "text")
+    lines = rows.select("row", "host", "text_hash", F.explode(F.split("text", "\n")).alias("line")).withColumns({"line_hash": F.xxhash64(normalised(F.col("line")))})
     mine = lines.alias("l").join(small(frequent, frequent.count()).alias("f"), F.col("l.host").eqNullSafe(F.col("f.host")) & (F.col("l.line_hash") == F.col("f.line_hash")))
-    mine = mine.select("l.host", "l.text_hash", "l.doc_id", n_words(F.col("line")).alias("words"))
-    # Copies lose the same lines each: words per document row, then one figure per text.
-    return checkpoint(mine.groupBy("host", "text_hash", "doc_id").agg(F.sum("words").alias("lost")).groupBy("host", "text_hash").agg(F.min("lost").alias("lost")))
+    mine = mine.select("l.host", "l.text_hash", "l.row", n_words(F.col("line")).alias("words"))
+    # Copies lose the same lines each: words per row, then one figure per text.
+    return checkpoint(mine.groupBy("host", "text_hash", "row").agg(F.sum("words").alias("lost")).groupBy("host", "text_hash").agg(F.min("lost").alias("lost")))
 
 
 def without_boilerplate(docs: DataFrame, frequent: DataFrame, host: str = "source") -> DataFrame:

@@ -61,3 +61,15 @@ def test_clean(spark, docs_of, prose):
     assert all(x == [f"{prose[0]} number{'x' * k}"] and n == len(x[0]) for k, (x, n) in lines.items() if k not in (3, 5))
     assert set(range(30)) <= set(want) and 200 in want and 100 not in want
     assert quality.judge(docs_of([])).count() == 0 and quality.clean(docs_of([])).count() == 0
+
+
+def test_repeated_rows_with_boilerplate(spark, docs_of, prose):
+    """Each copy of a row, and each copy of a text without id, loses its frequent lines once."""
+    line = "licensed under " + " ".join(f"term{chr(97 + k)}" for k in range(18))
+    docs = [(k, f"{prose[0]} number{'x' * k}\n{line}", "a") for k in range(30)]
+    docs += [(50, f"{prose[1]}\n{line}", "a")] * 2 + [(None, f"{prose[2]}\n{line}", "a")] * 3
+    rows = [r for r in quality.judge(docs_of(docs)).collect() if r.doc_id is None or r.doc_id == 50]
+    assert Counter((r.doc_id, r.words_left, r.kept) for r in rows) == {(50, len(prose[1].split()), True): 2, (None, len(prose[2].split()), True): 3}
+    assert Counter((r.doc_id, r.words_left, r.kept) for r in rows) == Counter((x[0], *x[-2:]) for x in brute(docs).elements() if x[0] is None or x[0] == 50)
+    left = Counter((r.doc_id, r.text) for r in quality.clean(docs_of(docs)).collect() if r.doc_id is None or r.doc_id == 50)
+    assert left == {(50, prose[1]): 2, (None, prose[2]): 3}
