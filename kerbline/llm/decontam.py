@@ -1,9 +1,11 @@
 """Benchmark decontamination by SimHash of item-sized windows, with DataFrame functions only.
 
 Texts are cut to words (lower case, runs of letters and digits) and words to five-word shingles.  A window has
-as many words as a benchmark item and stands where at least one shingle of the document lies as it does in an
-item of that size; a window that shares no shingle with any item has similarity 0, so nothing is lost by not
-looking at it.  A window at the threshold holds at least that share of an item's shingles, so of any
+as many words as a benchmark item.  A shingle of the document that an item of that size has too is a hit, and its
+aligned start is where the window stands if the shingle lies as it does in the item.  Windows are looked at that
+hold the threshold's share of an item's shingles as hits and start between the smallest and the largest aligned
+start of their hits, ends included: with fewer hits no similarity reaches the threshold, and a window before or
+after all aligned starts of its hits loses no hit by a step towards them, so no best similarity is lost.  Windows hang over a document's edge only as far as aligned starts do.  A window at the threshold holds at least that share of an item's shingles, so of any
 ``floor((1 - threshold) * n) + 1`` shingles of an item one must be there; for each item those with the longest
 words are taken, and only documents with one of these shingles are looked at further.  Each window and each item gets a 64-bit SimHash in which a shingle votes as often as it occurs.
 Fingerprints are cut into ten blocks; two within :data:`RADIUS` (19) bits differ by at most one bit in some
@@ -112,22 +114,37 @@ def _marked(docs: DataFrame, marks: DataFrame) -> DataFrame:
     return found.dropDuplicates(["doc_id", "text_hash"])
 
 
+def _starts(threshold: float) -> str:
+    """SQL: where windows of ``n`` words start, from the sorted ``hits`` of a document with items of that size.
+
+    Each hit is taken as the first of a window, so every start comes once, and only hits within reach are looked at.
+    """
+    size, least = f"(n - {SHINGLE - 1})", f"greatest(1, CAST(ceil((n - {SHINGLE - 1}) * {threshold!r}D - 1e-9D) AS INT))"
+    here, near = "hits[j].pos", f"filter(slice(hits, j + 1, {size}), x -> x.pos < hits[j].pos + {size})"
+    low = f"greatest(get(hits, j - 1).pos + 1, hits[j + {least} - 1].pos - {size} + 1, array_min(transform(near, x -> x.low)))"
+    high = f"least({here}, array_max(transform(near, x -> x.high)))"
+    none = "CAST(array() AS ARRAY<INT>)"
+    run = f"get(transform(array({near}), near -> get(transform(array(named_struct('a', {low}, 'b', {high})), r -> IF(r.a <= r.b, sequence(r.a, r.b), {none})), 0)), 0)"
+    each = f"transform(sequence(0, size(hits) - {least}), j -> IF(hits[j + {least} - 1].pos - {here} < {size}, {run}, {none}))"
+    return f"IF(size(hits) >= {least}, flatten({each}), {none})"
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, item_id, start (word), n_words, similarity: each item that a document holds, where it fits best."""
     cut_items = benchmark.select("item_id", words(F.col("text")).alias("w")).select("item_id", F.size("w").alias("n"), shingles(F.col("w")).alias("item_hashes"))
     items = checkpoint(_simhash(cut_items.where(F.size("item_hashes") > 0).distinct(), "item_hashes", "item_print"))
-    places = items.select("n", F.posexplode("item_hashes").alias("at", "hash")).distinct()
+    places = items.select("n", F.posexplode("item_hashes").alias("at", "hash")).groupBy("n", "hash").agg(F.min("at").alias("first_at"), F.max("at").alias("last_at"))
     n_places = places.count()
     texts = checkpoint(_marked(docs, checkpoint(_marks(benchmark, threshold))))
-    found = texts.select("doc_id", "text_hash", F.size("w").alias("doc_words"), F.posexplode(shingles(F.col("w"))).alias("pos", "hash"))
-    windows = (
-        found.join(small(places, n_places), "hash")
-        .select("doc_id", "text_hash", F.greatest(F.lit(0), F.col("pos") - F.col("at")).alias("start"), F.least(F.col("doc_words"), F.col("pos") - F.col("at") + F.col("n")).alias("stop"), "n")
-        .distinct()
-    )
+    found = texts.select("doc_id", "text_hash", F.posexplode(shingles(F.col("w"))).alias("pos", "hash"))
+    hit = F.struct("pos", (F.col("pos") - F.col("last_at")).alias("low"), (F.col("pos") - F.col("first_at")).alias("high"))
+    hits = found.join(small(places, n_places), "hash").groupBy("doc_id", "text_hash", "n").agg(F.sort_array(F.collect_list(hit)).alias("hits"))
+    windows = hits.select("doc_id", "text_hash", "n", F.expr(_starts(threshold)).alias("starts")).where(F.size("starts") > 0)
     cut = (
         windows.alias("v").join(texts.alias("t"), F.col("v.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("v.text_hash") == F.col("t.text_hash")))
-        .select("v.doc_id", "start", "n", F.slice("w", F.col("start") + 1, F.col("stop") - F.col("start")).alias("w"))
+        .select("v.doc_id", "n", "w", F.explode("starts").alias("at"))
+        .select("doc_id", "n", "w", F.greatest(F.lit(0), F.col("at")).alias("start"), F.least(F.size("w"), F.col("at") + F.col("n")).alias("stop"))
+        .select("doc_id", "start", "n", F.slice("w", F.col("start") + 1, F.col("stop") - F.col("start")).alias("w"))
         .select("doc_id", "start", "n", shingles(F.col("w")).alias("hashes"))
     )
     prints = _simhash(cut, "hashes", "print")

@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -79,3 +80,37 @@ def test_radius_is_guaranteed():
     """Two fingerprints within the radius agree but for one bit in some block."""
     edges = [decontam.BITS * k // decontam.BLOCKS for k in range(decontam.BLOCKS + 1)]
     assert decontam.RADIUS < 2 * decontam.BLOCKS and edges[-1] == decontam.BITS
+
+
+def slide(docs, items):
+    """The best similarity of each document and item over all windows of the item's size inside the document."""
+    best = {}
+    for d, text in docs:
+        w = cut(text)
+        for i, t in items:
+            u = cut(t)
+            theirs = bag(u)
+            for a in range(len(w) - len(u) + 1):
+                mine = bag(w[a : a + len(u)])
+                s = sum((mine & theirs).values()) / sum((mine | theirs).values())
+                if s >= 0.8:
+                    best[d, i] = max(s, best.get((d, i), 0))
+    return {(d, i, round(s, 9)) for (d, i), s in best.items()}
+
+
+def test_windows_between_aligned_starts(spark, docs_of):
+    """Words put in, left out, moved or repeated leave the best window between the places where shingles are aligned."""
+    rng = random.Random(5)
+    word = lambda k: [f"{rng.choice('bcdfgh')}{rng.choice('aeiou')}{rng.randrange(10**6)}" for _ in range(k)]
+    items = [(k, word(59)) for k in range(4)]
+    items.append((4, items[0][1][:30] * 2))
+    docs = [(0, items[0][1][:28] + word(2) + items[0][1][28:])]
+    for k in range(1, 40):
+        u = list(items[k % 5][1])
+        at = rng.randrange(8, 50)
+        docs.append((k, [u[:at] + word(k % 4) + u[at:], u[:at] + u[at + k % 3 + 1 :], u[at:] + u[:at], u + u[:at]][k % 4]))
+    docs = [(d, " ".join(word(70) + u + word(70))) for d, u in docs]
+    items = [(i, " ".join(u)) for i, u in items]
+    got = decontam.find_leaks(docs_of([(d, t, "s") for d, t in docs]), spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = slide(docs, items)
+    assert (0, 0, round(49 / 61, 9)) in want and {(r.doc_id, r.item_id, round(r.similarity, 9)) for r in got} == want
