@@ -85,17 +85,19 @@ def thresholds(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs:
     return checkpoint(goal.alias("g").join(small(at, n).alias("a"), F.col("g.source").eqNullSafe(F.col("a.source")), "left").select("g.*", "at", "gives")), n
 
 
-def mix(docs: DataFrame, weight: Column | None = None, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
+def mix(docs: DataFrame, weight: Column | None = None, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, by_text: bool = False) -> DataFrame:
     """``docs`` (doc_id, text, source and more) with mix_size, mix_source_size, mix_target, mix_epochs, mix_taken.
 
     ``mix_taken`` counts words: ``mix_epochs`` times the whole document, and what one more, partial epoch takes of
-    it: all, nothing, or what the document at the threshold still has to give.
+    it: all, nothing, or what the document at the threshold still has to give.  With ``by_text`` rows of one id and
+    size are put in order of their texts' hashes, so that only rows of one id and text share.
     """
+    me_id = F.struct("doc_id", F.xxhash64("text").alias("text_hash")) if by_text else F.col("doc_id")
     w = quality_weight(F.col("text")) if weight is None else weight
     keyed = {"mix_size": n_words(F.col("text")), "mix_key": draw(F.col("doc_id"), w)}
-    sizes = checkpoint(docs.withColumns(keyed).select("doc_id", "source", F.col("mix_size").alias("size"), F.col("mix_key").alias("key")))
+    sizes = checkpoint(docs.withColumns(keyed).select(me_id.alias("doc_id"), "source", F.col("mix_size").alias("size"), F.col("mix_key").alias("key")))
     goal, n = thresholds(sizes, weights, max_epochs)
-    me = F.struct("mix_key", F.struct("doc_id").alias("doc_id"), "mix_size")
+    me = F.struct("mix_key", F.struct(me_id.alias("doc_id")).alias("doc_id"), "mix_size")
     more = F.when(F.col("mix_goal.at").isNull(), 0).when(me < F.col("mix_goal.at"), F.col("mix_size")).when(me == F.col("mix_goal.at"), F.col("mix_goal.gives")).otherwise(0)
     joined = docs.withColumns(keyed).join(small(goal.select(F.struct("*").alias("mix_goal")), n), F.col("source").eqNullSafe(F.col("mix_goal.source")))
     return joined.withColumns({
@@ -112,3 +114,14 @@ def taken(mixed: DataFrame) -> DataFrame:
     cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(rf"({WORD})"), F.lit(1)), 1, F.col("mix_words").cast("int")), " ")
     rows = rows.withColumn("text", F.when(F.col("mix_words") < F.col("mix_size"), cut).otherwise(F.col("text")))
     return rows.drop("mix_words", "mix_size", "mix_source_size", "mix_target", "mix_epochs", "mix_taken")
+
+
+def taken_whole(mixed: DataFrame) -> DataFrame:
+    """The documents of :func:`mix` as rows, whole ones alone: one that gives half of its words or more comes once more, else it stays out.
+
+    A source misses its target by half of its crossing document at most (and of the rows of the same id and text).
+    """
+    part = F.col("mix_taken") - F.col("mix_epochs") * F.col("mix_size")
+    copies = (F.col("mix_epochs") + F.when(2 * part >= F.col("mix_size"), 1).otherwise(0)).cast("int")
+    rows = mixed.where(F.col("mix_size") > 0).withColumn("mix_copy", F.explode(F.array_repeat(F.lit(1), copies)))
+    return rows.drop("mix_copy", "mix_size", "mix_source_size", "mix_target", "mix_epochs", "mix_taken")

@@ -60,3 +60,15 @@ def test_run(spark, folder):
         at += r.n_tokens
     ids = [r.doc_id for r in rows]
     assert ids == sorted(ids) and not {300, 301, 400} & set(ids) and 200 in ids and 201 not in ids
+
+
+def test_mixing_leaves_documents_whole(spark, docs_of):
+    """Texts come as they went in, also where rows without id tie, and each source is near its target."""
+    docs = [(k, f"one  two\tthree {'four ' * (k % 9)}\nend", f"s{k % 5}") for k in range(60)] + [(None, f"a  b c d{k}", "s1") for k in range(50)]
+    df = docs_of(docs)
+    rows = corpus_pipeline.source_mixing(spark, df, "").collect()
+    assert {(r.doc_id, r.text, r.source) for r in rows} <= set(docs) and max(Counter((r.doc_id, r.text) for r in rows).values()) <= 3
+    goal = {r.source: r.mix_target for r in corpus_pipeline.mixing.mix(df).collect()}
+    for s, target in goal.items():
+        most = max(len(t.split()) for _, t, x in docs if x == s)
+        assert abs(sum(len(r.text.split()) for r in rows if r.source == s) - target) <= most / 2 + 1
