@@ -96,30 +96,38 @@ def materialise(turns: DataFrame) -> DataFrame:
     )
 
 
-def read_back(turns: DataFrame) -> DataFrame:
-    """Parses formatted turns: conv_id, seq, role, text, and ``learnt``: the unescaped text under the loss mask, else null."""
-    body = F.expr(f"substring(formatted, {len(OPEN) + 1}, length(formatted) - {len(OPEN) + len(CLOSE)})")
-    cut = F.instr(body, MIDDLE)
-    masked = F.substring("formatted", (F.col("loss_start") - F.col("start") + 1).cast("int"), (F.col("loss_end") - F.col("loss_start")).cast("int"))
-    return turns.select(
-        "conv_id", "seq",
-        _unescape_role(F.substring(body, F.lit(1), cut - 1)).alias("role"),
-        unescape(F.substring(body, cut + len(MIDDLE), F.length(body))).alias("text"),
-        F.when(F.col("loss_start").isNotNull(), unescape(masked)).alias("learnt"),
-        F.length("formatted").cast("long").alias("formatted_chars"),
-    )
+def joined(turns: DataFrame) -> DataFrame:
+    """conv_id, text and examples: each formatted conversation in one piece with the offsets of :func:`examples`, in order."""
+    whole = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("seq", "formatted", "loss_start", "loss_end", "end"))).alias("t"))
+    text = F.array_join(F.transform("t", lambda x: x["formatted"]), "")
+    one = lambda x: F.struct(x["seq"].alias("target_seq"), x["loss_start"].alias("prompt_end"), x["loss_start"].alias("loss_start"), x["loss_end"].alias("loss_end"), x["end"].alias("chars"))
+    return whole.select("conv_id", text.alias("text"), F.transform(F.filter("t", lambda x: x["loss_start"].isNotNull()), one).alias("examples"))
+
+
+def read_back(text: Column) -> Column:
+    """The turns (role, text) of a formatted conversation or prefix, told from its control strings alone."""
+
+    def turn(piece):
+        body = F.substring(piece, F.lit(len(OPEN) + 1), F.length(piece))
+        cut = F.instr(body, MIDDLE)
+        return F.struct(_unescape_role(F.substring(body, F.lit(1), cut - 1)).alias("role"), unescape(F.substring(body, cut + len(MIDDLE), F.length(body))).alias("text"))
+
+    pieces = F.split(text, CLOSE)  # has no sign that is special in a pattern; what follows the last one is empty
+    return F.transform(F.slice(pieces, F.lit(1), F.size(pieces) - 1), turn)
 
 
 def digest(turns: DataFrame) -> DataFrame:
-    """What was written, told from the output alone: a row per conversation."""
-    one = F.array_sort(F.collect_list(F.struct("seq", F.concat("role", F.lit("\n"), "text", F.lit("\n")).alias("turn"), "learnt")))
-    whole = read_back(turns).groupBy("conv_id").agg(one.alias("t"), F.sum("formatted_chars").alias("formatted_chars"))
-    learnt = F.array_join(F.transform("t", lambda x: F.coalesce(x["learnt"], F.lit(""))), "")
+    """What was written, told from the output alone: a row per conversation.
+
+    Turns are read back from the joined text, and what is learnt is cut from it by one example per trained turn.
+    """
+    span = lambda x: unescape(F.substring("text", (x["loss_start"] + 1).cast("int"), (x["loss_end"] - x["loss_start"]).cast("int")))
+    whole = joined(turns).select("conv_id", read_back(F.col("text")).alias("t"), F.array_join(F.transform("examples", span), "").alias("learnt"), F.length("text").cast("long").alias("formatted_chars"))
     return whole.select(
         "conv_id",
         F.size("t").cast("long").alias("n_turns"),
-        F.sha2(F.array_join(F.transform("t", lambda x: x["turn"]), ""), 256).alias("turns_sha256"),
-        F.length(learnt).cast("long").alias("loss_chars"),
-        F.sha2(learnt, 256).alias("loss_sha256"),
+        F.sha2(F.array_join(F.transform("t", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
+        F.length("learnt").cast("long").alias("loss_chars"),
+        F.sha2("learnt", 256).alias("loss_sha256"),
         "formatted_chars",
     )
