@@ -1,6 +1,6 @@
 """Token counts from an exact length histogram.
 
-Every document is encoded once; documents are counted by encoded length.  The histogram has a row per distinct
+Every document is encoded once, in one pass; documents are counted by encoded length.  The histogram has a row per distinct
 length, whatever the number of documents, and suffix sums over it answer totals, quantiles and the tokens left
 after truncation for every context limit at once.
 
@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kerbline.llm.common import checkpoint
 from kerbline.llm.tokens import Encoder, default_path, slices
 
 #: Lengths in a range of the two-level running sums.
@@ -42,7 +43,8 @@ def histogram(lengths: DataFrame) -> DataFrame:
     corpus total if every document were cut at n_tokens.  The sums run over ranges of lengths, then inside each
     range, so no task sees more than the ranges or one range.
     """
-    hist = lengths.groupBy("n_tokens").agg(F.count("*").alias("docs")).withColumns({"tokens": F.col("n_tokens") * F.col("docs"), "range": F.floor(F.col("n_tokens") / RANGE)})
+    # Sums below ask for the histogram again and again; documents are encoded for it once.
+    hist = checkpoint(lengths.groupBy("n_tokens").agg(F.count("*").alias("docs"))).withColumns({"tokens": F.col("n_tokens") * F.col("docs"), "range": F.floor(F.col("n_tokens") / RANGE)})
     after = Window.orderBy(F.col("range").desc()).rowsBetween(Window.unboundedPreceding, -1)
     ranges = hist.groupBy("range").agg(F.sum("docs").alias("d"), F.sum("tokens").alias("t")).select("range", F.coalesce(F.sum("d").over(after), F.lit(0)).alias("d"), F.coalesce(F.sum("t").over(after), F.lit(0)).alias("t"))
     inside = Window.partitionBy("range").orderBy(F.col("n_tokens").desc()).rowsBetween(Window.unboundedPreceding, -1)

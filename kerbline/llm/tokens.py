@@ -2,8 +2,10 @@
 
 The byte-level pre-tokenizer never joins what stands before and after a blank between two words, nor letters or
 digits with the marks after them, so a text is cut there and each distinct cut is encoded once and remembered;
-the tokenizer itself decides everything inside a cut (an apostrophe and the letters after it stay in one).  A text with one of the control characters 28 to 31, which the cutting pattern and the tokenizer see
-differently, is encoded as it is.  Both ways give the same ids as encoding the text in one call.
+the tokenizer itself decides everything inside a cut (an apostrophe and the letters after it stay in one).  A text
+that holds one of the tokenizer's own added tokens (such as an end-of-text mark), or one of the control characters 28
+to 31, which the cutting pattern and the tokenizer see differently, is encoded as it is.  Both ways give the same ids
+as encoding the text in one call.
 """
 
 from __future__ import annotations
@@ -17,8 +19,10 @@ import public_tokenizers
 TOKENIZER = "byte_bpe_50k.json"
 #: Distinct cuts that a worker remembers; beyond it starts afresh.
 REMEMBERED = 1_000_000
+#: Cuts that are encoded in one call.
+AT_ONCE = 20_000
 _CUTS = re.compile(r" ?[^\W_]+| ?(?:[^\w\s']|_)*'(?:[^\w\s]|_)*[^\W_]*| ?(?:[^\w\s]|_)+|\s+(?!\S)|\s")
-_ODD = re.compile("[\x1c-\x1f]")
+_ODD = "[\x1c-\x1f]"
 
 
 def default_path() -> str:
@@ -35,9 +39,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {}
+        self.whole = re.compile("|".join([_ODD, *(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values())]))
         self.line_feed = self._ids(["\n"])[0][0]
 
     @classmethod
@@ -51,10 +55,10 @@ class Encoder:
         return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, cuts: list[str]) -> None:
-        """Encodes cuts a thousand at a time, one to a line: a line feed between two words is a token of its own."""
+        """Encodes cuts many at a time, one to a line: a line feed between two words is a token of its own."""
         plain = [c for c in cuts if c.strip() and not self._line_end.search(c)]
-        for at in range(0, len(plain), 1000):
-            part = plain[at : at + 1000]
+        for at in range(0, len(plain), AT_ONCE):
+            part = plain[at : at + AT_ONCE]
             ids = self._ids(["\n".join(part)])[0]
             ends = np.flatnonzero(ids == self.line_feed)
             if len(ends) != len(part) - 1:
@@ -67,7 +71,7 @@ class Encoder:
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
         """The ids of each text as bytes; null is empty."""
         texts = [t or "" for t in texts]
-        cuts = [None if _ODD.search(t) else _CUTS.findall(t) for t in texts]
+        cuts = [None if self.whole.search(t) else _CUTS.findall(t) for t in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
         new = list(set().union(*filter(None, cuts)).difference(self.known))
