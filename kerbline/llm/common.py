@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,14 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's, or one of our own where it names none."""
-    sc = spark.sparkContext
-    return spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir() or _own_dir(sc)
-
-
-def _own_dir(sc) -> str:
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-kerbline-"))
-    return sc.getCheckpointDir()
+    """The folder that driver and executors share: the session's, or its context's; there must be one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return folder
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -50,11 +46,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of :func:`new_folder` that no frame reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """A broadcast hint where ``rows``, a count of ``df``, is within ``limit``; else Spark shuffles."""
     return F.broadcast(df) if rows <= limit else df
 
 
+def wrapped(docs: DataFrame, **columns: Column) -> DataFrame:
+    """Each row as one struct column ``row``, with further columns beside it: names inside can't clash with these."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[c.alias(k) for k, c in columns.items()])
+
+
+def unwrapped(df: DataFrame, *more: Column) -> DataFrame:
+    """The rows of :func:`wrapped` with their own columns again."""
+    return df.select("row.*", *more)
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z to a-z, other letters untouched."""
     return F.translate(c, UPPER, LOWER)
