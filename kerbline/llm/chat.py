@@ -75,9 +75,31 @@ def format_turns(conversations: DataFrame, trained_role: str = TRAINED_ROLE) ->
     )
 
 
+def joined(turns: DataFrame) -> DataFrame:
+    """conv_id, text and examples: each formatted conversation in one piece, and the offsets of each trained turn, in order."""
+    whole = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("seq", "formatted", "loss_start", "loss_end", "end"))).alias("t"))
+    text = F.array_join(F.transform("t", lambda x: x["formatted"]), "")
+    one = lambda x: F.struct(x["seq"].alias("target_seq"), x["loss_start"].alias("prompt_end"), x["loss_start"].alias("loss_start"), x["loss_end"].alias("loss_end"), x["end"].alias("chars"))
+    return whole.select("conv_id", text.alias("text"), F.transform(F.filter("t", lambda x: x["loss_start"].isNotNull()), one).alias("examples"))
+
+
+def expand(whole: DataFrame, *keep: str) -> DataFrame:
+    """Prefix-target expansion of :func:`joined`: a row per trained turn with target_seq, prompt_end, loss_start, loss_end, chars and ``text``.
+
+    The example is the first ``chars`` code points of ``text``, trained on ``[loss_start, loss_end)``, which end it but
+    for the closing sign; ``text`` is the conversation itself, not a copy per example.  A conversation without trained
+    turns gives one row of nulls, so that it isn't lost.
+    """
+    return whole.select("conv_id", *keep, "text", F.explode_outer("examples").alias("x")).select("conv_id", *keep, "x.*", "text")
+
+
 def examples(turns: DataFrame) -> DataFrame:
-    """One row per trained turn of :func:`format_turns`: which prefix is the context and which span is trained."""
-    return turns.where(F.col("loss_start").isNotNull()).select("conv_id", F.col("seq").alias("target_seq"), F.col("loss_start").alias("prompt_end"), "loss_start", "loss_end", F.col("end").alias("chars"))
+    """One row per trained turn of :func:`format_turns`: which prefix is the example and which span is trained."""
+    return expand(joined(turns)).where(F.col("target_seq").isNotNull()).drop("text")
+
+
+def _span(start: str, end: str) -> Column:
+    return F.substring("text", (F.col(start) + 1).cast("int"), (F.col(end) - F.col(start)).cast("int"))
 
 
 def materialise(turns: DataFrame) -> DataFrame:
@@ -86,22 +108,8 @@ def materialise(turns: DataFrame) -> DataFrame:
     Texts grow with the square of a conversation's length, as is in the nature of this expansion; keep offsets
     where conversations are long.
     """
-    whole = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("seq", "formatted", "start", "loss_start", "loss_end"))).alias("t"))
-    text = F.array_join(F.transform("t", lambda x: x["formatted"]), "")
-    targets = F.filter("t", lambda x: x["loss_start"].isNotNull())
-    return whole.select("conv_id", text.alias("text"), F.explode(targets).alias("x")).select(
-        "conv_id", F.col("x.seq").alias("target_seq"),
-        F.substring("text", F.lit(1), F.col("x.loss_start").cast("int")).alias("prompt"),
-        F.substring("text", (F.col("x.loss_start") + 1).cast("int"), (F.col("x.loss_end") - F.col("x.loss_start")).cast("int")).alias("completion"),
-    )
-
-
-def joined(turns: DataFrame) -> DataFrame:
-    """conv_id, text and examples: each formatted conversation in one piece with the offsets of :func:`examples`, in order."""
-    whole = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("seq", "formatted", "loss_start", "loss_end", "end"))).alias("t"))
-    text = F.array_join(F.transform("t", lambda x: x["formatted"]), "")
-    one = lambda x: F.struct(x["seq"].alias("target_seq"), x["loss_start"].alias("prompt_end"), x["loss_start"].alias("loss_start"), x["loss_end"].alias("loss_end"), x["end"].alias("chars"))
-    return whole.select("conv_id", text.alias("text"), F.transform(F.filter("t", lambda x: x["loss_start"].isNotNull()), one).alias("examples"))
+    rows = expand(joined(turns)).where(F.col("target_seq").isNotNull())
+    return rows.select("conv_id", "target_seq", F.substring("text", F.lit(1), F.col("prompt_end").cast("int")).alias("prompt"), _span("loss_start", "loss_end").alias("completion"))
 
 
 def read_back(text: Column) -> Column:
@@ -119,15 +127,18 @@ def read_back(text: Column) -> Column:
 def digest(turns: DataFrame) -> DataFrame:
     """What was written, told from the output alone: a row per conversation.
 
-    Turns are read back from the joined text, and what is learnt is cut from it by one example per trained turn.
+    Turns are read back from the joined text; what is learnt comes from the examples, one row per trained turn, each
+    cut out of its prefix by its loss mask and put together in order.
     """
-    span = lambda x: unescape(F.substring("text", (x["loss_start"] + 1).cast("int"), (x["loss_end"] - x["loss_start"]).cast("int")))
-    whole = joined(turns).select("conv_id", read_back(F.col("text")).alias("t"), F.array_join(F.transform("examples", span), "").alias("learnt"), F.length("text").cast("long").alias("formatted_chars"))
-    return whole.select(
-        "conv_id",
+    whole = joined(turns).withColumn("t", read_back(F.col("text"))).select(
+        "conv_id", "text", "examples",
         F.size("t").cast("long").alias("n_turns"),
         F.sha2(F.array_join(F.transform("t", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
-        F.length("learnt").cast("long").alias("loss_chars"),
-        F.sha2("learnt", 256).alias("loss_sha256"),
-        "formatted_chars",
+        F.length("text").cast("long").alias("formatted_chars"),
+    )
+    told = ("n_turns", "turns_sha256", "formatted_chars")
+    replies = expand(whole, *told).select("conv_id", *told, "target_seq", unescape(_span("loss_start", "loss_end")).alias("reply"))
+    learnt = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("target_seq").isNotNull(), F.struct("target_seq", "reply")))), lambda x: x["reply"]), "")
+    return replies.groupBy("conv_id", *told).agg(learnt.alias("learnt")).select(
+        "conv_id", "n_turns", "turns_sha256", F.length("learnt").cast("long").alias("loss_chars"), F.sha2("learnt", 256).alias("loss_sha256"), "formatted_chars"
     )

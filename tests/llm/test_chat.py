@@ -60,3 +60,18 @@ def test_joined_examples(spark):
     turns = chat.format_turns(df)
     got = {(r.conv_id, *x) for r in chat.joined(turns).collect() for x in r.examples}
     assert got == {tuple(r) for r in chat.examples(turns).collect()} and len(got) == sum(r[2] == "assistant" for r in rows())
+
+
+def test_digest_comes_from_the_examples(spark, monkeypatch):
+    """An example that is lost, or whose mask is moved, shows in the digest."""
+    df = spark.createDataFrame(rows(), "conv_id long, turn long, role string, text string")
+    turns, real = chat.format_turns(df), chat.expand
+    monkeypatch.setattr(chat, "expand", lambda whole, *keep: real(whole, *keep).where("target_seq IS NULL OR target_seq <> 3"))
+    got = {r.conv_id: r.loss_chars for r in chat.digest(turns).collect()}
+    assert got[1] == digests(rows())[1][2] - len(HARD[3])
+
+
+def test_long_conversation(spark):
+    docs = [(1, k, "assistant" if k % 2 else "user", f"turn {k} \\ ### " * 5) for k in range(3000)] + [(2, 0, "user", "x</turn>" * 40_000), (2, 1, "assistant", "é" * 200_000)]
+    df = spark.createDataFrame(docs, "conv_id long, turn long, role string, text string")
+    assert {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat.digest(chat.format_turns(df)).collect()} == digests(docs)
