@@ -7,14 +7,19 @@ hold the threshold's share of an item's shingles as hits and start between the s
 start of their hits, ends included: with fewer hits no similarity reaches the threshold, and a window before or
 after all aligned starts of its hits loses no hit by a step towards them, so no best similarity is lost.  Windows hang over a document's edge only as far as aligned starts do.  A window at the threshold holds at least that share of an item's shingles, so of any
 ``floor((1 - threshold) * n) + 1`` shingles of an item one must be there; for each item those with the longest
-words are taken, and only documents with one of these shingles are looked at further.  Each window and each item gets a 64-bit SimHash in which a shingle votes as often as it occurs.
-Fingerprints are cut into ten blocks; two within :data:`RADIUS` (19) bits differ by at most one bit in some
-block, so an index of the items' blocks and their one-bit neighbours finds every item within the radius.  Each
-candidate is verified exactly: the weighted Jaccard similarity of the two bags of shingles (sum of the smaller
-over sum of the larger counts) must reach the threshold.
+words are taken, and only documents with one of these shingles are looked at further.
 
-At similarity 0.8 two fingerprints lie 9.7 bits apart on average with a deviation of 2.9, so 19 bits miss about
-one borderline pair in a thousand, and practically none above 0.85.
+Each window and each item gets a SimHash of 320 bits in which a shingle votes as often as it occurs, as 20 blocks of
+16 bits.  Of two fingerprints within :data:`RADIUS` (71) bits at most 17 blocks differ by four bits or more, so at
+least :data:`AGREE` (3) blocks differ by three or fewer.  The index holds the items' blocks with all values within two
+bits, a window asks for its blocks with all values within one bit: blocks within three bits meet.  Items met in three
+blocks are candidates: every one within the radius, and of random pairs some one in a thousand.  Only numbers of
+windows and items go through that join; fingerprints and shingles are fetched for candidates.  Each candidate within
+the radius is verified exactly: the weighted Jaccard similarity of the two bags of shingles (sum of the smaller over
+sum of the larger counts) must reach the threshold.
+
+At similarity 0.8 two fingerprints lie 48.5 bits apart on average with a deviation of 6.4, so 71 bits miss about
+one borderline pair in five thousand, and practically none above 0.85.
 
 Null and empty texts, and items or documents of fewer than five words, match nothing.  Repeated rows give one
 result; a null ``doc_id`` or ``item_id`` is an id like any other.  Empty tables give no rows.  Other columns are
@@ -30,7 +35,10 @@ from kerbline.llm.common import checkpoint, small
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BITS, BLOCKS, RADIUS = 64, 10, 19
+BLOCKS, WIDTH, RADIUS = 20, 16, 71
+#: Bits by which a block may differ, on the items' side and on the windows'; and in how many blocks that must hold.
+NEAR_ITEM, NEAR_WINDOW = 2, 1
+AGREE = BLOCKS - RADIUS // (NEAR_ITEM + NEAR_WINDOW + 1)
 #: Up to so many shingles are constants of the plan; more are joined.
 MARKS_IN_PLAN = 10_000
 
@@ -56,16 +64,36 @@ def shingles(w: Column) -> Column:
 
 
 def _simhash(df: DataFrame, hashes: str, out: str) -> DataFrame:
-    """Adds the fingerprint of an array column; plain SQL, as the shift is by a lambda's variable."""
-    bit = f"CASE WHEN 2 * aggregate(hs, 0, (n, h) -> n + CAST(shiftrightunsigned(h, b) & 1L AS INT)) > size(hs) THEN shiftleft(1L, b) ELSE 0L END"
-    return df.withColumn(out, F.expr(f"get(transform(array({hashes}), hs -> aggregate(transform(sequence(0, {BITS - 1}), b -> {bit}), 0L, (x, y) -> x | y)), 0)"))
+    """Adds the fingerprint of an array column, as an array of blocks; plain SQL, as shifts are by a lambda's variable."""
+    bit = "CASE WHEN 2 * aggregate(ws, 0, (n, w) -> n + (shiftrightunsigned(w, j) & 1)) > size(ws) THEN shiftleft(1, j) ELSE 0 END"
+    block = f"aggregate(sequence(0, {WIDTH - 1}), 0, (v, j) -> v | {bit})"
+    words = f"transform(hs, h -> CAST(xxhash64(h, b) & {(1 << WIDTH) - 1}L AS INT))"
+    return df.withColumn(out, F.expr(f"get(transform(array({hashes}), hs -> transform(sequence(0, {BLOCKS - 1}), b -> get(transform(array({words}), ws -> {block}), 0))), 0)"))
+
+
+def _around(value: str, bits: int) -> str:
+    """SQL: all values of a block within so many bits."""
+    near = [f"array({value})", f"transform(sequence(0, {WIDTH - 1}), k -> {value} ^ shiftleft(1, k))"]
+    near.append(f"flatten(transform(sequence(0, {WIDTH - 2}), k -> transform(sequence(k + 1, {WIDTH - 1}), l -> {value} ^ shiftleft(1, k) ^ shiftleft(1, l))))")
+    return f"concat({', '.join(near[: bits + 1])})"
+
 
+def _probes(df: DataFrame, keys: list[str], fingerprint: str, bits: int) -> DataFrame:
+    """keys, block, value: what a fingerprint is found by, or what it asks for."""
+    blocks = df.select(*keys, F.posexplode(fingerprint).alias("block", "own"))
+    return blocks.select(*keys, "block", F.explode(F.expr(_around("own", bits))).alias("value"))
 
-def _block(fingerprint: str) -> str:
-    """SQL: array of (block, value), over BITS bits cut as evenly as can be."""
-    edges = [BITS * k // BLOCKS for k in range(BLOCKS + 1)]
-    parts = [f"named_struct('block', {k}, 'width', {b - a}, 'value', shiftrightunsigned({fingerprint}, {a}) & {(1 << (b - a)) - 1}L)" for k, (a, b) in enumerate(zip(edges, edges[1:]))]
-    return f"array({', '.join(parts)})"
+
+def proposed(prints: DataFrame, items: DataFrame) -> DataFrame:
+    """(win, n, print) and (item, n, item_print) -> win, item: pairs of one n that agree, but for three bits, in :data:`AGREE` blocks."""
+    index, asked = _probes(items, ["item", "n"], "item_print", NEAR_ITEM), _probes(prints, ["win", "n"], "print", NEAR_WINDOW)
+    # Two blocks may meet in several values: blocks are counted as bits of a number.
+    met = asked.join(index, ["n", "block", "value"]).groupBy("win", "item").agg(F.bit_count(F.bit_or(F.expr("shiftleft(1, block)"))).alias("blocks"))
+    return met.where(F.col("blocks") >= AGREE).select("win", "item")
+
+
+def _distance(a: str, b: str) -> Column:
+    return F.expr(f"aggregate(zip_with({a}, {b}, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)")
 
 
 def _bag_similarity(a: str, b: str) -> str:
@@ -132,7 +160,7 @@ def _starts(threshold: float) -> str:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, item_id, start (word), n_words, similarity: each item that a document holds, where it fits best."""
     cut_items = benchmark.select("item_id", words(F.col("text")).alias("w")).select("item_id", F.size("w").alias("n"), shingles(F.col("w")).alias("item_hashes"))
-    items = checkpoint(_simhash(cut_items.where(F.size("item_hashes") > 0).distinct(), "item_hashes", "item_print"))
+    items = checkpoint(_simhash(cut_items.where(F.size("item_hashes") > 0).distinct(), "item_hashes", "item_print").withColumn("item", F.monotonically_increasing_id()))
     places = items.select("n", F.posexplode("item_hashes").alias("at", "hash")).groupBy("n", "hash").agg(F.min("at").alias("first_at"), F.max("at").alias("last_at"))
     n_places = places.count()
     texts = checkpoint(_marked(docs, checkpoint(_marks(benchmark, threshold))))
@@ -147,14 +175,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
         .select("doc_id", "start", "n", F.slice("w", F.col("start") + 1, F.col("stop") - F.col("start")).alias("w"))
         .select("doc_id", "start", "n", shingles(F.col("w")).alias("hashes"))
     )
-    prints = _simhash(cut, "hashes", "print")
-    index = items.select("item_id", "n", "item_hashes", "item_print", F.explode(F.expr(_block("item_print"))).alias("b")).select(
-        "item_id", "n", "item_hashes", "item_print", F.col("b.block").alias("block"),
-        F.explode(F.expr("array_append(transform(sequence(0, b.width - 1), k -> b.value ^ shiftleft(1L, k)), b.value)")).alias("value"),
-    )
-    probes = prints.select("doc_id", "start", "n", "hashes", "print", F.explode(F.expr(_block("print"))).alias("b")).select("doc_id", "start", "n", "hashes", "print", F.col("b.block").alias("block"), F.col("b.value").alias("value"))
-    near = probes.join(small(index, n_places, 100_000), ["n", "block", "value"]).where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
-    candidates = near.select("doc_id", "item_id", "start", "n", "hashes", "item_hashes").distinct()
+    prints = checkpoint(_simhash(cut, "hashes", "print").withColumn("win", F.monotonically_increasing_id()))
+    pairs = checkpoint(proposed(prints.select("win", "n", "print"), items.select("item", "n", "item_print")))
+    n_pairs = pairs.count()
+    near = small(pairs, n_pairs).join(prints, "win").join(items.drop("n"), "item").where(_distance("print", "item_print") <= RADIUS)
+    candidates = near.select("doc_id", "item_id", "start", "n", "hashes", "item_hashes")
     scored = candidates.withColumn("similarity", F.expr(_bag_similarity("hashes", "item_hashes"))).where(F.col("similarity") >= threshold)
     best = F.max(F.struct("similarity", (-F.col("start")).alias("before"), "n")).alias("best")
     return scored.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", (-F.col("best.before")).alias("start"), F.col("best.n").alias("n_words"), F.col("best.similarity").alias("similarity"))

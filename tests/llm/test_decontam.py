@@ -76,10 +76,41 @@ def test_clean(spark, docs_of, case):
     assert {2, 3, 4, 7, 10, 11} >= {r.doc_id for r in left.collect()} >= {2, 3, 4, 7, 10}
 
 
-def test_radius_is_guaranteed():
-    """Two fingerprints within the radius agree but for one bit in some block."""
-    edges = [decontam.BITS * k // decontam.BLOCKS for k in range(decontam.BLOCKS + 1)]
-    assert decontam.RADIUS < 2 * decontam.BLOCKS and edges[-1] == decontam.BITS
+def test_index(spark):
+    """Whatever lies within the radius is proposed; of random pairs under one in a hundred is."""
+    rng = random.Random(12)
+    bits, width = decontam.BLOCKS * decontam.WIDTH, decontam.WIDTH
+    as_blocks = lambda v: [v >> k * width & (1 << width) - 1 for k in range(decontam.BLOCKS)]
+    items = [rng.getrandbits(bits) for _ in range(60)]
+    near = [(k % 60, items[k % 60] ^ sum(1 << b for b in rng.sample(range(bits), decontam.RADIUS))) for k in range(120)]
+    for k in range(60):  # as evenly spread as can be, which is worst for blocks
+        flips = [b * width + j for j in rng.sample(range(width), 4) for b in rng.sample(range(decontam.BLOCKS), decontam.BLOCKS)][: decontam.RADIUS]
+        near.append((k, items[k] ^ sum(1 << b for b in flips)))
+    far = [rng.getrandbits(bits) for _ in range(200)]
+    prints = [(w, 50, as_blocks(v)) for w, v in enumerate([v for _, v in near] + far)]
+    got = {(r.win, r.item) for r in decontam.proposed(spark.createDataFrame(prints, "win long, n int, print array<int>"), spark.createDataFrame([(k, 50, as_blocks(v)) for k, v in enumerate(items)], "item long, n int, item_print array<int>")).collect()}
+    assert {(w, i) for w, (i, _) in enumerate(near)} <= got
+    assert sum(w >= len(near) for w, _ in got) < 0.01 * len(far) * len(items)
+    assert decontam.AGREE >= 1 and decontam.RADIUS // (decontam.NEAR_ITEM + decontam.NEAR_WINDOW + 1) + decontam.AGREE == decontam.BLOCKS
+
+
+def test_fingerprints_of_similar_bags_are_near(spark):
+    rng = random.Random(4)
+    rows = []
+    for k in range(300):
+        both, mine, theirs = ([rng.getrandbits(63) for _ in range(n)] for n in (48, 6, 6))
+        rows.append((k, both + mine, both + theirs))
+    df = decontam._simhash(decontam._simhash(spark.createDataFrame(rows, "k long, a array<bigint>, b array<bigint>"), "a", "pa"), "b", "pb")
+    apart = [r[0] for r in df.select(decontam._distance("pa", "pb")).collect()]  # similarity 0.8
+    assert 44 < sum(apart) / len(apart) < 53 and max(apart) <= decontam.RADIUS
+
+
+def test_very_long_text(spark, docs_of, prose):
+    """A passage deep inside a text of 100,000 words, and a phrase of an item that comes again and again."""
+    item = prose[0] + " " + prose[1]
+    docs = [(1, f"{(prose[2] + ' ') * 4000}{item} {(prose[2] + ' ') * 200}", "s"), (2, (" ".join(prose[0].split()[:8]) + " ") * 3000, "s"), (3, "word " * 100_000, "s")]
+    got = decontam.find_leaks(docs_of(docs), spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
+    assert [(r.doc_id, r.item_id, r.start, r.similarity) for r in got] == [(1, 7, 4000 * len(prose[2].split()), 1.0)]
 
 
 def slide(docs, items):
