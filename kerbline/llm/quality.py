@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbline.llm.common import LOWER, UPPER, checkpoint, n_words, schema_of, small
+from kerbline.llm.common import LOWER, UPPER, checkpoint, n_words, schema_of, small, unwrapped, wrapped
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -125,13 +125,15 @@ def without_boilerplate(docs: DataFrame, frequent: DataFrame, host: str = "sourc
     A host has few such lines (each is in a fixed share of its documents), so they travel as one array per host.
     Where a text changes, ``n_chars`` is counted anew.
     """
-    per_host = checkpoint(frequent.groupBy(F.col("host").alias("_host")).agg(F.collect_set("line_hash").alias("_lines")))
-    kept = F.array_join(F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("_lines", F.xxhash64(normalised(x)))), "\n")
-    out = docs.join(small(per_host, per_host.count(), 20_000), F.col(host).eqNullSafe(F.col("_host")), "left").withColumn("_text", F.when(F.col("_lines").isNull(), F.col("text")).otherwise(kept))
-    new = {"text": F.col("_text")}
+    per_host = checkpoint(frequent.groupBy("host").agg(F.collect_set("line_hash").alias("hashes")))
+    kept = F.array_join(F.filter(F.split("row.text", "\n"), lambda x: ~F.array_contains("hashes", F.xxhash64(normalised(x)))), "\n")
+    text = F.when(F.col("hashes").isNull(), F.col("row.text")).otherwise(kept)
+    out = wrapped(docs, own_host=F.col(host)).join(small(per_host, per_host.count(), 20_000), F.col("own_host").eqNullSafe(F.col("host")), "left").withColumn("left", text)
+    row = F.col("row").withField("text", F.col("left"))
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("_text").eqNullSafe(F.col("text")), F.col("n_chars")).otherwise(F.length("_text").cast(docs.schema["n_chars"].dataType))
-    return out.withColumns(new).select(*docs.columns)
+        n_chars = F.when(F.col("left").eqNullSafe(F.col("row.text")), F.col("row.n_chars")).otherwise(F.length("left").cast(docs.schema["n_chars"].dataType))
+        row = row.withField("n_chars", n_chars)
+    return unwrapped(out.select(row.alias("row")))
 
 
 def clean(docs: DataFrame, host: str = "source") -> DataFrame:
@@ -139,5 +141,6 @@ def clean(docs: DataFrame, host: str = "source") -> DataFrame:
     frequent = checkpoint(line_counts(docs, host))
     verdicts = judge(docs, host, frequent).where(~F.col("kept")).select(F.col("host").alias("bad_host"), F.col("text_hash").alias("bad_text")).distinct()
     verdicts = checkpoint(verdicts)
-    kept = docs.join(small(verdicts, verdicts.count()), F.col(host).eqNullSafe(F.col("bad_host")) & (F.xxhash64("text") == F.col("bad_text")), "left_anti")
-    return without_boilerplate(kept, frequent, host)
+    rows = wrapped(docs, own_host=F.col(host), own_text=F.xxhash64("text"))
+    kept = rows.join(small(verdicts, verdicts.count()), F.col("own_host").eqNullSafe(F.col("bad_host")) & (F.col("own_text") == F.col("bad_text")), "left_anti")
+    return without_boilerplate(unwrapped(kept), frequent, host)

@@ -56,6 +56,8 @@ def test_clean(spark, docs_of, prose):
     docs = rows(prose)
     left = quality.clean(docs_of(docs))
     want = Counter(k[0] for k, n in brute(docs).items() for _ in range(n) if k[-1])
+    named = docs_of(docs, extra=True).selectExpr("*", *[f"'x' AS {c}" for c in ("_host", "bad_host", "bad_text", "_lines", "_text", "own_host", "hashes", "row", "left")])
+    assert quality.clean(named).columns == named.columns and quality.clean(named).where("_text = 'x' AND _host = 'x' AND hashes = 'x'").count() == left.count()
     assert left.columns == ["doc_id", "text", "lang", "source", "n_chars"] and Counter(r.doc_id for r in left.collect()) == want
     lines = {r.doc_id: (r.text.split("\n"), r.n_chars) for r in left.collect() if r.doc_id in range(30)}
     assert all(x == [f"{prose[0]} number{'x' * k}"] and n == len(x[0]) for k, (x, n) in lines.items() if k not in (3, 5))
