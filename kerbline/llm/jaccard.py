@@ -8,7 +8,9 @@ words is a single shingle).  Two documents are linked where the Jaccard similari
 2. 32 bands of five values propose which texts may be near.  Each bucket of a band ties its texts to its smallest
    one, so a bucket of any size gives as many rows as it has texts; texts tied together, directly or through
    others, form a pool.  At similarity 0.8 all bands miss with probability 3e-6.
-3. Pools are compared in blocks of :data:`BLOCK` texts.  Inside a block pair, MinHash values are compared 32 at a
+3. Pools are compared in blocks of :data:`BLOCK` texts.  A pool of more than :data:`POOL` texts, as chance ties make
+   in large corpora, isn't compared as a whole but bucket by bucket, each pair in its first common bucket alone; both
+   ways compare all pairs that have a bucket in common.  Inside a block pair, MinHash values are compared 32 at a
    time; a pair is dropped as soon as the posterior probability that its similarity reaches the threshold, under a
    uniform prior, falls below :data:`TOLERANCE`.  What is left is verified exactly on the shingle sets.
 4. Blocks return sums, not pairs: how many documents each text is linked with, and a spanning tree of the links.
@@ -26,13 +28,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbline.llm.common import checkpoint, schema_of, small
+from kerbline.llm.common import checkpoint, new_folder, remove, schema_of, small, unwrapped, wrapped
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
 STEP, TOLERANCE = 32, 1e-6
-BLOCK = 512
+BLOCK, POOL = 256, 8_192
 _WORDS_KNOWN = 400_000
 
 
@@ -115,16 +117,25 @@ def components(edges: DataFrame) -> DataFrame:
     """Edges (a, b) of a graph -> node, root: the smallest node of its component.
 
     Labels travel along edges and then to the label's own label, so rounds grow with the logarithm of a
-    component's width.  Each round is cut off by a checkpoint in the shared folder.
+    component's width.  Each round is a table in the shared folder, which goes when the next one stands.
     """
-    both = checkpoint(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    label = checkpoint(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")).withColumnRenamed("a", "node"))
+    spark, paths = edges.sparkSession, []
+
+    def table(df: DataFrame) -> DataFrame:
+        paths.append(new_folder(spark, "labels"))
+        df.write.parquet(paths[-1])
+        return spark.read.parquet(paths[-1])
+
+    both = table(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    label = table(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")).withColumnRenamed("a", "node"))
     while True:
         around = both.join(label.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
         step = label.join(around, "node", "left").select("node", "root", F.least("root", "near").alias("next"))
         jump = label.select(F.col("node").alias("next"), F.col("root").alias("far"))
-        new = checkpoint(step.join(jump, "next", "left").select("node", F.least("next", "far").alias("root"), (F.least("next", "far") != F.col("root")).alias("moved")))
+        new = table(step.join(jump, "next", "left").select("node", F.least("next", "far").alias("root"), (F.least("next", "far") != F.col("root")).alias("moved")))
+        remove(spark, paths.pop(-2))
         if new.where("moved").isEmpty():
+            remove(spark, paths[0])
             return new.select("node", "root")
         label = new.select("node", "root")
 
@@ -144,8 +155,11 @@ def least_matches(threshold: float, tolerance: float) -> tuple[int, ...]:
     return tuple(out)
 
 
-def linked_pairs(sig_a, sig_b, sets_a, sets_b, same: bool, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of linked pairs between two blocks: pruned on MinHash values, then verified on the sets."""
+def linked_pairs(sig_a, sig_b, sets_a, sets_b, same: bool, threshold: float = THRESHOLD, tolerance: float = TOLERANCE, first=None) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of linked pairs between two blocks: pruned on MinHash values, then verified on the sets.
+
+    first: (bands of a, bands of b, bucket) where only pairs whose first common band is that bucket are wanted.
+    """
     hits = np.zeros((len(sig_a), len(sig_b)), np.int16)
     for k in range(STEP):
         hits += sig_a[:, k, None] == sig_b[None, :, k]
@@ -159,6 +173,11 @@ def linked_pairs(sig_a, sig_b, sets_a, sets_b, same: bool, threshold: float = TH
             hits += (sig_a[i, STEP * k : STEP * (k + 1)] == sig_b[j, STEP * k : STEP * (k + 1)]).sum(axis=1)
             ok = hits >= least
             i, j, hits = i[ok], j[ok], hits[ok]
+    if first is not None and len(i):
+        bands_a, bands_b, bucket = first
+        common = bands_a[i] == bands_b[j]
+        ok = bands_a[i, common.argmax(axis=1)] == bucket
+        i, j = i[ok], j[ok]
     if not len(i):
         return i, j
     sizes_a, sizes_b = np.array([len(s) for s in sets_a]), np.array([len(s) for s in sets_b])
@@ -204,12 +223,13 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float =
     texts = checkpoint(signed.groupBy("text_key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("m"), F.count("*").alias("copies"), F.first("filled").alias("filled")).select("text_key", F.col("m.doc_id").alias("rep"), "copies", "filled"))
     keys = signed.select("text_key", F.explode("bands").alias("key"))
     ties = checkpoint(keys.groupBy("key").agg(F.min("text_key").alias("b"), F.max("text_key").alias("z")).where("b != z").select("key", "b"))
+    n_ties = ties.count()
     # Buckets of one text, nearly all, are gone before anything is joined.
-    edges = keys.join(small(ties, ties.count()), "key").where(F.col("text_key") != F.col("b")).select(F.col("text_key").alias("a"), "b").distinct()
+    edges = keys.join(small(ties, n_ties), "key").where(F.col("text_key") != F.col("b")).select(F.col("text_key").alias("a"), "b").distinct()
     pools = components(edges)
     members = checkpoint(pools.join(texts.select(F.col("text_key").alias("node"), "copies"), "node"))
     n_members = members.count()
-    sizes = members.groupBy("root").agg(F.count("*").alias("pool"))
+    sizes = checkpoint(members.groupBy("root").agg(F.count("*").alias("size")))
     # Texts are fetched again for the few that are in pools; each row of a text is as good as any other.
     wanted = small(members.select(F.col("node").alias("text_key"), "root", "copies"), n_members)
     keyed = signed.select("doc_id", "text_key", "signature").join(wanted, "text_key").groupBy("text_key", "root", "copies").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "signature")).alias("m"))
@@ -218,10 +238,16 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float =
     # Where an id is repeated with other texts, the text's own key tells which row is meant.
     sets = checkpoint(_shingle_rows(bodies))
     pooled = keyed.join(sets, "text_key").join(small(sizes, n_members), "root")  # pools are fewer than their members
-    block = F.pmod(F.xxhash64("text_key"), F.ceil(F.col("pool") / BLOCK)).cast("int")
-    blocks = F.ceil(F.col("pool") / BLOCK).cast("int")
-    dealt = pooled.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")}).select("root", "lo", "hi", "block", "text_key", "copies", "signature", "shingles")
+    no_bands = F.lit(None).cast("array<bigint>")
+    units = pooled.where(F.col("size") <= POOL).select(F.lower(F.hex("root")).alias("unit"), "size", "text_key", "copies", "signature", "shingles", no_bands.alias("bands"))
+    if not sizes.where(F.col("size") > POOL).isEmpty():
+        wide = pooled.where(F.col("size") > POOL).drop("size").join(signed.select("text_key", "bands").dropDuplicates(["text_key"]), "text_key")
+        in_buckets = wide.withColumn("key", F.explode("bands")).join(small(ties.select("key"), n_ties), "key")
+        in_bucket = in_buckets.groupBy("key").agg(F.count("*").alias("size"))
+        units = units.union(in_buckets.join(in_bucket, "key").select(F.col("key").cast("string").alias("unit"), "size", "text_key", "copies", "signature", "shingles", "bands"))
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    dealt = units.withColumn("block", F.pmod(F.xxhash64("text_key"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = dealt.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")}).select("unit", "lo", "hi", "block", "text_key", "copies", "signature", "shingles", "bands")
 
     def compare(key, table):
         import pyarrow as pa
@@ -232,13 +258,17 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float =
         sets = [np.frombuffer(x, np.uint64) for x in table["shingles"].to_pylist()]
         lo, hi = key[1].as_py(), key[2].as_py()
         a, b = np.nonzero(block == lo)[0], np.nonzero(block == hi)[0]
-        i, j = linked_pairs(sig[a], sig[b], [sets[x] for x in a], [sets[x] for x in b], lo == hi, threshold, tolerance)
+        first = None
+        if table["bands"].null_count == 0:
+            bands = np.array(table["bands"].to_pylist(), np.int64)
+            first = bands[a], bands[b], int(key[0].as_py())
+        i, j = linked_pairs(sig[a], sig[b], [sets[x] for x in a], [sets[x] for x in b], lo == hi, threshold, tolerance, first)
         i, j = a[i], b[j]
         links = np.bincount(i, copies[j], len(names)) + np.bincount(j, copies[i], len(names))
         root = _tree(len(names), i, j)
         return pa.table({"text_key": pa.array(names, pa.binary()), "to": pa.array([names[r] for r in root], pa.binary()), "links": pa.array(links.astype(np.int64))})
 
-    compared = checkpoint(dealt.groupBy("root", "lo", "hi").applyInArrow(compare, "text_key binary, to binary, links long").where("links > 0"))
+    compared = checkpoint(dealt.groupBy("unit", "lo", "hi").applyInArrow(compare, "text_key binary, to binary, links long").where("links > 0"))
     classes = components(compared.select(F.col("text_key").alias("a"), F.col("to").alias("b")))
     links = compared.groupBy(F.col("text_key").alias("node")).agg(F.sum("links").alias("links"))
     linked = classes.join(links, "node").select(F.col("node").alias("text_key"), "root", "links")
@@ -275,11 +305,8 @@ def one_of_each(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float
     Documents without shingles are all kept.
     """
     judged = checkpoint(classes(docs, threshold, tolerance))
-    gone = judged.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id").distinct()
-    kept = docs.join(small(gone.withColumnRenamed("doc_id", "gone_id"), gone.count()), F.col("doc_id") == F.col("gone_id"), "left_anti")
+    gone = judged.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("gone_id")).distinct()
+    rows = wrapped(docs, own_id=F.col("doc_id"), own_text=F.col("text"))
+    kept = rows.join(small(gone, gone.count()), F.col("own_id") == F.col("gone_id"), "left_anti")
     twice = judged.where(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("n_links") > 0)).groupBy("doc_id").count().where("count > 1")
-    if twice.isEmpty():
-        return kept
-    return kept.dropDuplicates(["doc_id", "text"])
-
-
+    return unwrapped(kept if twice.isEmpty() else kept.dropDuplicates(["own_id", "own_text"]))

@@ -65,9 +65,40 @@ def test_small_blocks(spark, docs_of, prose, monkeypatch):
     assert sorted(((r.doc_id, r.class_id, r.n_links) for r in jaccard.classes(docs_of(docs)).collect()), key=str) == brute(docs)
 
 
+def test_wide_pools_go_by_buckets(spark, docs_of, prose, monkeypatch):
+    """Pools over the bound are compared bucket by bucket, with the same links."""
+    monkeypatch.setattr(jaccard, "POOL", 2)
+    docs = cases(prose)
+    for block in (3, 256):
+        monkeypatch.setattr(jaccard, "BLOCK", block)
+        assert sorted(((r.doc_id, r.class_id, r.n_links) for r in jaccard.classes(docs_of(docs)).collect()), key=str) == brute(docs)
+
+
+def test_planted_near_copies(spark, docs_of, prose):
+    """Of pairs just above the threshold, and of wide clusters, every link is found."""
+    rng = random.Random(23)
+    docs = []
+    for k in range(150):  # pairs of 0.8 to 0.9
+        w = [f"w{rng.randrange(3000)}" for _ in range(200)]
+        other = list(w)
+        for at in rng.sample(range(0, 200, 9), rng.randrange(2, 5)):
+            other[at] = "changed"
+        docs += [(2 * k, " ".join(w), "s"), (2 * k + 1, " ".join(other), "s")]
+    base = [f"v{rng.randrange(3000)}" for _ in range(300)]
+    for k in range(120):
+        w = list(base)
+        for at in rng.sample(range(300), rng.randrange(0, 8)):
+            w[at] = f"x{rng.randrange(50)}"
+        docs.append((1000 + k, " ".join(w), "s"))
+    got = sorted(((r.doc_id, r.class_id, r.n_links) for r in jaccard.classes(docs_of(docs)).collect()), key=str)
+    assert got == brute(docs) and sum(r[2] > 0 for r in got) > 150
+
+
 def test_one_of_each(spark, docs_of, prose):
     docs = [d for d in cases(prose) if d[0] is not None and d[0] != 2]
     left = jaccard.one_of_each(docs_of(docs))
+    named = jaccard.one_of_each(docs_of(docs, extra=True).selectExpr("*", "'x' AS own_id", "'x' AS row"))
+    assert named.where("gone_id = 'x' AND own_id = 'x'").count() == left.count()
     want = {c if shingles(t) else d for (d, c, _), t in zip(brute(docs), [dict((a, b) for a, b, _ in docs)[x[0]] for x in brute(docs)])}
     assert left.columns == ["doc_id", "text", "lang", "source", "n_chars"] and {r.doc_id for r in left.collect()} == want and left.count() == len(want)
     assert jaccard.classes(docs_of([])).count() == 0
