@@ -1,7 +1,8 @@
 """Secret scans: stated patterns, and Markov models of random strings and of ordinary identifiers.
 
 The patterns find assignments of passwords and tokens, access-key ids and long hex strings.  Beyond them, every
-run of 20 or more letters, digits and ``+ _ - =`` that has a letter and a digit is scored by two first-order
+run of 20 or more letters, digits and ``+ _ - =`` that has a letter and a digit (a key of letters alone, or a number
+with dashes, is no candidate) is scored by two first-order
 character models, one of random strings, one of ordinary identifiers; where the mean log-likelihood ratio per
 character is over :data:`MARGIN`, the run is reported as ``markov``.  The models are counts of character pairs,
 learnt from labelled samples of any size and added up in Spark to 64 x 64 numbers per class.
@@ -33,6 +34,7 @@ LEAST_ASSIGN, LEAST_ACCESS = 6, 20
 _STARTS = re.compile(r"(?ai:passw|secret|token|api_?key)")
 
 RUN = re.compile(r"[A-Za-z0-9+_=-]{20,}")
+_DIGIT, _LETTER = re.compile("[0-9]"), re.compile("[A-Za-z]")
 MARGIN = 0.35
 SIDE = 64
 _CODES = np.full(128, 63, np.int64)
@@ -136,7 +138,7 @@ def scan(docs: DataFrame, model: list[list[float]], margin: float = MARGIN) -> D
                     taken, more = [(a, b) for _, a, b in spans], []
                     for m in RUN.finditer(text):
                         value = m[0]
-                        if any(c.isdigit() for c in value) and not value.isdigit() and not any(a < m.end() and m.start() < b for a, b in taken) and ratio[_pairs(value)].mean() > margin:
+                        if _DIGIT.search(value) and _LETTER.search(value) and not any(a < m.end() and m.start() < b for a, b in taken) and ratio[_pairs(value)].mean() > margin:
                             more.append(("markov", m.start(), m.end()))
                     order = {k: n for n, k in enumerate(KINDS)}
                     spans = sorted(spans + more, key=lambda s: (s[1], order.get(s[0], len(KINDS)), s[2]))
