@@ -21,7 +21,8 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels are matched to pages by number; a page is bad where its label has low quality or is toxic."""
+    """The given labels are those of documents; pages have none, so the label of the document of a page's number stands
+    for it.  A page is bad where that label has low quality or is toxic."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     labels = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("page_id")).agg(F.max(F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)).alias("bad"))
     outcomes = pages.join(labels, "page_id").select(urls.host_of(F.col("url")).alias("host"), "bad")
@@ -42,8 +43,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"), F.col("mix_taken").alias("taken"))
+    return mixing.amounts(table(spark, sf_dir, "documents"))
 
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,27 +77,30 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
  CAST(sum(chars) AS BIGINT) AS formatted_chars FROM numbered GROUP BY conv_id"""
 
-_LEVELS = [("suffix", "split_part(host, '.', -1)", "''", "root"), ("domain", "array_to_string(list_slice(string_split(host, '.'), -2, -1), '.')", "split_part(host, '.', -1)", "suffix"), ("host", "host", "array_to_string(list_slice(string_split(host, '.'), -2, -1), '.')", "domain")]
+_LAST = lambda n: f"array_to_string(list_slice(string_split(name, '.'), -{n}, -1), '.')"
+_TWO = f"{_LAST(2)} IN ({', '.join(repr(x) for x in urls.SUFFIXES)})"
+_SUFFIX, _DOMAIN = f"CASE WHEN {_TWO} THEN {_LAST(2)} ELSE {_LAST(1)} END", f"CASE WHEN {_TWO} THEN {_LAST(3)} ELSE {_LAST(2)} END"
+_LEVELS = [("suffix", _SUFFIX, "''", "root"), ("domain", _DOMAIN, _SUFFIX, "suffix"), ("host", "name", _DOMAIN, "domain")]
 
 
 def _url_sql() -> str:
     host = "translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     path = "regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
     parts = [
-        f"seen AS (SELECT page_id, {host} AS host, {path} AS path FROM pages)",
+        f"seen AS (SELECT *, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS name FROM (SELECT page_id, {host} AS host, {path} AS path FROM pages))",
         "bad AS (SELECT doc_id AS page_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY doc_id)",
-        "hosts AS (SELECT host, count(*) AS n, CAST(sum(bad) AS BIGINT) AS bad FROM seen JOIN bad USING (page_id) GROUP BY host)",
+        "hosts AS (SELECT name, count(*) AS n, CAST(sum(bad) AS BIGINT) AS bad FROM seen JOIN bad USING (page_id) GROUP BY name)",
         "root AS (SELECT '' AS name, coalesce(sum(bad), 0) + 1.0E0 AS a, coalesce(sum(n), 0) - coalesce(sum(bad), 0) + 1.0E0 AS b FROM hosts)",
     ]
     for level, key, above, parent in _LEVELS:
         parts += [
-            f"{level}_n AS (SELECT h.*, p.a AS pa, p.b AS pb, p.a / (p.a + p.b) AS mean FROM (SELECT {key} AS name, {above} AS above, CAST(sum(n) AS BIGINT) AS n, CAST(sum(bad) AS BIGINT) AS bad FROM hosts GROUP BY 1, 2) h JOIN {parent} p ON h.above = p.name)",
+            f"{level}_n AS (SELECT h.*, p.a AS pa, p.b AS pb, p.a / (p.a + p.b) AS mean FROM (SELECT key AS name, above, CAST(sum(n) AS BIGINT) AS n, CAST(sum(bad) AS BIGINT) AS bad FROM (SELECT {key} AS key, {above} AS above, n, bad FROM hosts) GROUP BY key, above) h JOIN {parent} p ON h.above = p.name)",
             f"{level}_fit AS (SELECT round((sum(n * pow(bad * 1.0E0 / n - mean, 2)) - sum(mean * (1 - mean))) / nullif(sum((n - 1) * mean * (1 - mean)), 0), 6) AS rho FROM {level}_n)",
             f"{level}_s AS (SELECT CASE WHEN rho IS NULL OR rho <= 1 / 1001.0E0 THEN 1000.0E0 ELSE greatest(2.0E0, 1 / rho - 1) END AS strength FROM {level}_fit)",
             f"{level} AS (SELECT name, (pa - bad) / (pa + pb - n) * least(strength, pa + pb - n) + bad AS a, (1 - (pa - bad) / (pa + pb - n)) * least(strength, pa + pb - n) + n - bad AS b FROM {level}_n, {level}_s)",
         ]
     ab = ", ".join(f"coalesce(h.{x}, d.{x}, s.{x}, r.{x}) AS {x}" for x in "ab")
-    parts.append(f"judged AS (SELECT k.*, {ab} FROM seen k LEFT JOIN host h ON k.host = h.name LEFT JOIN domain d ON array_to_string(list_slice(string_split(k.host, '.'), -2, -1), '.') = d.name LEFT JOIN suffix s ON split_part(k.host, '.', -1) = s.name, root r)")
+    parts.append(f"judged AS (SELECT k.*, {ab} FROM (SELECT *, {_DOMAIN} AS of_domain, {_SUFFIX} AS of_suffix FROM seen) k LEFT JOIN host h ON k.name = h.name LEFT JOIN domain d ON of_domain = d.name LEFT JOIN suffix s ON of_suffix = s.name, root r)")
     fits = lambda h, p: f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"
     ordered = sorted(urls.RULES, key=lambda r: (-len(r[1]) - len(r[2]), r))
     rule = "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{h}{p}'" for _, h, p in ordered) + " END"

@@ -12,8 +12,9 @@ rule's; the longest fitting rule wins.  The rules are an argument, a list held i
 thousands.
 
 A null URL or one without ``://`` has an empty host and path, no rule and the verdict of the root prior.  The
-registered domain is the last two labels of a host, the suffix the last one; ports and user names stay part of
-the host.  Repeated pages are judged each; a repeated label counts as often as it stands there.
+registered domain is the suffix and the label before it; a host's suffix is its last two labels where they are on the
+list of suffixes (an argument), else its last label.  Reputation is kept by host name alone: ports and user names,
+which are part of the reported host, are left out of it.  Repeated pages are judged each; a repeated label counts as often as it stands there.
 """
 
 from __future__ import annotations
@@ -21,10 +22,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbline.llm.common import UPPER, LOWER, checkpoint, small
+from kerbline.llm.common import LOWER, UPPER, checkpoint, small, unwrapped, wrapped
 
 #: (verdict, host, path)
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
+#: Two-label suffixes under which names are registered; hand in a longer list where one is at hand.
+SUFFIXES = ("ac.uk", "co.uk", "gov.uk", "org.uk", "com.au", "net.au", "org.au", "com.br", "com.mx", "com.ar", "co.jp", "ne.jp", "co.nz", "co.za", "co.in", "com.cn", "com.tr")
 #: Blocked where mean - Z * deviation of the posterior rate of bad pages is over the limit.
 Z, LIMIT = 1.645, 0.2
 MIN_STRENGTH, MAX_STRENGTH = 2.0, 1000.0
@@ -38,12 +41,17 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def domain_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -2)
+def name_of(host: Column) -> Column:
+    """A host without user name and port."""
+    return F.regexp_replace(F.regexp_replace(host, "^.*@", ""), ":[0-9]*$", "")
 
 
-def suffix_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+def domain_of(name: Column, suffixes=SUFFIXES) -> Column:
+    return F.when(F.substring_index(name, ".", -2).isin(*suffixes), F.substring_index(name, ".", -3)).otherwise(F.substring_index(name, ".", -2))
+
+
+def suffix_of(name: Column, suffixes=SUFFIXES) -> Column:
+    return F.when(F.substring_index(name, ".", -2).isin(*suffixes), F.substring_index(name, ".", -2)).otherwise(F.substring_index(name, ".", -1))
 
 
 def best_rule(host: Column, path: Column, rules=RULES) -> Column:
@@ -71,15 +79,16 @@ def _shrunk(children: DataFrame) -> DataFrame:
     return children.crossJoin(F.broadcast(fit.select(strength.alias("strength")))).withColumns({"a": prior * worth + F.col("bad"), "b": (1 - prior) * worth + F.col("n") - F.col("bad")})
 
 
-def reputation(outcomes: DataFrame) -> DataFrame:
+def reputation(outcomes: DataFrame, suffixes=SUFFIXES) -> DataFrame:
     """Labelled pages (host, bad 0/1) -> level, name, a, b: Beta posteriors of the rate of bad pages.
 
     Levels are root, suffix, domain and host.  Labels are counted per host first, so no shuffle carries pages.
     """
-    hosts = checkpoint(outcomes.where(F.col("bad").isNotNull()).groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad")))
+    hosts = checkpoint(outcomes.where(F.col("bad").isNotNull()).groupBy(name_of(F.col("host")).alias("host")).agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad")))
     root = hosts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).select(F.lit("root").alias("level"), F.lit("").alias("name"), (F.col("bad") + 1.0).alias("a"), (F.col("n") - F.col("bad") + 1.0).alias("b"))
     up, levels = root, [root]
-    for level, key, above in (("suffix", suffix_of, lambda h: F.lit("")), ("domain", domain_of, suffix_of), ("host", lambda h: h, domain_of)):
+    suffix, domain = (lambda h: suffix_of(h, suffixes)), (lambda h: domain_of(h, suffixes))
+    for level, key, above in (("suffix", suffix, lambda h: F.lit("")), ("domain", domain, suffix), ("host", lambda h: h, domain)):
         rows = hosts.groupBy(key(F.col("host")).alias("name"), above(F.col("host")).alias("above")).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
         parents = up.select(F.col("name").alias("above"), F.col("a").alias("pa"), F.col("b").alias("pb"), (F.col("a") / (F.col("a") + F.col("b"))).alias("mean"))
         up = checkpoint(_shrunk(rows.join(parents, "above")).select(F.lit(level).alias("level"), "name", "a", "b"))
@@ -95,18 +104,19 @@ def lower_bound(a: Column, b: Column, z: float = Z) -> Column:
     return mean - z * F.sqrt(mean * (1 - mean) / (a + b + 1))
 
 
-def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, z: float = Z, limit: float = LIMIT) -> DataFrame:
+def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, z: float = Z, limit: float = LIMIT, suffixes=SUFFIXES) -> DataFrame:
     """pages (page_id, url) -> page_id, host, path, rule, verdict, and bad_bound: the bound that the method judged by.
 
     ``outcomes`` has host and bad.  Pages are judged per distinct host: hosts are few beside pages, and the table
     of judged hosts is broadcast only where its count allows.
     """
     seen = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    rep = checkpoint(reputation(outcomes))
+    rep = checkpoint(reputation(outcomes, suffixes))
     of = lambda level, name: rep.where(F.col("level") == level).select(F.col("name").alias(name), F.struct("a", "b").alias(f"{level}_ab"))
-    hosts = seen.select("host").distinct().withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))})
+    name = name_of(F.col("host"))
+    hosts = seen.select("host").distinct().withColumns({"name": name, "domain": domain_of(name, suffixes), "suffix": suffix_of(name, suffixes)})
     root = F.broadcast(rep.where(F.col("level") == "root").select(F.struct("a", "b").alias("root_ab")))  # one row
-    judged = hosts.join(of("host", "host"), "host", "left").join(of("domain", "domain"), "domain", "left").join(of("suffix", "suffix"), "suffix", "left").crossJoin(root)
+    judged = hosts.join(of("host", "name"), "name", "left").join(of("domain", "domain"), "domain", "left").join(of("suffix", "suffix"), "suffix", "left").crossJoin(root)
     ab = F.coalesce("host_ab", "domain_ab", "suffix_ab", "root_ab")
     judged = checkpoint(judged.select("host", F.round(lower_bound(ab["a"], ab["b"], z), 6).alias("bad_bound")))
     rule = best_rule(F.col("host"), F.col("path"), rules)
@@ -119,4 +129,4 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, z: float = Z, limi
 def keep(pages: DataFrame, outcomes: DataFrame, **how) -> DataFrame:
     """The pages that are allowed, judged with :func:`judge`; rows keep all their columns."""
     verdicts = judge(pages, outcomes, **how).where(F.col("verdict") == "allow").select(F.col("page_id").alias("kept_id")).distinct()
-    return pages.join(verdicts, F.col("page_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    return unwrapped(wrapped(pages, own_id=F.col("page_id")).join(verdicts, F.col("own_id").eqNullSafe(F.col("kept_id")), "left_semi"))

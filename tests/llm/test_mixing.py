@@ -76,11 +76,38 @@ def test_reruns_partitions_and_rows(spark, docs_of, prose):
     b = sorted(mixing.mix(docs_of(docs).repartition(7)).select("doc_id", "source", "mix_taken").collect(), key=str)
     assert a == b
     mixed = mixing.mix(docs_of(docs))
-    out = mixing.taken(mixed)
+    assert sorted(((r.doc_id, r.taken) for r in mixing.amounts(docs_of(docs)).collect()), key=str) == sorted(((r.doc_id, r.mix_taken) for r in mixed.collect()), key=str)
+    out = mixing.taken(docs_of(docs))
     assert out.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert sum(size(r.text) for r in out.collect()) == sum(r.mix_taken for r in mixed.collect())
 
 
+def test_crossing_range_is_cut_again(spark, docs_of, monkeypatch):
+    """However few rows may be sorted, and however few ranges there are, the result is the same."""
+    docs = [(k, "w " * (k % 9 + 1), f"s{k % 2}") for k in range(400)] + [(None, "x " * (k % 3 + 1), "s0") for k in range(50)]
+    want = sorted(((r.doc_id, r.size, r.taken) for r in mixing.amounts(docs_of(docs)).collect()), key=str)
+    monkeypatch.setattr(mixing, "BUCKETS", 4)
+    monkeypatch.setattr(mixing, "SORTED", 3)
+    assert sorted(((r.doc_id, r.size, r.taken) for r in mixing.amounts(docs_of(docs)).collect()), key=str) == want
+
+
+def test_a_part_is_the_texts_own_beginning(spark, docs_of):
+    docs = [(k, f" one\n\ttwo  three{k} \n four\n", f"s{k % 3}") for k in range(7)]
+    rows = mixing.taken(docs_of(docs)).collect()
+    assert all(docs[r.doc_id][1].startswith(r.text) for r in rows) and any(r.text != docs[r.doc_id][1] for r in rows)
+
+
+def test_own_columns_named_like_ours(spark, docs_of):
+    from pyspark.sql import functions as F
+
+    df = docs_of([(k, "a b c", f"s{k % 2}") for k in range(20)], extra=True)
+    for name in ("mix_goal", "mix_size", "mix_taken", "goal", "row", "id", "taken", "copy", "words"):
+        df = df.withColumn(name, F.lit("mine"))
+    assert mixing.taken_whole(df).columns == df.columns and all(r.mix_size == r.goal == "mine" for r in mixing.taken(df).collect())
+    mixed = mixing.mix(df)
+    assert len(set(mixed.columns)) == len(mixed.columns) and all(r.mix_goal == "mine" and r.mix_size == 3 for r in mixed.collect())
+
+
 def test_empty(spark, docs_of):
     assert mixing.mix(docs_of([])).count() == 0
     only = mixing.mix(docs_of([(1, None, "a"), (2, "", None)])).collect()

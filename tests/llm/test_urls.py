@@ -32,4 +32,17 @@ def test_shrinkage(spark):
     got = [(r.page_id, r.verdict) for r in urls.judge(df, outcomes, rules=()).collect()]
     assert sorted(got) == [(1, "block"), (2, "allow"), (3, "allow"), (4, "allow"), (5, "block"), (5, "block")]
     assert sorted(r.page_id for r in urls.keep(df, outcomes, rules=()).collect()) == [2, 3, 4]
+    named = df.selectExpr("*", "'x' AS kept_id", "'x' AS own_id", "'x' AS row")
+    assert sorted((r.page_id, r.kept_id) for r in urls.keep(named, outcomes, rules=()).collect()) == [(2, "x"), (3, "x"), (4, "x")]
     assert urls.judge(df.limit(0), outcomes).count() == 0
+
+
+def test_registered_domains(spark):
+    names = {"user:pw@shop.a.co.uk:8080": ("shop.a.co.uk", "a.co.uk", "co.uk"), "a.com:8080": ("a.com", "a.com", "com"), "x.y.example.org": ("x.y.example.org", "example.org", "org"), "co.uk": ("co.uk", "co.uk", "co.uk"), "localhost": ("localhost",) * 3, "": ("", "", "")}
+    df = spark.createDataFrame([(h,) for h in names], "host string")
+    name = urls.name_of(df.host)
+    assert {r[0]: tuple(r)[1:] for r in df.select("host", name, urls.domain_of(name), urls.suffix_of(name)).collect()} == names
+    # Two owners under one two-label suffix don't share a reputation; ports of one host do.
+    outcomes = spark.createDataFrame([("bad.co.uk:81", 1)] * 80 + [("good.co.uk", 0)] * 80 + [(f"h{k}.com", 0) for k in range(200)], "host string, bad int")
+    got = {r.host: r.verdict for r in urls.judge(pages(spark, [(k, f"http://{h}/", "", "") for k, h in enumerate(("bad.co.uk", "bad.co.uk:99", "good.co.uk", "never.co.uk"))]), outcomes, rules=()).collect()}
+    assert got["bad.co.uk"] == got["bad.co.uk:99"] == "block" and got["good.co.uk"] == "allow"
