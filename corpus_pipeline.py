@@ -29,7 +29,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, whole; a source's last one comes or stays out by what is nearer its target."""
-    return mixing.taken_whole(mixing.mix(docs, by_text=True)).select(*docs.columns)
+    return mixing.taken_whole(docs)
 
 
 def token_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
