@@ -83,8 +83,38 @@ SEGMENTS_SQL = """SELECT *, (u_lat + v_lat) / 2 AS mid_lat, (u_lon + v_lon) / 2
  concat('R', CAST(p_partkey % 97 AS VARCHAR(6))) AS ref, p_name AS name, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE CAST(p_partkey * 37 % 20000 AS INT) END AS aadt FROM part) seg_rows"""
 ASSETS_SQL = """SELECT s_suppkey AS asset_id, s_name AS asset_name, CAST(s_nationkey % 11 AS INT) AS category, CAST(500 + s_nationkey % 11 * 250 AS INT) AS radius_ft,
  38.8 + (s_suppkey * 6701 % 6000) / 10000.0E0 AS lat, -75.7 + (s_suppkey * 90001 % 4000) / 10000.0E0 AS lon FROM supplier"""
-VIEWS = {"crashes": CRASHES_SQL, "persons": PERSONS_SQL, "vehicles": VEHICLES_SQL, "segments": SEGMENTS_SQL, "assets": ASSETS_SQL}
-_TABLES = {"crashes": ("orders", "customer", "nation"), "persons": ("lineitem",), "vehicles": ("lineitem",), "segments": ("part",), "assets": ("supplier",)}
+_CHOICE = lambda key, *words: f"CASE {key} % {len(words)} " + " ".join(f"WHEN {k} THEN {w if w == 'NULL' else repr(w)}" for k, w in enumerate(words)) + " END"
+_YES = lambda cond: f"CASE WHEN {cond} THEN 'Yes' ELSE 'No' END"
+#: p is the segment's key; every tenth segment repeats the ends, name and source of the one before (q).
+_ROADS = {
+    "seg_id": "p", "fc_code": "CAST(p % 8 AS INT)", "name": "CASE WHEN q % 5 = 0 THEN '' ELSE concat('Street ', CAST(q % 400 AS STRING)) END",
+    "ref": "CASE p % 7 WHEN 0 THEN concat('I ', CAST(p % 99 AS STRING)) WHEN 1 THEN concat('US ', CAST(p % 60 AS STRING), ';DE 4') WHEN 2 THEN CAST(p % 500 AS STRING) WHEN 3 THEN concat('de-', CAST(p % 300 AS STRING)) WHEN 4 THEN '' ELSE concat('Main ', CAST(p % 90 AS STRING)) END",
+    "hpms_route": "CASE p % 11 WHEN 0 THEN concat('SR ', CAST(p % 70 AS STRING)) WHEN 1 THEN '0' ELSE '' END", "sdot_route": _CHOICE("p", "", "", "", "0", "Route A", "", ""),
+    "route": "CASE p % 6 WHEN 0 THEN 'I-95' WHEN 1 THEN 'US 13' WHEN 2 THEN 'Interlake Road' ELSE concat('R', CAST(p % 97 AS STRING)) END",
+    "ownership": _CHOICE("p", "1. State Hwy Agency", "2. County Hwy Agency", "3. City or Town Hwy Agency", "4. Federal Roads", "5. Toll Roads Maintained by Others", "6. Private/Unknown Roads", "Other State Agency", "", "Town"),
+    "hpms_ownership": "CASE WHEN p % 4 = 0 THEN NULL ELSE CAST(p % 81 AS INT) END", "sdot_ownership": _CHOICE("p", "", "2. County Hwy Agency", "The county", "", ""),
+    "system": _CHOICE("p", "", "DOT Primary", "DOT Secondary", "Non-DOT secondary"), "facility": _CHOICE("p", "", "1-One-Way Undivided", "3-Two-Way Undivided", "4-Two-Way Divided", "2-One-Way Divided"),
+    "description": _CHOICE("p", "", "1. Two-Way, Not Divided", "nan"), "control": _CHOICE("p * 3", "", "4. Stop Sign", "3. Traffic Signal", "1. No Traffic Control"), "oneway": _CHOICE("p", "yes", "no", "-1", ""),
+    "lanes": "CAST(p * 5 % 7 AS STRING)", "speed": "CAST(p * 3 % 90 AS STRING)", "area": _CHOICE("p", "Urban", "Suburban", "Rural"), "surface": _CHOICE("p", "", "1. Concrete", "2. Blacktop, Asphalt, Bituminous", "3. Brick or Block", "nan"),
+    "school_zone": _CHOICE("p", "1. Yes", "3. No", "yes", "0", ""), "school_ft": "CAST(p * 13 % 2600 AS INT)", "is_intersection": _YES("p % 3 = 0"), "degree": "CAST(p % 13 AS INT)", "streets": "CASE WHEN p % 2 = 0 THEN CAST(p % 7 AS INT) END",
+    "curve_class": "CAST(p % 6 AS INT)", "is_ramp": _YES("p % 17 = 0"), "grade_class": _CHOICE("p", "", "0", "1", "NULL"), "terrain": "CAST(p * 7 % 4 AS INT)", "aadt": "CASE WHEN p % 3 = 0 THEN NULL ELSE CAST(p * 37 % 2500 * (p % 4) AS INT) END",
+    "u_lat": "38.8 + (q * 7919 % 6000) / 10000.0E0", "u_lon": "-75.7 + (q * 104729 % 4000) / 10000.0E0", "v_lat": "38.8 + (q * 7919 % 6000) / 10000.0E0 + (q % 51 - 25) / 2000.0E0", "v_lon": "-75.7 + (q * 104729 % 4000) / 10000.0E0 + (q % 17 - 8) / 2000.0E0",
+    "road_source": _CHOICE("q", "OSM", "HPMS"), "u_node": "CASE WHEN p % 50 = 0 THEN -1 ELSE p % 500 END", "v_node": "(p * 7 + 1) % 500", "match_ft": "CASE WHEN p % 6 = 0 THEN -1.0E0 ELSE p % 300 * 1.0E0 END",
+    "planning": "CASE p % 4 WHEN 0 THEN 'Dover/Kent MPO' WHEN 1 THEN 'D1' ELSE concat('PD', CAST(p % 3 AS STRING)) END", "mpo": _CHOICE("p * 5", "Dover / Kent MPO", "WILMAPCO", ""), "district": "CASE WHEN p % 5 = 0 THEN '' ELSE concat('D', CAST(p % 3 AS STRING)) END", "county": "CASE p % 4 WHEN 0 THEN '001' WHEN 1 THEN '003' WHEN 2 THEN '005' ELSE '' END",
+    "sdot_speed": "CASE WHEN p % 5 = 0 THEN CAST(p % 90 AS STRING) ELSE '' END", "hpms_speed": "CASE WHEN p % 3 = 0 THEN CAST(p * 7 % 95 AS STRING) ELSE '' END", "map_speed": _CHOICE("p", "35", "", "", ""), "maxspeed": _CHOICE("p", "30", ""),
+    "osm_lanes": "CASE p % 3 WHEN 0 THEN concat(CAST(p % 5 AS STRING), ';2') WHEN 1 THEN 'x' ELSE '' END", "hpms_lanes": "CASE WHEN p % 4 = 0 THEN CAST(p % 14 AS INT) END", "sdot_lanes": "CASE WHEN p % 6 = 0 THEN concat(CAST(p % 5 AS STRING), '.0') ELSE '' END",
+    "osm_surface": _CHOICE("p", "asphalt", "Gravel", "", "sett ", "unknown", "mud"), "hpms_surface": "CASE WHEN p % 3 = 0 THEN CAST(p % 7 AS INT) END", "sdot_surface": _CHOICE("p", "1. Concrete", "5. Dirt", "", "", ""),
+    "hpms_signal": "CASE WHEN p % 2 = 0 THEN CAST(p % 3 AS INT) END", "poi_signal": _YES("p % 5 = 0"), "map_signal": _YES("p % 7 = 0"), "poi_stop": _YES("p % 4 = 1"), "map_stop": _YES("p % 6 = 1"), "map_yield": _YES("p % 9 = 1"), "map_stop_ahead": _YES("p % 8 = 1"),
+    "hpms_stops": "CASE WHEN p % 3 = 0 THEN CAST(p % 2 AS INT) END", "map_stop_lines": "CAST(p % 3 AS INT)", "map_crosswalks": "CAST(p % 4 AS INT)", "poi_crossing": _YES("p % 5 = 2"), "lit": _CHOICE("p", "yes", "no", ""), "lights": "CAST(p % 4 AS INT)",
+    "bridge": _CHOICE("p", "yes", "viaduct", "no", "", "", "", "", ""), "hpms_structure": "CASE WHEN p % 10 = 0 THEN CAST(p % 4 AS INT) END", "near_bridge": _YES("p % 6 = 0"), "near_school": _YES("p % 4 = 0"), "map_school": _YES("p % 7 = 2"),
+    "school_pupils": "CAST(p * 29 % 1500 AS STRING)", "schools": "CAST(p % 6 AS STRING)", "bridge_condition": _CHOICE("p", "Poor", "Fair", "Good", "", "Unknown", "Serious"), "bridge_year": "CASE WHEN p % 12 = 0 THEN '' ELSE CAST(1900 + p % 120 AS STRING) END", "bridge_width": "CAST(p % 20 AS STRING)",
+    "map_guard_rail": _YES("p % 10 = 0"), "hpms_curve": "CASE WHEN p % 3 = 0 THEN CAST(p % 4 AS STRING) ELSE '' END", "curvature": "1 + (p % 20) / 20.0E0", "map_turn": _YES("p % 11 = 0"), "map_winding": _YES("p % 19 = 0"), "s25": "CAST(p % 2 AS INT)", "s35": "CAST(p % 3 AS INT)", "s55": "CASE WHEN p % 5 = 0 THEN 1 ELSE 0 END",
+    "highway": _CHOICE("p", "motorway", "primary", "residential", "footway", "tertiary_link", "service", "trunk", "secondary", "unclassified"), "hpms_fc": "CASE WHEN p % 2 = 0 THEN CAST(p % 8 AS INT) END", "sdot_fc": "CASE WHEN p % 3 = 0 THEN CAST(p * 3 % 8 AS INT) END", "hpms_median": "CAST(p % 6 AS INT)",
+}
+_FC = "CASE fc_code " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in _LABELS["fc_code"].items()) + " ELSE '' END"
+INVENTORY_SQL = f"SELECT *, {_FC} AS fc FROM (SELECT " + ", ".join(f"{e} AS {n}" for n, e in _ROADS.items()) + " FROM (SELECT p_partkey AS p, CASE WHEN p_partkey % 10 = 1 THEN p_partkey - 1 ELSE p_partkey END AS q FROM part) keys) road_rows"
+VIEWS = {"crashes": CRASHES_SQL, "persons": PERSONS_SQL, "vehicles": VEHICLES_SQL, "segments": SEGMENTS_SQL, "assets": ASSETS_SQL, "inventory": INVENTORY_SQL}
+_TABLES = {"crashes": ("orders", "customer", "nation"), "persons": ("lineitem",), "vehicles": ("lineitem",), "segments": ("part",), "assets": ("supplier",), "inventory": ("part",)}
 
 
 def with_views(sql: str, *names: str) -> str:
@@ -122,6 +152,11 @@ def assets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bound(spark, sf_dir, "assets")
 
 
+def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per road segment with the standard columns and those of its sources."""
+    return _bound(spark, sf_dir, "inventory")
+
+
 def yes(c) -> Column:
     """Counts rows where a boolean holds, as long."""
     return F.count(F.when(c, 1))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from kerbline.plans import aggregates, analysis, cleaning, ingest, spatial
+from kerbline.plans import aggregates, analysis, cleaning, ingest, roads, spatial
 
 QUERIES: dict = {}
 SQL: dict = {}
-for _part in (aggregates, cleaning, spatial, analysis, ingest):
+for _part in (aggregates, cleaning, spatial, analysis, ingest, roads):
     QUERIES |= _part.QUERIES
     SQL |= _part.SQL

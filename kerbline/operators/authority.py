@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kerbline.session import small
+
 
 def by_authority(sources: list[tuple[str, Column]], fallback: tuple[str, Column] | None = None) -> dict[str, Column]:
     """value and source of the first source that says something; sources from the highest authority down."""
@@ -78,4 +80,4 @@ def statutory_speed(segments: DataFrame, table: DataFrame) -> DataFrame:
     table: fc_code, area, limit: some dozens of rows.
     """
     area = F.when(F.col("area") == "Suburban", F.when(F.col("fc_code") <= 3, "Rural").otherwise("Urban")).otherwise(F.col("area"))
-    return segments.withColumn("_a", area).join(F.broadcast(table.withColumnRenamed("area", "_a")), ["fc_code", "_a"], "left").select("seg_id", F.coalesce("limit", F.lit(25)).alias("mph"))
+    return segments.withColumn("_a", area).join(small(table.withColumnRenamed("area", "_a")), ["fc_code", "_a"], "left").select("seg_id", F.coalesce("limit", F.lit(25)).alias("mph"))

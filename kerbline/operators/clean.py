@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbline.functions.text import blank_to_null, content_hash, slug
-from kerbline.session import small
+from kerbline.session import in_order, small
 
 
 def rename_to_standard(df: DataFrame, aliases: dict[str, list[str]]) -> DataFrame:
@@ -95,18 +95,20 @@ def upsert(registry: DataFrame, news: DataFrame, key: str) -> DataFrame:
     return registry.join(news.select(key), key, "left_anti").unionByName(news, allowMissingColumns=True)
 
 
-def generate_crash_ids(crashes: DataFrame, prefix: str, order: list[str]) -> DataFrame:
+def padded(number: Column, width: int) -> Column:
+    """Digits with zeros before them up to a width; longer numbers stay whole."""
+    digits = number.cast("string")
+    return F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
+
+
+def generate_crash_ids(crashes: DataFrame, prefix: str, order: list[str], first: int = 1) -> DataFrame:
     """``ST-YYYYMMDD-HHMM-0000001``: rows are range-sorted, counted per partition, and numbered from each partition's offset.
 
-    Offsets are one small row per partition; no task sees more than its own range.
+    Numbers are padded to seven digits and longer from 10,000,000 on.  No task sees more than its own range.
     """
-    tied = crashes.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"_p": F.spark_partition_id()})
-    local = tied.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
-    counts = local.groupBy("_p").agg(F.count("*").alias("_c"))
-    offsets = counts.select("_p", F.coalesce(F.sum("_c").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_o"))
-    seq = F.lpad((F.col("_i") + F.col("_o")).cast("string"), 7, "0")
-    said = F.concat_ws("-", F.lit(prefix), F.date_format("crash_date", "yyyyMMdd"), F.lpad((F.col("hour") * 100 + F.col("minute")).cast("string"), 4, "0"), seq)
-    return local.join(F.broadcast(offsets), "_p").withColumn("document", said).drop("_p", "_i", "_o")
+    number = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) + F.col("_before") + first - 1
+    said = F.concat_ws("-", F.lit(prefix), F.date_format("crash_date", "yyyyMMdd"), F.lpad((F.col("hour") * 100 + F.col("minute")).cast("string"), 4, "0"), padded(number, 7))
+    return in_order(crashes, *order).withColumn("document", said).drop("_part", "_before")
 
 
 # Splits -----------------------------------------------------------------------------------------------------

@@ -62,7 +62,10 @@ def intersection_names(segments: DataFrame) -> DataFrame:
 def fill_from_same_node(crashes: DataFrame) -> DataFrame:
     """Missing positions from the last crash of the same node that has one."""
     known = crashes.where(F.col("lat").isNotNull() & F.col("lon").isNotNull() & (F.col("node") != "")).groupBy("node").agg(F.max_by(F.struct("lat", "lon"), "id").alias("p"))
-    return crashes.join(known, "node", "left").select("id", F.coalesce("lat", F.col("p.lat")).alias("lat"), F.coalesce("lon", F.col("p.lon")).alias("lon"))
+    # Only crashes with a node go through the join: all others would meet on one key.
+    has = F.coalesce(F.col("node"), F.lit("")) != ""
+    filled = crashes.where(has).join(known, "node", "left").select("id", F.coalesce("lat", F.col("p.lat")).alias("lat"), F.coalesce("lon", F.col("p.lon")).alias("lon"))
+    return filled.union(crashes.where(~has).select("id", "lat", "lon"))
 
 
 def fresh(cache: DataFrame, on: str, as_of: str, days: int) -> DataFrame:
@@ -107,9 +110,14 @@ def resolve_geography(crashes: DataFrame, counties: DataFrame, bridge: DataFrame
 
 
 def recommend(crashes: DataFrame, cmfs: DataFrame, location: str, pattern: str, least: int, top: int) -> DataFrame:
-    """Countermeasures for the crash patterns of each location: rating, match and proof add up; the best few stay."""
+    """Countermeasures for the crash patterns of each location: rating, match and proof add up; the best few stay.
+
+    A score hangs on the countermeasure alone, so only the best few of each tag can be among a location's best few:
+    the rest go before the join, and what is joined doesn't grow with the catalogue.
+    """
     patterns = crashes.groupBy(location, F.col(pattern).alias("tag")).agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    tagged = cmfs.select("cmf", "rating", "proven", F.explode("tags").alias("tag"))
     score = F.col("rating") * 10 + 20 + F.when(F.col("proven"), 25).otherwise(0)
-    best = patterns.join(tagged, "tag").groupBy(location, "cmf").agg(F.max(score).alias("score"))
+    tagged = cmfs.select("cmf", score.alias("score"), F.explode("tags").alias("tag")).groupBy("tag", "cmf").agg(F.max("score").alias("score"))
+    few = tagged.withColumn("_r", F.row_number().over(Window.partitionBy("tag").orderBy(F.desc("score"), "cmf"))).where(F.col("_r") <= top).drop("_r")
+    best = patterns.join(few, "tag").groupBy(location, "cmf").agg(F.max("score").alias("score"))
     return best.withColumn("place", F.row_number().over(Window.partitionBy(location).orderBy(F.desc("score"), "cmf")).cast("long")).where(F.col("place") <= top)

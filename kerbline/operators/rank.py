@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kerbline.session import kept, ranked
+
 from kerbline.operators.aggregate import yes
 
 #: Scopes of a rank and the column that names the group; the first ranks all jurisdictions against one another.
@@ -96,10 +98,12 @@ def join_back(crashes: DataFrame, ranks: DataFrame, key: str = "juris") -> DataF
 def rank_assets(crashes: DataFrame, asset: str, order: list[Column], flags: list[str]) -> DataFrame:
     """Counts per asset and its rank; ``order`` are the columns ranked by."""
     n = crashes.where(F.col(asset).isNotNull()).groupBy(asset).agg(F.count("*").alias("total_crashes"), yes(F.col("severity").isin("K", "A")).alias("ksi"), yes(F.col("severity") == "K").alias("fatal"), *[yes(F.col(f"is_{f}")).alias(f) for f in flags])
-    return n.withColumn("safety_rank", F.rank().over(Window.orderBy(*order)).cast("long"))
+    return ranked(n, "safety_rank", *order)
 
 
-def max_normalised(c: str) -> Column:
-    """A figure over its largest, 0 where that is 0; over a grouped table."""
-    top = F.max(c).over(Window.partitionBy())
-    return F.when(top != 0, F.col(c) / top).otherwise(0.0)
+def max_normalised(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` with ``<column>_share``: each figure over the column's largest, 0 where that is 0.  The maxima are one row."""
+    df = kept(df)
+    tops = df.agg(*[F.max(c).alias(f"_top_{c}") for c in columns])
+    share = lambda c: F.when(F.col(f"_top_{c}") != 0, F.col(c) / F.col(f"_top_{c}")).otherwise(0.0)
+    return df.crossJoin(F.broadcast(tops)).withColumns({f"{c}_share": share(c) for c in columns}).drop(*[f"_top_{c}" for c in columns])

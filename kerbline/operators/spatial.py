@@ -12,7 +12,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbline.functions.geo import FT, M_PER_DEG, confidence, haversine_m, point_segment_ft
+from kerbline.functions.geo import FT, M_PER_DEG, confidence, haversine_m
+from kerbline.session import small
 
 
 def cell_size(radius_m: float, max_lat: float = 50.0) -> float:
@@ -55,10 +56,18 @@ def match_points_to_segments(points: DataFrame, segments: DataFrame, within_ft:
     size = max(0.005, pad)
     near = segment_cells(segments.select("seg_id", "u_lat", "u_lon", "v_lat", "v_lon"), size, pad)
     mine = points.select("id", "lat", "lon", _cell(F.col("lat"), size).alias("cy"), _cell(F.col("lon"), size).alias("cx"))
-    d = point_segment_ft(F.col("lat"), F.col("lon"), F.col("u_lat"), F.col("u_lon"), F.col("v_lat"), F.col("v_lon"))
-    pairs = mine.join(near, ["cy", "cx"]).select("id", "seg_id", d.alias("dist_ft")).where(F.col("dist_ft") <= within_ft)
-    best = pairs.groupBy("id").agg(F.min(F.struct("dist_ft", "seg_id")).alias("b"))
-    return best.select("id", F.col("b.seg_id").alias("seg_id"), F.col("b.dist_ft").alias("dist_ft"), confidence(F.col("b.dist_ft")).alias("confidence"))
+    # Degrees of latitude are the unit; a point brings the scale of its longitudes, a segment its steps, so a pair costs
+    # some products, and roots and feet are for winners alone.
+    unit_ft = M_PER_DEG * FT
+    mine = mine.withColumn("kx", F.cos(F.radians("lat")))
+    near = near.select("seg_id", "u_lat", "u_lon", (F.col("v_lat") - F.col("u_lat")).alias("dy"), (F.col("v_lon") - F.col("u_lon")).alias("dlon"), "cy", "cx")
+    pairs = mine.join(near, ["cy", "cx"]).withColumns({"x": (F.col("lon") - F.col("u_lon")) * F.col("kx"), "y": F.col("lat") - F.col("u_lat"), "dx": F.col("dlon") * F.col("kx")})
+    long2 = F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy")
+    pairs = pairs.withColumn("t", F.when(long2 > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col("x") * F.col("dx") + F.col("y") * F.col("dy")) / long2))).otherwise(0.0))
+    px, py = F.col("x") - F.col("t") * F.col("dx"), F.col("y") - F.col("t") * F.col("dy")
+    best = pairs.groupBy("id").agg(F.min(F.struct((px * px + py * py).alias("d2"), "seg_id")).alias("b")).where(F.col("b.d2") <= (within_ft / unit_ft) ** 2)
+    best = best.select("id", F.col("b.seg_id").alias("seg_id"), (F.sqrt("b.d2") * unit_ft).alias("dist_ft"))
+    return best.withColumn("confidence", confidence(F.col("dist_ft")))
 
 
 def nearest_asset_attrs(places: DataFrame, assets: DataFrame, widest_m: float) -> DataFrame:
@@ -70,30 +79,72 @@ def nearest_asset_attrs(places: DataFrame, assets: DataFrame, widest_m: float) -
     return pairs.groupBy("place_id", "category").agg(F.min(F.struct("dist_m", "asset_id")).alias("b"), F.count("*").alias("n")).select("place_id", "category", F.col("b.asset_id").alias("asset_id"), F.col("b.dist_m").alias("dist_m"), "n")
 
 
-def point_in_ring(lat: Column, lon: Column, ring: Column) -> Column:
-    """Ray casting over a closed or open ring of (lon, lat) structs."""
-    ahead = F.concat(F.slice(ring, F.lit(2), F.size(ring) - 1), F.slice(ring, F.lit(1), F.lit(1)))
-    crossing = F.zip_with(ring, ahead, lambda a, b: F.when((a["lat"] > lat) != (b["lat"] > lat), F.when(lon < (b["lon"] - a["lon"]) * (lat - a["lat"]) / (b["lat"] - a["lat"]) + a["lon"], 1).otherwise(0)).otherwise(0))
-    return F.aggregate(crossing, F.lit(0), lambda s, x: s + x) % 2 == 1
+def _edges(rings: Column) -> Column:
+    """The edges of all rings of a polygon."""
 
+    def of(ring):
+        ahead = F.concat(F.slice(ring, F.lit(2), F.size(ring) - 1), F.slice(ring, F.lit(1), F.lit(1)))
+        return F.zip_with(ring, ahead, lambda a, b: F.struct(a["lat"].alias("ay"), a["lon"].alias("ax"), b["lat"].alias("by"), b["lon"].alias("bx")))
 
-def point_in_polygon(points: DataFrame, polygons: DataFrame, size: float = 0.05) -> DataFrame:
+    return F.flatten(F.transform(rings, of))
+
+
+def _crossings(lat: Column, lon: Column, edges: Column) -> Column:
+    """How many edges a ray to the east meets; level ones are met by none."""
+    hit = lambda e: ((e["ay"] > lat) != (e["by"] > lat)) & (lon < F.try_divide((e["bx"] - e["ax"]) * (lat - e["ay"]), e["by"] - e["ay"]) + e["ax"])
+    return F.size(F.filter(edges, hit))
+
+
+def polygon_cells(polygons: DataFrame, size: float) -> DataFrame:
+    """poly_id, cy, cx, edges: a row per cell that a polygon reaches into.
+
+    ``edges`` are those that a ray from a point of the cell can meet; it is null where the cell lies wholly inside.
+    Cells wholly outside give no row.  Holes and further parts are rings like any other: each crossing counts.
+    """
+    rings = F.col("rings") if "rings" in polygons.columns else F.array("ring")
+    rows = polygons.select("poly_id", _edges(rings).alias("edges"), F.transform(F.flatten(rings), lambda p: p["lat"]).alias("ys"), F.transform(F.flatten(rings), lambda p: p["lon"]).alias("xs"))
+    low, high = lambda e, k: F.least(e[f"a{k}"], e[f"b{k}"]), lambda e, k: F.greatest(e[f"a{k}"], e[f"b{k}"])
+    rows = rows.select("poly_id", "edges", "xs", F.explode(F.sequence(_cell(F.array_min("ys"), size), _cell(F.array_max("ys"), size))).alias("cy"))
+    pad = 1e-9  # a cell's bounds and a point's cell are rounded each in its way
+    band = F.filter("edges", lambda e: (low(e, "y") <= (F.col("cy") + 1) * size + pad) & (high(e, "y") >= F.col("cy") * size - pad))
+    rows = rows.select("poly_id", band.alias("edges"), F.col("cy"), F.explode(F.sequence(_cell(F.array_min("xs"), size), _cell(F.array_max("xs"), size))).alias("cx"))
+    ahead = F.filter("edges", lambda e: high(e, "x") >= F.col("cx") * size - pad)
+    touched = F.exists("edges", lambda e: (low(e, "x") <= (F.col("cx") + 1) * size + pad) & (high(e, "x") >= F.col("cx") * size - pad))
+    whole = _crossings((F.col("cy") + 0.5) * size, (F.col("cx") + 0.5) * size, F.col("edges")) % 2 == 1
+    rows = rows.select("poly_id", "cy", "cx", ahead.alias("ahead"), touched.alias("touched"), whole.alias("whole")).where(F.col("touched") | F.col("whole"))
+    return rows.select("poly_id", "cy", "cx", F.when(F.col("touched"), F.col("ahead")).alias("edges"))
+
+
+def point_in_polygon(points: DataFrame, polygons: DataFrame, size: float = 0.02, nearest: DataFrame | None = None) -> DataFrame:
     """id -> poly_id of the polygon a point lies in (the smallest id if several), null outside all.
 
-    polygons: poly_id, ring; each is put in the cells of its bounding box, so a point meets only polygons of its cell.
+    polygons: poly_id and ``ring``, or ``rings`` for holes and several parts; points are (lon, lat) structs.  Polygons
+    are cut to cells once; a point meets those of its cell, and most of them need no test.  ``nearest`` (poly_id,
+    c_lat, c_lon) gives points outside all polygons the nearest centre; a column ``way`` then tells polygon or centre.
     """
-    lat, lon = F.transform("ring", lambda p: p["lat"]), F.transform("ring", lambda p: p["lon"])
-    cells = polygons.withColumn("cy", F.explode(F.sequence(_cell(F.array_min(lat), size), _cell(F.array_max(lat), size)))).withColumn("cx", F.explode(F.sequence(_cell(F.array_min(lon), size), _cell(F.array_max(lon), size))))
     mine = points.select("id", "lat", "lon").withColumns({"cy": _cell(F.col("lat"), size), "cx": _cell(F.col("lon"), size)})
-    found = mine.join(cells, ["cy", "cx"]).where(point_in_ring(F.col("lat"), F.col("lon"), F.col("ring"))).groupBy("id").agg(F.min("poly_id").alias("poly_id"))
-    return points.select("id").join(found, "id", "left")
+    cells = polygon_cells(polygons, size)
+    inside = F.col("edges").isNull() | (_crossings(F.col("lat"), F.col("lon"), F.col("edges")) % 2 == 1)
+    hit = mine.join(cells, ["cy", "cx"], "left").groupBy("id").agg(F.min(F.when(F.col("poly_id").isNotNull() & inside, F.col("poly_id"))).alias("poly_id"))
+    if nearest is None:
+        return hit
+    left = points.select("id", "lat", "lon").join(hit.where(F.col("poly_id").isNull()).select("id"), "id")
+    centre = nearest_centroid(left, nearest.select(F.col("poly_id").alias("centroid_id"), "c_lat", "c_lon")).select("id", F.col("centroid_id").alias("near_id"))
+    both = hit.join(centre, "id", "left")
+    return both.select("id", F.coalesce("poly_id", "near_id").alias("poly_id"), F.when(F.col("poly_id").isNotNull(), "polygon").when(F.col("near_id").isNotNull(), "centre").otherwise("none").alias("way"))
+
+
+#: Centroids that every point may be compared with where no column narrows them down.
+CENTROIDS = 20_000
 
 
 def nearest_centroid(points: DataFrame, centroids: DataFrame, state: str | None = None) -> DataFrame:
     """id -> centroid_id by planar distance to a small stated table, within the same state where one is named."""
     d = F.pow(F.col("lat") - F.col("c_lat"), F.lit(2.0)) + F.pow(F.col("lon") - F.col("c_lon"), F.lit(2.0))
-    on = [state] if state else F.lit(True)
-    return points.join(centroids, on).groupBy("id").agg(F.min(F.struct(F.round(d, 12).alias("d"), "centroid_id")).alias("b")).select("id", F.col("b.centroid_id").alias("centroid_id"))
+    if state is None and centroids.limit(CENTROIDS + 1).count() > CENTROIDS:
+        raise ValueError("name a column that both sides share: so many centroids can't be tried for every point")
+    pairs = points.join(centroids, state) if state else points.crossJoin(F.broadcast(centroids))
+    return pairs.groupBy("id").agg(F.min(F.struct(F.round(d, 12).alias("d"), "centroid_id")).alias("b")).select("id", F.col("b.centroid_id").alias("centroid_id"))
 
 
 def grid_cell_lookup(points: DataFrame, cells: DataFrame, columns: list[str]) -> DataFrame:

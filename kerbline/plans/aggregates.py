@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from kerbline import session
 from kerbline.bindings import crashes, persons, segments, vehicles, with_views
 from kerbline.functions.severity import CLASSES, EPDO_WEIGHTS, epdo
 from kerbline.operators import aggregate as agg
@@ -324,15 +325,14 @@ def _views(spark, d):
     yes = agg.yes
     a = crashes(spark, d).where("node <> ''").groupBy("node").agg(F.count("*").alias("total"), yes(F.col("severity").isin("K", "A")).alias("ksi"), (yes(F.col("is_ped")) + yes(F.col("is_bike"))).alias("vru"), yes(F.col("is_night")).alias("night"), yes(F.col("is_speed")).alias("speed"))
     w = {"ksi": 0.40, "vru": 0.25, "night": 0.15, "speed": 0.10}
-    score = F.lit(w["ksi"]) * rank.max_normalised("ksi")
-    for k in ("vru", "night", "speed"):
-        score = score + F.lit(w[k]) * rank.max_normalised(k)
-    return a.select("node", "total", "ksi", F.round(score * 100, 2).alias("safety_score")).withColumn("safety_rank", F.rank().over(Window.orderBy(F.desc("safety_score"))).cast("long"))
+    score = sum((F.lit(x) * F.col(f"{k}_share") for k, x in list(w.items())[1:]), F.lit(w["ksi"]) * F.col("ksi_share"))
+    scored = rank.max_normalised(a, *w).select("node", "total", "ksi", F.round(score * 100, 2).alias("safety_score"))
+    return session.ranked(scored, "safety_rank", F.desc("safety_score"))
 
 
 @query("max_normalise", "SELECT route, round(coalesce(n * 1.0E0 / nullif(max(n) OVER (), 0), 0), 6) AS share FROM (SELECT route, count(*) AS n FROM crashes GROUP BY route)", "crashes")
 def _norm(spark, d):
-    return crashes(spark, d).groupBy("route").agg(F.count("*").alias("n")).select("route", F.round(rank.max_normalised("n"), 6).alias("share"))
+    return rank.max_normalised(crashes(spark, d).groupBy("route").agg(F.count("*").alias("n")), "n").select("route", F.round("n_share", 6).alias("share"))
 
 
 @query("top_n_per_group", f"SELECT * FROM (SELECT region, route, total, {SCORED}, row_number() OVER (PARTITION BY region ORDER BY K * 883 + A * 94 + B * 21 + C * 11 + O DESC, route) AS place FROM (SELECT region, route, count(*) AS total, {SEV} FROM crashes WHERE route <> '' GROUP BY region, route)) WHERE place <= 10", "crashes")

@@ -11,6 +11,7 @@ from kerbline.operators import authority as au
 from kerbline.operators import forecast as fc
 from kerbline.operators import joins, stats
 from kerbline.operators import validate as va
+from kerbline.session import shared_dir
 from kerbline.streaming import streams
 
 QUERIES, SQL = {}, {}
@@ -112,38 +113,12 @@ def _report(spark, d):
 
 # Authority and risk -----------------------------------------------------------------------------------------
 
-_SPD = "CASE WHEN seg_id % 5 = 0 AND lanes_code BETWEEN 5 AND 85 THEN lanes_code END AS s1, CASE WHEN seg_id % 3 = 0 THEN 45 END AS s2, CASE WHEN seg_id % 2 = 0 AND lanes_code + 30 BETWEEN 5 AND 85 THEN lanes_code + 30 END AS s3"
-
-
-@query("resolve_speed_limit", f"SELECT seg_id, CAST(coalesce(s1, s2, s3, CASE WHEN fc_code = 7 THEN CASE WHEN own_code = 3 THEN 25 ELSE 50 END WHEN fc_code IN (5, 6) THEN 35 END) AS INT) AS value, CASE WHEN s1 IS NOT NULL THEN 'StateDOT' WHEN s2 IS NOT NULL THEN 'HPMS' WHEN s3 IS NOT NULL THEN 'Mapillary' WHEN fc_code IN (5, 6, 7) THEN 'Statutory' ELSE '' END AS source FROM (SELECT *, {_SPD} FROM segments)", "segments")
-def _speed(spark, d):
-    when = lambda k, c: F.when(F.col("seg_id") % k == 0, c.cast("string"))
-    v = au.resolve_speed(when(5, F.col("lanes_code")), when(3, F.lit(45)), when(2, F.col("lanes_code") + 30), F.lit("none"), F.col("fc_code") == 7, F.col("own_code") == 3, F.col("fc_code").isin(5, 6))
-    return segments(spark, d).select("seg_id", *[c.alias(k) for k, c in v.items()])
-
-
-@query("merge_standard_columns", "SELECT seg_id, coalesce(CASE WHEN seg_id % 4 = 0 THEN 'Concrete' END, CASE WHEN seg_id % 3 = 0 THEN 'Asphalt' END, 'Unknown') AS value, CASE WHEN seg_id % 4 = 0 THEN 'StateDOT' WHEN seg_id % 3 = 0 THEN 'HPMS' ELSE 'default' END AS source FROM segments", "segments")
-def _merge(spark, d):
-    v = au.by_authority([("StateDOT", F.when(F.col("seg_id") % 4 == 0, "Concrete")), ("HPMS", F.when(F.col("seg_id") % 3 == 0, "Asphalt"))], ("default", F.lit("Unknown")))
-    return segments(spark, d).select("seg_id", *[c.alias(k) for k, c in v.items()])
-
-
-@query("confidence_scores", "SELECT seg_id, CASE WHEN seg_id % 2 = 0 AND seg_id % 3 = 0 AND seg_id % 5 = 0 THEN 90 WHEN (seg_id % 2 = 0)::INT + (seg_id % 3 = 0)::INT + (seg_id % 5 = 0)::INT = 2 THEN 75 WHEN (seg_id % 2 = 0)::INT + (seg_id % 3 = 0)::INT + (seg_id % 5 = 0)::INT = 1 THEN 50 ELSE 0 END AS score FROM segments", "segments")
-def _agreement(spark, d):
-    return segments(spark, d).select("seg_id", au.agreement([F.when(F.col("seg_id") % k == 0, 2) for k in (2, 3, 5)]).alias("score"))
-
 
 @query("freshness_score", "SELECT id, CASE WHEN a < 365.25 THEN 100 WHEN a < 730.5 THEN 80 WHEN a < 1461 THEN 60 WHEN a < 2922 THEN 40 ELSE 20 END AS score FROM (SELECT id, date_diff('day', crash_date, DATE '2004-01-01') AS a FROM crashes)", "crashes")
 def _fresh(spark, d):
     return crashes(spark, d).select("id", au.freshness(F.col("crash_date"), F.lit("2004-01-01").cast("date")).alias("score"))
 
 
-@query("risk_indicators", "SELECT seg_id, CASE WHEN (seg_id % 2 = 0)::INT + (seg_id % 3 = 0)::INT + (seg_id % 7 = 0)::INT >= 2 THEN 'Yes' ELSE 'No' END AS transition, CASE WHEN (seg_id % 2 = 0)::INT + (seg_id % 3 = 0)::INT + (seg_id % 7 = 0)::INT >= 2 THEN greatest(CASE WHEN seg_id % 2 = 0 THEN 25 END, CASE WHEN seg_id % 3 = 0 THEN 35 END, CASE WHEN seg_id % 7 = 0 THEN 55 END) - least(CASE WHEN seg_id % 2 = 0 THEN 25 END, CASE WHEN seg_id % 3 = 0 THEN 35 END, CASE WHEN seg_id % 7 = 0 THEN 55 END) ELSE 0 END AS diff FROM segments", "segments")
-def _risk(spark, d):
-    v = au.speed_transition({mph: (F.col("seg_id") % k == 0).cast("int") for mph, k in ((25, 2), (35, 3), (55, 7))})
-    return segments(spark, d).select("seg_id", *[c.alias(k) for k, c in v.items()])
-
-
 @query("traffic_engineering", "SELECT seg_id, vc, CASE WHEN vc <= 0 THEN '' WHEN vc <= 0.6 THEN 'A' WHEN vc <= 0.7 THEN 'B' WHEN vc <= 0.8 THEN 'C' WHEN vc <= 0.9 THEN 'D' WHEN vc <= 1.0 THEN 'E' ELSE 'F' END AS los, CASE WHEN aadt > 0 THEN round(lanes_code * 1.0E0 / aadt * 100, 1) ELSE 0.0E0 END AS truck_pct, CASE WHEN aadt > 0 AND fc_code > 0 THEN CAST(round(aadt * fc_code / 100.0E0) AS INT) ELSE 0 END AS peak_hour FROM (SELECT *, least(5.0E0, round(aadt / ((lanes_code * 10) * 0.5E0 * 365) * 10, 2)) AS vc FROM segments WHERE aadt IS NOT NULL)", "segments")
 def _traffic(spark, d):
     v = au.traffic_engineering(F.col("aadt"), F.col("lanes_code") * 10, F.lit(0.0), F.col("lanes_code"), F.col("fc_code"), F.lit(0))
@@ -155,11 +130,6 @@ def _curve(spark, d):
     return segments(spark, d).select("seg_id", au.curve_class(1 + F.col("lanes_code") / 60.0, F.when(F.col("seg_id") % 11 == 0, 4), F.col("seg_id") % 13 == 0).alias("curve"))
 
 
-@query("road_fixes_13", "SELECT seg_id, CASE WHEN aadt % 100 IN (0, 99) THEN NULL ELSE aadt END AS aadt, CASE WHEN lanes_code > 40 THEN 40 ELSE lanes_code END AS lanes, coalesce(nullif(trim(surface_source), ''), 'Unknown') AS surface FROM segments", "segments")
-def _fixes(spark, d):
-    return segments(spark, d).select("seg_id", F.when(au.sentinels(F.col("aadt") % 100, (0, 99)).isNotNull(), F.col("aadt")).alias("aadt"), F.least("lanes_code", F.lit(40)).alias("lanes"), F.coalesce(F.nullif(F.trim("surface_source"), F.lit("")), F.lit("Unknown")).alias("surface"))
-
-
 _LAW = [(f, a, m) for f, (r, u) in {1: (65, 55), 2: (55, 45), 3: (50, 35), 4: (50, 35), 5: (50, 25), 6: (50, 25), 7: (25, 25)}.items() for a, m in (("Rural", r), ("Urban", u))]
 
 
@@ -177,11 +147,11 @@ def _baselines(spark, d):
     return stats.baselines(crashes(spark, d), "node")
 
 
-@query("over_representation", "WITH l AS (SELECT juris, collision, count(*) AS n FROM crashes GROUP BY ALL), b AS (SELECT collision, count(*) * 1.0E0 / (SELECT count(*) FROM crashes) AS rate FROM crashes GROUP BY collision) SELECT juris, collision, n, CAST(sum(n) OVER (PARTITION BY juris) AS BIGINT) AS total, round(n * 1.0E0 / sum(n) OVER (PARTITION BY juris) / rate, 4) AS ori FROM l JOIN b USING (collision)", "crashes")
+@query("over_representation", "WITH l AS (SELECT juris, collision, count(*) AS n FROM crashes GROUP BY ALL), b AS (SELECT collision, count(*) * 1.0E0 / (SELECT count(*) FROM crashes) AS rate FROM crashes GROUP BY collision), x AS (SELECT juris, collision, n, rate, CAST(sum(n) OVER (PARTITION BY juris) AS BIGINT) AS total FROM l JOIN b USING (collision)), y AS (SELECT *, greatest(0, abs(n - total * rate) - 0.5E0) / sqrt(total * rate * (1 - rate)) AS z FROM x), w AS (SELECT *, 1 / (1 + 0.2316419E0 * z) AS t FROM y) SELECT juris, collision, n, total, round(n * 1.0E0 / total / rate, 4) AS ori, round(least(1.0E0, 2 * exp(-z * z / 2) * 0.3989422804014327E0 * (0.319381530E0 * t - 0.356563782E0 * t ** 2 + 1.781477937E0 * t ** 3 - 1.821255978E0 * t ** 4 + 1.330274429E0 * t ** 5)), 6) AS p_value FROM w", "crashes")
 def _ori(spark, d):
     c = crashes(spark, d)
     n = lambda *k: c.groupBy(*k).agg(F.count("*").alias("n"))
-    return stats.over_representation(n("juris", "collision"), n("collision"), ["juris"], "collision").drop("p_value")
+    return stats.over_representation(n("juris", "collision"), n("collision"), ["juris"], "collision")
 
 
 @query("psi", "WITH o AS (SELECT node, count(*) AS n FROM crashes WHERE node <> '' GROUP BY node), e AS (SELECT avg(n) AS x FROM o) SELECT node, n, round(0.5E0 / (0.5E0 + x) * x + (1 - 0.5E0 / (0.5E0 + x)) * n - x, 4) AS psi, round(x + 1.645E0 * sqrt(x) + 0.5E0, 4) AS critical, n > round(x + 1.645E0 * sqrt(x) + 0.5E0, 4) AS flag FROM o, e", "crashes")
@@ -295,14 +265,7 @@ def _movement(spark, d):
 # Streams: each runs over what has landed and must equal the batch result -----------------------------------
 
 
-def _folder(spark):
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or _own(spark)
-
-
-def _own(spark):
-    import tempfile
-
-    return tempfile.mkdtemp(prefix="spark-streams-")
+_folder = shared_dir
 
 
 @query("stream_dedup_content_hash", "SELECT user_id, event_type, count(*) AS n FROM (SELECT DISTINCT ts, user_id, event_type, value FROM events) GROUP BY ALL")

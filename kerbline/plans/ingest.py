@@ -298,13 +298,6 @@ def _sections(spark, d):
     return rows.where(F.length("s") >= 50).select("doc_id", F.col("section").cast("long").alias("section"), F.substring("s", 1, 8000).alias("passage"))
 
 
-@query("road_rules_12", "SELECT seg_id, CASE WHEN lanes_code BETWEEN lo AND hi THEN lanes_code ELSE dflt END AS mph, lanes_code NOT BETWEEN lo AND hi AS fixed FROM segments JOIN (VALUES (1, 55, 85, 65), (2, 45, 70, 55), (3, 30, 65, 45), (4, 25, 55, 40), (5, 25, 55, 35), (6, 20, 50, 30), (7, 15, 45, 25)) t(f, lo, hi, dflt) ON fc_code = f", "segments")
-def _rules(spark, d):
-    limits = spark.createDataFrame([(1, 55, 85, 65), (2, 45, 70, 55), (3, 30, 65, 45), (4, 25, 55, 40), (5, 25, 55, 35), (6, 20, 50, 30), (7, 15, 45, 25)], "fc_code int, lo int, hi int, dflt int")
-    ok = F.col("lanes_code").between(F.col("lo"), F.col("hi"))
-    return segments(spark, d).join(F.broadcast(limits), "fc_code").select("seg_id", F.when(ok, F.col("lanes_code")).otherwise(F.col("dflt")).alias("mph"), (~ok).alias("fixed"))
-
-
 @query("osm_attribute_derivation", "SELECT seg_id, CASE WHEN seg_id % 4 = 0 THEN '4. One-Way, Not Divided' WHEN seg_id % 4 = 1 THEN '2. Two-Way, Divided, Unprotected Median' ELSE '1. Two-Way, Not Divided' END AS description FROM segments", "segments")
 def _osm(spark, d):
     k = F.col("seg_id") % 4

@@ -136,11 +136,56 @@ def _ring_sql(lat="lat", lon="lon"):
     return "CAST(CASE " + " ".join(cases) + " END AS BIGINT)"
 
 
-for _name in ("point_in_polygon_county", "point_in_polygon_place", "point_in_polygon_mpo"):
+def _at(x, y, *steps):
+    """Vertices as SQL of a key k: a base point and steps from it."""
+    return [(f"{x} + {a!r}E0", f"{y} + {b!r}E0") for a, b in steps]
 
-    @query(_name, f"SELECT id, {_ring_sql()} AS poly_id FROM crashes", "crashes")
-    def _pip(spark, d):
-        return sp.point_in_polygon(crashes(spark, d), _polygons(spark))
+
+_KEY, _REGION = "n_nationkey", "n_regionkey"
+_CX, _CY = f"-75.7E0 + {_KEY} % 5 * 0.08E0", f"38.8E0 + ({_KEY} - {_KEY} % 5) / 5 * 0.12E0"
+_PX, _PY = f"-75.65E0 + ({_KEY} * 7 % 30) / 100.0E0", f"38.85E0 + ({_KEY} * 17 % 50) / 100.0E0"
+_MX, _MY = f"-75.7E0 + {_REGION} * 0.07E0", f"38.8E0 + {_REGION} * 0.1E0"
+#: layer -> (key, rings): counties with a notch, places of two parts and a hole, overlapping MPO areas.
+_LAYERS = {
+    "county": (_KEY, [_at(_CX, _CY, (0.0, 0.0), (0.08, 0.0), (0.08, 0.12), (0.04, 0.1), (0.0, 0.12))]),
+    "place": (_KEY, [_at(_PX, _PY, (-0.03, -0.03), (0.03, -0.03), (0.03, 0.03), (-0.03, 0.03)), _at(_PX, _PY, (-0.01, -0.01), (-0.01, 0.01), (0.01, 0.01), (0.01, -0.01)), _at(_PX, _PY, (0.05, 0.0), (0.09, 0.01), (0.06, 0.04))]),
+    "mpo": (_REGION, [_at(_MX, _MY, (0.0, 0.05), (0.05, 0.0), (0.15, 0.0), (0.2, 0.06), (0.12, 0.15), (0.03, 0.13))]),
+}
+
+
+def _layer(spark, d, name):
+    """poly_id and rings of a layer, one polygon per county or region of the given tables."""
+    key, rings = _LAYERS[name]
+    ring = lambda vertices: f"array({', '.join(f'named_struct({chr(39)}lon{chr(39)}, {x}, {chr(39)}lat{chr(39)}, {y})' for x, y in vertices)})"
+    return spark.sql(f"SELECT DISTINCT CAST({key} AS BIGINT) AS poly_id, array({', '.join(map(ring, rings))}) AS rings, {rings[0][0][0]} + 0.04E0 AS c_lon, {rings[0][0][1]} + 0.05E0 AS c_lat FROM {{n}}", n=table(spark, d, "nation"))
+
+
+def _layer_sql(name: str) -> str:
+    """Every point with every polygon, by the parity of the edges that a ray to the east meets."""
+    key, rings = _LAYERS[name]
+    edges = " UNION ALL ".join(f"SELECT DISTINCT {key} AS poly_id, {r * 100 + k} AS e, {ax} AS ax, {ay} AS ay, {bx} AS bx, {by} AS b_y FROM nation" for r, ring in enumerate(rings) for k, ((ax, ay), (bx, by)) in enumerate(zip(ring, ring[1:] + ring[:1])))
+    hits = f"SELECT c.id, p.poly_id FROM crashes c JOIN ({edges}) p ON (ay > lat) <> (b_y > lat) AND lon < (bx - ax) * (lat - ay) / nullif(b_y - ay, 0) + ax GROUP BY c.id, p.poly_id HAVING count(*) % 2 = 1"
+    return f"SELECT c.id, CAST(min(h.poly_id) AS BIGINT) AS poly_id FROM crashes c LEFT JOIN ({hits}) h ON c.id = h.id GROUP BY c.id"
+
+
+_COUNTY_CENTRES = f"SELECT {_KEY} AS k, {_CX} + 0.0E0 + 0.04E0 AS c_lon, {_CY} + 0.0E0 + 0.05E0 AS c_lat FROM nation"
+
+
+@query("point_in_polygon_county", f"SELECT c.id, CAST(coalesce(p.poly_id, (SELECT min_by(k, round(pow(c.lat - c_lat, 2) + pow(c.lon - c_lon, 2), 12) * 1e6 + k * 1e-9) FROM ({_COUNTY_CENTRES}))) AS BIGINT) AS poly_id, CASE WHEN p.poly_id IS NULL THEN 'centre' ELSE 'polygon' END AS way FROM crashes c JOIN ({_layer_sql('county')}) p ON c.id = p.id", "crashes")
+def _pip_county(spark, d):
+    """Counties by polygon, points outside all by the nearest centre."""
+    layer = _layer(spark, d, "county")
+    return sp.point_in_polygon(crashes(spark, d), layer, nearest=layer.select("poly_id", "c_lat", "c_lon"))
+
+
+@query("point_in_polygon_place", _layer_sql("place"), "crashes")
+def _pip_place(spark, d):
+    return sp.point_in_polygon(crashes(spark, d), _layer(spark, d, "place"))
+
+
+@query("point_in_polygon_mpo", _layer_sql("mpo"), "crashes")
+def _pip_mpo(spark, d):
+    return sp.point_in_polygon(crashes(spark, d), _layer(spark, d, "mpo"))
 
 
 @query("area_type", f"SELECT id, CASE {_ring_sql()} WHEN 1 THEN 'Urban' WHEN 2 THEN 'Suburban' ELSE 'Rural' END AS area FROM crashes", "crashes")
@@ -343,9 +388,9 @@ def _compare(spark, d):
     return one("R1").alias("a").join(F.broadcast(one("R2")).alias("b")).select((F.col("a.total") - F.col("b.total")).alias("diff_total"), (F.col("a.epdo") - F.col("b.epdo")).alias("diff_epdo"))
 
 
-@query("recommend_countermeasures", "SELECT node, cmf, score, place FROM (SELECT node, cmf, score, row_number() OVER (PARTITION BY node ORDER BY score DESC, cmf) AS place FROM (SELECT c.node, p.p_partkey AS cmf, max(p.p_size % 5 * 10 + 20 + CASE WHEN p.p_size % 2 = 0 THEN 25 ELSE 0 END) AS score FROM (SELECT node, collision FROM crashes WHERE node <> '' GROUP BY ALL HAVING count(*) >= 5) c JOIN part p ON p.p_partkey < 200 AND CASE p.p_partkey % 5 WHEN 0 THEN 'BUILDING' WHEN 1 THEN 'MACHINERY' WHEN 2 THEN 'AUTOMOBILE' WHEN 3 THEN 'FURNITURE' ELSE 'HOUSEHOLD' END = c.collision GROUP BY ALL)) WHERE place <= 5", "crashes")
+@query("recommend_countermeasures", "SELECT node, cmf, score, place FROM (SELECT node, cmf, score, row_number() OVER (PARTITION BY node ORDER BY score DESC, cmf) AS place FROM (SELECT c.node, p.p_partkey AS cmf, max(p.p_size % 5 * 10 + 20 + CASE WHEN p.p_size % 2 = 0 THEN 25 ELSE 0 END) AS score FROM (SELECT node, collision FROM crashes WHERE node <> '' GROUP BY ALL HAVING count(*) >= 5) c JOIN part p ON CASE p.p_partkey % 5 WHEN 0 THEN 'BUILDING' WHEN 1 THEN 'MACHINERY' WHEN 2 THEN 'AUTOMOBILE' WHEN 3 THEN 'FURNITURE' ELSE 'HOUSEHOLD' END = c.collision GROUP BY ALL)) WHERE place <= 5", "crashes")
 def _recommend(spark, d):
     k = F.col("p_partkey") % 5
     tag = F.when(k == 0, "BUILDING").when(k == 1, "MACHINERY").when(k == 2, "AUTOMOBILE").when(k == 3, "FURNITURE").otherwise("HOUSEHOLD")
-    cmfs = table(spark, d, "part").where("p_partkey < 200").select(F.col("p_partkey").alias("cmf"), F.array(tag).alias("tags"), (F.col("p_size") % 5).alias("rating"), (F.col("p_size") % 2 == 0).alias("proven"))
+    cmfs = table(spark, d, "part").select(F.col("p_partkey").alias("cmf"), F.array(tag).alias("tags"), (F.col("p_size") % 5).alias("rating"), (F.col("p_size") % 2 == 0).alias("proven"))
     return joins.recommend(crashes(spark, d).where("node <> ''"), cmfs, "node", "collision", 5, 5)
