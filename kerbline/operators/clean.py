@@ -28,10 +28,8 @@ def decode_code_columns(df: DataFrame, maps: dict[str, dict[str, str]]) -> DataF
 
 
 def map_values(c: Column, mapping: dict[str, str], default: Column | None = None) -> Column:
-    out = c if default is None else default
-    for k, v in mapping.items():
-        out = F.when(c == k, v).otherwise(out)
-    return out
+    known = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
+    return F.coalesce(F.try_element_at(known, c), c if default is None else default)
 
 
 def pack_columns(df: DataFrame, core: list[str], bags: dict[str, list[str]]) -> DataFrame:

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from kerbline.bindings import assets, crashes, segments, table, with_views
+from kerbline.bindings import assets, crashes, persons, segments, table, vehicles, with_views
 from kerbline.functions import geo, text
 from kerbline.operators import aggregate as agg
 from kerbline.operators import clean, normalise
@@ -52,29 +52,99 @@ def _typed(spark, d):
     return io.typed_crashes(raw, "when", "sev").drop("when", "sev")
 
 
+def _pick(k: int, *words):
+    """One of some words by a crash's id; None is null."""
+    out = F.lit(None).cast("string")
+    for n, w in enumerate(words):
+        out = F.when(F.col("id") % k == n, F.lit(w)).otherwise(out)
+    return out
+
+
+def _told(k: int, *words) -> str:
+    return f"CASE id % {k} " + " ".join(f"WHEN {n} THEN {'NULL' if w is None else repr(w)}" for n, w in enumerate(words)) + " END"
+
+
 def _colorado(spark, d):
+    """A Colorado export: two units in columns side by side, injuries as counts, words of its own."""
     c = crashes(spark, d)
-    return c.select(F.col("id").cast("string").alias("CUID"), F.lit("x").alias("System Code"), F.date_format("crash_date", "MM/dd/yyyy").alias("Crash Date"), F.col("route").alias("Rd_Number"), F.when(F.col("collision") == "BUILDING", "Rear-End").otherwise("Other").alias("Crash Type"), F.lit("Rain").alias("Weather Condition"), F.lit("0").alias("Injury 00"), *[F.col(f"{k}_people").cast("string").alias(f"Injury 0{n}") for n, k in ((4, "k"), (3, "a"), (2, "b"), (1, "c"))], F.when(F.col("is_ped"), "Pedestrian").alias("TU-1 NM Type"), F.when(F.col("is_bike"), "Bicycle").alias("TU-2 NM Type"), F.when(F.col("is_hitrun"), "TRUE").otherwise("FALSE").alias("TU-2 Hit And Run"))
+    text_of = lambda x: F.col(x).cast("string")
+    return c.select(
+        text_of("id").alias("CUID"), _pick(5, "Interstate Highway", "State Highway", "County Road", "City Street", "Odd").alias("System Code"), F.date_format("crash_date", "MM/dd/yyyy").alias("Crash Date"), F.concat(F.lpad(text_of("hour"), 2, "0"), F.lit(":"), F.lpad(text_of("minute"), 2, "0"), F.lit(":00")).alias("Crash Time"),
+        F.concat(F.lit("0"), F.col("id") % 90 + 1, F.when(F.col("id") % 2 == 0, "A").otherwise("")).alias("Rd_Number"), _pick(3, "Main St", "", "Elm Ave").alias("Location 1"), _pick(2, "Broadway", "").alias("Location 2"), F.lit("Denver").alias("City"), F.lit("77").alias("Agency Id"),
+        _pick(7, "Rear-End", "Broadside", "Wild Animal", "Guardrail Face", "", "Something", "Pedestrian").alias("Crash Type"), F.lit("Ditch").alias("MHE"), _pick(3, "Tree", "Front to Rear", "").alias("First HE"), _pick(5, "Clear", "Blowing Snow", "Fog", "Wind", "Hail").alias("Weather Condition"),
+        _pick(4, "Daylight", "Dark \u2013 Lighted", "Dawn or Dusk", "Dark - Unlighted").alias("Lighting Conditions"), _pick(3, "Dry", "Icy W/Visible Icy Road Treatment", "Lava").alias("Road Condition"), _pick(4, "At Intersection", "Driveway Access Related", "Roundabout", "Elsewhere").alias("Road Description"), _pick(2, "Shoulder", "Nowhere").alias("Location"),
+        _pick(3, "Curve Left", "Straight", "Curve Right").alias("Road Contour Curves"), _pick(2, "Uphill", "Level").alias("Road Contour Grade"), F.lit("0").alias("Injury 00"), *[text_of(f"{k}_people").alias(f"Injury 0{n}") for n, k in ((4, "k"), (3, "a"), (2, "b"), (1, "c"))],
+        F.when(F.col("is_ped"), "Pedestrian").alias("TU-1 NM Type"), F.when(F.col("is_bike"), "Bicycle").alias("TU-2 NM Type"), F.when(F.col("is_hitrun"), "TRUE").otherwise("FALSE").alias("TU-2 Hit And Run"), _pick(5, "No", "Yes - BAC", "No", "Unknown", "").alias("TU-1 Alcohol Suspected"),
+        _pick(4, "Exceeded Speed Limit", "Went ahead", None, "Cell Phone in use").alias("TU-1 Driver Action"), _pick(6, "None", "Asleep at wheel", "", "Speeding", "Fatigue", None).alias("TU-2 Human Contributing Factor"), (F.col("id") % 80).cast("string").alias("TU-1 Age"), (F.col("id") * 3 % 80).cast("string").alias("TU-2 Age"),
+        _pick(3, "Not Used", "Shoulder belt", "Improperly Used").alias("TU-2 Safety restraint Use"), _pick(5, "Motorcycle", "Passenger Car", "School Bus", "Truck Tractor/Semi-Trailer", None).alias("TU-1 Type"), _pick(9, "Yes - SFST", "No", "", "", "", "", "", "", "").alias("TU-2 Marijuana Suspected"), F.when(F.col("is_school_zone"), "TRUE").otherwise("FALSE").alias("School Zone"),
+    )
+
+
+_UNIT_FLAGS = {
+    "is_ped": "is_ped OR id % 7 = 6", "is_bike": "is_bike", "is_hitrun": "is_hitrun", "is_alcohol": "id % 5 = 1", "is_speed": "id % 4 = 0 OR id % 6 = 3", "is_motorcycle": "id % 5 = 0", "is_distracted": "id % 4 = 3", "is_drowsy": "id % 6 IN (1, 4)", "is_drug": "id % 9 = 0", "is_unrestrained": "id % 3 <> 1", "is_animal": "id % 7 = 2",
+    "is_guardrail": "id % 7 = 3", "is_lgtruck": "id % 5 IN (2, 3)", "is_school_zone": "is_school_zone", "is_night": "id % 4 IN (1, 3)", "is_young": "id % 80 BETWEEN 16 AND 20 OR id * 3 % 80 BETWEEN 16 AND 20", "is_senior": "id % 80 >= 65 OR id * 3 % 80 >= 65",
+}
+_CO = f"""SELECT CAST(id AS VARCHAR) AS document, crash_date, lpad(CAST(hour * 100 + minute AS VARCHAR), 4, '0') AS military, severity, {_told(7, '1. Rear End', '2. Angle', '10. Deer/Animal', '9. Fixed Object - Off Road', '9. Fixed Object - Off Road', '16. Other', '12. Ped')} AS collision,
+ {_told(5, normalise.CLEAR, '4. Snow', '3. Fog/Smog/Smoke', '8. Severe Crosswinds', 'Hail')} AS weather, CASE WHEN id % 4 = 2 THEN CASE WHEN hour >= 12 THEN '3. Dusk' ELSE '1. Dawn' END ELSE {_told(4, '2. Daylight', '4. Darkness - Road Lighted', '', '5. Darkness - Road Not Lighted')} END AS light, {_told(3, '1. Dry', '5. Ice', 'Lava')} AS surface,
+ {_told(4, '4. Four Approaches', '2. Two Approaches', '5. Roundabout', '1. Not at Intersection')} AS intersection, {_told(4, '9. Within Intersection', '8. Non-Intersection', '9. Within Intersection', 'Elsewhere')} AS relation, {_told(5, 'Interstate', 'Primary', 'Non-DOT secondary', 'Non-DOT secondary', 'Non-DOT secondary')} AS system,
+ {_told(5, text.OWNERS['state'], text.OWNERS['state'], text.OWNERS['county'], text.OWNERS['city'], '')} AS ownership, {_told(5, '3. Two-Way, Divided, Positive Median Barrier', '2. Two-Way, Divided, Unprotected Median', *['1. Two-Way, Not Divided'] * 3)} AS description, {_told(2, '2. Shoulder', 'Nowhere')} AS harmful_place, 'Denver' AS co_city, {_told(3, 'Main St', None, 'Elm Ave')} AS co_location_1 FROM crashes"""
+
+
+@query("normalize_colorado", _CO, "crashes")
+def _norm_co(spark, d):
+    return normalise.detect_and_normalise(_colorado(spark, d)).select("document", "crash_date", "military", "severity", "collision", "weather", "light", "surface", "intersection", "relation", "system", "ownership", "description", "harmful_place", "co_city", "co_location_1")
 
 
-@query("normalize_colorado", "SELECT CAST(id AS VARCHAR) AS document, crash_date, severity, CASE WHEN collision = 'BUILDING' THEN '1. Rear End' ELSE 'Other' END AS collision, '5. Rain' AS weather, CASE WHEN is_ped THEN 'Yes' ELSE 'No' END AS is_ped, CASE WHEN is_bike THEN 'Yes' ELSE 'No' END AS is_bike, CASE WHEN is_hitrun THEN 'Yes' ELSE 'No' END AS is_hitrun FROM crashes", "crashes")
-def _norm_co(spark, d):
-    return normalise.detect_and_normalise(_colorado(spark, d)).select("document", "crash_date", "severity", "collision", "weather", "is_ped", "is_bike", "is_hitrun")
+@query("unit_flags_any", "SELECT CAST(id AS VARCHAR) AS document, " + ", ".join(f"CASE WHEN {c} THEN 'Yes' ELSE 'No' END AS {k}" for k, c in _UNIT_FLAGS.items()) + " FROM crashes", "crashes")
+def _unit_flags(spark, d):
+    """Flags that any of a crash's units sets, over all unit columns of the export."""
+    return normalise.detect_and_normalise(_colorado(spark, d)).select("document", *_UNIT_FLAGS)
 
 
-QUERIES["unit_flags_any"], SQL["unit_flags_any"] = QUERIES["normalize_colorado"], SQL["normalize_colorado"]
-QUERIES["scan_state_file_by_signature"], SQL["scan_state_file_by_signature"] = QUERIES["normalize_colorado"], SQL["normalize_colorado"]
+@query("null_not_tracked_flags", "SELECT CAST(id AS VARCHAR) AS document, CASE WHEN is_ped OR id % 7 = 6 THEN 'Yes' ELSE 'No' END AS is_ped, CAST(NULL AS VARCHAR) AS is_work_zone FROM crashes", "crashes")
+def _not_tracked(spark, d):
+    """A flag that no column of the file tells is null: the export above has no work zones."""
+    return normalise.detect_and_normalise(_colorado(spark, d)).select("document", "is_ped", "is_work_zone")
+
+
+#: Headers of files and the layout they are: all required ones, most of all, or too few.
+_HEADERS = {
+    "full": ["CUID", "System Code", "Injury 00", "Injury 04"], "most": ["crash_datetime", "latitude", "longitude", "county_name", "alcohol_involved", "drug_involved"], "statewide": ["report_no", "acrs_report_type", "road_name", "county_desc", "acc_date"],
+    "few": ["crash_datetime", "latitude", "county_name"], "none": ["a", "b"],
+}
+
+
+@query("scan_state_file_by_signature", "SELECT juris, file, layout, count(*) AS n FROM crashes CROSS JOIN (VALUES ('full', 'colorado'), ('most', 'delaware'), ('statewide', 'maryland_statewide'), ('few', 'unknown'), ('none', 'unknown')) t(file, layout) GROUP BY ALL", "crashes")
+def _signature(spark, d):
+    """Files of several layouts are told by their headers, also where a required one is missing, and unknown ones are kept apart."""
+    path, out = _path(spark), []
+    c = crashes(spark, d).select("juris")
+    for name, headers in _HEADERS.items():
+        c.select("juris", *[F.lit("x").alias(h) for h in headers]).write.option("header", True).csv(f"{path}/{name}")
+        got = io.read_csv_text(spark, f"{path}/{name}")
+        out.append(got.groupBy("juris").agg(F.count("*").alias("n")).withColumns({"file": F.lit(name), "layout": F.lit(normalise.detect([h for h in got.columns if h != "juris"]))}))
+    return io.union_files(out).select("juris", "file", "layout", "n")
+
+
+@query("coalesce_alias_columns", "SELECT id, CASE WHEN id % 3 = 0 THEN concat('A', CAST(id AS VARCHAR)) WHEN id % 3 = 1 THEN concat('B', CAST(id AS VARCHAR)) END AS document, CASE WHEN id % 2 = 0 THEN nullif(route, '') ELSE 'named' END AS road, CAST(NULL AS VARCHAR) AS absent FROM crashes", "crashes")
+def _aliases(spark, d):
+    c = crashes(spark, d)
+    raw = c.select(F.col("id").cast("string").alias("ID"), F.when(F.col("id") % 3 == 0, F.concat(F.lit("A"), "id")).otherwise(" ").alias("report_number"), F.when(F.col("id") % 3 == 1, F.concat(F.lit("B"), "id")).otherwise("nan").alias("Report_No"), F.when(F.col("id") % 2 == 0, F.col("route")).otherwise("named").alias("road_name"))
+    return normalise.coalesce_aliases(raw, {"id": ("id",), "document": ("report_number", "report_no"), "road": ("street", "road_name"), "absent": ("nowhere",)}).withColumn("id", F.col("id").cast("long"))
+
 
+_MD = f"SELECT CAST(id AS VARCHAR) AS document, crash_date, lpad(CAST(hour * 100 + minute AS VARCHAR), 4, '0') AS military, CASE severity WHEN 'K' THEN 'K' WHEN 'A' THEN 'B' ELSE 'O' END AS severity, nullif(route, '') AS route, {_told(6, '1. Rear End', '2. Angle', '3. Head On', '14. Fixed Object', '16. Other', '16. Other')} AS collision, {_told(4, normalise.CLEAR, '5. Rain', '7. Blowing Sand/Dust', 'Odd')} AS weather, {_told(3, '4. Darkness - Road Lighted', '3. Dusk', '6. Dark - Unknown')} AS light, CASE WHEN is_hitrun THEN 'Yes' ELSE 'No' END AS is_hitrun FROM crashes"
 
-@query("normalize_maryland", "SELECT CAST(id AS VARCHAR) AS document, crash_date, lpad(CAST(hour * 100 + minute AS VARCHAR), 4, '0') AS military, CASE severity WHEN 'K' THEN 'K' WHEN 'A' THEN 'B' ELSE 'O' END AS severity, route, collision, CASE WHEN is_hitrun THEN 'Yes' ELSE 'No' END AS is_hitrun FROM (SELECT * REPLACE (nullif(route, '') AS route) FROM crashes)", "crashes")
+
+@query("normalize_maryland", _MD, "crashes")
 def _norm_md(spark, d):
+    """Both spellings of the state's exports, every other row in each; words in any case."""
     c, odd = crashes(spark, d), F.col("id") % 2 == 0
     ts = F.concat(F.date_format("crash_date", "yyyy-MM-dd"), F.lit("T"), F.lpad(F.col("hour").cast("string"), 2, "0"), F.lit(":"), F.lpad(F.col("minute").cast("string"), 2, "0"), F.lit(":00"))
-    raw = c.select(F.when(odd, F.col("id").cast("string")).alias("report_number"), F.when(~odd, F.col("id").cast("string")).alias("report_no"), ts.alias("crash_date_time"), F.when(F.col("severity") == "K", "Fatal Crash").when(F.col("severity") == "A", "Injury Crash").otherwise("Property Damage Crash").alias("acrs_report_type"), F.col("route").alias("road_name"), F.when(odd, F.col("collision")).alias("collision_type"), F.when(~odd, F.col("collision")).alias("collision_type_desc"), F.when(F.col("is_hitrun"), "Yes").otherwise("No").alias("hit_run"))
-    return normalise.detect_and_normalise(raw).select("document", "crash_date", "military", "severity", "route", "collision", "is_hitrun")
-
-
-QUERIES["coalesce_alias_columns"], SQL["coalesce_alias_columns"] = QUERIES["normalize_maryland"], SQL["normalize_maryland"]
+    words = {"collision_type": _pick(6, "SAME DIR REAR END", "Angle Meets Left Turn", "Head On", "Single Vehicle", "OTHER", "Meteor"), "weather": _pick(4, "Cloudy", "RAINING", "Blowing Sand, Soil, Dirt", "Odd"), "light": _pick(3, "DARK-LIGHTS ON", "Dusk", "Dark -- Unknown Lighting")}
+    halves = [F.when(mine, c_).alias(name + tail) for name, c_ in words.items() for tail, mine in (("", odd), ("_desc", ~odd))]
+    raw = c.select(F.when(odd, F.col("id").cast("string")).alias("report_number"), F.when(~odd, F.col("id").cast("string")).alias("report_no"), ts.alias("crash_date_time"), F.when(F.col("severity") == "K", "Fatal Crash").when(F.col("severity") == "A", "INJURY CRASH").otherwise("Property Damage Crash").alias("acrs_report_type"), F.col("route").alias("road_name"), *halves, F.when(F.col("is_hitrun"), "Yes").otherwise("No").alias("hit_run"))
+    return normalise.detect_and_normalise(raw).select("document", "crash_date", "military", "severity", "route", "collision", "weather", "light", "is_hitrun")
 
 
 @query("normalize_delaware", "SELECT crash_date, year, CASE severity WHEN 'K' THEN 'K' WHEN 'A' THEN 'B' ELSE 'O' END AS severity, juris, CASE WHEN is_alcohol THEN 'Yes' ELSE 'No' END AS is_alcohol, CASE WHEN is_ped THEN 'Yes' ELSE 'No' END AS is_ped, count(*) AS n FROM crashes GROUP BY ALL", "crashes")
@@ -84,15 +154,15 @@ def _norm_de(spark, d):
     return normalise.detect_and_normalise(raw).groupBy("crash_date", "year", "severity", "juris", "is_alcohol", "is_ped").agg(F.count("*").alias("n"))
 
 
-@query("normalize_virginia", "SELECT CAST(id AS VARCHAR) AS document, crash_date, severity, nullif(route, '') AS route, nullif(node, '') AS node, CASE WHEN collision = 'BUILDING' THEN '1. Rear End' ELSE '2. Angle' END AS collision, CASE WHEN is_alcohol THEN 'Yes' ELSE 'No' END AS is_alcohol FROM crashes", "crashes")
-def _norm_va(spark, d):
-    raw = crashes(spark, d).select(F.col("id").cast("string").alias("Document Nbr"), F.unix_millis(F.col("crash_date").cast("timestamp")).cast("string").alias("Crash Date"), F.col("severity").alias("Crash Severity"), F.col("route").alias("RTE Name"), F.lit("x").alias("SYSTEM"), F.col("node").alias("Node"), F.when(F.col("collision") == "BUILDING", "1").otherwise("2").alias("Collision Type"), F.when(F.col("is_alcohol"), "1").otherwise("0").alias("Alcohol?"))
-    return normalise.detect_and_normalise(raw).select("document", "crash_date", "severity", "route", "node", "collision", "is_alcohol")
+_VA = {"collision": ("Collision Type", "id % 17", normalise.VA_COLLISION), "weather": ("Weather Condition", "id % 12", normalise.VA_WEATHER), "light": ("Light Condition", "id % 8", normalise.VA_LIGHT), "surface": ("Roadway Surface Condition", "id % 12", normalise.VA_SURFACE), "alignment": ("Roadway Alignment", "id % 11", normalise.VA_ALIGNMENT), "intersection": ("Intersection Type", "id % 7", normalise.VA_INTERSECTION)}
 
 
-@query("null_not_tracked_flags", "SELECT id, CAST(NULL AS VARCHAR) AS drowsy, CASE WHEN is_speed THEN 'Yes' ELSE 'No' END AS speed FROM crashes", "crashes")
-def _not_tracked(spark, d):
-    return crashes(spark, d).select("id", F.lit(None).cast("string").alias("drowsy"), text.yes_no(F.col("is_speed")).alias("speed"))
+@query("normalize_virginia", "SELECT CAST(id AS VARCHAR) AS document, crash_date, severity, nullif(route, '') AS route, nullif(node, '') AS node, " + ", ".join(f"CASE {code} " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in values.items()) + f" ELSE CAST({code} AS VARCHAR) END AS {name}" for name, (_, code, values) in _VA.items()) + ", CASE WHEN is_alcohol THEN 'Yes' ELSE 'No' END AS is_alcohol FROM crashes", "crashes")
+def _norm_va(spark, d):
+    """Codes become their labels; codes without one stay."""
+    coded = [F.expr(f"CAST({code} AS STRING)").alias(source) for source, code, _ in _VA.values()]
+    raw = crashes(spark, d).select(F.col("id").cast("string").alias("Document Nbr"), F.unix_millis(F.col("crash_date").cast("timestamp")).cast("string").alias("Crash Date"), F.col("severity").alias("Crash Severity"), F.col("route").alias("RTE Name"), F.lit("x").alias("SYSTEM"), F.col("node").alias("Node"), *coded, F.when(F.col("is_alcohol"), "1").otherwise("0").alias("Alcohol?"))
+    return normalise.detect_and_normalise(raw).select("document", "crash_date", "severity", "route", "node", *_VA, "is_alcohol")
 
 
 @query("prefix_extra_columns", "SELECT id, route AS de_Route, own_code AS de_Own_Code FROM crashes", "crashes")
@@ -100,12 +170,16 @@ def _prefix(spark, d):
     return clean.prefix_extra_columns(crashes(spark, d).select("id", "route", "own_code", F.lit("g").alias("geometry")), ["id"], "de")
 
 
-@query("scan_yearly_triple", "SELECT year, count(DISTINCT st_case) AS cases, count(*) AS persons FROM persons WHERE st_case % 3 = 0 GROUP BY year", "persons")
+@query("scan_yearly_triple", "WITH a AS (SELECT id AS st_case, year FROM crashes WHERE id % 3 = 0) SELECT a.year, count(*) AS cases, CAST(sum(p) AS BIGINT) AS persons, CAST(sum(v) AS BIGINT) AS vehicles FROM a LEFT JOIN (SELECT st_case, count(*) AS p FROM persons GROUP BY 1) USING (st_case) LEFT JOIN (SELECT st_case, count(*) AS v FROM vehicles GROUP BY 1) USING (st_case) GROUP BY a.year", "crashes", "persons", "vehicles")
 def _triple(spark, d):
-    from kerbline.bindings import persons
-
-    p = persons(spark, d).withColumn("state", (F.col("st_case") % 3).cast("string"))
-    return p.where(F.col("state").try_cast("int") == 0).groupBy("year").agg(F.countDistinct("st_case").alias("cases"), F.count("*").alias("persons"))
+    """Accident, person and vehicle files of every year, read back, united over the years and cut to one state."""
+    path = _path(spark)
+    acc = crashes(spark, d).select(F.col("id").alias("ST_CASE"), "year", (F.col("id") % 3).cast("string").alias("STATE"))
+    states = acc.withColumnRenamed("ST_CASE", "CASE_NO")
+    for name, rows in {"accident": acc, "person": persons(spark, d).drop("year").join(states, F.col("st_case") == F.col("CASE_NO")).select("CASE_NO", "year", "STATE", "per_typ"), "vehicle": vehicles(spark, d).drop("year").join(states, F.col("st_case") == F.col("CASE_NO")).select("CASE_NO", "year", "STATE", "body_typ")}.items():
+        rows.write.partitionBy("year").option("header", True).csv(f"{path}/{name}")
+    mine = lambda name: spark.read.option("header", True).csv(f"{path}/{name}").where(F.col("STATE").try_cast("int") == 0).groupBy("year").agg(F.count("*").alias(name))
+    return mine("accident").join(mine("person"), "year", "left").join(mine("vehicle"), "year", "left").select(F.col("year").cast("int").alias("year"), F.col("accident").alias("cases"), F.col("person").alias("persons"), F.col("vehicle").alias("vehicles"))
 
 
 @query("union_files_by_name", "SELECT o_orderkey AS id, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS status FROM orders")
@@ -197,7 +271,22 @@ def _poly(spark, d):
     return segments(spark, d).select("seg_id", F.round(geo.point_polyline_ft(F.col("mid_lat"), F.col("mid_lon"), _bent()), 2).alias("ft"))
 
 
-QUERIES["point_segment_distance_ft"], SQL["point_segment_distance_ft"] = QUERIES["point_linestring_distance_ft"], SQL["point_linestring_distance_ft"]
+@query("point_segment_distance_ft", f"SELECT seg_id, round(sqrt(pow(x - t * dx, 2) + pow(y - t * dy, 2)) * {geo.M_PER_DEG!r} * {geo.FT}, 1) AS ft FROM (SELECT *, greatest(0.0E0, least(1.0E0, coalesce((x * dx + y * dy) / nullif(dx * dx + dy * dy, 0), 0.0E0))) AS t FROM (SELECT seg_id, (-75.5E0 - u_lon) * k AS x, 39.1E0 - u_lat AS y, (v_lon - u_lon) * k AS dx, v_lat - u_lat AS dy FROM (SELECT *, cos(radians(39.1E0)) AS k FROM segments)))", "segments")
+def _point_segment(spark, d):
+    """From one point to every segment: beside it, before its start or behind its end."""
+    return segments(spark, d).select("seg_id", F.round(geo.point_segment_ft(F.lit(39.1), F.lit(-75.5), F.col("u_lat"), F.col("u_lon"), F.col("v_lat"), F.col("v_lon")), 1).alias("ft"))
+
+
+@query("bearing_and_angle", "SELECT seg_id, round(b, 4) AS bearing, round(least(abs(b - 90), 360 - abs(b - 90)), 4) AS off_east FROM (SELECT seg_id, (degrees(atan2(sin(radians(v_lon - u_lon)) * cos(radians(v_lat)), cos(radians(u_lat)) * sin(radians(v_lat)) - sin(radians(u_lat)) * cos(radians(v_lat)) * cos(radians(v_lon - u_lon)))) + 360) % 360 AS b FROM segments)", "segments")
+def _bearing(spark, d):
+    b = geo.bearing(F.col("u_lat"), F.col("u_lon"), F.col("v_lat"), F.col("v_lon"))
+    return segments(spark, d).select("seg_id", F.round(b, 4).alias("bearing"), F.round(geo.angle_diff(b, F.lit(90.0)), 4).alias("off_east"))
+
+
+@query("haversine_units", f"SELECT seg_id, round(m / 1609.344E0, 6) AS miles, round(m * {geo.FT}, 1) AS ft, round(m / 1000, 6) AS km FROM (SELECT seg_id, {_hav('u_lat', 'u_lon', 'v_lat', 'v_lon')} AS m FROM segments)", "segments")
+def _units(spark, d):
+    ends = [F.col(x) for x in ("u_lat", "u_lon", "v_lat", "v_lon")]
+    return segments(spark, d).select("seg_id", F.round(geo.haversine_miles(*ends), 6).alias("miles"), F.round(geo.haversine_ft(*ends), 1).alias("ft"), F.round(geo.haversine_m(*ends) / 1000, 6).alias("km"))
 
 
 @query("centroid_bbox_of_rings", "SELECT seg_id, round((u_lat + v_lat + v_lat) / 3, 6) AS lat, round((u_lon + u_lon + v_lon) / 3, 6) AS lon, least(u_lat, v_lat) AS lat_min, greatest(u_lon, v_lon) AS lon_max FROM segments", "segments")
@@ -289,7 +378,12 @@ def _hierarchy(spark, d):
     return named.join(n.select(F.lower("n_name").alias("key"), "n_name"), "key").groupBy("region").agg(F.array_join(F.array_sort(F.collect_list("n_name")), ",").alias("counties"), F.count("*").alias("n"))
 
 
-QUERIES["regroup_geography"], SQL["regroup_geography"] = QUERIES["build_hierarchy_table"], SQL["build_hierarchy_table"]
+@query("regroup_geography", f"SELECT tier, entity, name, count(*) AS n, round(avg(m), 2) AS mean_length FROM (SELECT fips AS f, tier, entity, concat(tier, ' ', entity) AS name FROM ({BRIDGE})) b JOIN (SELECT seg_id % 25 AS f, {_hav('u_lat', 'u_lon', 'v_lat', 'v_lon')} AS m FROM segments) s USING (f) GROUP BY ALL", "segments")
+def _regroup(spark, d):
+    """Segments grouped anew by every tier that their county belongs to."""
+    s = segments(spark, d).select((F.col("seg_id") % 25).cast("int").alias("fips"), geo.haversine_m(F.col("u_lat"), F.col("u_lon"), F.col("v_lat"), F.col("v_lon")).alias("m"))
+    b = bridge(spark, d).select(F.col("fips").cast("int").alias("fips"), "tier", "entity", F.concat_ws(" ", "tier", "entity").alias("name"))
+    return s.join(b, "fips").groupBy("tier", "entity", "name").agg(F.count("*").alias("n"), F.round(F.avg("m"), 2).alias("mean_length"))
 
 
 @query("flatten_manual_sections", "SELECT doc_id, i AS section, substr(s, 1, 8000) AS passage FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS s, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents) WHERE length(s) >= 50")
@@ -331,12 +425,20 @@ def _poi_tags(spark, d):
     return rows.select("osm_id", category.alias("category"), F.when(category == "motorway_junction", F.try_element_at("tags", F.lit("ref"))).otherwise("").alias("subcategory"))
 
 
-@query("road_departure_builders", "SELECT id, CASE WHEN collision IN ('MACHINERY', 'FURNITURE') THEN 'RD_LEFT' ELSE 'NOT_RD' END AS departure, CASE WHEN id % 2 = 0 AND id % 3 = 0 THEN '4. Grade - Curve' WHEN id % 2 = 0 THEN '2. Curve - Level' WHEN id % 3 = 0 THEN '3. Grade - Straight' ELSE '1. Straight - Level' END AS alignment, CASE WHEN route < collision THEN concat(route, ' & ', collision) ELSE concat(collision, ' & ', route) END AS node FROM crashes WHERE route <> ''", "crashes")
+_NUM = "CAST(id % 90 + 1 AS VARCHAR)"
+
+
+@query("road_departure_builders", f"""SELECT CAST(id AS VARCHAR) AS document, 'RD_UNKNOWN' AS departure, CASE WHEN id % 3 <> 1 AND id % 2 = 0 THEN '4. Grade - Curve' WHEN id % 3 <> 1 THEN '2. Curve - Level' WHEN id % 2 = 0 THEN '3. Grade - Straight' ELSE '1. Straight - Level' END AS alignment,
+ CASE WHEN id % 4 IN (0, 2) AND id % 3 <> 1 AND id % 2 = 0 THEN CASE WHEN id % 3 = 0 THEN 'Broadway & Main St' ELSE 'Broadway & Elm Ave' END ELSE '' END AS node,
+ CASE id % 5 WHEN 0 THEN concat('I-', {_NUM}) WHEN 1 THEN CASE id % 3 WHEN 0 THEN 'Main St' WHEN 2 THEN 'Elm Ave' ELSE concat('CO-', {_NUM}) END ELSE CASE id % 3 WHEN 0 THEN 'Main St' WHEN 2 THEN 'Elm Ave' ELSE concat('Road 0', {_NUM}, CASE WHEN id % 2 = 0 THEN 'A' ELSE '' END) END END AS route FROM crashes""", "crashes")
 def _builders(spark, d):
-    """Departure by keyword, alignment from curve and grade, node names of two roads in order."""
-    curve, grade = F.col("id") % 2 == 0, F.col("id") % 3 == 0
-    alignment = F.when(curve & grade, "4. Grade - Curve").when(curve, "2. Curve - Level").when(grade, "3. Grade - Straight").otherwise("1. Straight - Level")
-    return crashes(spark, d).where("route <> ''").select("id", F.when(F.col("collision").rlike("MACHINERY|FURNITURE"), "RD_LEFT").otherwise("NOT_RD").alias("departure"), alignment.alias("alignment"), F.array_join(F.array_sort(F.array("route", "collision")), " & ").alias("node"))
+    """Departure by harmful event, alignment from curve and grade, node names of two roads in order, routes by system."""
+    raw = _colorado(spark, d)
+    c = F.col
+    return raw.select(
+        c("CUID").alias("document"), normalise.departure_type(c("MHE"), c("First HE")).alias("departure"), normalise.alignment_of(c("`Road Contour Curves`"), c("`Road Contour Grade`")).alias("alignment"),
+        normalise.node_of_roads(c("`Road Description`"), c("`Location 1`"), c("`Location 2`")).alias("node"), normalise.route_by_system(c("`System Code`"), c("Rd_Number"), c("`Location 1`")).alias("route"),
+    )
 
 
 @query("normalize_template", "SELECT concat_ws('-', 'DE', strftime(crash_date, '%Y%m%d'), lpad(CAST(hour * 100 + minute AS VARCHAR), 4, '0'), lpad(CAST(row_number() OVER (ORDER BY crash_date, id) AS VARCHAR), 7, '0')) AS document, severity, epdo FROM crashes", "crashes")
