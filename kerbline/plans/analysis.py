@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kerbline.bindings import assets, crashes, segments, table, with_views
+from kerbline.bindings import assets, crashes, inventory, segments, table, with_views
+from kerbline.functions.geo import FT
 from kerbline.functions.text import OWNERS
 from kerbline.operators import aggregate as agg
 from kerbline.operators import authority as au
 from kerbline.operators import forecast as fc
-from kerbline.operators import joins, stats
+from kerbline.operators import build, joins, stats
 from kerbline.operators import validate as va
+from kerbline.plans.spatial import _hav, _layer, _segment_match
 from kerbline.session import shared_dir
 from kerbline.streaming import streams
 
@@ -90,12 +92,15 @@ def _sanity(spark, d):
 
 @query("intersection_analysis", f"SELECT id, CASE WHEN node = '' THEN 'Not Intersection' WHEN ownership = '{OWNERS['state']}' THEN 'DOT Intersection' ELSE 'Urban Intersection' END AS kind FROM crashes", "crashes")
 def _analysis(spark, d):
-    return crashes(spark, d).select("id", F.when(F.col("node") == "", "Not Intersection").when(F.col("ownership") == OWNERS["state"], "DOT Intersection").otherwise("Urban Intersection").alias("kind"))
+    kind = F.when(F.col("node") == "", "1. Not at Intersection").otherwise("4. Four Approaches")
+    return crashes(spark, d).select("id", build.intersection_analysis(kind, F.col("ownership")).alias("kind"))
 
 
-@query("people_minimums", "SELECT id, CAST(greatest(k_people, CASE WHEN severity = 'K' THEN 1 ELSE 0 END) AS BIGINT) AS k_people, CAST(a_people + b_people + c_people AS BIGINT) AS injured, CASE WHEN is_ped AND severity = 'K' THEN 1 ELSE 0 END AS ped_killed FROM crashes", "crashes")
+@query("people_minimums", "SELECT id, CAST(greatest(k_people, CASE WHEN severity = 'K' THEN 1 ELSE 0 END) AS BIGINT) AS k_people, CAST(a + b + c AS BIGINT) AS injured, CASE WHEN is_ped AND (k_people > 0 OR severity = 'K') THEN 1 ELSE 0 END AS ped_killed, CASE WHEN is_ped AND a + b + c > 0 THEN 1 ELSE 0 END AS ped_injured FROM (SELECT *, greatest(CASE WHEN id % 4 = 0 THEN 0 ELSE a_people END, CASE WHEN severity = 'A' THEN 1 ELSE 0 END) AS a, greatest(b_people, CASE WHEN severity = 'B' THEN 1 ELSE 0 END) AS b, greatest(c_people, CASE WHEN severity = 'C' THEN 1 ELSE 0 END) AS c FROM crashes)", "crashes")
 def _people(spark, d):
-    return crashes(spark, d).select("id", F.greatest(F.col("k_people"), F.when(F.col("severity") == "K", 1).otherwise(0)).cast("long").alias("k_people"), (F.col("a_people") + F.col("b_people") + F.col("c_people")).cast("long").alias("injured"), F.when(F.col("is_ped") & (F.col("severity") == "K"), 1).otherwise(0).alias("ped_killed"))
+    """Every fourth crash states nobody badly hurt, which its severity may contradict."""
+    c = crashes(spark, d).withColumn("a_people", F.when(F.col("id") % 4 == 0, 0).otherwise(F.col("a_people")))
+    return build.people(c).select("id", "k_people", "injured", "ped_killed", "ped_injured")
 
 
 @query("blank_beyond_threshold", "SELECT seg_id, CASE WHEN lanes_code * 40 <= 1000 THEN name END AS nearest, lanes_code * 40 AS dist_ft FROM segments", "segments")
@@ -305,21 +310,61 @@ def _upserts(spark, d):
 # Whole-table jobs -------------------------------------------------------------------------------------------
 
 
-@query("enrich_pipeline", "SELECT id, CASE WHEN node = '' THEN 'Not Intersection' ELSE 'Intersection' END AS kind, coalesce(g.n_name, '') AS county, epdo FROM crashes c LEFT JOIN nation g ON c.fips = g.n_nationkey", "crashes")
+_NODE_SQL = "SELECT node AS node_id, streets, min(lat) AS lat, min(lon) AS lon FROM (SELECT u_node AS node, u_lat AS lat, u_lon AS lon FROM segments UNION ALL SELECT v_node, v_lat, v_lon FROM segments) JOIN (SELECT node AS n, count(*) AS degree, count(DISTINCT other) AS streets FROM (SELECT u_node AS node, v_node AS other FROM segments UNION ALL SELECT v_node, u_node FROM segments) GROUP BY node HAVING count(*) >= 3) ON node = n GROUP BY ALL"
+_OWNER = "CASE own_code " + " ".join(f"WHEN {k} THEN '{OWNERS[w]}'" for k, w in enumerate(("state", "county", "city", "federal", "toll", "private"), 1)) + " ELSE '' END"
+_ENRICH = f"""WITH m AS ({_segment_match()}), n AS (SELECT id, node_id, streets FROM (SELECT c.id, n.node_id, n.streets, row_number() OVER (PARTITION BY c.id ORDER BY round({_hav('c.lat', 'c.lon', 'n.lat', 'n.lon')}, 3), n.node_id) AS r FROM crashes c JOIN ({_NODE_SQL}) n ON abs(c.lat - n.lat) < 0.01 AND abs(c.lon - n.lon) < 0.01 AND {_hav('c.lat', 'c.lon', 'n.lat', 'n.lon')} <= 500) WHERE r = 1),
+ x AS (SELECT c.*, CASE WHEN c.id % 3 = 0 THEN 'O' ELSE c.severity END AS stated, m.seg_id, m.confidence, s.name AS road_name, s.ref AS road_ref, {_OWNER.replace('own_code', 's.own_code')} AS road_owner, n.node_id, n.streets, g.n_name FROM crashes c LEFT JOIN m ON c.id = m.id LEFT JOIN segments s ON m.seg_id = s.seg_id LEFT JOIN n ON c.id = n.id LEFT JOIN nation g ON c.fips = g.n_nationkey),
+ y AS (SELECT *, CASE WHEN node_id IS NULL OR streets < 3 THEN '1. Not at Intersection' WHEN streets >= 5 THEN '5. Five-Point, or More' WHEN streets = 4 THEN '4. Four Approaches' ELSE '3. Three Approaches' END AS intersection FROM x)
+ SELECT id, severity, severity <> stated AS severity_fixed, CAST(k_people AS BIGINT) AS k_people, CAST(a_people + b_people + c_people AS BIGINT) AS injured, CASE WHEN is_ped AND k_people > 0 THEN 1 ELSE 0 END AS ped_killed, CASE WHEN is_ped AND a_people + b_people + c_people > 0 THEN 1 ELSE 0 END AS ped_injured, seg_id, coalesce(confidence, 'none') AS confidence, coalesce(nullif(route, ''), nullif(road_ref, ''), '') AS route, road_name,
+ node_id, intersection, CASE WHEN intersection LIKE '1%' THEN 'Not Intersection' WHEN coalesce(road_owner, ownership) = '{OWNERS['state']}' THEN 'DOT Intersection' ELSE 'Urban Intersection' END AS analysis, coalesce(n_name, '') AS county FROM y"""
+
+
+@query("enrich_pipeline", _ENRICH, "crashes", "segments")
 def _enrich(spark, d):
-    c = crashes(spark, d)
+    """Every third crash states no injury, which its people contradict."""
+    s = segments(spark, d)
+    c = crashes(spark, d).withColumn("severity", F.when(F.col("id") % 3 == 0, "O").otherwise(F.col("severity")))
+    ends = F.array(*[F.struct(F.col(f"{x}_node").alias("node"), F.col(f"{x}_lat").alias("lat"), F.col(f"{x}_lon").alias("lon")) for x in "uv"])
+    nodes = agg.graph_degree(s).select(F.col("node").alias("node_id"), "streets").join(s.select(F.explode(ends).alias("e")).groupBy(F.col("e.node").alias("node_id")).agg(F.min("e.lat").alias("t_lat"), F.min("e.lon").alias("t_lon")), "node_id")
     look = table(spark, d, "nation").select(F.col("n_nationkey").cast("int").alias("fips"), F.col("n_name").alias("county"))
-    return va.check_severity(c).join(look, "fips", "left").select("id", F.when(F.col("node") == "", "Not Intersection").otherwise("Intersection").alias("kind"), F.coalesce("county", F.lit("")).alias("county"), "epdo")
+    return build.enrich(c, s.withColumn("owner", F.expr(_OWNER)), nodes, look, node_m=500.0)
+
+
+_SUB = lambda name: f"({catalog_sql(name)})"
+
+
+def catalog_sql(name: str) -> str:
+    """The SQL of another query, for a job that chains its operator."""
+    from kerbline.plans import roads as road_plans
+    from kerbline.plans import spatial as spatial_plans
 
+    return {**spatial_plans.SQL, **road_plans.SQL}[name]
 
-@query("build_road_inventory")
+
+def _mids_sql() -> str:
+    """Segments' middles in the place of crashes, for the polygon query's SQL."""
+    from kerbline.plans.spatial import _layer_sql
+
+    return _layer_sql("county")
+
+
+_BUILT = f"""WITH crashes AS (SELECT seg_id AS id, (u_lat + v_lat) / 2 AS lat, (u_lon + v_lon) / 2 AS lon FROM inventory), county AS ({_mids_sql()}),
+ pairs AS (SELECT c.id, a.category, {_hav('c.lat', 'c.lon', 'a.lat', 'a.lon')} AS m, radius_ft / {FT} AS r FROM crashes c JOIN assets a ON abs(c.lat - a.lat) < 0.02 AND abs(c.lon - a.lon) < 0.02), near AS (SELECT id, count(DISTINCT category) AS categories, count(*) AS assets_near FROM pairs WHERE m <= r GROUP BY id),
+ ends AS (SELECT u_node AS node, v_node AS other, name FROM inventory UNION ALL SELECT v_node, u_node, name FROM inventory), dg AS (SELECT node, count(*) AS degree, count(DISTINCT other) AS streets FROM ends GROUP BY node HAVING count(*) >= 3),
+ cr AS (SELECT node, string_agg(name, ' & ' ORDER BY name) AS crossing FROM (SELECT node, name, row_number() OVER (PARTITION BY node ORDER BY name) AS r FROM (SELECT DISTINCT node, name FROM ends)) WHERE r <= 2 GROUP BY node HAVING count(*) = 2),
+ a1 AS (SELECT ref, fc_code, median(aadt) AS m FROM inventory WHERE aadt IS NOT NULL GROUP BY ALL), a2 AS (SELECT name, fc_code, median(aadt) AS m FROM inventory WHERE aadt IS NOT NULL GROUP BY ALL), a3 AS (SELECT fc_code, median(aadt) AS m FROM inventory WHERE aadt IS NOT NULL GROUP BY ALL),
+ kept AS (SELECT seg_id FROM (SELECT seg_id, row_number() OVER (PARTITION BY u_lat, u_lon, v_lat, v_lon, name, road_source ORDER BY seg_id) AS r FROM inventory) WHERE r = 1)
+ SELECT i.seg_id, ru.fc, ru.speed, ru.ownership, ru.system, ru.facility, ru.rules, l.value AS lanes, l.source AS lanes_source, su.value AS paved, si.value AS signal, county.poly_id AS county_id, CAST(coalesce(near.categories, 0) AS INT) AS categories, coalesce(near.assets_near, 0) AS assets_near,
+ greatest(coalesce(du.degree, 0), coalesce(dv.degree, 0)) AS degree, greatest(coalesce(du.streets, 0), coalesce(dv.streets, 0)) AS streets, CASE WHEN du.node IS NOT NULL OR dv.node IS NOT NULL THEN 'Yes' ELSE 'No' END AS at_node, coalesce(cu.crossing, cv.crossing, '') AS crossing,
+ coalesce(CAST(i.aadt AS DOUBLE), a1.m, a2.m, a3.m) AS aadt, CASE WHEN i.aadt IS NOT NULL THEN 'source' WHEN a1.m IS NOT NULL THEN 'ref_fc' WHEN a2.m IS NOT NULL THEN 'name_fc' WHEN a3.m IS NOT NULL THEN 'fc_median' ELSE 'none' END AS aadt_source, co.signal_confidence, co.speed_confidence
+ FROM inventory i JOIN kept USING (seg_id) JOIN {_SUB('road_rules_12')} ru ON i.seg_id = ru.seg_id JOIN {_SUB('resolve_lanes')} l ON i.seg_id = l.seg_id JOIN {_SUB('resolve_surface')} su ON i.seg_id = su.seg_id JOIN {_SUB('resolve_signals')} si ON i.seg_id = si.seg_id JOIN {_SUB('confidence_scores')} co ON i.seg_id = co.seg_id
+ LEFT JOIN county ON i.seg_id = county.id LEFT JOIN near ON i.seg_id = near.id LEFT JOIN dg du ON i.u_node = du.node LEFT JOIN dg dv ON i.v_node = dv.node LEFT JOIN cr cu ON i.u_node = cu.node LEFT JOIN cr cv ON i.v_node = cv.node
+ LEFT JOIN a1 ON i.ref = a1.ref AND i.fc_code = a1.fc_code LEFT JOIN a2 ON i.name = a2.name AND i.fc_code = a2.fc_code LEFT JOIN a3 ON i.fc_code = a3.fc_code"""
+
+
+@query("build_road_inventory", _BUILT, "inventory", "assets")
 def _inventory(spark, d):
-    """Segments with degree, nearest assets by category, speed by authority and median AADT: one wide table."""
-    from kerbline.functions.geo import FT
-    from kerbline.operators import spatial as sp
-
-    s, a = segments(spark, d), assets(spark, d)
-    near = sp.nearest_asset_attrs(s.select(F.col("seg_id").alias("place_id"), F.col("mid_lat").alias("lat"), F.col("mid_lon").alias("lon")), a.select("asset_id", "category", (F.col("radius_ft") / FT).alias("radius_m"), F.col("lat").alias("t_lat"), F.col("lon").alias("t_lon")), 3000 / FT)
-    wide = near.groupBy(F.col("place_id").alias("seg_id")).pivot("category", list(range(11))).agg(F.first("asset_id").alias("id"), F.first("dist_m").alias("dist_m"))
-    law = au.resolve_speed(F.lit(None).cast("string"), F.col("lanes_code").cast("string"), F.lit(None).cast("string"), F.lit(None).cast("string"), F.col("fc_code") == 7, F.lit(False), F.col("fc_code") == 6)
-    return s.withColumns({f"speed_{k}": c for k, c in law.items()}).drop("aadt").join(joins.node_degree(s), "seg_id").join(agg.group_median_propagation(s), "seg_id").join(wide, "seg_id", "left")
+    from kerbline.plans.roads import LAW
+
+    near = assets(spark, d).select("asset_id", "category", (F.col("radius_ft") / FT).alias("radius_m"), F.col("lat").alias("t_lat"), F.col("lon").alias("t_lon"))
+    return build.build_inventory(inventory(spark, d), near, _layer(spark, d, "county"), spark.createDataFrame(LAW, "fc_code int, area string, limit int"), 3000 / FT)
