@@ -173,3 +173,10 @@ def group_median_propagation(segments: DataFrame, value: str = "aadt") -> DataFr
     for _, label in medians:
         source = source.when(F.col(f"m_{label}").isNotNull(), label)
     return out.select("seg_id", found.alias(value), source.otherwise("none").alias("source"))
+
+
+def unique_values(rows: DataFrame, fields: list[str]) -> DataFrame:
+    """field, vals (joined, in order) and n: the distinct filled values of each field, made distinct before they are gathered."""
+    long = rows.select(F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields])).alias("x")).select("x.*")
+    each = long.where(F.coalesce("value", F.lit("")) != "").distinct()
+    return each.groupBy("field").agg(F.array_join(F.array_sort(F.collect_list("value")), ",").alias("vals"), F.count("*").alias("n"))

@@ -164,3 +164,9 @@ def neighbours_within(points: DataFrame, radius_m: float) -> DataFrame:
     other = points.select(F.col("id").alias("other"), F.col("lat").alias("t_lat"), F.col("lon").alias("t_lon"))
     pairs = radius_pairs(points.select("id", "lat", "lon"), other, radius_m, radius_m).where(F.col("id") != F.col("other"))
     return pairs.groupBy("id").agg(F.count("*").alias("n"))
+
+
+def in_boxes(points: DataFrame, boxes: DataFrame) -> DataFrame:
+    """Points (c_lat, c_lon) with every box (lat_min, lat_max, lon_min, lon_max) that holds them; boxes are a table of checked size."""
+    fits = F.col("c_lat").between(F.col("lat_min"), F.col("lat_max")) & F.col("c_lon").between(F.col("lon_min"), F.col("lon_max"))
+    return points.join(small(boxes, CENTROIDS), fits)

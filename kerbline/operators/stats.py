@@ -48,3 +48,26 @@ def baselines(crashes: DataFrame, location: str) -> DataFrame:
     """Mean and deviation of crashes and EPDO per location: two-level aggregation."""
     per = crashes.where(F.col(location) != "").groupBy(location).agg(F.count("*").alias("n"), F.sum("epdo").alias("epdo"))
     return per.agg(F.count("*").alias("locations"), F.round(F.avg("n"), 4).alias("mean_n"), F.round(F.stddev("n"), 4).alias("sd_n"), F.round(F.avg("epdo"), 4).alias("mean_epdo"))
+
+
+# Hourly volumes of the eight-hour warrant, major and minor road, by lanes (one, or two and more) of each.
+WARRANT = {"A": {(1, 1): (500, 150), (2, 1): (600, 150), (2, 2): (600, 200), (1, 2): (500, 200)}, "B": {(1, 1): (750, 75), (2, 1): (900, 75), (2, 2): (900, 100), (1, 2): (750, 100)}}
+
+
+def signal_warrant(hourly: DataFrame, key: str) -> DataFrame:
+    """Whether an intersection meets the eight-hour warrant: key, hours_a, hours_b, reduced, met.
+
+    hourly: a row per key and hour with major, minor (volumes), major_lanes, minor_lanes, speed and population.
+    Where the major road is faster than 40 mph or the place has under 10,000 people, 70 % of the volumes will do.
+    """
+    reduced = (F.col("speed") > 40) | (F.col("population") < 10_000)
+    share, lanes = F.when(reduced, 0.7).otherwise(1.0), (F.least("major_lanes", F.lit(2)), F.least("minor_lanes", F.lit(2)))
+
+    def enough(which: str) -> Column:
+        hit = F.lit(False)
+        for (a, b), (major, minor) in WARRANT[which].items():
+            hit = hit | ((lanes[0] == a) & (lanes[1] == b) & (F.col("major") >= share * major) & (F.col("minor") >= share * minor))
+        return F.count(F.when(hit, 1))
+
+    out = hourly.groupBy(key).agg(enough("A").alias("hours_a"), enough("B").alias("hours_b"), F.max(reduced).alias("reduced"))
+    return out.withColumn("met", (F.col("hours_a") >= 8) | (F.col("hours_b") >= 8))

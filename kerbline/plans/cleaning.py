@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kerbline.bindings import crashes, segments, table, with_views
+from kerbline.functions import tags as tag_words
 from kerbline.functions import geo, severity, text
 from kerbline.operators import clean
 
@@ -165,10 +166,21 @@ def _dawn(spark, d):
     return crashes(spark, d).select("id", text.dawn_dusk(F.lit("Dawn or Dusk"), F.lpad((F.col("hour") * 100).cast("string"), 4, "0")).alias("light"))
 
 
-@query("cmf_tags", "SELECT id, CASE collision WHEN 'BUILDING' THEN 'rear_end' WHEN 'MACHINERY' THEN 'angle,rear_end' ELSE 'all' END AS tags FROM crashes", "crashes")
+_CMF = (
+    ("Right angle, rear end", "K, A", "Virginia, MD", "Install roundabout", "Intersection geometry", "", "", ("angle,rear_end", "K,A", 100, 4, "intersection")),
+    ("Rear end crash", "", "Maryland", "Signal timing", "Roadway", "", "", ("rear_end", "K,A,B,C,O", 50, 3, "segment")),
+    ("misc", "pdo", "", "Chevron panels", "Roadside", "no", "", ("all", "O", 25, 1, "segment")),
+    ("Vehicle/pedestrian", "B", "Ohio", "Something", "Pedestrians", "", "Roadway segment", ("pedestrian", "B", 10, 2, "segment")),
+    ("", None, "Ohio, Iowa", None, None, None, None, ("all", "K,A,B,C,O", 25, 2, "both")),
+)
+
+
+@query("cmf_tags", "SELECT p_partkey AS id, " + ", ".join(f"CASE p_partkey % {len(_CMF)} " + " ".join(f"WHEN {k} THEN {v[-1][n]!r}" for k, v in enumerate(_CMF)) + f" END AS {name}" for n, name in enumerate(("tags", "severities", "relevance", "cost", "location"))) + " FROM part")
 def _tags(spark, d):
-    raw = F.when(F.col("collision") == "BUILDING", "Rear end crash").when(F.col("collision") == "MACHINERY", "Right angle, rear end").otherwise("misc")
-    return crashes(spark, d).select("id", F.array_join(text.crash_type_tags(raw, {"rear end": "rear_end", "angle": "angle", "pedestrian": "pedestrian"}), ",").alias("tags"))
+    """Crash types, severities, relevance, cost and place of countermeasures, from their texts."""
+    of = lambda n: F.element_at(F.array(*[F.lit(v[n]).cast("string") for v in _CMF]), (F.col("p_partkey") % len(_CMF) + 1).cast("int"))
+    words = {"rear end": "rear_end", "angle": "angle", "pedestrian": "pedestrian"}
+    return table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.array_join(text.crash_type_tags(of(0), words), ",").alias("tags"), F.array_join(tag_words.severities(of(1)), ",").alias("severities"), tag_words.relevance(of(2)).alias("relevance"), tag_words.cost_tier(of(3), of(4)).alias("cost"), tag_words.location_kind(of(5), of(6), of(4)).alias("location"))
 
 
 @query("combined_cmf", "SELECT id, round(p, 6) AS cmf, round((1 - p) * 100, 4) AS crf FROM (SELECT l_orderkey AS id, product(100 - round(l_discount * 100)) / pow(100.0E0, count(*)) AS p FROM lineitem GROUP BY 1)")

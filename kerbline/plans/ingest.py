@@ -6,10 +6,10 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from kerbline.bindings import assets, crashes, persons, segments, table, vehicles, with_views
-from kerbline.functions import geo, text
+from kerbline.bindings import assets, crashes, inventory, persons, segments, table, vehicles, with_views
+from kerbline.functions import geo, tags, text
 from kerbline.operators import aggregate as agg
-from kerbline.operators import clean, normalise
+from kerbline.operators import build, clean, normalise, stats
 from kerbline.operators import spatial as sp
 from kerbline.plans.aggregates import BRIDGE, SCORED, SEV, bridge
 from kerbline.plans.analysis import _folder
@@ -295,14 +295,14 @@ def _centroid(spark, d):
     return segments(spark, d).select("seg_id", F.round(box["lat"], 6).alias("lat"), F.round(box["lon"], 6).alias("lon"), box["lat_min"].alias("lat_min"), box["lon_max"].alias("lon_max"))
 
 
-@query("classify_sign", "SELECT s_suppkey AS id, CASE s_suppkey % 3 WHEN 0 THEN 'R2-1' WHEN 1 THEN 'R1-1' ELSE 'N/A' END AS code, CASE s_suppkey % 3 WHEN 0 THEN concat('Speed ', CAST(s_suppkey % 60 + 5 AS VARCHAR)) WHEN 1 THEN 'Stop' ELSE 'give way' END AS name FROM supplier")
+_SIGNS = ("regulatory--maximum-speed-limit-35--g1", "regulatory--stop--g1", "regulatory--give-way--g2", "object--traffic-light--general-upright-front", "object--traffic-light--general-horizontal-front", "object--traffic-light--pedestrians-front", "WARNING--Curve-Left--g1", "warning--school-zone--g2", "marking--discrete--crosswalk-zebra", "plain", None)
+_SAID = (("R2-1", "Speed 35", "35", ""), ("R1-1", "STOP", "", ""), ("N/A", "give way", "", ""), ("N/A", "Traffic Signal", "", "3"), ("N/A", "Traffic Signal", "", "5"), ("N/A", "Traffic Signal", "", "2"), ("W1-2", "Curve", "", ""), ("S1-1", "School Zone", "", ""), ("N/A", "Crosswalk", "", ""), ("N/A", "Unknown", "", ""), ("N/A", "Unknown", "", ""))
+
+
+@query("classify_sign", "SELECT s_suppkey AS id, " + ", ".join(f"CASE s_suppkey % {len(_SAID)} " + " ".join(f"WHEN {k} THEN '{v[n]}'" for k, v in enumerate(_SAID)) + f" END AS {name}" for n, name in enumerate(("code", "name", "speed", "heads"))) + " FROM supplier")
 def _sign(spark, d):
-    k = F.col("s_suppkey") % 3
-    raw = F.when(k == 0, F.concat(F.lit("regulatory--maximum-speed-limit-"), (F.col("s_suppkey") % 60 + 5).cast("string"), F.lit("--g1"))).when(k == 1, "regulatory--stop--g1").otherwise("regulatory--give-way--g2")
-    speed = F.regexp_extract(raw, r"maximum-speed-limit-(\d+)", 1)
-    code = F.when(speed != "", "R2-1").when(raw.startswith("regulatory--stop"), "R1-1").otherwise("N/A")
-    name = F.when(speed != "", F.concat(F.lit("Speed "), speed)).when(code == "R1-1", "Stop").otherwise(F.replace(F.split(raw, "--")[1], F.lit("-"), F.lit(" ")))
-    return table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), code.alias("code"), name.alias("name"))
+    raw = F.element_at(F.array(*[F.lit(x) for x in _SIGNS]), (F.col("s_suppkey") % len(_SIGNS) + 1).cast("int"))
+    return table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), *[c.alias(k) for k, c in tags.classify_sign(raw).items()])
 
 
 # More joins -------------------------------------------------------------------------------------------------
@@ -336,6 +336,16 @@ def _control(spark, d):
     return pairs.groupBy("id").agg(F.round(F.min("dist_m"), 1).alias("dist_m")).where("dist_m <= 300")
 
 
+@query("nearest_way", f"SELECT id, way, CASE WHEN route = '' THEN ref ELSE route END AS route FROM (SELECT c.id, c.route, s.way, s.ref, row_number() OVER (PARTITION BY c.id ORDER BY round({_hav('c.lat', 'c.lon', 's.lat', 's.lon')}, 3), s.way) AS r FROM crashes c JOIN (SELECT seg_id AS way, ref, u_lat AS lat, u_lon AS lon FROM segments UNION ALL SELECT seg_id, ref, v_lat, v_lon FROM segments) s ON abs(c.lat - s.lat) < 0.01 AND abs(c.lon - s.lon) < 0.01 AND {_hav('c.lat', 'c.lon', 's.lat', 's.lon')} <= 400) WHERE r = 1", "crashes", "segments")
+def _way(spark, d):
+    """The way with the nearest vertex; its reference fills a blank route."""
+    ends = F.array(*[F.struct(F.col(f"{x}_lat").alias("t_lat"), F.col(f"{x}_lon").alias("t_lon")) for x in "uv"])
+    vertices = segments(spark, d).select(F.col("seg_id").alias("node_id"), "ref", F.explode(ends).alias("e")).select("node_id", "ref", "e.t_lat", "e.t_lon")
+    c = crashes(spark, d)
+    near = build.nearest_node(c, vertices, 400.0)
+    return near.join(c.select("id", "route"), "id").select("id", F.col("node_id").alias("way"), F.when(F.col("route") == "", F.col("ref")).otherwise(F.col("route")).alias("route"))
+
+
 @query("signs_to_nearest_segment", f"SELECT seg_id, count(*) AS n FROM (SELECT a.asset_id, s.seg_id, row_number() OVER (PARTITION BY a.asset_id ORDER BY round({_hav('a.lat', 'a.lon', 's.mid_lat', 's.mid_lon')}, 3), s.seg_id) AS r FROM assets a JOIN segments s ON abs(a.lat - s.mid_lat) < 0.02 AND abs(a.lon - s.mid_lon) < 0.02 AND {_hav('a.lat', 'a.lon', 's.mid_lat', 's.mid_lon')} <= 800) WHERE r = 1 GROUP BY seg_id", "assets", "segments")
 def _signs(spark, d):
     mids = segments(spark, d).select("seg_id", F.col("mid_lat").alias("t_lat"), F.col("mid_lon").alias("t_lon"))
@@ -364,6 +374,21 @@ def _bbox(spark, d):
     return k.join(b, "region").where((F.col("c_lat").between(F.col("y") - 0.1, F.col("y") + 0.1)) & F.col("c_lon").between(F.col("x") - 0.1, F.col("x") + 0.1)).groupBy(F.col("centroid_id").alias("place")).agg(F.min("county").alias("county"))
 
 
+@query("county_in_mpo_bbox", f"WITH b AS (SELECT region, min(c_lat) AS a, max(c_lat) AS z, min(c_lon) AS w, max(c_lon) AS e FROM ({_CENTRES}) WHERE centroid_id % 2 = 0 GROUP BY region) SELECT k.centroid_id AS county, b.region AS mpo FROM ({_CENTRES}) k JOIN b ON k.c_lat BETWEEN a AND z AND k.c_lon BETWEEN w AND e")
+def _in_boxes(spark, d):
+    """Counties to all MPO areas whose bounds hold their centre."""
+    k = _centroids(spark, d)
+    edge = lambda f, c, n: f(c).alias(n)
+    boxes = k.where("centroid_id % 2 = 0").groupBy(F.col("region").alias("mpo")).agg(edge(F.min, "c_lat", "lat_min"), edge(F.max, "c_lat", "lat_max"), edge(F.min, "c_lon", "lon_min"), edge(F.max, "c_lon", "lon_max"))
+    return sp.in_boxes(k.select(F.col("centroid_id").alias("county"), "c_lat", "c_lon"), boxes).select("county", "mpo")
+
+
+@query("unique_values", "SELECT 'collision' AS field, string_agg(DISTINCT collision, ',' ORDER BY collision) AS vals, count(DISTINCT collision) AS n FROM crashes UNION ALL SELECT 'fc', string_agg(DISTINCT fc, ',' ORDER BY fc), count(DISTINCT fc) FROM crashes WHERE fc <> '' UNION ALL SELECT 'weather', string_agg(DISTINCT weather, ',' ORDER BY weather), count(DISTINCT weather) FROM crashes", "crashes")
+def _unique(spark, d):
+    """The values of each field that a filter would offer; each field is a few values, told apart before they are gathered."""
+    return agg.unique_values(crashes(spark, d), ["collision", "fc", "weather"])
+
+
 @query("merge_node_tables", "SELECT node, max(n) AS degree FROM (SELECT u_node AS node, count(*) AS n FROM segments GROUP BY 1 UNION ALL SELECT v_node, count(*) FROM segments GROUP BY 1) GROUP BY node", "segments")
 def _merge_nodes(spark, d):
     s = segments(spark, d)
@@ -392,16 +417,32 @@ def _sections(spark, d):
     return rows.where(F.length("s") >= 50).select("doc_id", F.col("section").cast("long").alias("section"), F.substring("s", 1, 8000).alias("passage"))
 
 
-@query("osm_attribute_derivation", "SELECT seg_id, CASE WHEN seg_id % 4 = 0 THEN '4. One-Way, Not Divided' WHEN seg_id % 4 = 1 THEN '2. Two-Way, Divided, Unprotected Median' ELSE '1. Two-Way, Not Divided' END AS description FROM segments", "segments")
+_LN = "coalesce(TRY_CAST(lanes AS INT), 0)"
+
+
+@query("osm_attribute_derivation", f"""SELECT seg_id, CASE WHEN oneway IN ('yes', '1', '-1') THEN '1-One-Way Undivided' WHEN divided = 'yes' OR highway IN ('motorway', 'trunk') OR {_LN} >= 4 THEN '4-Two-Way Divided' ELSE '3-Two-Way Undivided' END AS facility,
+ CASE WHEN oneway IN ('yes', '1', '-1') THEN CASE WHEN {_LN} >= 2 THEN concat(CAST({_LN} AS VARCHAR), ' Lanes, One-Way') ELSE 'One-Way' END WHEN divided = 'yes' THEN CASE WHEN {_LN} >= 4 THEN concat(CAST({_LN} AS VARCHAR), ' Lanes, Divided') ELSE 'Divided' END WHEN {_LN} IN (0, 2) THEN 'Two Lanes, Undivided' ELSE concat(CAST({_LN} AS VARCHAR), ' Lanes, Undivided') END AS description,
+ CASE WHEN highway = 'motorway' OR (highway IN ('trunk', 'primary') AND ref LIKE 'I %') THEN 'DOT Interstate' WHEN highway IN ('trunk', 'primary') THEN 'DOT Primary' WHEN highway IN ('secondary', 'tertiary_link') THEN 'DOT Secondary' ELSE 'NonDOT secondary' END AS system FROM (SELECT *, CASE WHEN seg_id % 3 = 0 THEN 'yes' ELSE '' END AS divided FROM inventory)""", "inventory")
 def _osm(spark, d):
-    k = F.col("seg_id") % 4
-    oneway, divider = F.when(k == 0, "yes").otherwise("no"), F.when(k == 1, "1").otherwise("")
-    return segments(spark, d).select("seg_id", F.when(oneway.isin("yes", "-1"), "4. One-Way, Not Divided").when(divider.isin("yes", "true", "1"), "2. Two-Way, Divided, Unprotected Median").otherwise("1. Two-Way, Not Divided").alias("description"))
+    c, divided = F.col, F.when(F.col("seg_id") % 3 == 0, "yes").otherwise("")
+    return inventory(spark, d).select("seg_id", tags.facility(c("highway"), c("lanes"), c("oneway"), divided).alias("facility"), tags.road_words(c("lanes"), c("oneway"), divided).alias("description"), tags.road_system(c("highway"), c("ref")).alias("system"))
+
+
+_VOLUMES = "SELECT node, hour, count(*) * 40 AS major, count(*) * 10 AS minor, 1 + any_value(k) % 3 AS major_lanes, 1 + any_value(k) % 2 AS minor_lanes, 30 + any_value(k) % 3 * 10 AS speed, CASE WHEN any_value(k) % 5 = 0 THEN 5000 ELSE 50000 END AS population FROM (SELECT node, hour, CAST(substr(node, 2) AS INT) AS k FROM crashes WHERE node <> '') GROUP BY node, hour"
 
 
-@query("signal_warrant", "SELECT node, count(*) AS n, count(*) FILTER (WHERE severity <> 'O') >= 5 AS met FROM crashes WHERE node <> '' GROUP BY node", "crashes")
+def _warrant_sql() -> str:
+    red = "(speed > 40 OR population < 10000)"
+    hit = lambda w: " OR ".join(f"(least(major_lanes, 2) = {a} AND least(minor_lanes, 2) = {b} AND major >= {x} * CASE WHEN {red} THEN 0.7E0 ELSE 1.0E0 END AND minor >= {y} * CASE WHEN {red} THEN 0.7E0 ELSE 1.0E0 END)" for (a, b), (x, y) in stats.WARRANT[w].items())
+    return f"SELECT *, hours_a >= 8 OR hours_b >= 8 AS met FROM (SELECT node, count(*) FILTER (WHERE {hit('A')}) AS hours_a, count(*) FILTER (WHERE {hit('B')}) AS hours_b, bool_or({red}) AS reduced FROM ({_VOLUMES}) GROUP BY node)"
+
+
+@query("signal_warrant", _warrant_sql(), "crashes")
 def _warrant(spark, d):
-    return crashes(spark, d).where("node <> ''").groupBy("node").agg(F.count("*").alias("n"), (F.count(F.when(F.col("severity") != "O", 1)) >= 5).alias("met"))
+    """Hourly volumes of both roads stand for counts: forty and ten vehicles to a crash of the hour."""
+    k = F.substring("node", 2, 9).cast("int")
+    hourly = crashes(spark, d).where("node <> ''").groupBy("node", "hour").agg((F.count("*") * 40).alias("major"), (F.count("*") * 10).alias("minor")).withColumns({"major_lanes": 1 + k % 3, "minor_lanes": 1 + k % 2, "speed": 30 + k % 3 * 10, "population": F.when(k % 5 == 0, 5000).otherwise(50000)})
+    return stats.signal_warrant(hourly, "node")
 
 
 @query("completeness_checks", "SELECT count(*) AS n, count(DISTINCT id) AS ids, count(*) - count(DISTINCT id) AS repeats, count(DISTINCT year) AS years, count(*) FILTER (WHERE route = '') AS no_route FROM crashes", "crashes")
@@ -409,20 +450,24 @@ def _complete(spark, d):
     return crashes(spark, d).agg(F.count("*").alias("n"), F.countDistinct("id").alias("ids"), (F.count("*") - F.countDistinct("id")).alias("repeats"), F.countDistinct("year").alias("years"), F.count(F.when(F.col("route") == "", 1)).alias("no_route"))
 
 
-@query("road_geography", f"SELECT seg_id, centroid_id FROM (SELECT s.seg_id, k.centroid_id, row_number() OVER (PARTITION BY s.seg_id ORDER BY round(pow(s.mid_lat - k.c_lat, 2) + pow(s.mid_lon - k.c_lon, 2), 12), k.centroid_id) AS r FROM segments s, ({_CENTRES}) k WHERE k.region = s.seg_id % 5) WHERE r = 1", "segments")
+@query("road_geography", f"SELECT id AS seg_id, x.fips, coalesce(m.entity, '') AS mpo, coalesce(r.entity, '') AS region FROM (SELECT s.seg_id AS id, k.centroid_id AS fips, row_number() OVER (PARTITION BY s.seg_id ORDER BY round(pow(s.mid_lat - k.c_lat, 2) + pow(s.mid_lon - k.c_lon, 2), 12), k.centroid_id) AS r FROM segments s, ({_CENTRES}) k) x LEFT JOIN ({BRIDGE}) m ON m.fips = x.fips AND m.tier = 'mpo' LEFT JOIN ({BRIDGE}) r ON r.fips = x.fips AND r.tier = 'region' WHERE x.r = 1", "segments")
 def _geography(spark, d):
-    s = segments(spark, d).select(F.col("seg_id").alias("id"), F.col("mid_lat").alias("lat"), F.col("mid_lon").alias("lon"), (F.col("seg_id") % 5).cast("int").alias("region"))
-    return sp.nearest_centroid(s, _centroids(spark, d), "region").select(F.col("id").alias("seg_id"), "centroid_id")
+    s = segments(spark, d).select(F.col("seg_id").alias("id"), F.col("mid_lat").alias("lat"), F.col("mid_lon").alias("lon"))
+    return build.road_geography(s, _centroids(spark, d).drop("region"), bridge(spark, d).select("tier", "entity", F.col("fips").cast("int").alias("fips"))).withColumnRenamed("id", "seg_id")
+
+
+_POI_ROWS = (({"amenity": "hospital", "name": " General "}, ("hospital", "hospital", "General")), ({"amenity": "pub"}, ("bar", "pub", "")), ({"highway": "crossing", "amenity": "bench"}, ("crossing", "crossing", "")), ({"highway": "motorway_junction", "ref": " 23A"}, ("exit", "23A", "")), ({"highway": "motorway_junction"}, ("exit", "motorway_junction", "")), ({"railway": "level_crossing"}, ("rail_xing", "level_crossing", "")), ({"shop": "bakery"}, None))
 
 
-@query("poi_from_tags", "SELECT s_suppkey AS osm_id, CASE s_suppkey % 4 WHEN 0 THEN 'hospital' WHEN 1 THEN 'school' WHEN 2 THEN 'crossing' ELSE 'motorway_junction' END AS category, CASE WHEN s_suppkey % 4 = 3 THEN CAST(s_suppkey % 90 AS VARCHAR) ELSE '' END AS subcategory FROM supplier")
+@query("poi_from_tags", "SELECT s_suppkey AS osm_id, " + ", ".join(f"CASE s_suppkey % {len(_POI_ROWS)} " + " ".join(f"WHEN {k} THEN '{v[n]}'" for k, (_, v) in enumerate(_POI_ROWS) if v) + f" END AS {name}" for n, name in enumerate(("category", "subcategory", "name"))) + ", round(CASE WHEN s_suppkey % 2 = 0 THEN 39.0E0 ELSE 39.01E0 END, 7) AS lat, round(CASE WHEN s_suppkey % 2 = 0 THEN -75.5E0 ELSE -75.49E0 END, 7) AS lon FROM supplier WHERE s_suppkey % 7 <> 6")
 def _poi_tags(spark, d):
-    """Tagged features to points of interest: the first known key tells the category; exits keep their number."""
-    k = F.col("s_suppkey") % 4
-    tags = F.when(k == 0, F.create_map(F.lit("amenity"), F.lit("hospital"))).when(k == 1, F.create_map(F.lit("amenity"), F.lit("school"))).when(k == 2, F.create_map(F.lit("highway"), F.lit("crossing"))).otherwise(F.create_map(F.lit("highway"), F.lit("motorway_junction"), F.lit("ref"), (F.col("s_suppkey") % 90).cast("string")))
-    rows = table(spark, d, "supplier").select(F.col("s_suppkey").alias("osm_id"), tags.alias("tags"))
-    category = F.coalesce(F.try_element_at("tags", F.lit("amenity")), F.try_element_at("tags", F.lit("highway")))
-    return rows.select("osm_id", category.alias("category"), F.when(category == "motorway_junction", F.try_element_at("tags", F.lit("ref"))).otherwise("").alias("subcategory"))
+    """Points, and areas by their centre, to points of interest; other features go."""
+    as_map = lambda t: F.create_map(*[F.lit(x) for kv in t.items() for x in kv])
+    tagged = F.element_at(F.array(*[as_map(t) for t, _ in _POI_ROWS]), (F.col("s_suppkey") % len(_POI_ROWS) + 1).cast("int"))
+    at = lambda *xy: F.array(*[F.struct(F.lit(x).alias("lon"), F.lit(y).alias("lat")) for x, y in xy])
+    shape = F.when(F.col("s_suppkey") % 2 == 0, at((-75.5, 39.0))).otherwise(at((-75.5, 39.0), (-75.48, 39.0), (-75.48, 39.02), (-75.5, 39.02)))
+    poi = tags.poi_of(tagged)
+    return table(spark, d, "supplier").select(F.col("s_suppkey").alias("osm_id"), *[c.alias(k) for k, c in poi.items()], *[c.alias(k) for k, c in tags.centre(shape).items()]).where(F.col("category").isNotNull())
 
 
 _NUM = "CAST(id % 90 + 1 AS VARCHAR)"
