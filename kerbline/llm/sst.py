@@ -41,6 +41,8 @@ MAGIC = b"KSST0001"
 FOOTER = struct.Struct("<QQQQQ8s")
 _INDEX = struct.Struct("<QQH")
 _PROBES, _BITS = 7, 10
+#: Shards whose bounds are broadcast for look-ups.
+SHARDS_SENT = 200_000
 MANIFEST = "shard long, path string, first_id long, last_id long, n_docs long, n_ids long, n_bytes long"
 
 
@@ -248,9 +250,38 @@ def read(manifest: DataFrame) -> DataFrame:
     return starts(manifest).select("path", "start", "shard").repartition(n, "shard").select("path", "start").mapInArrow(read_shards, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
+def _bounds(manifest: DataFrame) -> tuple[np.ndarray, list[int], list[int]]:
+    """Paths, first and last id of the shards in order; a null id stands before all others."""
+    low = -(1 << 63)
+    rows = sorted((r["shard"], r["path"], low if r["first_id"] is None else r["first_id"], low if r["last_id"] is None else r["last_id"]) for r in manifest.select("shard", "path", "first_id", "last_id").collect())
+    return np.array([r[1] for r in rows], object), [r[2] for r in rows], [r[3] for r in rows]
+
+
 def lookup(keys: DataFrame, manifest: DataFrame) -> DataFrame:
-    """For ids (column doc_id): doc_id, ids (array), by filter, bisection and one block read; unknown ids give no row."""
-    rows = keys.select("doc_id").join(manifest.select("path", "first_id", "last_id"), F.col("doc_id").between(F.col("first_id"), F.col("last_id")) | (F.col("doc_id").isNull() & F.col("first_id").isNull()) | (F.col("first_id").isNull() & (F.col("doc_id") <= F.col("last_id"))))
+    """For ids (column doc_id): doc_id, ids (array), by filter, bisection and one block read; unknown ids give no row.
+
+    The shards' bounds, some hundred bytes a shard, travel to the tasks up to :data:`SHARDS_SENT` shards; each id finds
+    its shards by bisection, also where rows of one id lie in two.  Beyond it, ids and bounds are joined by range.
+    """
+    asked = keys.select(F.col("doc_id").cast("long").alias("doc_id"))
+    if manifest.count() <= SHARDS_SENT:
+        sent = keys.sparkSession.sparkContext.broadcast(_bounds(manifest))
+
+        def place(batches):
+            import pyarrow as pa
+
+            paths, first, last = sent.value
+            for batch in batches:
+                ids, out = batch.column(0).to_pylist(), []
+                for d in ids:
+                    at = -(1 << 63) if d is None else d
+                    out += [(d, x) for x in paths[bisect.bisect_left(last, at) : bisect.bisect_right(first, at)]]
+                yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in out], pa.int64()), pa.array([x for _, x in out], pa.string())], ["doc_id", "path"])
+
+        rows = asked.mapInArrow(place, "doc_id long, path string")
+    else:
+        null_too = (F.col("doc_id").isNull() & F.col("first_id").isNull()) | (F.col("first_id").isNull() & (F.col("doc_id") <= F.col("last_id")))
+        rows = asked.join(manifest.select("path", "first_id", "last_id"), F.col("doc_id").between(F.col("first_id"), F.col("last_id")) | null_too).select("doc_id", "path")
 
     def find(batches):
         import pyarrow as pa
@@ -265,4 +296,4 @@ def lookup(keys: DataFrame, manifest: DataFrame) -> DataFrame:
                 file.close()
                 yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in found], pa.int64()), pa.array([x for _, x in found], pa.list_(pa.int64()))], ["doc_id", "ids"])
 
-    return rows.select(F.col("doc_id").cast("long"), "path").repartition("path").mapInArrow(find, "doc_id long, ids array<long>")
+    return rows.repartition("path").mapInArrow(find, "doc_id long, ids array<long>")
