@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from kerbline.bindings import assets, crashes, inventory, persons, segments, table, vehicles, with_views
 from kerbline.functions import geo, tags, text
 from kerbline.operators import aggregate as agg
-from kerbline.operators import build, clean, normalise, stats
+from kerbline.operators import build, clean, layers, normalise, stats
 from kerbline.operators import spatial as sp
 from kerbline.plans.aggregates import BRIDGE, SCORED, SEV, bridge
 from kerbline.plans.analysis import _folder
@@ -497,13 +497,50 @@ def _template(spark, d):
     return clean.generate_crash_ids(c, "DE", ["crash_date", "id"]).select("document", "severity", epdo(F.col("severity")).cast("int").alias("epdo"))
 
 
-_ROADS = {"va": ("VDOT", "name"), "co": ("CDOT", "ref"), "de": ("DELDOT", "name"), "in": ("INDOT", "ref")}
-for _state, (_agency, _column) in _ROADS.items():
+def _word(k: int, *words):
+    """One of some words by a segment's id; None is null."""
+    return F.element_at(F.array(*[F.lit(w).cast("string") for w in words]), (F.col("seg_id") % k + 1).cast("int"))
 
-    @query(f"normalize_road_inventory_{_state}", f"SELECT seg_id, CASE fc_code WHEN 1 THEN '1-Interstate (A,1)' WHEN 3 THEN '3-Principal Arterial - Other (E,2)' ELSE '7-Local (J,6)' END AS fc, CASE WHEN own_code = 1 THEN '{text.OWNERS['state']}' WHEN own_code = 2 THEN '{text.OWNERS['county']}' ELSE '{text.OWNERS['city']}' END AS owner, {_column} AS route, coalesce(aadt, 0) AS aadt FROM segments WHERE seg_id % 13 <> 0", "segments")
-    def _roads(spark, d, agency=_agency, column=_column):
-        """A state's road layer to standard segment columns: class codes, owner words, route name, volumes, inactive ones left out."""
-        s = segments(spark, d).withColumns({"status": F.when(F.col("seg_id") % 13 == 0, "Abandoned").otherwise("Open"), "hint": F.when(F.col("own_code") == 1, agency).when(F.col("own_code") == 2, "County").otherwise("City")})
-        s = s.where(~F.lower("status").rlike("proposed|deleted|retired|removed|abandoned"))
-        fc = clean.map_values(F.col("fc_code").cast("string"), {"1": "1-Interstate (A,1)", "3": "3-Principal Arterial - Other (E,2)"}, F.lit("7-Local (J,6)"))
-        return s.select("seg_id", fc.alias("fc"), text.derive_ownership(F.lit("city"), F.lit(""), F.lit(""), F.lit(""), F.col("hint")).alias("owner"), F.trim(column).alias("route"), F.coalesce("aadt", F.lit(0)).alias("aadt"))
+
+def _code(k: int, *words) -> str:
+    return f"CASE seg_id % {k} " + " ".join(f"WHEN {n} THEN {'NULL' if w is None else repr(w)}" for n, w in enumerate(words)) + " END"
+
+
+_CLASS = "CASE k " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in layers.SHORT.items()) + " ELSE '' END"
+_SYSTEM = "CASE k " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in layers.SYSTEM.items()) + " ELSE '' END"
+_BY_CLASS = "CASE k " + " ".join(f"WHEN {k} THEN '{text.OWNERS[w]}'" for k, w in layers.OWNER_OF_CLASS.items()) + " ELSE '' END"
+_LAYER = lambda owner, facility, surface, lanes, speed, area, route, active="true": f"SELECT seg_id, {_CLASS} AS fc, {_SYSTEM} AS system, {owner} AS ownership, {facility} AS facility, {surface} AS surface, {lanes} AS lanes, {speed} AS speed, {area} AS area, {route} AS route FROM (SELECT *, fc_code AS k FROM segments) WHERE {active}"
+_O, _N = text.OWNERS, "CAST(NULL AS INT)"
+
+
+def _layer_rows(spark, d):
+    return segments(spark, d).select("seg_id", "fc_code", F.col("fc_code").cast("string").alias("digit"), "lanes_code", (F.col("seg_id") % 99 + 1).cast("string").alias("n"))
+
+
+@query("normalize_road_inventory_va", _LAYER(f"CASE seg_id % 5 WHEN 0 THEN '{_O['state']}' WHEN 1 THEN '{_O['federal']}' WHEN 2 THEN '{_O['city']}' ELSE CASE seg_id % 3 WHEN 0 THEN '{_O['county']}' WHEN 1 THEN '{_O['city']}' ELSE {_BY_CLASS} END END", "'3-Two-Way Undivided'", f"'{layers.ASPHALT}'", "CASE WHEN lanes_code > 0 THEN least(lanes_code, 12) END", "CASE WHEN seg_id % 4 > 0 THEN CAST(seg_id % 4 * 15 AS INT) END", "''", "concat('I ', CAST(seg_id % 99 + 1 AS VARCHAR))"), "segments")
+def _roads_va(spark, d):
+    """Long class names, maintenance words before route categories, route ids with direction and zeros."""
+    long = F.when(F.col("fc_code") > 0, F.concat("digit", F.lit("-Some Class (A,1)"))).otherwise("Unclassified")
+    raw = _layer_rows(spark, d).select("seg_id", long.alias("TMPD_FUNCTIONAL_CLASS_NM"), _word(5, "01-State Hwy Agency (1,2)", "66-National Park Service (D)", "04-Municipal or City Hwy Agency", "", None).alias("RIM_MAINT_RESPONSIBILITY_NM"), _word(3, "Secondary", "Urban Streets", "Nowhere").alias("RTE_CATEGORY_NM"), F.col("lanes_code").alias("LANES"), (F.col("seg_id") % 4 * 15).alias("SPEED"), F.concat(F.lit("I"), F.lpad("n", 4, "0"), F.lit("E000000")).alias("RTE_NM"))
+    return layers.normalise_roads(raw, "va")
+
+
+@query("normalize_road_inventory_co", _LAYER(f"'{_O['state']}'", _code(3, '4-Two-Way Divided', '3-Two-Way Undivided', '3-Two-Way Undivided'), _code(4, layers.ASPHALT, layers.CONCRETE, '5. Gravel', layers.ASPHALT), "CASE WHEN seg_id % 3 > 0 THEN CAST(seg_id % 3 AS INT) END", "CASE WHEN seg_id % 4 > 0 THEN CAST(seg_id % 4 * 15 AS INT) END", "''", "concat('0', CAST(seg_id % 99 + 1 AS VARCHAR), 'A')"), "segments")
+def _roads_co(spark, d):
+    """Digits with words behind, surfaces by a word anywhere, all roads the state's."""
+    raw = _layer_rows(spark, d).select("seg_id", F.concat("digit", F.lit("  Some Class")).alias("FUNCCLASS"), _word(3, "Y", "N", "").alias("ISDIVIDED"), _word(4, "1    Asphalt", "2    Concrete", "Loose gravel", "Lava").alias("PRISURF"), (F.col("seg_id") % 3).alias("THRULNQTY"), (F.col("seg_id") % 4 * 15).cast("double").alias("SPEEDLIM"), F.concat(F.lit("0"), "n", F.lit("A")).alias("ROUTE"))
+    return layers.normalise_roads(raw, "co")
+
+
+@query("normalize_road_inventory_de", _LAYER(f"CASE seg_id % 4 WHEN 0 THEN '{_O['state']}' WHEN 1 THEN '{_O['city']}' ELSE CASE seg_id % 3 WHEN 0 THEN '{_O['county']}' WHEN 1 THEN '{_O['federal']}' ELSE {_BY_CLASS} END END", "CASE WHEN seg_id % 2 = 0 THEN CASE WHEN seg_id % 5 IN (1, 2) THEN '2-One-Way Divided' ELSE '4-Two-Way Divided' END ELSE " + _code(5, '3-Two-Way Undivided', '1-One-Way Undivided', '1-One-Way Undivided', '4-Two-Way Divided', '3-Two-Way Undivided') + " END", f"CASE WHEN k BETWEEN 0 AND 3 AND k > 0 AND seg_id % 4 IN (1, 3) THEN '{layers.ASPHALT}' ELSE {_code(4, layers.CONCRETE, '5. Dirt', layers.ASPHALT, '4. Slag, Gravel, Stone')} END", "CASE WHEN lanes_code > 0 THEN least(lanes_code, 12) END", _N, _code(4, 'Urban', 'Rural', 'Suburban', ''), "concat('US ', CAST(seg_id % 99 + 1 AS VARCHAR))", "seg_id % 13 <> 0"), "segments")
+def _roads_de(spark, d):
+    """Maintenance codes before owner codes before the class, directions with medians, main roads never of dirt, retired roads out."""
+    raw = _layer_rows(spark, d).select("seg_id", F.col("digit").alias("FC"), _word(4, "D", "M", "", "x").alias("MAINT_RSP"), _word(3, "C", "6", "?").alias("OWNERSHIP"), _word(5, "5", "2", "N", "3", "").alias("TRAFFIC_DIR"), _word(2, "2", "N").alias("MEDIAN"), _word(4, "1", "DIRT", "3", "4").alias("SURFACE"), F.col("lanes_code").alias("LANES"), _word(4, "U", "2", "S", "9").alias("AREA"), F.concat(F.lit("US"), "n").alias("ROUTE_NO"), F.when(F.col("seg_id") % 13 == 0, "Abandoned 1999").otherwise("Open").alias("STATUS"))
+    return layers.normalise_roads(raw, "de")
+
+
+@query("normalize_road_inventory_in", _LAYER(_code(4, _O['state'], _O['county'], _O['city'], None).replace("WHEN 3 THEN NULL", f"WHEN 3 THEN {_BY_CLASS}"), "'3-Two-Way Undivided'", f"'{layers.ASPHALT}'", _N, _N, "''", _code(4, 'I 65', 'L1234', 'M55', '9XYZ'), "seg_id % 13 <> 0"), "segments")
+def _roads_in(spark, d):
+    """Class codes as decimals, owners by the route id's first letter."""
+    raw = _layer_rows(spark, d).select("seg_id", F.concat("digit", F.lit(".0")).alias("FUNCTIONAL_CLASS"), _word(4, "I65", "L1234", "M55", "9XYZ").alias("ROUTE_ID"), F.when(F.col("seg_id") % 13 == 0, "Retired").otherwise("").alias("RECORD_STATUS"))
+    return layers.normalise_roads(raw, "in")
