@@ -237,11 +237,21 @@ def _replace(spark, d):
     return spark.read.parquet(path).groupBy("region").agg(F.count("*").alias("n"))
 
 
-@query("refresh_materialized_views", "SELECT severity, count(*) AS n FROM crashes GROUP BY severity", "crashes")
+@query("refresh_materialized_views", "SELECT region, round(k * 100.0E0 / n, 4) AS fatal_share, round(n * 100.0E0 / sum(n) OVER (), 4) AS share FROM (SELECT region, count(*) AS n, count(*) FILTER (WHERE severity = 'K') AS k FROM crashes GROUP BY region)", "crashes")
 def _refresh(spark, d):
-    path = _path(spark)
-    io.refresh({"by_severity": crashes(spark, d).groupBy("severity").agg(F.count("*").alias("n"))}, path)
-    return spark.read.parquet(f"{path}/by_severity")
+    """Three views, stated in no order: shares read the regions' totals, which read the jurisdictions'."""
+    path, c = _path(spark), crashes(spark, d)
+
+    def shares(read):
+        r = read("by_region")
+        return r.crossJoin(F.broadcast(r.agg(F.sum("n").alias("all_n")))).select("region", F.round(F.col("k") * 100.0 / F.col("n"), 4).alias("fatal_share"), F.round(F.col("n") * 100.0 / F.col("all_n"), 4).alias("share"))
+
+    io.refresh(spark, {
+        "shares": (("by_region",), shares),
+        "by_region": (("by_juris",), lambda read: read("by_juris").groupBy("region").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))),
+        "by_juris": ((), lambda read: c.groupBy("juris", "region").agg(F.count("*").alias("n"), F.count(F.when(F.col("severity") == "K", 1)).alias("k"))),
+    }, path)
+    return spark.read.parquet(f"{path}/shares")
 
 
 # Geometry ---------------------------------------------------------------------------------------------------

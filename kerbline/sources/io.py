@@ -81,7 +81,17 @@ def replace_partition(df: DataFrame, path: str, by: str = "state") -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
-def refresh(views: dict[str, DataFrame], folder: str) -> None:
-    """Derived tables rewritten in the order given."""
-    for name, df in views.items():
-        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+def refresh(spark: SparkSession, views: dict[str, tuple[tuple[str, ...], object]], folder: str) -> list[str]:
+    """Derived tables rewritten in the order of their needs; returns that order.
+
+    views: name -> (names of the views it reads, function of a reader by name to a DataFrame).
+    """
+    done: list[str] = []
+    while len(done) < len(views):
+        ready = [n for n, (needs, _) in views.items() if n not in done and all(x in done for x in needs)]
+        if not ready:
+            raise ValueError(f"views that need one another: {sorted(set(views) - set(done))}")
+        for name in ready:
+            views[name][1](lambda x: spark.read.parquet(f"{folder}/{x}")).write.mode("overwrite").parquet(f"{folder}/{name}")
+            done.append(name)
+    return done
