@@ -125,13 +125,19 @@ def point_in_polygon(points: DataFrame, polygons: DataFrame, size: float = 0.02,
     mine = points.select("id", "lat", "lon").withColumns({"cy": _cell(F.col("lat"), size), "cx": _cell(F.col("lon"), size)})
     cells = polygon_cells(polygons, size)
     inside = F.col("edges").isNull() | (_crossings(F.col("lat"), F.col("lon"), F.col("edges")) % 2 == 1)
-    hit = mine.join(cells, ["cy", "cx"], "left").groupBy("id").agg(F.min(F.when(F.col("poly_id").isNotNull() & inside, F.col("poly_id"))).alias("poly_id"))
+    found = F.min(F.when(F.col("poly_id").isNotNull() & inside, F.col("poly_id"))).alias("poly_id")
     if nearest is None:
-        return hit
-    left = points.select("id", "lat", "lon").join(hit.where(F.col("poly_id").isNull()).select("id"), "id")
-    centre = nearest_centroid(left, nearest.select(F.col("poly_id").alias("centroid_id"), "c_lat", "c_lon")).select("id", F.col("centroid_id").alias("near_id"))
-    both = hit.join(centre, "id", "left")
-    return both.select("id", F.coalesce("poly_id", "near_id").alias("poly_id"), F.when(F.col("poly_id").isNotNull(), "polygon").when(F.col("near_id").isNotNull(), "centre").otherwise("none").alias("way"))
+        return mine.join(cells, ["cy", "cx"], "left").groupBy("id").agg(found)
+    if nearest.limit(CENTROIDS + 1).count() > CENTROIDS:
+        raise ValueError("too many centres to try them all for every point outside")
+    hit = mine.join(cells, ["cy", "cx"], "left").groupBy("id", "lat", "lon").agg(found)
+    # The centres, counted above, travel as one array; only points outside all polygons look at them.
+    centres = nearest.agg(F.collect_list(F.struct("c_lat", "c_lon", "poly_id")).alias("centres"))
+    away = lambda k: F.round(F.pow(F.col("lat") - k["c_lat"], F.lit(2.0)) + F.pow(F.col("lon") - k["c_lon"], F.lit(2.0)), 12)
+    near = F.array_min(F.transform("centres", lambda k: F.struct(away(k).alias("d"), k["poly_id"].alias("p"))))["p"]
+    both = hit.crossJoin(F.broadcast(centres)).withColumn("near", F.when(F.col("poly_id").isNull(), near))
+    way = F.when(F.col("poly_id").isNotNull(), "polygon").when(F.col("near").isNotNull(), "centre").otherwise("none")
+    return both.select("id", F.coalesce("poly_id", "near").alias("poly_id"), way.alias("way"))
 
 
 #: Centroids that every point may be compared with where no column narrows them down.
