@@ -529,7 +529,9 @@ def spelling(counts: DataFrame) -> Spelling:
         at, x = _rows_of(Spelling(*sent.value).learn(words))
         return pa.table({"at": at, "x": x})
 
-    mixer = _learnt(rare.groupBy(F.pmod(F.xxhash64("word"), F.lit(n_shards)).alias("shard")).applyInArrow(learn, "at long, x double"))
+    # As many tasks as shards: words are small, and learning from them takes its time.
+    dealt = rare.withColumn("shard", F.pmod(F.xxhash64("word"), F.lit(n_shards))).repartition(n_shards, "shard")
+    mixer = _learnt(dealt.groupBy("shard").applyInArrow(learn, "at long, x double"))
     return Spelling(table, code, mixer)
 
 

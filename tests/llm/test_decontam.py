@@ -73,6 +73,8 @@ def test_clean(spark, docs_of, case):
     bench = spark.createDataFrame([i for i in items if i[0] == 1], "item_id long, text string")
     left = decontam.clean(docs_of([(d, t, "s") for d, t in docs]), bench)
     assert left.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    named = docs_of([(d, t, "s") for d, t in docs], extra=True).selectExpr("*", *[f"'x' AS {c}" for c in ("win", "item", "print", "hits", "d", "l", "hashes")])
+    assert decontam.clean(named, bench).columns == named.columns and decontam.clean(named, bench).count() == left.count()
     assert {2, 3, 4, 7, 10, 11} >= {r.doc_id for r in left.collect()} >= {2, 3, 4, 7, 10}
 
 
