@@ -38,6 +38,8 @@ THRESHOLD = 0.8
 BLOCKS, WIDTH, RADIUS = 20, 16, 71
 #: Bits by which a block may differ, on the items' side and on the windows'; and in how many blocks that must hold.
 NEAR_ITEM, NEAR_WINDOW = 2, 1
+#: Rows of the index that may be broadcast, some 75 bytes each.
+INDEX_ROWS = 1_500_000
 AGREE = BLOCKS - RADIUS // (NEAR_ITEM + NEAR_WINDOW + 1)
 #: Up to so many shingles are constants of the plan; more are joined.
 MARKS_IN_PLAN = 10_000
@@ -87,6 +89,9 @@ def _probes(df: DataFrame, keys: list[str], fingerprint: str, bits: int) -> Data
 def proposed(prints: DataFrame, items: DataFrame) -> DataFrame:
     """(win, n, print) and (item, n, item_print) -> win, item: pairs of one n that agree, but for three bits, in :data:`AGREE` blocks."""
     index, asked = _probes(items, ["item", "n"], "item_print", NEAR_ITEM), _probes(prints, ["win", "n"], "print", NEAR_WINDOW)
+    # Spark doesn't see how many rows the index has, so it is counted: broadcast within a bound, else both sides are sorted.
+    around = [1, 1 + WIDTH, 1 + WIDTH + WIDTH * (WIDTH - 1) // 2][NEAR_ITEM]
+    index = F.broadcast(index) if items.count() * BLOCKS * around <= INDEX_ROWS else index.hint("merge")
     # Two blocks may meet in several values: blocks are counted as bits of a number.
     met = asked.join(index, ["n", "block", "value"]).groupBy("win", "item").agg(F.bit_count(F.bit_or(F.expr("shiftleft(1, block)"))).alias("blocks"))
     return met.where(F.col("blocks") >= AGREE).select("win", "item")

@@ -62,6 +62,7 @@ def test_many_marks_and_empty(spark, docs_of, case, monkeypatch):
     docs, items = case
     bench = spark.createDataFrame(items, "item_id long, text string")
     monkeypatch.setattr(decontam, "MARKS_IN_PLAN", 0)
+    monkeypatch.setattr(decontam, "INDEX_ROWS", 0)
     got = decontam.find_leaks(docs_of([(d, t, "s") for d, t in docs]), bench).collect()
     assert {(r.doc_id, r.item_id, r.start, round(r.similarity, 9)) for r in got} == brute(docs, items)
     assert decontam.find_leaks(docs_of([]), bench).count() == 0
