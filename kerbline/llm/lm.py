@@ -149,6 +149,12 @@ def _count_class(c: Column) -> Column:
     return F.when(c < 16, c).otherwise(16 + F.floor(2 * (F.log2(c.cast("double")) - 4) + 1e-9)).cast("int")
 
 
+def _byte_from_end(k: int) -> Column:
+    """The k-th byte of ``word`` from its end; 0 where there is none."""
+    byte = F.conv(F.hex(F.expr(f"substring(word, -{k}, 1)")), 16, 10).cast("int")
+    return F.when(F.length("word") >= k, byte).otherwise(0)
+
+
 # Counts, added up in Spark
 
 
@@ -598,9 +604,8 @@ def score(docs: DataFrame, held: Column | None = None) -> DataFrame:
     heads = sorted(((bytes(r["word"]), r["c"]) for r in real.where(level >= least).collect()), key=lambda x: (-x[1], x[0])) if least is not None else []  # KNOWN at most
     known = sc.broadcast(pa.array([w for w, _ in heads], pa.large_binary()))
     # Words by last byte and class of count, and the tokens after each ending: fixed numbers of rows.
-    byte = lambda k: F.coalesce(F.conv(F.hex(F.expr(f"substring(word, -{k}, 1)")), 16, 10).cast("int"), F.lit(0)) if k == 1 else F.when(F.length("word") > 1, F.conv(F.hex(F.expr("substring(word, -2, 1)")), 16, 10).cast("int")).otherwise(0)
-    classes = real.groupBy(byte(1).bitwiseAND(F.lit(127)).alias("last"), _count_class(F.col("c")).alias("k"), _count_class(F.col("c") - 1).alias("less")).agg(F.count("*").alias("types"), F.sum("c").alias("tokens")).collect()
-    endings = real.groupBy(((byte(1) * 31 + byte(2)) % ENDINGS).alias("ending")).agg(F.sum("c").alias("tokens")).collect()
+    classes = real.groupBy(_byte_from_end(1).bitwiseAND(F.lit(127)).alias("last"), _count_class(F.col("c")).alias("k"), _count_class(F.col("c") - 1).alias("less")).agg(F.count("*").alias("types"), F.sum("c").alias("tokens")).collect()
+    endings = real.groupBy(((_byte_from_end(1) * 31 + _byte_from_end(2)) % ENDINGS).alias("ending")).agg(F.sum("c").alias("tokens")).collect()
     load = np.zeros(BEFORE, np.int64)
     load[0] = total["ends"]
     for r in endings:
