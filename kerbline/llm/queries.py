@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbline.llm import chat, decontam, jaccard, lengths, lm, mixing, quality, secrets, sst, urls
+from kerbline.llm import chat, decontam, fim, jaccard, lengths, lm, mixing, quality, secrets, sst, urls
 from kerbline.llm.common import new_folder, table
 
 
@@ -58,13 +58,17 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.histogram(lengths.encoded_lengths(table(spark, sf_dir, "documents")))
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digest(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_chat_formatting, op3_url_filter, op4_secret_scan, op5_token_shards, op6_quality_rules, op7_source_mixing, op8_ngram_jaccard_join, op9_lm_scoring, op10_token_counts, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_chat_formatting, op3_url_filter, op4_secret_scan, op5_token_shards, op6_quality_rules, op7_source_mixing, op8_ngram_jaccard_join, op9_lm_scoring, op10_token_counts, op13_fill_in_middle, pipeline)}
 
 SQL: dict[str, str] = {}
 
@@ -140,3 +144,12 @@ goal AS (SELECT source, source_size, CASE WHEN f.level IS NULL THEN cap ELSE lea
 epochs AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS epochs, CAST(floor(target - CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END * source_size) AS BIGINT) AS rest FROM goal),
 cum AS (SELECT k.doc_id, k.size, e.source_size, e.target, e.epochs, e.rest, count(*) OVER same AS m, CAST(sum(k.size) OVER (PARTITION BY k.source ORDER BY key, doc_id NULLS FIRST, size) AS BIGINT) AS upto FROM keyed k JOIN epochs e ON k.source IS NOT DISTINCT FROM e.source WINDOW same AS (PARTITION BY k.source, key, doc_id, size))
 SELECT doc_id, size, source_size, target, epochs * size + CASE WHEN upto <= rest THEN size WHEN upto - size * m <= rest THEN (rest - upto + size * m) // m ELSE 0 END AS taken FROM cum"""
+
+SQL["op13_fill_in_middle"] = r"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS h FROM documents),
+cut AS (SELECT *, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS lines, [CAST('0x' || substr(h, 8 * k + 1, 8) AS BIGINT) FOR k IN [0, 1, 2, 3]] AS hs FROM docs),
+drawn AS (SELECT *, len(lines) AS n, least(hs[1] % (len(lines) + 1), hs[2] % (len(lines) + 1)) AS lo, greatest(hs[1] % (len(lines) + 1), hs[2] % (len(lines) + 1)) AS hi,
+ CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR hs[3] % 100 >= 100 THEN 'plain' WHEN hs[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM cut),
+parts AS (SELECT *, array_to_string(lines[1:lo], '') AS p, array_to_string(lines[lo + 1:hi], '') AS m, array_to_string(lines[hi + 1:n], '') AS s FROM drawn)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+ sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256 FROM parts"""
