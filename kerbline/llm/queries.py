@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbline.llm import chat, decontam, fim, jaccard, lengths, lm, mixing, quality, secrets, sst, urls
+from kerbline.llm import chat, decontam, fim, jaccard, lengths, lm, mixing, negatives, quality, secrets, sst, urls
 from kerbline.llm.common import new_folder, table
 
 
@@ -58,6 +58,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.histogram(lengths.encoded_lengths(table(spark, sf_dir, "documents")))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.select("vec_id", label.alias("label"), "embedding"), F.col("vec_id") % 50 == 0)
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digest(table(spark, sf_dir, "documents"))
 
@@ -68,7 +74,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_chat_formatting, op3_url_filter, op4_secret_scan, op5_token_shards, op6_quality_rules, op7_source_mixing, op8_ngram_jaccard_join, op9_lm_scoring, op10_token_counts, op13_fill_in_middle, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_chat_formatting, op3_url_filter, op4_secret_scan, op5_token_shards, op6_quality_rules, op7_source_mixing, op8_ngram_jaccard_join, op9_lm_scoring, op10_token_counts, op11_hard_negatives, op13_fill_in_middle, pipeline)}
 
 SQL: dict[str, str] = {}
 
@@ -153,3 +159,12 @@ drawn AS (SELECT *, len(lines) AS n, least(hs[1] % (len(lines) + 1), hs[2] % (le
 parts AS (SELECT *, array_to_string(lines[1:lo], '') AS p, array_to_string(lines[lo + 1:hi], '') AS m, array_to_string(lines[hi + 1:n], '') AS s FROM drawn)
 SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256 FROM parts"""
+
+SQL["op11_hard_negatives"] = """
+WITH fine AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS q FROM embeddings
+ WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scores AS (SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, CAST(list_inner_product(a.q, r.q) AS BIGINT) AS score FROM fine a JOIN fine r ON a.vec_id <> r.vec_id WHERE a.vec_id % 50 = 0),
+told AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+near AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS k FROM told p JOIN scores s ON p.anchor_id = s.anchor_id
+ WHERE NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(k AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM near WHERE k <= 3"""
