@@ -13,7 +13,7 @@ vector with its code's unit vector s.  What the code leaves over, ``x - <s, x> s
 ``<s, q>``, and by the Cauchy-Schwarz inequality it errs by no more than ``|residual| |q| + |x - residual| |q's rounding|``.
 A pair whose interval ends below what the anchor has already is dropped; what survives is scored in integers.  One
 level alone leaves an interval of 0.6 |x| |q| either side, which drops nothing where scores are that low; six leave
-0.06; levels end where few pairs of a stretch are left.  The intervals are certain, so the result is exact.
+some 0.06 to 0.1; levels end where few pairs of a stretch are left.  The intervals are certain, so the result is exact.
 
 Rows against anchors are a stated query set against all rows: anchors come in blocks of bounded size, which are
 broadcast, and rows are read by parts that grow sixteenfold, each once.  The best that a block's anchors have after one

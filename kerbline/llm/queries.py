@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbline.llm import chat, decontam, fim, jaccard, lengths, lm, mixing, negatives, quality, secrets, sst, urls
+from kerbline.llm import chat, decontam, fim, jaccard, langid, lengths, lm, mixing, negatives, quality, secrets, sst, urls
 from kerbline.llm.common import new_folder, table
 
 
@@ -64,6 +64,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(rows.select("vec_id", label.alias("label"), "embedding"), F.col("vec_id") % 50 == 0)
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.judge(table(spark, sf_dir, "documents"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digest(table(spark, sf_dir, "documents"))
 
@@ -74,7 +78,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_chat_formatting, op3_url_filter, op4_secret_scan, op5_token_shards, op6_quality_rules, op7_source_mixing, op8_ngram_jaccard_join, op9_lm_scoring, op10_token_counts, op11_hard_negatives, op13_fill_in_middle, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_chat_formatting, op3_url_filter, op4_secret_scan, op5_token_shards, op6_quality_rules, op7_source_mixing, op8_ngram_jaccard_join, op9_lm_scoring, op10_token_counts, op11_hard_negatives, op12_language_id, op13_fill_in_middle, pipeline)}
 
 SQL: dict[str, str] = {}
 
