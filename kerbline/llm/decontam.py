@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbline.llm.common import checkpoint, small
+from kerbline.llm.common import checkpoint, small, unwrapped, wrapped
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -162,8 +162,8 @@ def _starts(threshold: float) -> str:
     return f"IF(size(hits) >= {least}, flatten({each}), {none})"
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, item_id, start (word), n_words, similarity: each item that a document holds, where it fits best."""
+def _leaks(docs: DataFrame, benchmark: DataFrame, threshold: float) -> DataFrame:
+    """doc_id, text_hash, item_id, start (word), n, similarity of all windows that reach the threshold."""
     cut_items = benchmark.select("item_id", words(F.col("text")).alias("w")).select("item_id", F.size("w").alias("n"), shingles(F.col("w")).alias("item_hashes"))
     items = checkpoint(_simhash(cut_items.where(F.size("item_hashes") > 0).distinct(), "item_hashes", "item_print").withColumn("item", F.monotonically_increasing_id()))
     places = items.select("n", F.posexplode("item_hashes").alias("at", "hash")).groupBy("n", "hash").agg(F.min("at").alias("first_at"), F.max("at").alias("last_at"))
@@ -175,22 +175,32 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     windows = hits.select("doc_id", "text_hash", "n", F.expr(_starts(threshold)).alias("starts")).where(F.size("starts") > 0)
     cut = (
         windows.alias("v").join(texts.alias("t"), F.col("v.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("v.text_hash") == F.col("t.text_hash")))
-        .select("v.doc_id", "n", "w", F.explode("starts").alias("at"))
-        .select("doc_id", "n", "w", F.greatest(F.lit(0), F.col("at")).alias("start"), F.least(F.size("w"), F.col("at") + F.col("n")).alias("stop"))
-        .select("doc_id", "start", "n", F.slice("w", F.col("start") + 1, F.col("stop") - F.col("start")).alias("w"))
-        .select("doc_id", "start", "n", shingles(F.col("w")).alias("hashes"))
+        .select("v.doc_id", "v.text_hash", "n", "w", F.explode("starts").alias("at"))
+        .select("doc_id", "text_hash", "n", "w", F.greatest(F.lit(0), F.col("at")).alias("start"), F.least(F.size("w"), F.col("at") + F.col("n")).alias("stop"))
+        .select("doc_id", "text_hash", "start", "n", F.slice("w", F.col("start") + 1, F.col("stop") - F.col("start")).alias("w"))
+        .select("doc_id", "text_hash", "start", "n", shingles(F.col("w")).alias("hashes"))
     )
     prints = checkpoint(_simhash(cut, "hashes", "print").withColumn("win", F.monotonically_increasing_id()))
     pairs = checkpoint(proposed(prints.select("win", "n", "print"), items.select("item", "n", "item_print")))
     n_pairs = pairs.count()
     near = small(pairs, n_pairs).join(prints, "win").join(items.drop("n"), "item").where(_distance("print", "item_print") <= RADIUS)
-    candidates = near.select("doc_id", "item_id", "start", "n", "hashes", "item_hashes")
+    candidates = near.select("doc_id", "text_hash", "item_id", "start", "n", "hashes", "item_hashes")
     scored = candidates.withColumn("similarity", F.expr(_bag_similarity("hashes", "item_hashes"))).where(F.col("similarity") >= threshold)
+    return scored.select("doc_id", "text_hash", "item_id", "start", "n", "similarity")
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, item_id, start (word), n_words, similarity: each item that a document holds, where it fits best."""
     best = F.max(F.struct("similarity", (-F.col("start")).alias("before"), "n")).alias("best")
-    return scored.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", (-F.col("best.before")).alias("start"), F.col("best.n").alias("n_words"), F.col("best.similarity").alias("similarity"))
+    found = _leaks(docs, benchmark, threshold).groupBy("doc_id", "item_id").agg(best)
+    return found.select("doc_id", "item_id", (-F.col("best.before")).alias("start"), F.col("best.n").alias("n_words"), F.col("best.similarity").alias("similarity"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item."""
-    leaks = checkpoint(find_leaks(docs, benchmark, threshold).select("doc_id").distinct())
-    return docs.alias("d").join(small(leaks, leaks.count()).alias("l"), F.col("d.doc_id").eqNullSafe(F.col("l.doc_id")), "left_anti")
+    """``docs`` without the rows whose text holds a benchmark item.
+
+    Rows are judged by id and text: another text under the same id stays, and so do other rows without an id.
+    """
+    leaks = checkpoint(_leaks(docs, benchmark, threshold).select("doc_id", "text_hash").distinct())
+    mine = F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_text") == F.col("text_hash"))
+    return unwrapped(wrapped(docs, own_id=F.col("doc_id"), own_text=F.xxhash64("text")).join(small(leaks, leaks.count()), mine, "left_anti"))

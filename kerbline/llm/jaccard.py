@@ -91,7 +91,7 @@ def _normal_key(text: str | None) -> bytes:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, filled, signature (bytes), bands (array of 64-bit keys)."""
+    """doc_id, exact (a hash of the text as it stands), text_key, filled, signature (bytes), bands (array of 64-bit keys)."""
 
     def sign(batches):
         import pyarrow as pa
@@ -99,7 +99,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             keys, filled, sigs, bands = [], [], [], []
-            for text in batch.column(1):
+            for text in batch.column(2):
                 text = text.as_py()
                 shingles = shingle_set(text)
                 sig = minhash(shingles).reshape(BANDS, ROWS)
@@ -107,10 +107,10 @@ def signatures(docs: DataFrame) -> DataFrame:
                 filled.append(len(shingles) > 0)
                 sigs.append(sig.tobytes() if len(shingles) else b"")
                 bands.append([xxhash.xxh3_64_intdigest(row.tobytes(), k) - (1 << 63) for k, row in enumerate(sig)] if len(shingles) else [])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(filled, pa.bool_()), pa.array(sigs, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], schema.fieldNames())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(filled, pa.bool_()), pa.array(sigs, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], schema.fieldNames())
 
-    schema = schema_of(docs, ["doc_id"], "text_key binary, filled boolean, signature binary, bands array<bigint>")
-    return docs.select("doc_id", "text").mapInArrow(sign, schema)
+    schema = schema_of(docs, ["doc_id"], "exact long, text_key binary, filled boolean, signature binary, bands array<bigint>")
+    return docs.select("doc_id", F.xxhash64("text").alias("exact"), "text").mapInArrow(sign, schema)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -218,7 +218,7 @@ def _tree(n: int, i, j) -> list[int]:
 
 
 def near_texts(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> tuple[DataFrame, DataFrame]:
-    """Documents (doc_id, rep: the smallest id of the same text, copies, filled) and, for texts with links, (rep, root, links)."""
+    """Rows (doc_id, exact, text_key) and texts (text_key, rep: the smallest id of the text, copies, filled; root and links where it has any)."""
     signed = checkpoint(signatures(docs))
     texts = checkpoint(signed.groupBy("text_key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("m"), F.count("*").alias("copies"), F.first("filled").alias("filled")).select("text_key", F.col("m.doc_id").alias("rep"), "copies", "filled"))
     keys = signed.select("text_key", F.explode("bands").alias("key"))
@@ -272,7 +272,7 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float =
     classes = components(compared.select(F.col("text_key").alias("a"), F.col("to").alias("b")))
     links = compared.groupBy(F.col("text_key").alias("node")).agg(F.sum("links").alias("links"))
     linked = classes.join(links, "node").select(F.col("node").alias("text_key"), "root", "links")
-    return signed.select("doc_id", "text_key"), texts.join(linked, "text_key", "left")
+    return signed.select("doc_id", "exact", "text_key"), texts.join(linked, "text_key", "left")
 
 
 def _shingle_rows(bodies: DataFrame) -> DataFrame:
@@ -300,13 +300,23 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TO
 
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
-    """``docs`` with one document of each class: the one with the smallest id, and one row of that id.
+    """``docs`` with one row of each class: the smallest id (nulls last), of its texts the one with the smallest key, once.
 
-    Documents without shingles are all kept.
+    Rows are judged, not ids: a row goes where its own text is near another's, whatever else stands under its id, and
+    rows without an id are judged like others.  A row without shingles (a null or empty text) always stays, however
+    often it is there.
     """
-    judged = checkpoint(classes(docs, threshold, tolerance))
-    gone = judged.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("gone_id")).distinct()
-    rows = wrapped(docs, own_id=F.col("doc_id"), own_text=F.col("text"))
-    kept = rows.join(small(gone, gone.count()), F.col("own_id") == F.col("gone_id"), "left_anti")
-    twice = judged.where(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("n_links") > 0)).groupBy("doc_id").count().where("count > 1")
-    return unwrapped(kept if twice.isEmpty() else kept.dropDuplicates(["own_id", "own_text"]))
+    members, texts = near_texts(docs, threshold, tolerance)
+    # Texts of one row without links are their class's pick; only the others are looked at.
+    shared = checkpoint(texts.where(F.col("filled") & ((F.col("copies") > 1) | F.col("root").isNotNull())).select("text_key", F.coalesce("root", "text_key").alias("group")))
+    rows = checkpoint(members.join(small(shared, shared.count()), "text_key").groupBy("group", "doc_id", "text_key", "exact").agg(F.count("*").alias("times")))
+    pick = rows.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key", "exact")).alias("pick"))
+    judged = checkpoint(rows.join(pick, "group").select(F.col("doc_id").alias("of_id"), F.col("exact").alias("of_exact"), "times", (F.col("doc_id").eqNullSafe(F.col("pick.doc_id")) & (F.col("exact") == F.col("pick.exact"))).alias("stays")))
+    mine = F.col("own_id").eqNullSafe(F.col("of_id")) & (F.col("own_exact") == F.col("of_exact"))
+    gone, twice = judged.where(~F.col("stays")).select("of_id", "of_exact"), judged.where(F.col("stays") & (F.col("times") > 1)).select("of_id", "of_exact")
+    n_gone, n_twice = gone.count(), twice.count()
+    kept = wrapped(docs, own_id=F.col("doc_id"), own_exact=F.xxhash64("text")).join(small(gone, n_gone), mine, "left_anti")
+    if n_twice:
+        once = kept.join(small(twice, n_twice), mine, "left_semi").dropDuplicates(["own_id", "own_exact"])
+        kept = kept.join(small(twice, n_twice), mine, "left_anti").unionByName(once)
+    return unwrapped(kept)

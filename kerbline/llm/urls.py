@@ -72,7 +72,7 @@ def _shrunk(children: DataFrame) -> DataFrame:
     spread = F.sum(F.col("n") * F.pow(F.col("bad") / F.col("n") - F.col("mean"), F.lit(2.0)))
     within = F.sum(F.col("mean") * (1 - F.col("mean")))
     scale = F.sum((F.col("n") - 1) * F.col("mean") * (1 - F.col("mean")))
-    fit = children.agg(F.round((spread - within) / scale, 6).alias("rho"))
+    fit = children.agg(F.round(F.try_divide(spread - within, scale), 6).alias("rho"))  # null where every child has one label
     strength = F.when(F.col("rho").isNull() | (F.col("rho") <= 1 / (1 + MAX_STRENGTH)), MAX_STRENGTH).otherwise(F.greatest(F.lit(MIN_STRENGTH), 1 / F.col("rho") - 1))
     rest = F.col("pa") + F.col("pb") - F.col("n")
     prior, worth = (F.col("pa") - F.col("bad")) / rest, F.least(F.col("strength"), rest)
@@ -104,13 +104,12 @@ def lower_bound(a: Column, b: Column, z: float = Z) -> Column:
     return mean - z * F.sqrt(mean * (1 - mean) / (a + b + 1))
 
 
-def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, z: float = Z, limit: float = LIMIT, suffixes=SUFFIXES) -> DataFrame:
-    """pages (page_id, url) -> page_id, host, path, rule, verdict, and bad_bound: the bound that the method judged by.
+def _with_verdicts(seen: DataFrame, outcomes: DataFrame, rules, z: float, limit: float, suffixes) -> DataFrame:
+    """Rows with host and path, and with rule, verdict and bad_bound.
 
-    ``outcomes`` has host and bad.  Pages are judged per distinct host: hosts are few beside pages, and the table
-    of judged hosts is broadcast only where its count allows.
+    Pages are judged per distinct host: hosts are few beside pages, and the table of judged hosts is broadcast only
+    where its count allows.
     """
-    seen = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     rep = checkpoint(reputation(outcomes, suffixes))
     of = lambda level, name: rep.where(F.col("level") == level).select(F.col("name").alias(name), F.struct("a", "b").alias(f"{level}_ab"))
     name = name_of(F.col("host"))
@@ -119,14 +118,18 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, z: float = Z, limi
     judged = hosts.join(of("host", "name"), "name", "left").join(of("domain", "domain"), "domain", "left").join(of("suffix", "suffix"), "suffix", "left").crossJoin(root)
     ab = F.coalesce("host_ab", "domain_ab", "suffix_ab", "root_ab")
     judged = checkpoint(judged.select("host", F.round(lower_bound(ab["a"], ab["b"], z), 6).alias("bad_bound")))
-    rule = best_rule(F.col("host"), F.col("path"), rules)
-    return seen.join(small(judged, judged.count()), "host").withColumn("r", rule).select(
-        "page_id", "host", "path", F.col("r.rule").alias("rule"),
-        F.coalesce(F.col("r.verdict"), F.when(F.col("bad_bound") > limit, "block").otherwise("allow")).alias("verdict"), "bad_bound",
-    )
+    verdict = F.coalesce(F.col("r.verdict"), F.when(F.col("bad_bound") > limit, "block").otherwise("allow"))
+    ruled = seen.join(small(judged, judged.count()), "host").withColumn("r", best_rule(F.col("host"), F.col("path"), rules))
+    return ruled.withColumns({"rule": F.col("r.rule"), "verdict": verdict}).drop("r")
+
+
+def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, z: float = Z, limit: float = LIMIT, suffixes=SUFFIXES) -> DataFrame:
+    """pages (page_id, url) -> page_id, host, path, rule, verdict, and bad_bound: the bound that the method judged by; ``outcomes`` has host and bad."""
+    seen = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    return _with_verdicts(seen, outcomes, rules, z, limit, suffixes).select("page_id", "host", "path", "rule", "verdict", "bad_bound")
 
 
-def keep(pages: DataFrame, outcomes: DataFrame, **how) -> DataFrame:
-    """The pages that are allowed, judged with :func:`judge`; rows keep all their columns."""
-    verdicts = judge(pages, outcomes, **how).where(F.col("verdict") == "allow").select(F.col("page_id").alias("kept_id")).distinct()
-    return unwrapped(wrapped(pages, own_id=F.col("page_id")).join(verdicts, F.col("own_id").eqNullSafe(F.col("kept_id")), "left_semi"))
+def keep(pages: DataFrame, outcomes: DataFrame, rules=RULES, z: float = Z, limit: float = LIMIT, suffixes=SUFFIXES) -> DataFrame:
+    """The pages that are allowed, each row judged by its own url, whatever its page_id; rows keep all their columns."""
+    seen = wrapped(pages, host=host_of(F.col("url")), path=path_of(F.col("url")))
+    return unwrapped(_with_verdicts(seen, outcomes, rules, z, limit, suffixes).where(F.col("verdict") == "allow"))

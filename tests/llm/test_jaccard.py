@@ -94,14 +94,46 @@ def test_planted_near_copies(spark, docs_of, prose):
     assert got == brute(docs) and sum(r[2] > 0 for r in got) > 150
 
 
+def brute_one_of_each(docs):
+    """Which rows stay, as (id, normal text): of each component of filled rows one, and all rows without words."""
+    sets = [shingles(t) for _, t, _ in docs]
+    left, kept = [k for k in range(len(docs)) if sets[k]], [(d, ()) for (d, _, _), s in zip(docs, sets) if not s]
+    near = lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9
+    while left:
+        part, todo = set(), [left[0]]
+        while todo:
+            x = todo.pop()
+            if x not in part:
+                part.add(x)
+                todo += [y for y in left if y not in part and near(x, y)]
+        left = [x for x in left if x not in part]
+        smallest = min(part, key=lambda x: (docs[x][0] is None, docs[x][0] or 0))
+        kept.append((docs[smallest][0], [tuple(words(docs[x][1])) for x in part if docs[x][0] == docs[smallest][0]]))
+    return kept
+
+
+def same_rows(rows, want):
+    """Each row that stays is the pick of one component; where an id has several texts there, any one of them."""
+    have = [(r.doc_id, tuple(words(r.text))) for r in rows]
+    for doc_id, texts in want:
+        fit = next((x for x in have if x[0] == doc_id and (x[1] in texts if texts else not x[1])), None)
+        assert fit is not None, (doc_id, texts)
+        have.remove(fit)
+    assert not have
+
+
 def test_one_of_each(spark, docs_of, prose):
-    docs = [d for d in cases(prose) if d[0] is not None and d[0] != 2]
-    left = jaccard.one_of_each(docs_of(docs))
-    named = jaccard.one_of_each(docs_of(docs, extra=True).selectExpr("*", "'x' AS own_id", "'x' AS row"))
-    assert named.where("gone_id = 'x' AND own_id = 'x'").count() == left.count()
-    want = {c if shingles(t) else d for (d, c, _), t in zip(brute(docs), [dict((a, b) for a, b, _ in docs)[x[0]] for x in brute(docs)])}
-    assert left.columns == ["doc_id", "text", "lang", "source", "n_chars"] and {r.doc_id for r in left.collect()} == want and left.count() == len(want)
-    assert jaccard.classes(docs_of([])).count() == 0
+    """Null and repeated ids, ids with several texts, empty texts beside repeats."""
+    near = lambda t: t + " indeed"
+    a, b, c = (f"{t} {t[::-1]}" for t in prose)
+    mixed = [(3, b, "s"), (5, a, "s"), (5, near(b), "s"), (None, b, "s"), (None, near(b), "s"), (None, c, "s"), (9, "", "s"), (9, "", "s"), (None, None, "s"), (None, None, "s")]
+    for docs in (cases(prose), mixed, [*mixed, (3, b, "t"), (3, b.upper(), "s")], [(None, a, "s")] * 5 + [(None, near(a), "s"), (None, "", None)], [(1, a, "s"), (1, near(a), "s"), (1, near(near(a)), "s")]):
+        left = jaccard.one_of_each(docs_of(docs))
+        assert left.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        same_rows(left.collect(), brute_one_of_each(docs))
+        named = jaccard.one_of_each(docs_of(docs, extra=True).selectExpr("*", "'x' AS own_id", "'x' AS row", "'x' AS own_exact", "'x' AS of_id", "'x' AS exact", "'x' AS pick"))
+        assert named.where("gone_id = 'x' AND own_id = 'x'").count() == left.count()
+    assert jaccard.classes(docs_of([])).count() == 0 and jaccard.one_of_each(docs_of([])).count() == 0
 
 
 def test_pruning_keeps_pairs_at_the_threshold():

@@ -46,3 +46,23 @@ def test_registered_domains(spark):
     outcomes = spark.createDataFrame([("bad.co.uk:81", 1)] * 80 + [("good.co.uk", 0)] * 80 + [(f"h{k}.com", 0) for k in range(200)], "host string, bad int")
     got = {r.host: r.verdict for r in urls.judge(pages(spark, [(k, f"http://{h}/", "", "") for k, h in enumerate(("bad.co.uk", "bad.co.uk:99", "good.co.uk", "never.co.uk"))]), outcomes, rules=()).collect()}
     assert got["bad.co.uk"] == got["bad.co.uk:99"] == "block" and got["good.co.uk"] == "allow"
+
+
+def test_single_labels(spark):
+    """No host, domain or suffix with two labels: nothing can be fitted, and nothing is blocked on one label."""
+    df = pages(spark, [(1, "http://h.net/", "", ""), (2, "http://b.org/", "", ""), (3, "http://x.dev/", "", "")])
+    for labels in ([("h.net", 0)], [("h.net", 1)], [("h.net", 1), ("b.org", 0), ("c.com", 0)], [("a.co.uk", 1), ("b.co.uk", 1)], [("h.net", 1), ("h.net", None)]):
+        outcomes = spark.createDataFrame(labels, "host string, bad int")
+        got = urls.judge(df, outcomes, rules=()).collect()
+        assert len(got) == 3 and all(r.bad_bound is not None for r in got)
+        assert {r.verdict for r in urls.judge(df, spark.createDataFrame([("h.net", 0)], "host string, bad int"), rules=()).collect()} == {"allow"}
+
+
+def test_keep_judges_rows(spark):
+    """Page ids that are null or stand with several urls; a very long url."""
+    none = spark.createDataFrame([], "host string, bad int")
+    rows = [(1, "http://x.com/de/1"), (1, "http://x.com/fr/1"), (None, "http://x.com/de/1"), (None, "http://a.org/"), (2, None), (3, "http://x.com/de/" + "y" * 200_000), (3, "http://a.org/" + "z" * 200_000), (4, "http://a.org/"), (4, "http://a.org/")]
+    df = pages(spark, [(k, u, "h", "v") for k, u in rows])
+    bad = {u for _, u in rows if u and "/de/" in u}
+    left = urls.keep(df, none)
+    assert left.columns == df.columns and sorted(((r.page_id, r.url) for r in left.collect()), key=str) == sorted((x for x in rows if x[1] not in bad), key=str)
