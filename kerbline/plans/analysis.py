@@ -280,6 +280,16 @@ def _movement(spark, d):
 _folder = shared_dir
 
 
+def _new(spark, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _to_end(spark, d, windows, name: str, days: int):
+    """A windowed stream of the events, drained and closed ``days`` after the last of them."""
+    last = table(spark, d, "events").agg(F.max(F.col("ts").cast("timestamp") + F.expr(f"INTERVAL {days} DAYS"))).first()[0]
+    return streams.run_to_end(windows, streams.read_events(spark, d), "ts", _new(spark, name), last).rows
+
+
 @query("stream_dedup_content_hash", "SELECT user_id, event_type, count(*) AS n FROM (SELECT DISTINCT ts, user_id, event_type, value FROM events) GROUP BY ALL")
 def _dedup(spark, d):
     s = streams.dedup_content(streams.read_events(spark, d), "ts", ["ts", "user_id", "event_type", "value"])
@@ -288,30 +298,32 @@ def _dedup(spark, d):
 
 @query("stream_monthly_counts", "SELECT CAST(date_trunc('month', ts) AS DATE) AS month, event_type, count(*) AS n FROM events GROUP BY ALL")
 def _months(spark, d):
-    days = streams.drain(streams.window_counts(streams.read_events(spark, d), "ts", "event_type"), _folder(spark), "complete")
-    return streams.month_rollup(days, "event_type")
+    return streams.month_rollup(_to_end(spark, d, lambda s: streams.window_counts(s, "ts", "event_type"), "months", 3), "event_type")
 
 
-@query("stream_validate_quarantine", "SELECT CASE WHEN event_type <> 'error' AND value >= 1 THEN 'good' ELSE 'quarantine' END AS sink, count(*) AS n FROM events GROUP BY 1")
+@query("stream_validate_quarantine", "SELECT CASE WHEN event_type <> 'error' AND value >= 1 THEN 'good' ELSE 'quarantine' END AS sink, CASE WHEN event_type = 'error' THEN 'error' ELSE '' END AS broke, count(*) AS n, count(DISTINCT event_id) AS events FROM events GROUP BY 1, 2")
 def _quarantine(spark, d):
-    s = streams.split_valid(streams.read_events(spark, d), {"error": F.col("event_type") != "error", "small": F.col("value") >= 1})
-    return streams.drain(s, _folder(spark)).groupBy(F.when(F.size("broken") == 0, "good").otherwise("quarantine").alias("sink")).agg(F.count("*").alias("n"))
+    """Two tables of one stream: good rows, and rows with the rules that they break."""
+    s = streams.with_broken_rules(streams.read_events(spark, d), {"error": F.col("event_type") != "error", "small": F.col("value") >= 1})
+    base = _new(spark, "quarantine")
+    streams.two_sinks(s, f"{base}/good", f"{base}/bad", f"{base}/state").awaitTermination()
+    sums = lambda rows, sink, broke: rows.groupBy(F.lit(sink).alias("sink"), broke.alias("broke")).agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("events"))
+    bad = spark.read.parquet(f"{base}/bad")
+    return sums(spark.read.parquet(f"{base}/good"), "good", F.lit("")).unionByName(sums(bad, "quarantine", F.when(F.array_contains("broken", "error"), "error").otherwise("")))
 
 
 @query("stream_hotspot_alerts", "SELECT CAST(w AS DATE) AS start, event_type, n AS score FROM (SELECT w, event_type, count(*) AS n FROM (SELECT event_type, unnest(generate_series(date_trunc('day', ts) - INTERVAL 6 DAY, date_trunc('day', ts), INTERVAL 1 DAY)) AS w FROM events) GROUP BY ALL) WHERE n >= 100")
 def _alerts(spark, d):
-    s = streams.hotspot_alerts(streams.read_events(spark, d), "ts", "event_type", F.lit(1), 100)
-    return streams.drain(s, _folder(spark), "complete").select(F.col("w.start").cast("date").alias("start"), "event_type", "score")
+    rows = _to_end(spark, d, lambda s: streams.hotspot_alerts(s, "ts", "event_type", F.lit(1), 100), "alerts", 9)
+    return rows.select(F.col("w.start").cast("date").alias("start"), "event_type", "score")
 
 
 @query("stream_upsert_batches", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def _upserts(spark, d):
-    import uuid
-
-    base = f"{_folder(spark)}/upsert-{uuid.uuid4().hex}"
+    base = _new(spark, "upsert")
     for _ in range(2):  # the second run finds nothing new
-        streams.upsert_batches(streams.read_events(spark, d), f"{base}/table", "event_id", f"{base}/state").awaitTermination()
-    return spark.read.parquet(f"{base}/table").groupBy("event_type").agg(F.count("*").alias("n"))
+        streams.upsert_batches(streams.read_events(spark, d), f"{base}/table", "event_id", f"{base}/state", "ts").awaitTermination()
+    return streams.upserted(spark, f"{base}/table").groupBy("event_type").agg(F.count("*").alias("n"))
 
 
 # Whole-table jobs -------------------------------------------------------------------------------------------
