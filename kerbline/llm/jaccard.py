@@ -35,7 +35,7 @@ BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
 STEP, TOLERANCE = 32, 1e-6
 BLOCK, POOL = 256, 8_192
-_WORDS_KNOWN = 400_000
+_WORDS_KNOWN = 100_000
 
 
 @lru_cache(1)
