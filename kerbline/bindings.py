@@ -113,8 +113,27 @@ _ROADS = {
 }
 _FC = "CASE fc_code " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in _LABELS["fc_code"].items()) + " ELSE '' END"
 INVENTORY_SQL = f"SELECT *, {_FC} AS fc FROM (SELECT " + ", ".join(f"{e} AS {n}" for n, e in _ROADS.items()) + " FROM (SELECT p_partkey AS p, CASE WHEN p_partkey % 10 = 1 THEN p_partkey - 1 ELSE p_partkey END AS q FROM part) keys) road_rows"
-VIEWS = {"crashes": CRASHES_SQL, "persons": PERSONS_SQL, "vehicles": VEHICLES_SQL, "segments": SEGMENTS_SQL, "assets": ASSETS_SQL, "inventory": INVENTORY_SQL}
-_TABLES = {"crashes": ("orders", "customer", "nation"), "persons": ("lineitem",), "vehicles": ("lineitem",), "segments": ("part",), "assets": ("supplier",), "inventory": ("part",)}
+_IF = lambda cond, yes, no: f"CASE WHEN {cond} THEN {yes} ELSE {no} END"
+#: An agency's export as it comes: texts, with missing, contradictory and misplaced values at stated keys.
+_RAW = {
+    "id": "id", "route": _IF("id % 74 = 0", "''", "route"), "severity": "CASE WHEN id % 60 = 0 THEN '' WHEN id % 3 = 0 THEN 'O' ELSE severity END", **{f"{k}_people": f"{k}_people" for k in "kabc"},
+    "collision": "CASE id % 40 WHEN 0 THEN 'Bicycle crossing' WHEN 1 THEN 'BIKE' WHEN 2 THEN 'Motorcycle overturned' WHEN 3 THEN 'Unknown' ELSE collision END",
+    "weather": _IF("id % 33 = 0", "'n/a'", "weather"), "light": _IF("id % 34 = 0", "NULL", "light"), "surface": _IF("id % 21 = 0", "' '", "'1. Dry'"),
+    "ped": _IF("id % 22 = 0", "'Yes'", "'No'"), "ped_killed": _IF("is_ped", "k_people", "0"), "ped_injured": _IF("is_ped", "a_people + b_people + c_people", "0"),
+    "bike": _IF("id % 80 = 0", "'Yes'", "'No'"), "motorcycle": _IF("id % 17 = 0", "'Yes'", "'No'"),
+    "hitrun": "CASE id % 12 WHEN 0 THEN 'Y' WHEN 1 THEN 'maybe' WHEN 2 THEN '' WHEN 3 THEN 'true' ELSE 'No' END", "speeding": "CASE id % 7 WHEN 0 THEN 'Yes' WHEN 1 THEN '1' ELSE 'No' END",
+    **{k: _IF(f"is_{k}", "'Yes'", "'No'") for k in ("distracted", "drowsy", "guardrail", "animal", "lgtruck")},
+    "crash_date": "CASE WHEN id % 101 = 0 THEN 'x/y/z' WHEN id % 102 = 0 THEN 'soon' WHEN id % 103 = 0 THEN concat('13/1/', CAST(year AS STRING)) ELSE concat(CAST(month(crash_date) AS STRING), '/', CAST(day(crash_date) AS STRING), '/', CAST(year AS STRING)) END",
+    "crash_time": "CASE WHEN id % 45 = 0 THEN '1275' WHEN id % 46 = 0 THEN 'noon' WHEN id % 47 = 0 THEN '2500' ELSE CAST(hour * 100 + minute AS STRING) END", "crash_year": _IF("id % 6 = 0", "CAST(year - 1 AS STRING)", "CAST(year AS STRING)"),
+    "lat": "CASE WHEN id % 9 = 0 THEN 0.0E0 WHEN id % 29 = 0 THEN NULL WHEN id % 31 = 0 THEN lat + 2.0E0 WHEN id % 37 = 0 THEN 39.4E0 + id % 7 * 0.013E0 ELSE lat END", "lon": "lon",
+    "fc": "CASE WHEN id % 4 = 0 THEN '' WHEN id % 44 = 1 THEN 'Unknown' ELSE fc END",
+    "facility": "CASE WHEN id % 5 = 0 OR fc_code = 0 THEN '' WHEN fc_code <= 2 OR own_code = 5 THEN '4-Two-Way Divided' WHEN own_code = 6 THEN '1-One-Way Undivided' ELSE '3-Two-Way Undivided' END",
+    "description": "CASE id % 6 WHEN 0 THEN '1. Two-Way, Not Divided' WHEN 1 THEN '3. Two-Way, Divided, Positive Median Barrier' WHEN 2 THEN '4. One-Way' ELSE '' END",
+    "system": "CASE id % 8 WHEN 0 THEN 'DOT Interstate' WHEN 1 THEN 'DOT Primary' WHEN 2 THEN 'Non-DOT secondary' WHEN 3 THEN 'Local' ELSE '' END",
+}
+RAW_SQL = "SELECT " + ", ".join(f"{e} AS {n}" for n, e in _RAW.items()) + f" FROM ({CRASHES_SQL}) crash_rows"
+VIEWS = {"raw": RAW_SQL, "crashes": CRASHES_SQL, "persons": PERSONS_SQL, "vehicles": VEHICLES_SQL, "segments": SEGMENTS_SQL, "assets": ASSETS_SQL, "inventory": INVENTORY_SQL}
+_TABLES = {"raw": ("orders", "customer", "nation"), "crashes": ("orders", "customer", "nation"), "persons": ("lineitem",), "vehicles": ("lineitem",), "segments": ("part",), "assets": ("supplier",), "inventory": ("part",)}
 
 
 def with_views(sql: str, *names: str) -> str:
@@ -136,6 +155,11 @@ def crashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bound(spark, sf_dir, "crashes")
 
 
+def raw_crashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The crashes as an agency exports them, with its mistakes."""
+    return _bound(spark, sf_dir, "raw")
+
+
 def persons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bound(spark, sf_dir, "persons")
 

@@ -3,6 +3,10 @@
 A cell is at least as wide as the radius, so that the side with points looks into nine cells and the other side
 lies in those it touches.  Only pairs of one neighbourhood are ever formed; busy cells are left to adaptive skew
 handling, which splits a cell's rows.
+
+Segments and polygons are packed: what lies in a cell is one array, heavy cells are cut finer by what they weigh, and a
+point meets the array of its cell in its own row.  Points are so never gathered by id; where the packed cells may be
+broadcast, they aren't shuffled at all.
 """
 
 from __future__ import annotations
@@ -13,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbline.functions.geo import FT, M_PER_DEG, confidence, haversine_m
-from kerbline.session import small
+from kerbline.session import kept, small
 
 
 def cell_size(radius_m: float, max_lat: float = 50.0) -> float:
@@ -50,22 +54,91 @@ def segment_cells(segments: DataFrame, size: float, pad: float) -> DataFrame:
     return rows.withColumn("cx", F.explode(F.sequence(lo("u_lon", "v_lon"), hi("u_lon", "v_lon"))))
 
 
+#: What a cell's array may weigh (segments, or edges of polygons) before the cell is cut finer.
+HEAVY = 512
+#: Items of packed cells that may be broadcast, some 60 bytes each, or edges of polygons, some 40.
+PACKED = 1_000_000
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, in a lambda too."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _slice(value: Column, cell: Column, size: float, f: Column) -> Column:
+    """Which of ``f`` slices of its cell a value lies in; what lies before or behind belongs to the first or last."""
+    return F.greatest(F.lit(0), F.least(f - 1, F.floor((value / size - cell) * f).cast("int")))
+
+
+def _packed(rows: DataFrame, weight: Column, finer, item: Column, most_f: int) -> tuple[DataFrame, DataFrame | None]:
+    """Cells as (cy, cx, sub, items), and the heavy ones' fineness (cy, cx, f), None where no cell is heavy.
+
+    ``finer`` deals rows with cy, cx and f to slices ``sub``, row by row of the cell.
+    """
+    sums = rows.groupBy("cy", "cx").agg(F.sum(weight).alias("w"))
+    total, most = sums.agg(F.coalesce(F.sum("w"), F.lit(0)), F.coalesce(F.max("w"), F.lit(0))).first()
+    if most <= HEAVY or most_f < 2:
+        index = rows.withColumn("sub", F.lit(0)).groupBy("cy", "cx", "sub").agg(F.collect_list(item).alias("items"))
+        return (F.broadcast(index) if total <= PACKED else index), None
+    f = F.least(F.lit(most_f), F.ceil(F.sqrt(F.col("w") / HEAVY)).cast("int") * 2)
+    hot = kept(sums.where(F.col("w") > HEAVY).select("cy", "cx", f.alias("f")))
+    cut = finer(rows.join(small(hot), ["cy", "cx"], "left").withColumn("f", F.coalesce("f", F.lit(1))))
+    index = kept(cut.groupBy("cy", "cx", "sub").agg(F.collect_list(item).alias("items"), F.sum(weight).alias("w")))
+    total = index.agg(F.sum("w")).first()[0]
+    return (F.broadcast(index.drop("w")) if total <= PACKED else index.drop("w")), hot
+
+
+def _with_items(points: DataFrame, packed: DataFrame, hot: DataFrame | None, size: float, how: str = "inner") -> DataFrame:
+    """Each point (lat, lon) with the items of its cell, or of its slice of a heavy cell."""
+    mine = points.withColumns({"cy": _cell(F.col("lat"), size), "cx": _cell(F.col("lon"), size)})
+    if hot is None:
+        return mine.withColumn("sub", F.lit(0)).join(packed, ["cy", "cx", "sub"], how).drop("cy", "cx", "sub")
+    mine = mine.join(small(hot), ["cy", "cx"], "left").withColumn("f", F.coalesce("f", F.lit(1)))
+    sub = _slice(F.col("lat"), F.col("cy"), size, F.col("f")) * F.col("f") + _slice(F.col("lon"), F.col("cx"), size, F.col("f"))
+    return mine.withColumn("sub", sub).join(packed, ["cy", "cx", "sub"], how).drop("cy", "cx", "sub", "f")
+
+
+def packed_segments(segments: DataFrame, size: float, pad: float) -> tuple[DataFrame, DataFrame | None]:
+    """:func:`_packed` of segments: u_lat, u_lon, dy, dlon, seg_id of those whose padded box meets a cell.
+
+    Of segments that lie on one another the one with the smallest id stands for all.  A heavy cell is cut no finer than
+    the pad, as slices below that share nearly all they have.
+    """
+    ends = ["u_lat", "u_lon", "v_lat", "v_lon"]
+    rows = segment_cells(segments.groupBy(*ends).agg(F.min("seg_id").alias("seg_id")), size, pad)
+
+    def finer(cells: DataFrame) -> DataFrame:
+        def span(axis: str, cell: str):
+            a, b = F.col(f"u_{axis}"), F.col(f"v_{axis}")
+            return F.sequence(_slice(F.least(a, b) - pad, F.col(cell), size, F.col("f")), _slice(F.greatest(a, b) + pad, F.col(cell), size, F.col("f")))
+
+        cut = cells.withColumn("iy", F.explode(span("lat", "cy"))).withColumn("ix", F.explode(span("lon", "cx")))
+        return cut.withColumn("sub", F.col("iy") * F.col("f") + F.col("ix"))
+
+    item = F.struct("u_lat", "u_lon", (F.col("v_lat") - F.col("u_lat")).alias("dy"), (F.col("v_lon") - F.col("u_lon")).alias("dlon"), "seg_id")
+    return _packed(rows, F.lit(1), finer, item, int(size / pad))
+
+
 def match_points_to_segments(points: DataFrame, segments: DataFrame, within_ft: float = 328.0) -> DataFrame:
     """id -> seg_id, dist_ft, confidence: the nearest segment within the threshold (ties: the smaller id); others are left out."""
     pad = cell_size(within_ft / FT)
     size = max(0.005, pad)
-    near = segment_cells(segments.select("seg_id", "u_lat", "u_lon", "v_lat", "v_lon"), size, pad)
-    mine = points.select("id", "lat", "lon", _cell(F.col("lat"), size).alias("cy"), _cell(F.col("lon"), size).alias("cx"))
+    packed, hot = packed_segments(segments, size, pad)
     # Degrees of latitude are the unit; a point brings the scale of its longitudes, a segment its steps, so a pair costs
     # some products, and roots and feet are for winners alone.
-    unit_ft = M_PER_DEG * FT
-    mine = mine.withColumn("kx", F.cos(F.radians("lat")))
-    near = near.select("seg_id", "u_lat", "u_lon", (F.col("v_lat") - F.col("u_lat")).alias("dy"), (F.col("v_lon") - F.col("u_lon")).alias("dlon"), "cy", "cx")
-    pairs = mine.join(near, ["cy", "cx"]).withColumns({"x": (F.col("lon") - F.col("u_lon")) * F.col("kx"), "y": F.col("lat") - F.col("u_lat"), "dx": F.col("dlon") * F.col("kx")})
-    long2 = F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy")
-    pairs = pairs.withColumn("t", F.when(long2 > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col("x") * F.col("dx") + F.col("y") * F.col("dy")) / long2))).otherwise(0.0))
-    px, py = F.col("x") - F.col("t") * F.col("dx"), F.col("y") - F.col("t") * F.col("dy")
-    best = pairs.groupBy("id").agg(F.min(F.struct((px * px + py * py).alias("d2"), "seg_id")).alias("b")).where(F.col("b.d2") <= (within_ft / unit_ft) ** 2)
+    unit_ft, kx = M_PER_DEG * FT, F.col("kx")
+
+    def away(s: Column) -> Column:
+        def foot(v: Column) -> Column:
+            long2 = v["dx"] * v["dx"] + v["dy"] * v["dy"]
+            t = F.when(long2 > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), (v["x"] * v["dx"] + v["y"] * v["dy"]) / long2))).otherwise(0.0)
+            return F.struct((v["x"] - t * v["dx"]).alias("x"), (v["y"] - t * v["dy"]).alias("y"))
+
+        step = F.struct(((F.col("lon") - s["u_lon"]) * kx).alias("x"), (F.col("lat") - s["u_lat"]).alias("y"), (s["dlon"] * kx).alias("dx"), s["dy"].alias("dy"))
+        return _let(_let(step, foot), lambda p: F.struct((p["x"] * p["x"] + p["y"] * p["y"]).alias("d2"), s["seg_id"].alias("seg_id")))
+
+    met = _with_items(points.select("id", "lat", "lon", F.cos(F.radians("lat")).alias("kx")), packed, hot, size)
+    best = met.select("id", F.array_min(F.transform("items", away)).alias("b")).where(F.col("b.d2") <= (within_ft / unit_ft) ** 2)
     best = best.select("id", F.col("b.seg_id").alias("seg_id"), (F.sqrt("b.d2") * unit_ft).alias("dist_ft"))
     return best.withColumn("confidence", confidence(F.col("dist_ft")))
 
@@ -95,42 +168,70 @@ def _crossings(lat: Column, lon: Column, edges: Column) -> Column:
     return F.size(F.filter(edges, hit))
 
 
+def _meets(cells: DataFrame, y: Column, x: Column, high_y: Column, high_x: Column) -> DataFrame:
+    """Rows of poly_id and ``edges`` in a box from (y, x) to (high_y, high_x), with the edges that a ray to the east from
+    a point of the box can meet, null where the box lies wholly inside; without those that lie wholly outside."""
+    low, high = lambda e, k: F.least(e[f"a{k}"], e[f"b{k}"]), lambda e, k: F.greatest(e[f"a{k}"], e[f"b{k}"])
+    pad = 1e-9  # a box's bounds and a point's cell are rounded each in its way
+    boxed = cells.withColumns({"_y": y, "_x": x, "_y2": high_y, "_x2": high_x})
+    ahead = F.filter("edges", lambda e: (low(e, "y") <= F.col("_y2") + pad) & (high(e, "y") >= F.col("_y") - pad) & (high(e, "x") >= F.col("_x") - pad))
+    boxed = boxed.withColumn("edges", ahead)
+    touched = F.exists("edges", lambda e: low(e, "x") <= F.col("_x2") + pad)
+    whole = _crossings((F.col("_y") + F.col("_y2")) / 2, (F.col("_x") + F.col("_x2")) / 2, F.col("edges")) % 2 == 1
+    boxed = boxed.withColumns({"_touched": touched, "_whole": whole}).where(F.col("_touched") | F.col("_whole"))
+    return boxed.withColumn("edges", F.when(F.col("_touched"), F.col("edges"))).drop("_y", "_x", "_y2", "_x2", "_touched", "_whole")
+
+
 def polygon_cells(polygons: DataFrame, size: float) -> DataFrame:
-    """poly_id, cy, cx, edges: a row per cell that a polygon reaches into.
+    """poly_id, cy, cx, edges: a row per cell that a polygon reaches into, as :func:`_meets` tells it.
 
-    ``edges`` are those that a ray from a point of the cell can meet; it is null where the cell lies wholly inside.
-    Cells wholly outside give no row.  Holes and further parts are rings like any other: each crossing counts.
+    Holes and further parts are rings like any other: each crossing counts.
     """
     rings = F.col("rings") if "rings" in polygons.columns else F.array("ring")
     rows = polygons.select("poly_id", _edges(rings).alias("edges"), F.transform(F.flatten(rings), lambda p: p["lat"]).alias("ys"), F.transform(F.flatten(rings), lambda p: p["lon"]).alias("xs"))
-    low, high = lambda e, k: F.least(e[f"a{k}"], e[f"b{k}"]), lambda e, k: F.greatest(e[f"a{k}"], e[f"b{k}"])
+    low, high = lambda e: F.least(e["ay"], e["by"]), lambda e: F.greatest(e["ay"], e["by"])
     rows = rows.select("poly_id", "edges", "xs", F.explode(F.sequence(_cell(F.array_min("ys"), size), _cell(F.array_max("ys"), size))).alias("cy"))
-    pad = 1e-9  # a cell's bounds and a point's cell are rounded each in its way
-    band = F.filter("edges", lambda e: (low(e, "y") <= (F.col("cy") + 1) * size + pad) & (high(e, "y") >= F.col("cy") * size - pad))
-    rows = rows.select("poly_id", band.alias("edges"), F.col("cy"), F.explode(F.sequence(_cell(F.array_min("xs"), size), _cell(F.array_max("xs"), size))).alias("cx"))
-    ahead = F.filter("edges", lambda e: high(e, "x") >= F.col("cx") * size - pad)
-    touched = F.exists("edges", lambda e: (low(e, "x") <= (F.col("cx") + 1) * size + pad) & (high(e, "x") >= F.col("cx") * size - pad))
-    whole = _crossings((F.col("cy") + 0.5) * size, (F.col("cx") + 0.5) * size, F.col("edges")) % 2 == 1
-    rows = rows.select("poly_id", "cy", "cx", ahead.alias("ahead"), touched.alias("touched"), whole.alias("whole")).where(F.col("touched") | F.col("whole"))
-    return rows.select("poly_id", "cy", "cx", F.when(F.col("touched"), F.col("ahead")).alias("edges"))
+    band = F.filter("edges", lambda e: (low(e) <= (F.col("cy") + 1) * size + 1e-9) & (high(e) >= F.col("cy") * size - 1e-9))
+    rows = rows.select("poly_id", band.alias("edges"), "cy", F.explode(F.sequence(_cell(F.array_min("xs"), size), _cell(F.array_max("xs"), size))).alias("cx"))
+    cy, cx = F.col("cy"), F.col("cx")
+    return _meets(rows, cy * size, cx * size, (cy + 1) * size, (cx + 1) * size).select("poly_id", "cy", "cx", "edges")
+
+
+def packed_polygons(polygons: DataFrame, size: float) -> tuple[DataFrame, DataFrame | None]:
+    """:func:`_packed` of polygons: poly_id and edges; of equal polygons the smallest id stands for all."""
+    rings = F.col("rings") if "rings" in polygons.columns else F.array("ring")
+    cells = kept(polygon_cells(polygons.groupBy(rings.alias("rings")).agg(F.min("poly_id").alias("poly_id")), size))
+
+    def finer(rows: DataFrame) -> DataFrame:
+        f, steps = F.col("f"), F.sequence(F.lit(0), F.col("f") - 1)
+        cut = rows.withColumn("iy", F.explode(steps)).withColumn("ix", F.explode(steps))
+        y, x = (F.col("cy") + F.col("iy") / f) * size, (F.col("cx") + F.col("ix") / f) * size
+        # A whole cell's slices are whole; it has no edges to look at.
+        whole = cut.where(F.col("edges").isNull())
+        part = _meets(cut.where(F.col("edges").isNotNull()), y, x, y + size / f, x + size / f)
+        return part.unionByName(whole).withColumn("sub", F.col("iy") * f + F.col("ix"))
+
+    return _packed(cells, F.coalesce(F.size("edges"), F.lit(1)), finer, F.struct("poly_id", "edges"), 64)
 
 
 def point_in_polygon(points: DataFrame, polygons: DataFrame, size: float = 0.02, nearest: DataFrame | None = None) -> DataFrame:
-    """id -> poly_id of the polygon a point lies in (the smallest id if several), null outside all.
+    """id -> poly_id of the polygon a point lies in (the smallest id if several), null outside all; a row per point.
 
     polygons: poly_id and ``ring``, or ``rings`` for holes and several parts; points are (lon, lat) structs.  Polygons
     are cut to cells once; a point meets those of its cell, and most of them need no test.  ``nearest`` (poly_id,
     c_lat, c_lon) gives points outside all polygons the nearest centre; a column ``way`` then tells polygon or centre.
     """
-    mine = points.select("id", "lat", "lon").withColumns({"cy": _cell(F.col("lat"), size), "cx": _cell(F.col("lon"), size)})
-    cells = polygon_cells(polygons, size)
-    inside = F.col("edges").isNull() | (_crossings(F.col("lat"), F.col("lon"), F.col("edges")) % 2 == 1)
-    found = F.min(F.when(F.col("poly_id").isNotNull() & inside, F.col("poly_id"))).alias("poly_id")
+    packed, hot = packed_polygons(polygons, size)
+    holds = lambda p: p["edges"].isNull() | (_crossings(F.col("lat"), F.col("lon"), p["edges"]) % 2 == 1)
+    found = F.array_min(F.transform(F.filter("items", holds), lambda p: p["poly_id"])).alias("poly_id")
+    hit = _with_items(points.select("id", "lat", "lon"), packed, hot, size, "left").select("id", "lat", "lon", found)
     if nearest is None:
-        return mine.join(cells, ["cy", "cx"], "left").groupBy("id").agg(found)
+        return hit.select("id", "poly_id")
     if nearest.limit(CENTROIDS + 1).count() > CENTROIDS:
-        raise ValueError("too many centres to try them all for every point outside")
-    hit = mine.join(cells, ["cy", "cx"], "left").groupBy("id", "lat", "lon").agg(found)
+        hit = kept(hit)
+        rest = nearest_by_rings(hit.where("poly_id IS NULL").select("id", "lat", "lon"), nearest.select(F.col("poly_id").alias("target_id"), F.col("c_lat").alias("t_lat"), F.col("c_lon").alias("t_lon")), size)
+        both = hit.where("poly_id IS NOT NULL").select("id", "poly_id", F.lit("polygon").alias("way"))
+        return both.unionByName(rest.select("id", F.col("target_id").alias("poly_id"), F.when(F.col("target_id").isNull(), "none").otherwise("centre").alias("way")))
     # The centres, counted above, travel as one array; only points outside all polygons look at them.
     centres = nearest.agg(F.collect_list(F.struct("c_lat", "c_lon", "poly_id")).alias("centres"))
     away = lambda k: F.round(F.pow(F.col("lat") - k["c_lat"], F.lit(2.0)) + F.pow(F.col("lon") - k["c_lon"], F.lit(2.0)), 12)
@@ -140,15 +241,45 @@ def point_in_polygon(points: DataFrame, polygons: DataFrame, size: float = 0.02,
     return both.select("id", F.coalesce("poly_id", "near").alias("poly_id"), way.alias("way"))
 
 
-#: Centroids that every point may be compared with where no column narrows them down.
+#: Centroids that every point may be compared with where no column narrows them down; more are searched ring by ring.
 CENTROIDS = 20_000
 
 
+def nearest_by_rings(points: DataFrame, targets: DataFrame, first: float, within: float | None = None) -> DataFrame:
+    """id, target_id, dist (degrees, planar) of the nearest target within ``within`` degrees (all, if None), else nulls.
+
+    points: id, lat, lon; targets: target_id, t_lat, t_lon (ties: the smaller id).  Cells of ``first`` degrees are looked
+    at around each point; whoever has a target within one cell's width is done, and only the others look again in
+    cells twice as wide, so dense places cost one round and no row is spread over all cells in reach.  Rounds are
+    stored, so none is computed twice.  Points without a position find nothing.
+    """
+    if within is None:
+        ends = [f(c) for a in ("lat", "lon") for f, c in ((F.min, a), (F.max, a))]
+        box = points.agg(*ends).union(targets.select(F.col("t_lat").alias("lat"), F.col("t_lon").alias("lon")).agg(*ends)).toDF("a", "b", "c", "d")
+        a, b, c, d = box.agg(F.min("a"), F.max("b"), F.min("c"), F.max("d")).first()
+        within = max(first, math.hypot(b - a, d - c) * 1.01) if None not in (a, b, c, d) else first
+    left, done, size = points.select("id", "lat", "lon"), None, min(first, within)
+    while True:
+        near = targets.select("target_id", "t_lat", "t_lon", _cell(F.col("t_lat"), size).alias("cy"), _cell(F.col("t_lon"), size).alias("cx"))
+        d2 = F.pow(F.col("lat") - F.col("t_lat"), F.lit(2.0)) + F.pow(F.col("lon") - F.col("t_lon"), F.lit(2.0))
+        met = _around(left, "lat", "lon", size).join(small(near, CENTROIDS), ["cy", "cx"], "left")
+        best = F.min(F.when(d2 <= size * size, F.struct(F.round(F.sqrt(d2), 12).alias("dist"), "target_id"))).alias("b")
+        found = kept(met.groupBy("id", "lat", "lon").agg(best))
+        hits = found.where("b IS NOT NULL").select("id", "b.target_id", "b.dist")
+        done = hits if done is None else done.unionByName(hits)
+        left = found.where("b IS NULL").select("id", "lat", "lon")
+        if size >= within or left.where("lat IS NOT NULL AND lon IS NOT NULL").isEmpty():
+            none = left.select("id", F.lit(None).cast(targets.schema["target_id"].dataType).alias("target_id"), F.lit(None).cast("double").alias("dist"))
+            return done.unionByName(none)
+        size = min(2 * size, within)
+
+
 def nearest_centroid(points: DataFrame, centroids: DataFrame, state: str | None = None) -> DataFrame:
-    """id -> centroid_id by planar distance to a small stated table, within the same state where one is named."""
+    """id -> centroid_id by planar distance to a stated table, within the same state where one is named."""
     d = F.pow(F.col("lat") - F.col("c_lat"), F.lit(2.0)) + F.pow(F.col("lon") - F.col("c_lon"), F.lit(2.0))
     if state is None and centroids.limit(CENTROIDS + 1).count() > CENTROIDS:
-        raise ValueError("name a column that both sides share: so many centroids can't be tried for every point")
+        rest = nearest_by_rings(points, centroids.select(F.col("centroid_id").alias("target_id"), F.col("c_lat").alias("t_lat"), F.col("c_lon").alias("t_lon")), 0.02)
+        return rest.where("target_id IS NOT NULL").select("id", F.col("target_id").alias("centroid_id"))
     pairs = points.join(centroids, state) if state else points.crossJoin(F.broadcast(centroids))
     return pairs.groupBy("id").agg(F.min(F.struct(F.round(d, 12).alias("d"), "centroid_id")).alias("b")).select("id", F.col("b.centroid_id").alias("centroid_id"))
 

@@ -63,29 +63,6 @@ def fix_gps_route_median(rows: DataFrame) -> DataFrame:
     return rows.join(m, "route", "left").select("id", F.coalesce("lat", "m_lat").alias("lat"), F.coalesce("lon", "m_lon").alias("lon"), fixed.alias("fixed"))
 
 
-def snap_to_cells(bad: DataFrame, good: DataFrame, reach: int = 10) -> DataFrame:
-    """Out-of-bounds points to the nearest occupied 0.01 degree cell within ``reach`` cells; only the bad rows are spread over offsets."""
-    key = lambda c: F.floor(F.col(c) * 100)
-    cells = good.groupBy(key("lat").alias("gy"), key("lon").alias("gx")).agg(F.count("*").alias("n"))
-    steps = F.sequence(F.lit(-reach), F.lit(reach))
-    spread = bad.select("id", key("lat").alias("y"), key("lon").alias("x"), F.explode(steps).alias("a")).select("id", "y", "x", "a", F.explode(steps).alias("b"))
-    hits = spread.withColumns({"gy": F.col("y") + F.col("a"), "gx": F.col("x") + F.col("b")}).join(cells, ["gy", "gx"])
-    best = hits.groupBy("id").agg(F.min(F.struct((F.col("a") * F.col("a") + F.col("b") * F.col("b")).alias("d"), "gy", "gx")).alias("m"))
-    return best.select("id", F.col("m.gy").alias("gy"), F.col("m.gx").alias("gx"), F.col("m.d").alias("d"))
-
-
-def infer_functional_class(rows: DataFrame) -> DataFrame:
-    """Blank classes from the route's majority, else its prefix; with the way told."""
-    from kerbline.functions.text import fc_from_route
-    from kerbline.operators.aggregate import majority
-
-    m = majority(rows.where("route <> '' AND fc <> ''"), "route", "fc").select("route", F.col("fc").alias("m_fc"))
-    out = rows.join(m, "route", "left")
-    blank = F.coalesce("fc", F.lit("")) == ""
-    way = F.when(~blank, "source").when(F.col("m_fc").isNotNull(), "route_majority").when(fc_from_route(F.col("route")).isNotNull(), "prefix").otherwise("none")
-    return out.select("id", F.when(~blank, F.col("fc")).otherwise(F.coalesce("m_fc", fc_from_route(F.col("route")))).alias("fc"), way.alias("way"))
-
-
 def sanity(rows: DataFrame, checks: dict) -> DataFrame:
     """check, passed, total, pct of range rules: one aggregation, then turned to rows."""
     one = rows.agg(F.count("*").alias("total"), *[F.count(F.when(c, 1)).alias(k) for k, c in checks.items()])

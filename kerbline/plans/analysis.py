@@ -6,13 +6,13 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from kerbline.bindings import assets, crashes, inventory, segments, table, with_views
+from kerbline.bindings import assets, crashes, inventory, raw_crashes, segments, table, with_views
 from kerbline.functions.geo import FT
 from kerbline.functions.text import OWNERS
 from kerbline.operators import aggregate as agg
 from kerbline.operators import authority as au
 from kerbline.operators import forecast as fc
-from kerbline.operators import build, joins, stats
+from kerbline.operators import build, joins, ledger, stats
 from kerbline.operators import validate as va
 from kerbline.plans.spatial import _hav, _layer, _segment_match
 from kerbline.session import shared_dir
@@ -41,11 +41,29 @@ def _rules(spark, d):
     return va.issues(c, "id", va.row_rules())
 
 
-@query("check_missing_gps", "SELECT 'missing' AS problem, count(*) FILTER (WHERE id % 9 = 0) AS n FROM crashes UNION ALL SELECT 'out_of_bounds', count(*) FILTER (WHERE id % 9 <> 0 AND id % 8 = 0) FROM crashes", "crashes")
+#: The bounds that the raw export is held against, and the position checks as SQL.
+BOX = (38.8, 39.4, -75.7, -75.3)
+_MISSING = "(lat IS NULL OR lon IS NULL OR lat = 0 OR lon = 0)"
+_OUT = lambda margin=0.0: f"(lat < {BOX[0] - margin!r}E0 OR lat > {BOX[1] + margin!r}E0 OR lon < {BOX[2] - margin!r}E0 OR lon > {BOX[3] + margin!r}E0)"
+_BLANK = lambda c: f"lower(trim(coalesce({c}, ''))) IN ({', '.join(repr(w) for w in ledger.UNKNOWN)})"
+_SNAPPED = f"""med AS (SELECT route, lon AS m_lon, lat AS m_lat, n FROM (SELECT route, lon, lat, row_number() OVER (PARTITION BY route ORDER BY lon, lat, id) AS r, count(*) OVER (PARTITION BY route) AS n FROM raw WHERE trim(route) <> '' AND NOT {_MISSING} AND NOT {_OUT(ledger.MARGIN)}) WHERE r = n // 2 + 1),
+ cells AS (SELECT CAST(trunc(lat / {ledger.CELL}) AS BIGINT) AS gy, CAST(trunc(lon / {ledger.CELL}) AS BIGINT) AS gx, (CAST(2 * sum(CAST(round(lat * 1000000) AS BIGINT)) + count(*) AS BIGINT) // (2 * count(*))) / 1000000.0E0 AS c_lat, -(CAST(-(2 * sum(CAST(round(lon * 1000000) AS BIGINT)) + count(*)) AS BIGINT) // (2 * count(*))) / 1000000.0E0 AS c_lon FROM raw WHERE NOT {_MISSING} AND NOT {_OUT()} GROUP BY 1, 2),
+ lost AS (SELECT id, lat, lon FROM raw LEFT JOIN med USING (route) WHERE NOT {_MISSING} AND {_OUT()} AND m_lat IS NULL),
+ near AS (SELECT id, c_lat, c_lon, dist FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY dist, gy, gx) AS r FROM (SELECT id, gy, gx, c_lat, c_lon, round(sqrt(pow(lat - c_lat, 2) + pow(lon - c_lon, 2)), 12) AS dist FROM lost JOIN cells ON abs(lat - c_lat) <= 0.1 AND abs(lon - c_lon) <= 0.1) WHERE dist < {ledger.REACH}) WHERE r = 1),
+ placed AS (SELECT raw.*, n, m_lat, m_lon, c_lat, c_lon, dist, {_MISSING} AS missing, NOT {_MISSING} AND {_OUT()} AS far FROM raw LEFT JOIN med USING (route) LEFT JOIN near ON raw.id = near.id)"""
+_WAY = "CASE WHEN m_lat IS NOT NULL THEN 'route median (n=' || n || ')' WHEN c_lat IS NOT NULL AND far THEN 'nearest cell' END"
+_NUMBER = lambda c: f"coalesce(printf('%.4f', {c}), 'empty')"
+
+
+def _issues(spark, d, group: str):
+    return ledger.issue_table(ledger.run_checks(raw_crashes(spark, d), BOX, (group,)))
+
+
+@query("check_missing_gps", f"""WITH {_SNAPPED}, got AS (SELECT *, CASE WHEN missing THEN m_lat ELSE coalesce(m_lat, c_lat) END AS y, CASE WHEN missing THEN m_lon ELSE coalesce(m_lon, c_lon) END AS x FROM placed WHERE missing OR far)
+SELECT id AS row_id, CASE WHEN missing THEN 'missing_gps' ELSE 'bounds' END AS "check", 'error' AS severity, 'position' AS field, CASE WHEN missing THEN 'lon=' || {_NUMBER('lon')} || ', lat=' || {_NUMBER('lat')} ELSE printf('%.4f, %.4f', lat, lon) END AS old, CASE WHEN y IS NOT NULL THEN printf('%.6f, %.6f', y, x) END AS new, y IS NOT NULL AS fixed, {_WAY} AS way FROM got""", "raw")
 def _gps(spark, d):
-    c = crashes(spark, d).select("id", F.when(F.col("id") % 9 == 0, 0.0).when(F.col("id") % 8 == 0, 45.0).otherwise(F.col("lat")).alias("lat"), "lon")
-    found = va.issues(c, "id", {"missing": ("error", "lat", (F.col("lat") == 0) | F.col("lat").isNull()), "out_of_bounds": ("error", "lat", (F.col("lat") != 0) & ~F.col("lat").between(38, 40))})
-    return found.groupBy(F.col("check").alias("problem")).agg(F.count("*").alias("n"))
+    """Missing and zero positions and those out of bounds, with what became of them."""
+    return _issues(spark, d, "gps")
 
 
 @query("check_severity", "SELECT id, severity, CASE WHEN id % 3 = 0 AND severity <> 'O' THEN true ELSE false END AS severity_fixed FROM crashes", "crashes")
@@ -54,21 +72,65 @@ def _severity(spark, d):
     return va.check_severity(c).select("id", "severity", "severity_fixed")
 
 
-@query("check_cross_field", "SELECT id AS row_id, 'ped_flag' AS \"check\" FROM crashes WHERE is_ped AND collision <> 'MACHINERY' UNION ALL SELECT id, 'bike_flag' FROM crashes WHERE is_bike AND collision = 'BUILDING'", "crashes")
+_ENTRY = lambda check, severity, field, old, new, way, when: f"SELECT id AS row_id, '{check}' AS \"check\", '{severity}' AS severity, '{field}' AS field, {old} AS old, {new} AS new, {new} IS NOT NULL AS fixed, CASE WHEN {new} IS NOT NULL THEN {way} END AS way FROM raw WHERE {when}"
+_CROSS = [
+    _ENTRY("cross_field", "warning", "ped", "ped", "'Yes'", "'counts'", "trim(ped) = 'No' AND ped_killed + ped_injured > 0"),
+    _ENTRY("cross_field", "warning", "bike", "bike", "'Yes'", "'collision'", "trim(bike) = 'No' AND (lower(collision) LIKE '%bike%' OR lower(collision) LIKE '%bicycl%')"),
+    _ENTRY("cross_field", "warning", "motorcycle", "motorcycle", "'Yes'", "'collision'", "trim(motorcycle) = 'No' AND lower(collision) LIKE '%motorcycle%'"),
+    *[_ENTRY("cross_field", "info", c, c, f"CASE WHEN upper(trim({c})) IN ('Y', '1', 'TRUE') THEN 'Yes' ELSE 'No' END", "'standard word'", f"trim({c}) NOT IN ('', 'Yes', 'No')") for c in ledger.FLAGS],
+]
+
+
+@query("check_cross_field", " UNION ALL ".join(_CROSS), "raw")
 def _cross(spark, d):
-    rules = {"ped_flag": ("warning", "collision", F.col("is_ped") & (F.col("collision") != "MACHINERY")), "bike_flag": ("warning", "collision", F.col("is_bike") & (F.col("collision") == "BUILDING"))}
-    return va.issues(crashes(spark, d), "id", rules).select("row_id", "check")
+    return _issues(spark, d, "cross_field")
+
+
+_PART = lambda k: f"TRY_CAST(string_split(trim(crash_date), '/')[{k}] AS INT)"
+_THREE, _READ = "len(string_split(trim(crash_date), '/')) = 3", f"{_PART(1)} IS NOT NULL AND {_PART(2)} IS NOT NULL AND {_PART(3)} IS NOT NULL"
+_TIMES = [
+    _ENTRY("date_time", "error", "crash_date", "crash_date", "CAST(NULL AS VARCHAR)", "''", f"{_THREE} AND NOT ({_READ})"),
+    _ENTRY("date_time", "warning", "crash_date", "crash_date", "CAST(NULL AS VARCHAR)", "''", f"{_THREE} AND {_READ} AND NOT ({_PART(1)} BETWEEN 1 AND 12 AND {_PART(2)} BETWEEN 1 AND 31 AND {_PART(3)} BETWEEN 1990 AND 2030)"),
+    _ENTRY("date_time", "warning", "crash_year", "crash_year", f"CAST({_PART(3)} AS VARCHAR)", "'date'", f"{_THREE} AND {_READ} AND trim(crash_year) <> '' AND trim(crash_year) <> CAST({_PART(3)} AS VARCHAR)"),
+    _ENTRY("date_time", "warning", "crash_time", "crash_time", "CAST(NULL AS VARCHAR)", "''", "TRY_CAST(crash_time AS INT) < 0 OR TRY_CAST(crash_time AS INT) > 2359 OR TRY_CAST(crash_time AS INT) % 100 >= 60"),
+]
 
 
-@query("check_datetime", "SELECT id, CASE WHEN id % 6 = 0 THEN year ELSE year END AS year, id % 6 = 0 AS fixed FROM crashes", "crashes")
+@query("check_datetime", " UNION ALL ".join(_TIMES), "raw")
 def _datetime(spark, d):
-    c = crashes(spark, d).withColumn("stated", F.when(F.col("id") % 6 == 0, F.col("year") - 1).otherwise(F.col("year")))
-    return c.select("id", F.year("crash_date").alias("year"), (F.col("stated") != F.year("crash_date")).alias("fixed"))
+    return _issues(spark, d, "datetime")
 
 
-@query("infer_missing_fields", "WITH m AS (SELECT route, fc FROM (SELECT route, fc, count(*) AS n, row_number() OVER (PARTITION BY route ORDER BY count(*) DESC, fc DESC) AS r FROM crashes WHERE route <> '' AND fc <> '' AND id % 4 <> 0 GROUP BY route, fc) WHERE r = 1 AND n >= 2) SELECT id, CASE WHEN id % 4 <> 0 AND c.fc <> '' THEN c.fc ELSE m.fc END AS fc, CASE WHEN id % 4 <> 0 AND c.fc <> '' THEN 'source' WHEN m.fc IS NOT NULL THEN 'route_majority' ELSE 'none' END AS way FROM crashes c LEFT JOIN m ON c.route = m.route", "crashes")
+def _votes(key: str, value: str) -> str:
+    return f"SELECT {key}, {value} AS v FROM (SELECT {key}, {value}, n, row_number() OVER (PARTITION BY {key} ORDER BY n DESC, {value} DESC) AS r FROM (SELECT {key}, {value}, count(*) AS n FROM raw WHERE trim({key}) <> '' AND NOT {_BLANK(key)} AND NOT {_BLANK(value)} GROUP BY ALL)) WHERE r = 1 AND n >= 2"
+
+
+_LIKE = lambda c, words: "CASE " + " ".join(f"WHEN lower(coalesce({c}, '')) LIKE '%{w}%' THEN '{v}'" for w, v in words) + " END"
+_INFERRED = f"""rf AS ({_votes('route', 'fc')}), rt AS ({_votes('route', 'facility')}), ct AS ({_votes('fc', 'facility')}), one AS (SELECT route, min(fc) AS v FROM raw WHERE trim(route) <> '' AND NOT {_BLANK('fc')} GROUP BY route HAVING count(*) = 1),
+ i1 AS (SELECT raw.*, {_BLANK('raw.fc')} AS no_fc, coalesce(rf.v, one.v) AS by_route, {_LIKE('system', ledger.SYSTEMS)} AS by_system FROM raw LEFT JOIN rf USING (route) LEFT JOIN one USING (route)),
+ i2 AS (SELECT *, CASE WHEN no_fc THEN coalesce(by_route, by_system, fc) ELSE fc END AS new_fc, CASE WHEN NOT no_fc THEN 'source' WHEN by_route IS NOT NULL THEN 'route_majority' WHEN by_system IS NOT NULL THEN 'system' ELSE 'none' END AS fc_way FROM i1),
+ i3 AS (SELECT i2.*, {_BLANK('facility')} AS no_ft, rt.v AS ft_route, ct.v AS ft_class, {_LIKE('description', ledger.DESCRIPTIONS)} AS ft_words FROM i2 LEFT JOIN rt USING (route) LEFT JOIN ct ON i2.new_fc = ct.fc)"""
+
+
+@query("infer_missing_fields", f"WITH {_INFERRED} SELECT id, new_fc AS fc, fc_way, CASE WHEN no_ft THEN coalesce(ft_route, ft_class, ft_words, facility) ELSE facility END AS facility, CASE WHEN NOT no_ft THEN 'source' WHEN ft_route IS NOT NULL THEN 'route_majority' WHEN ft_class IS NOT NULL THEN 'class_majority' WHEN ft_words IS NOT NULL THEN 'description' ELSE 'none' END AS facility_way FROM i3", "raw")
 def _infer(spark, d):
-    return va.infer_functional_class(crashes(spark, d).select("id", "route", F.when(F.col("id") % 4 == 0, "").otherwise(F.col("fc")).alias("fc")))
+    """Class and facility of every row, and the way each was told."""
+    checked = ledger.run_checks(raw_crashes(spark, d), BOX, ("fields",))
+    entry = lambda field: F.get(F.filter("issues", lambda e: e["field"] == field), F.lit(0))
+    way = lambda field: F.when(entry(field).isNull(), "source").otherwise(F.coalesce(entry(field)["way"], F.lit("none")))
+    return checked.select("id", "fc", way("fc").alias("fc_way"), "facility", way("facility").alias("facility_way"))
+
+
+@query("validation_ledger", f"""WITH {_SNAPPED}, {_INFERRED}, hurt AS (SELECT id, CASE WHEN k_people > 0 THEN 'K' WHEN a_people > 0 THEN 'A' WHEN b_people > 0 THEN 'B' WHEN c_people > 0 THEN 'C' ELSE 'O' END AS told, severity FROM raw),
+ e AS (SELECT CASE WHEN missing THEN 'missing_gps' ELSE 'bounds' END AS "check", 'error' AS severity, (m_lat IS NOT NULL OR (far AND c_lat IS NOT NULL)) AS fixed FROM placed WHERE missing OR far
+ UNION ALL SELECT 'severity', 'warning', true FROM hurt WHERE trim(severity) <> '' AND told <> 'O' AND severity <> told
+ UNION ALL SELECT "check", severity, fixed FROM ({' UNION ALL '.join(_CROSS + _TIMES)})
+ UNION ALL SELECT 'missing_field', 'warning', false FROM (SELECT unnest([{', '.join(f"CASE WHEN {_BLANK(c if c != 'severity' else 's2')} THEN 1 END" for c in ledger.CRITICAL[:5])}]) AS u FROM (SELECT raw.*, CASE WHEN trim(raw.severity) <> '' AND told <> 'O' THEN told ELSE raw.severity END AS s2 FROM raw JOIN hurt ON raw.id = hurt.id)) WHERE u = 1
+ UNION ALL SELECT 'missing_field', 'warning', fc_way <> 'none' FROM i3 WHERE no_fc UNION ALL SELECT 'missing_field', 'warning', coalesce(ft_route, ft_class, ft_words) IS NOT NULL FROM i3 WHERE no_ft)
+SELECT "check", severity, count(*) AS n, count(*) FILTER (WHERE fixed) AS fixed, round(count(*) FILTER (WHERE fixed) * 100.0E0 / count(*), 1) AS fix_rate FROM e GROUP BY ALL""", "raw")
+def _ledger_report(spark, d):
+    """All checks in one pass, as the report of the ledger."""
+    return ledger.report(ledger.run_checks(raw_crashes(spark, d), BOX))
 
 
 @query("fix_gps_route_median", "WITH m AS (SELECT route, lon, lat FROM (SELECT route, lon, lat, row_number() OVER (PARTITION BY route ORDER BY lon, lat, id) AS r, count(*) OVER (PARTITION BY route) AS n FROM crashes WHERE route <> '' AND id % 5 <> 0) WHERE r = n // 2 + 1) SELECT id, CASE WHEN id % 5 = 0 THEN m.lat ELSE c.lat END AS lat, CASE WHEN id % 5 = 0 THEN m.lon ELSE c.lon END AS lon, id % 5 = 0 AND m.lat IS NOT NULL AS fixed FROM crashes c LEFT JOIN m ON c.route = m.route", "crashes")
@@ -76,10 +138,13 @@ def _fix(spark, d):
     return va.fix_gps_route_median(crashes(spark, d).select("id", "route", *[F.when(F.col("id") % 5 != 0, F.col(x)).alias(x) for x in ("lat", "lon")]))
 
 
-@query("fix_bounds_snap", "WITH g AS (SELECT CAST(floor(lat * 100) AS BIGINT) AS gy, CAST(floor(lon * 100) AS BIGINT) AS gx FROM crashes WHERE id % 10 <> 0 GROUP BY 1, 2), b AS (SELECT id, CAST(floor((lat + 0.05) * 100) AS BIGINT) AS y, CAST(floor(lon * 100) AS BIGINT) AS x FROM crashes WHERE id % 10 = 0) SELECT id, gy, gx, CAST(d AS INT) AS d FROM (SELECT id, gy, gx, (gy - y) * (gy - y) + (gx - x) * (gx - x) AS d, row_number() OVER (PARTITION BY id ORDER BY (gy - y) * (gy - y) + (gx - x) * (gx - x), gy, gx) AS r FROM b JOIN g ON gy BETWEEN y - 10 AND y + 10 AND gx BETWEEN x - 10 AND x + 10) WHERE r = 1", "crashes")
+@query("fix_bounds_snap", f"WITH {_SNAPPED} SELECT id, CASE WHEN missing THEN m_lat WHEN far THEN coalesce(m_lat, c_lat, lat) ELSE lat END AS lat, CASE WHEN missing THEN m_lon WHEN far THEN coalesce(m_lon, c_lon, lon) ELSE lon END AS lon, CASE WHEN NOT far THEN 'inside' WHEN m_lat IS NOT NULL THEN 'route' WHEN c_lat IS NOT NULL THEN 'cell' ELSE 'none' END AS way FROM placed WHERE NOT missing", "raw")
 def _snap(spark, d):
-    c = crashes(spark, d)
-    return va.snap_to_cells(c.where("id % 10 = 0").select("id", (F.col("lat") + 0.05).alias("lat"), "lon"), c.where("id % 10 <> 0"))
+    """Positions out of bounds: the route's middle crash first, then the nearest occupied cell within 0.1 degrees."""
+    checked = ledger.run_checks(raw_crashes(spark, d), BOX, ("gps",))
+    entry = F.get(F.filter("issues", lambda e: e["check"] == "bounds"), F.lit(0))
+    way = F.when(entry.isNull(), "inside").when(~entry["fixed"], "none").when(entry["way"] == "nearest cell", "cell").otherwise("route")
+    return checked.where(~F.exists("issues", lambda e: e["check"] == "missing_gps")).select("id", "lat", "lon", way.alias("way"))
 
 
 @query("fix_swapped_coordinates", "SELECT id, lat, lon, id % 7 = 0 AS swapped FROM crashes", "crashes")
