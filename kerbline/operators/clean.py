@@ -132,14 +132,19 @@ def road_types_b() -> Column:
 
 
 def split_tiers(crashes: DataFrame) -> DataFrame:
-    """A row for each split a crash belongs to: tier, entity (a slug), road_type, id.  One scan, no shuffle."""
-    tier = lambda name, entity, kinds: F.transform(F.when(F.coalesce(entity, F.lit("")) != "", kinds).otherwise(F.array().cast("array<string>")), lambda k: F.struct(F.lit(name).alias("tier"), slug(entity).alias("entity"), k.alias("road_type")))
-    a, b, city = road_types_a(), road_types_b(), F.col("area_type") == "Urban"
-    where = F.concat(
-        tier("state", F.lit("all"), a), tier("region", F.col("district"), a), tier("mpo", F.col("mpo"), b), tier("planning_district", F.col("planning"), b),
-        tier("county", F.when(~city, F.col("juris")), b), tier("city", F.when(city, F.col("juris")), b),
-    )
-    return crashes.select("id", F.explode(where).alias("s")).select("id", "s.*")
+    """A row for each split a crash belongs to: tier, entity (a slug), road_type, id.  One scan, no shuffle.
+
+    Tiers are unrolled before their road types, so a name is slugged once per tier, not once per split.
+    """
+    tier = lambda name, entity, kinds: F.when(F.coalesce(entity, F.lit("")) != "", F.struct(F.lit(name).alias("tier"), entity.alias("entity"), F.col(kinds).alias("kinds")))
+    city = F.col("area_type") == "Urban"
+    rows = crashes.select("id", "district", "mpo", "planning", "juris", "area_type", road_types_a().alias("_a"), road_types_b().alias("_b"))
+    where = F.array_compact(F.array(
+        tier("state", F.lit("all"), "_a"), tier("region", F.col("district"), "_a"), tier("mpo", F.col("mpo"), "_b"), tier("planning_district", F.col("planning"), "_b"),
+        tier("county", F.when(~city, F.col("juris")), "_b"), tier("city", F.when(city, F.col("juris")), "_b"),
+    ))
+    tiers = rows.select("id", F.inline(where)).select("id", "tier", slug(F.col("entity")).alias("entity"), "kinds")
+    return tiers.select("id", "tier", "entity", F.explode("kinds").alias("road_type"))
 
 
 def split_manifest(splits: DataFrame) -> DataFrame:

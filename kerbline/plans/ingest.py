@@ -13,6 +13,7 @@ from kerbline.operators import build, clean, layers, normalise, stats
 from kerbline.operators import spatial as sp
 from kerbline.plans.aggregates import BRIDGE, SCORED, SEV, bridge
 from kerbline.plans.analysis import _folder
+from kerbline.plans.cleaning import _SPLITS
 from kerbline.plans.spatial import _centroids, _CENTRES, _hav, _segment_match
 from kerbline.sources import io
 
@@ -197,11 +198,14 @@ def _features(spark, d):
     return io.read_features(raw).select("seg_id", F.round("u_lat", 6).alias("u_lat"), F.round("v_lon", 6).alias("v_lon"), F.round("length_m", 1).alias("length_m"))
 
 
-@query("sink_partitioned_splits", "SELECT 'state' AS tier, count(*) AS n FROM crashes WHERE own_code = 1", "crashes")
+@query("sink_partitioned_splits", f"SELECT tier, entity, road_type, count(*) AS n, count(DISTINCT id) AS ids, true AS files_fit FROM ({_SPLITS}) GROUP BY ALL", "crashes")
 def _sink(spark, d):
-    path = _path(spark)
-    io.write_splits(clean.split_tiers(crashes(spark, d)), path)
-    return spark.read.parquet(path).where("tier = 'state' AND road_type = 'dot_roads'").groupBy("tier").agg(F.count("*").alias("n"))
+    """Every folder read back: its rows, its ids, and whether it has no more files than its rows ask for."""
+    path, rows = _path(spark), 20_000
+    io.write_splits(clean.split_tiers(crashes(spark, d)), path, rows=rows)
+    back = spark.read.parquet(path).select("tier", "entity", "road_type", "id", F.col("_metadata.file_path").alias("file"))
+    sums = back.groupBy("tier", "entity", "road_type").agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids"), F.count_distinct("file").alias("files"))
+    return sums.select("tier", F.col("entity").cast("string").alias("entity"), "road_type", "n", "ids", (F.col("files") <= F.ceil(F.col("n") / rows) + 1).alias("files_fit"))
 
 
 @query("split_all_jurisdictions", "SELECT juris, road_type, count(*) AS n FROM (" + " UNION ALL ".join(f"SELECT juris, '{r}' AS road_type FROM crashes WHERE {c}" for r, c in {"all_roads": "true", "county_roads": "own_code = 2", "city_roads": "own_code = 3", "no_interstate": "fc_code NOT IN (1, 2)"}.items()) + ") GROUP BY ALL", "crashes")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kerbline.functions.text import blank_to_null, parse_datetime
+from kerbline.session import kept, small
 
 
 def read_csv_text(spark: SparkSession, path: str, **options) -> DataFrame:
@@ -65,10 +66,31 @@ def union_files(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def write_splits(splits: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """tier, entity and road_type folders in one pass; rows are dealt by folder, and big folders over several files."""
+#: Rows that a task of a split writes, and so a file holds, at most by and large.
+SPLIT_ROWS = 2_000_000
+
+
+def write_splits(splits: DataFrame, path: str, fmt: str = "parquet", rows: int = SPLIT_ROWS) -> DataFrame:
+    """tier, entity and road_type folders in one pass; returns the manifest (tier, entity, road_type, n, start).
+
+    Folders are laid end to end by their counts, ``start`` being the rows before each, and a row takes a place in its
+    folder's stretch by a hash of all its columns.  Stretches of ``rows`` places are tasks: a large folder is written by
+    as many tasks as it has such stretches, small ones share a task, and none has much more than ``rows`` rows.  The
+    manifest has a row per folder; that is what the window over it sees.
+    """
     keys = ["tier", "entity", "road_type"]
-    splits.repartition(*keys, F.pmod(F.xxhash64("id"), F.lit(8))).write.mode("overwrite").partitionBy(*keys).format(fmt).save(path)
+    counts = kept(splits.groupBy(*keys).agg(F.count("*").alias("n")))
+    before = F.coalesce(F.sum("n").over(Window.orderBy(*[F.col(k).asc_nulls_first() for k in keys]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    manifest = kept(counts.withColumn("start", before))
+    total = manifest.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    own = manifest.select(*[F.col(k).alias(f"_{k}") for k in keys], "start", F.col("n").alias("_n"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    place = F.col("start") + F.pmod(F.xxhash64(*splits.columns), F.col("_n"))
+    dealt = splits.join(small(own), same).withColumn("_task", (place / F.lit(rows)).cast("int")).drop(*[f"_{k}" for k in keys], "start", "_n")
+    dealt.repartitionById(max(1, -(-total // rows)), F.col("_task")).drop("_task").write.mode("overwrite").partitionBy(*keys).format(fmt).save(path)
+    return manifest
 
 
 def write_summaries(rows: DataFrame, keys: list[str], path: str) -> None:

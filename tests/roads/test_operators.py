@@ -99,6 +99,19 @@ def test_files(spark, tmp_path):
     splits = spark.createDataFrame([("state", "all", "all_roads", k) for k in range(20)], "tier string, entity string, road_type string, id long")
     io.write_splits(splits, f"file://{tmp_path}/s")
     assert spark.read.parquet(f"file://{tmp_path}/s").where("tier = 'state'").count() == 20
+    # One folder has most rows, others a few: no task writes much more than its share, and every row is there once.
+    sizes = {("state", "all", "all_roads"): 5000, **{("county", f"c{k}", "all_roads"): 40 + k for k in range(30)}, ("city", None, "all_roads"): 70}
+    many = [(t, e, r, k) for (t, e, r), n in sizes.items() for k in range(n)]
+    manifest = io.write_splits(spark.createDataFrame(many, "tier string, entity string, road_type string, id long").repartition(3), f"file://{tmp_path}/m", rows=500).collect()
+    assert {(m.tier, m.entity, m.road_type): m.n for m in manifest} == sizes
+    back = spark.read.parquet(f"file://{tmp_path}/m").selectExpr("tier", "entity", "id", "_metadata.file_path AS f").collect()
+    assert sorted((b.tier, str(b.entity), b.id) for b in back) == sorted((t, str(e), k) for t, e, _, k in many)
+    tasks = {}
+    for b in back:
+        task = b.f.rsplit("/", 1)[1].split("-")[1]
+        tasks[task] = tasks.get(task, 0) + 1
+    assert max(tasks.values()) < 1.25 * 500 and len(tasks) == -(-len(many) // 500)
+    assert len({b.f for b in back if b.tier == "state"}) >= 10 and all(len({b.f for b in back if b.entity == f"c{k}"}) <= 2 for k in range(30))
     io.replace_partition(spark.createDataFrame([("a", 1), ("b", 1)], "state string, n int"), f"file://{tmp_path}/p")
     io.replace_partition(spark.createDataFrame([("b", 2)], "state string, n int"), f"file://{tmp_path}/p")
     assert sorted(rows(spark.read.parquet(f"file://{tmp_path}/p").select("state", "n"))) == [("a", 1), ("b", 2)]
