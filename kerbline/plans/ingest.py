@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from kerbline.bindings import assets, crashes, inventory, persons, segments, table, vehicles, with_views
 from kerbline.functions import geo, tags, text
 from kerbline.operators import aggregate as agg
-from kerbline.operators import build, clean, layers, normalise, stats
+from kerbline.operators import build, clean, layers, manual, normalise, stats
 from kerbline.operators import spatial as sp
 from kerbline.plans.aggregates import BRIDGE, SCORED, SEV, bridge
 from kerbline.plans.analysis import _folder
@@ -425,10 +425,28 @@ def _regroup(spark, d):
     return s.join(b, "fips").groupBy("tier", "entity", "name").agg(F.count("*").alias("n"), F.round(F.avg("m"), 2).alias("mean_length"))
 
 
-@query("flatten_manual_sections", "SELECT doc_id, i AS section, substr(s, 1, 8000) AS passage FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS s, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents) WHERE length(s) >= 50")
+_FIT = f"CASE WHEN length(rest) <= {manual.MOST} THEN rest WHEN regexp_extract(substr(rest, 1, {manual.MOST}), '(?s)^.*[.!?][ \\n]') <> '' THEN regexp_extract(substr(rest, 1, {manual.MOST}), '(?s)^.*[.!?][ \\n]') ELSE substr(rest, 1, {manual.MOST}) END"
+_MANUAL = f"""WITH RECURSIVE lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents),
+ bodies AS (SELECT doc_id AS manual, 'Part ' || (i // 4096 + 1) || ' > Chapter ' || (i % 4096 // 256 + 1) || ' > Section ' || (i % 256 // 16 + 1) AS path, string_agg(line, chr(10) ORDER BY i) AS body FROM lines GROUP BY doc_id, i // 4096, i % 4096 // 256, i % 256 // 16),
+ cut AS (SELECT manual, path, 0 AS k, '' AS passage, body AS rest FROM bodies WHERE length(body) >= {manual.LEAST} UNION ALL SELECT manual, path, k + 1, {_FIT}, substr(rest, length({_FIT}) + 1) FROM cut WHERE rest <> '')
+ SELECT manual, path, k AS passage, passage AS text FROM cut WHERE k > 0"""
+
+
+@query("flatten_manual_sections", _MANUAL)
 def _sections(spark, d):
-    rows = table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("section", "s"))
-    return rows.where(F.length("s") >= 50).select("doc_id", F.col("section").cast("long").alias("section"), F.substring("s", 1, 8000).alias("passage"))
+    """Documents as manuals: sixteen lines a section, sixteen sections a chapter, sixteen chapters a part; written as JSON and read."""
+    path = _path(spark)
+    lines, steps = F.split("text", "\n"), lambda n, size: F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(n / F.lit(size)).cast("int") - 1))
+    numbered = lambda k: (k + 1).cast("string")
+
+    def level(name, below, size, inner, title):
+        return F.transform(steps(F.size(below), size), lambda k: F.struct(numbered(k).alias(name), F.concat(F.lit(title), numbered(k)).alias("title"), inner(F.slice(below, k * size + 1, F.lit(size)))))
+
+    sections_of = lambda part: level("section", part, 16, lambda x: x.alias("paragraphs"), "On ").alias("sections")
+    chapters_of = lambda part: level("chapter", part, 256, sections_of, "Of ").alias("chapters")
+    docs = table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", lines.alias("lines"))
+    docs.select(F.to_json(F.struct(F.col("doc_id").alias("manual"), level("part", F.col("lines"), 4096, chapters_of, "").alias("parts"))).alias("value")).write.text(path)
+    return manual.passages(manual.read_manuals(spark, path)).drop("title")
 
 
 _LN = "coalesce(TRY_CAST(lanes AS INT), 0)"
