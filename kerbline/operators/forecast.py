@@ -109,13 +109,6 @@ def sum_members(forecasts: DataFrame, bridge: DataFrame) -> DataFrame:
     return forecasts.join(bridge, "series").groupBy("entity", "month").agg(*[F.round(F.sum(q), 1).alias(q) for q in QUANTILES], F.countDistinct("series").alias("members"))
 
 
-def derived(forecasts: DataFrame, history: DataFrame) -> DataFrame:
-    """Per series: mean p50, width of the interval, and the change on the last year seen."""
-    f = forecasts.groupBy("series").agg(F.round(F.avg("p50"), 4).alias("mean_p50"), F.round(F.avg(F.col("p90") - F.col("p10")), 4).alias("width"))
-    last = history.withColumn("r", F.row_number().over(Window.partitionBy("series").orderBy(F.desc("month")))).where("r <= 12").groupBy("series").agg(F.avg("value").alias("recent"))
-    return f.join(last, "series").withColumn("change", F.when(F.col("recent") > 0, F.round((F.col("mean_p50") - F.col("recent")) / F.col("recent") * 100, 2))).drop("recent")
-
-
 def rank_movement(forecasts: DataFrame, history: DataFrame) -> DataFrame:
     """Place of each series by history and by forecast, and how far it moves.  Ranks run over one row per series."""
     h = history.groupBy("series").agg(F.sum("value").alias("past"))

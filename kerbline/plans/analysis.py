@@ -12,10 +12,10 @@ from kerbline.functions.text import OWNERS
 from kerbline.operators import aggregate as agg
 from kerbline.operators import authority as au
 from kerbline.operators import forecast as fc
-from kerbline.operators import build, joins, ledger, stats
+from kerbline.operators import build, joins, ledger, outlook, stats
 from kerbline.operators import validate as va
 from kerbline.plans.spatial import _hav, _layer, _segment_match
-from kerbline.session import shared_dir
+from kerbline.session import kept, shared_dir
 from kerbline.sources.io import union_files
 from kerbline.streaming import streams
 
@@ -327,10 +327,42 @@ def _corridors(spark, d):
     return g.withColumn("place", F.row_number().over(Window.partitionBy("region").orderBy(F.desc("epdo"), "route")).cast("long")).where("place <= 10")
 
 
+def _targets(spark, d):
+    """Monthly series of every target of each jurisdiction."""
+    c = crashes(spark, d)
+    location = F.when(F.col("node") == "", "segment").when(F.col("own_code") % 2 == 0, "three_leg").otherwise("four_leg")
+    factors = {k: F.col(f"is_{k}") for k in ("speed", "alcohol", "night")} | {"pedestrian": F.col("is_ped"), "bicycle": F.col("is_bike")}
+    return outlook.monthly(c, "juris", F.col("collision"), location, factors)
+
+
+def _outlook(spark, d):
+    """History and forecasts, both stored, as many figures read them."""
+    history = kept(_targets(spark, d))
+    return history, kept(outlook.forecast_all(history))
+
+
 @query("derived_metrics")
 def _derived(spark, d):
-    s = _series(spark, d)
-    return fc.derived(fc.forecast(s), s)
+    return outlook.figures(*_outlook(spark, d))
+
+
+@query("reconciled_forecasts")
+def _reconciled(spark, d):
+    return outlook.reconciled(_outlook(spark, d)[1])
+
+
+_ENTRIES = "SELECT juris AS scope, month, unnest([{'target': 'total', 'key': 'all'}, {'target': 'severity', 'key': severity}, {'target': 'type', 'key': collision}, {'target': 'location', 'key': CASE WHEN node = '' THEN 'segment' WHEN own_code % 2 = 0 THEN 'three_leg' ELSE 'four_leg' END}, CASE WHEN is_speed THEN {'target': 'factor', 'key': 'speed'} END, CASE WHEN is_alcohol THEN {'target': 'factor', 'key': 'alcohol'} END, CASE WHEN is_night THEN {'target': 'factor', 'key': 'night'} END, CASE WHEN is_ped THEN {'target': 'factor', 'key': 'pedestrian'} END, CASE WHEN is_bike THEN {'target': 'factor', 'key': 'bicycle'} END, CASE WHEN route <> '' THEN {'target': 'corridor', 'key': route} END]) AS e FROM crashes"
+_TARGETS = f"""WITH en AS ({_ENTRIES}), n AS (SELECT scope, e.target AS target, e.key AS key, month, count(*) AS value FROM en WHERE e IS NOT NULL GROUP BY ALL),
+ top AS (SELECT scope, key FROM (SELECT scope, key, row_number() OVER (PARTITION BY scope ORDER BY sum(value) DESC, key) AS r FROM n WHERE target = 'corridor' GROUP BY scope, key) WHERE r <= 10),
+ w AS (SELECT n.* FROM n LEFT JOIN top USING (scope, key) WHERE target <> 'corridor' OR top.key IS NOT NULL), ends AS (SELECT scope, min(month) AS a, max(month) AS b FROM w GROUP BY scope),
+ grid AS (SELECT DISTINCT scope, target, key FROM w), months AS (SELECT scope, CAST(unnest(generate_series(a, b, INTERVAL 1 MONTH)) AS DATE) AS month FROM ends)
+ SELECT g.scope, g.target, g.key, m.month, coalesce(w.value, 0) AS value FROM grid g JOIN months m ON g.scope = m.scope LEFT JOIN w ON w.scope = g.scope AND w.target = g.target AND w.key = g.key AND w.month = m.month"""
+
+
+@query("forecast_targets", _TARGETS, "crashes")
+def _targets_of(spark, d):
+    """The monthly series of every target that an outlook is made of."""
+    return _targets(spark, d)
 
 
 @query("rank_movement")
