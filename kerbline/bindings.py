@@ -132,8 +132,12 @@ _RAW = {
     "system": "CASE id % 8 WHEN 0 THEN 'DOT Interstate' WHEN 1 THEN 'DOT Primary' WHEN 2 THEN 'Non-DOT secondary' WHEN 3 THEN 'Local' ELSE '' END",
 }
 RAW_SQL = "SELECT " + ", ".join(f"{e} AS {n}" for n, e in _RAW.items()) + f" FROM ({CRASHES_SQL}) crash_rows"
-VIEWS = {"raw": RAW_SQL, "crashes": CRASHES_SQL, "persons": PERSONS_SQL, "vehicles": VEHICLES_SQL, "segments": SEGMENTS_SQL, "assets": ASSETS_SQL, "inventory": INVENTORY_SQL}
-_TABLES = {"raw": ("orders", "customer", "nation"), "crashes": ("orders", "customer", "nation"), "persons": ("lineitem",), "vehicles": ("lineitem",), "segments": ("part",), "assets": ("supplier",), "inventory": ("part",)}
+_LINE = lambda key, shift: f"38.8 + ({key} * 7919 % 6000) / 10000.0E0 + {key} % 5 * {shift}E0 + CASE WHEN {key} % 11 = 0 THEN 1.0E0 ELSE 0.0E0 END AS mid_lat, -75.7 + ({key} * 104729 % 4000) / 10000.0E0 AS mid_lon, CAST({key} % 8 AS INT) AS fc_code, CASE WHEN {key} % 4 = 0 THEN '' ELSE concat('SR ', CAST({key} % 70 AS STRING)) END AS route, CASE WHEN {key} % 3 = 0 THEN NULL ELSE CAST({key} * 41 % 9000 AS INT) END AS aadt"
+#: Lines of the federal and the state's road layers: most near a segment's middle, some far from all.
+FEDERAL_SQL = f"SELECT c_custkey AS line_id, {_LINE('c_custkey', 0.0003)} FROM customer"
+STATE_LINES_SQL = f"SELECT s_suppkey AS line_id, {_LINE('(s_suppkey * 3)', 0.0005)} FROM supplier"
+VIEWS = {"federal_lines": FEDERAL_SQL, "state_lines": STATE_LINES_SQL, "raw": RAW_SQL, "crashes": CRASHES_SQL, "persons": PERSONS_SQL, "vehicles": VEHICLES_SQL, "segments": SEGMENTS_SQL, "assets": ASSETS_SQL, "inventory": INVENTORY_SQL, "base_inventory": INVENTORY_SQL}
+_TABLES = {"federal_lines": ("customer",), "state_lines": ("supplier",), "raw": ("orders", "customer", "nation"), "crashes": ("orders", "customer", "nation"), "persons": ("lineitem",), "vehicles": ("lineitem",), "segments": ("part",), "assets": ("supplier",), "inventory": ("part",)}
 
 
 def with_views(sql: str, *names: str) -> str:
@@ -181,6 +185,11 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bound(spark, sf_dir, "inventory")
 
 
+def road_lines(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """``federal_lines`` or ``state_lines``."""
+    return _bound(spark, sf_dir, name)
+
+
 def yes(c) -> Column:
     """Counts rows where a boolean holds, as long."""
     return F.count(F.when(c, 1))

@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbline.functions.text import OWNERS
+from kerbline.operators import authority as au
 from kerbline.operators import roads, validate
 from kerbline.operators import spatial as sp
-from kerbline.operators.aggregate import group_median_propagation
 from kerbline.operators.joins import intersection_names, node_degree
+from kerbline.session import kept
 
 
 def intersection_analysis(kind: Column, owner: Column) -> Column:
@@ -61,30 +62,88 @@ def road_geography(places: DataFrame, centroids: DataFrame, membership: DataFram
     return both.select("id", "fips", F.coalesce("mpo", F.lit("")).alias("mpo"), F.coalesce("region", F.lit("")).alias("region"))
 
 
-def build_inventory(inventory: DataFrame, assets: DataFrame, counties: DataFrame, law: DataFrame, reach_m: float) -> DataFrame:
-    """The road inventory, one row per segment.
+#: Open-map words for the classes of lines that come from elsewhere.
+HIGHWAYS = {1: "motorway", 2: "trunk", 3: "primary", 4: "secondary", 5: "tertiary", 6: "unclassified", 7: "residential"}
 
-    Ends and names (degree, streets, crossing), county by polygon, nearest assets of each category within its reach,
-    speed, lanes, surface, signal, bridge and school zone by authority, confidence and risk, volumes propagated within
-    class, the rule groups, and the repairs, in this order.
+
+def merge_networks(base: DataFrame, networks: list[tuple[str, DataFrame]], reach_m: float = 100.0) -> tuple[DataFrame, DataFrame]:
+    """Line networks reconciled to one inventory: (inventory, links).
+
+    base: the inventory of the first network; networks: source and lines (line_id, mid_lat, mid_lon, fc_code, route, aadt)
+    in order of trust.  A line whose middle lies within reach of a segment's middle shares that segment's id (the
+    nearest; ties: the smaller id); one without a match enters as a segment of its own, which later networks can meet.
+    links: source, line_id, seg_id, dist_m (null for lines that entered).  New ids are below zero and depend on source
+    and line alone; new segments are points with blank texts, and their nodes are their own.
+    """
+    texts = [f.name for f in base.schema if f.dataType.simpleString() == "string"]
+    out, links = base, None
+    for number, (source, lines) in enumerate(networks, 1):
+        mids = out.select(F.col("seg_id").alias("near_seg"), ((F.col("u_lat") + F.col("v_lat")) / 2).alias("t_lat"), ((F.col("u_lon") + F.col("v_lon")) / 2).alias("t_lon"))
+        at = lines.select("line_id", F.col("mid_lat").alias("lat"), F.col("mid_lon").alias("lon"))
+        near = sp.radius_pairs(at, mids, reach_m, reach_m).groupBy("line_id").agg(F.min(F.struct(F.round("dist_m", 3).alias("d"), "near_seg")).alias("b"))
+        own = -(F.col("line_id") * (len(networks) + 1) + number)
+        met = kept(lines.join(near, "line_id", "left").select("*", F.coalesce("b.near_seg", own).alias("seg_id"), F.col("b.d").alias("dist_m")).drop("b"))
+        told = met.select(F.lit(source).alias("source"), "line_id", "seg_id", "dist_m")
+        links = told if links is None else links.unionByName(told)
+        new = met.where(F.col("dist_m").isNull()).select(
+            "seg_id", F.col("mid_lat").alias("u_lat"), F.col("mid_lon").alias("u_lon"), F.col("mid_lat").alias("v_lat"), F.col("mid_lon").alias("v_lon"), F.col("seg_id").alias("u_node"), F.col("seg_id").alias("v_node"),
+            "fc_code", F.col("fc_code").alias("hpms_fc"), roads._of(F.col("fc_code"), roads.CLASSES).cast("string").alias("fc"), F.coalesce(roads._of(F.col("fc_code"), HIGHWAYS), F.lit("unclassified")).alias("highway"), F.col("route").alias("ref"), "aadt", F.lit(source).alias("road_source"), F.lit("Rural").alias("area"), F.lit("No").alias("is_intersection"),
+        )
+        out = out.unionByName(new.fillna("", [c for c in texts if c in new.columns]).withColumns({c: F.lit("") for c in texts if c not in new.columns}), allowMissingColumns=True)
+    return out, links
+
+
+def from_sources(inventory: DataFrame) -> DataFrame:
+    """Speed, lanes, surface, signal, lighting, bridge and school zone by authority, beside the other columns, and where each comes from.
+
+    Resolved speed and lanes take the place of stated ones, so that rules see them; what no source tells stays as stated.
+    """
+    c = F.col
+    speed = au.resolve_speed(c("sdot_speed"), c("hpms_speed"), c("map_speed"), c("maxspeed"), c("fc_code") == 7, c("mpo") != "", c("fc_code").isin(5, 6))
+    lanes = roads.resolve_lanes(c("sdot_lanes"), c("hpms_lanes"), c("osm_lanes"))
+    paved = roads.resolve_surface(c("sdot_surface"), c("hpms_surface"), c("osm_surface"))
+    yes = {
+        "signal": roads.resolve_signals(c("map_signal"), c("poi_signal"), c("hpms_signal")), "lighting": roads.resolve_lighting(c("lights"), c("lit")),
+        "has_bridge": roads.resolve_bridge(c("hpms_structure"), c("bridge"), c("near_bridge")), "school": roads.resolve_school_zone(c("map_school"), c("near_school")),
+    }
+    return inventory.withColumns({
+        "speed": F.when(speed["value"] > 0, speed["value"].cast("string")).otherwise(c("speed")), "speed_source": speed["source"], "lanes": F.when(lanes["value"] > 0, lanes["value"].cast("string")).otherwise(c("lanes")), "lanes_source": lanes["source"], "paved": paved["value"],
+        **{k: v["value"] for k, v in yes.items()}, **{f"{k}_source": v["source"] for k, v in yes.items()},
+    })
+
+
+def build_inventory(base: DataFrame, networks: list[tuple[str, DataFrame]], assets: DataFrame, counties: DataFrame, law: DataFrame, reach_m: float, speeds: dict[int, Column], state: str = "", members: dict[str, list[str]] | None = None) -> DataFrame:
+    """The road inventory, one row per segment, in these steps.
+
+    1. The networks are reconciled (:func:`merge_networks`).
+    2. Sources by authority, agreement and confidence, and risk in one projection; then, in another, the rule groups, which
+       see the resolved speed and lanes.
+    3. The thirteen repairs, which end with volumes by propagation and without duplicates.
+    4. What lies around: county by polygon, assets of each category within its reach, streets and crossing names at the
+       ends, and the lines that share the segment's id.
     """
+    merged, links = merge_networks(base, networks)
+    inventory = kept(merged)
+    # Stored, as rules name a column again and again: expressions nested in one another outgrow what can be compiled.
+    told = kept(roads.risk_indicators(roads.agreement_scores(from_sources(inventory), beside=True), speeds, beside=True))
+    fixed = roads.postprocess(roads.road_rules(told, law).withColumn("rules", F.array_join("rules", ",")).drop("degree", "streets").join(_own_ends(inventory), "seg_id", "left"), state, members)
     mids = inventory.select(F.col("seg_id").alias("id"), ((F.col("u_lat") + F.col("v_lat")) / 2).alias("lat"), ((F.col("u_lon") + F.col("v_lon")) / 2).alias("lon"))
     county = sp.point_in_polygon(mids, counties).select(F.col("id").alias("seg_id"), F.col("poly_id").alias("county_id"))
     near = sp.nearest_asset_attrs(mids.withColumnRenamed("id", "place_id"), assets, reach_m)
-    wide = near.groupBy(F.col("place_id").alias("seg_id")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("category", F.col("asset_id").alias("id"))))).alias("nearest"), F.sum("n").alias("assets_near"))
+    around = near.groupBy(F.col("place_id").alias("seg_id")).agg(F.count("*").alias("categories"), F.sum("n").alias("assets_near"))
+    lines = links.where("dist_m IS NOT NULL").groupBy("seg_id").agg(F.count("*").alias("lines"))
+    out = fixed.join(county, "seg_id", "left").join(around, "seg_id", "left").join(lines, "seg_id", "left")
+    none = lambda c: F.coalesce(c, F.lit(0))
+    return out.select(
+        "seg_id", "road_source", none("lines").alias("lines"), "fc", "speed", "speed_source", "ownership", "system", "facility", "rules", "lanes", "lanes_source", "paved", "surface", "signal", "lighting", "has_bridge", "school", "school_zone", "route", "intersection", "alignment",
+        "county_id", none("categories").cast("int").alias("categories"), none("assets_near").alias("assets_near"), none("degree").alias("degree"), none("streets").alias("streets"), F.coalesce("at_node", F.lit("No")).alias("at_node"), "crossing",
+        "aadt", "aadt_source", "signal_confidence", "speed_confidence", "bridge_risk", "school_exposure", "departure_score", "speed_transition",
+    )
+
+
+def _own_ends(inventory: DataFrame) -> DataFrame:
+    """seg_id, degree and streets of the busier end, whether either is an intersection, and the names that cross there."""
     names = intersection_names(inventory)
     end = lambda s: names.select(F.col("node").alias(f"{s}_node"), F.col("crossing").alias(f"{s}_crossing"))
-    lanes = roads.resolve_lanes(F.col("sdot_lanes"), F.col("hpms_lanes"), F.col("osm_lanes"))
-    surface = roads.resolve_surface(F.col("sdot_surface"), F.col("hpms_surface"), F.col("osm_surface"))
-    signal = roads.resolve_signals(F.col("map_signal"), F.col("poi_signal"), F.col("hpms_signal"))
-    ruled = roads.road_rules(inventory, law)
-    told = ruled.select("seg_id", "fc", "speed", "ownership", "system", "facility", F.array_join("rules", ",").alias("rules"), lanes["value"].alias("lanes"), lanes["source"].alias("lanes_source"), surface["value"].alias("paved"), signal["value"].alias("signal"), "u_node", "v_node")
-    volumes = group_median_propagation(inventory.select("seg_id", "ref", "name", "fc_code", "aadt")).select("seg_id", "aadt", F.col("source").alias("aadt_source"))
-    confidence = roads.agreement_scores(inventory).select("seg_id", "signal_confidence", "speed_confidence")
-    out = told.join(county, "seg_id", "left").join(wide, "seg_id", "left").join(node_degree(inventory).withColumnRenamed("intersection", "at_node"), "seg_id", "left").join(volumes, "seg_id").join(confidence, "seg_id")
-    out = out.join(end("u"), "u_node", "left").join(end("v"), "v_node", "left").withColumn("crossing", F.coalesce("u_crossing", "v_crossing", F.lit("")))
-    kept = roads.without_duplicates(inventory.select("seg_id", "u_lat", "u_lon", "v_lat", "v_lon", "name", "road_source")).select("seg_id")
-    return out.join(kept, "seg_id", "left_semi").select(
-        "seg_id", "fc", "speed", "ownership", "system", "facility", "rules", "lanes", "lanes_source", "paved", "signal", "county_id", F.coalesce(F.size("nearest"), F.lit(0)).alias("categories"), F.coalesce("assets_near", F.lit(0)).alias("assets_near"),
-        "degree", "streets", "at_node", "crossing", "aadt", "aadt_source", "signal_confidence", "speed_confidence",
-    )
+    crossing = inventory.select("seg_id", "u_node", "v_node").join(end("u"), "u_node", "left").join(end("v"), "v_node", "left").select("seg_id", F.coalesce("u_crossing", "v_crossing", F.lit("")).alias("crossing"))
+    return node_degree(inventory).withColumnRenamed("intersection", "at_node").join(crossing, "seg_id")

@@ -325,8 +325,8 @@ def standard_columns(inventory: DataFrame) -> DataFrame:
     )
 
 
-def agreement_scores(inventory: DataFrame) -> DataFrame:
-    """How many sources confirm signal, crosswalk, stop sign, school zone, speed and bridge, and the confidence that follows."""
+def agreement_scores(inventory: DataFrame, beside: bool = False) -> DataFrame:
+    """How many sources confirm signal, crosswalk, stop sign, school zone, speed and bridge, and the confidence that follows; ``beside`` the other columns or alone."""
     one = lambda c: F.coalesce(c, F.lit(False)).cast("int")
     plain = lambda n, scale: F.when(n >= 3, scale[2]).when(n == 2, scale[1]).when(n == 1, scale[0]).otherwise(0)
     c = F.col
@@ -341,14 +341,14 @@ def agreement_scores(inventory: DataFrame) -> DataFrame:
         "bridge": one(F.lower(F.trim("bridge")).isin("yes", "viaduct", "movable", "cantilever")) + one(c("near_bridge") == "Yes"),
     }
     scales = {"school_zone": (50, 90, 90), "bridge": (50, 90, 90), "speed": (50, 80, 95)}
-    out = inventory.select("seg_id", *[n.alias(f"{k}_sources") for k, n in counts.items()])
+    out = inventory.select("*" if beside else "seg_id", *[n.alias(f"{k}_sources") for k, n in counts.items()])
     return out.withColumns({f"{k}_confidence": plain(F.col(f"{k}_sources"), scales.get(k, (50, 75, 90))) for k in counts})
 
 
-def risk_indicators(inventory: DataFrame, speeds: dict[int, Column]) -> DataFrame:
+def risk_indicators(inventory: DataFrame, speeds: dict[int, Column], beside: bool = False) -> DataFrame:
     """Speed transition, crosswalks without signal, school exposure, bridge condition and road departure, 0 to 100.
 
-    speeds: limit -> how many signs of it stand near the segment.
+    speeds: limit -> how many signs of it stand near the segment; ``beside`` the other columns or alone.
     """
     from kerbline.operators.authority import speed_transition
 
@@ -366,7 +366,7 @@ def risk_indicators(inventory: DataFrame, speeds: dict[int, Column]) -> DataFram
     signs = one(c("map_guard_rail") == "Yes") + one(number(c("hpms_curve")) > 0) + one(number(c("grade_class")) > 0) + one(F.coalesce(c("curvature"), F.lit(1.0)) > 1.5) + one(c("map_turn") == "Yes") + one(c("map_winding") == "Yes")
     fast = F.coalesce(speed_in_range(c("hpms_speed")), F.lit(0)) > 45
     return inventory.select(
-        "seg_id", moves["transition"].alias("speed_transition"), moves["diff"].alias("speed_transition_diff"), F.when(crossing & (signal != "Yes"), "Yes").otherwise("No").alias("unsignalized_crosswalk"),
+        "*" if beside else "seg_id", moves["transition"].alias("speed_transition"), moves["diff"].alias("speed_transition_diff"), F.when(crossing & (signal != "Yes"), "Yes").otherwise("No").alias("unsignalized_crosswalk"),
         F.when(c("near_school") == "Yes", F.least(school, F.lit(100))).otherwise(0).alias("school_exposure"),
         F.when(c("near_bridge") == "Yes", F.least(worn + age + F.when((width > 0) & (width < 8), 10).otherwise(0), F.lit(100))).otherwise(0).alias("bridge_risk"),
         F.when(signs > 0, "Yes").otherwise("No").alias("departure_curve"), F.least(F.least(signs * 25, F.lit(75)) + F.when(fast & (signs > 0), 25).otherwise(0), F.lit(100)).alias("departure_score"),

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from kerbline.bindings import assets, crashes, inventory, raw_crashes, segments, table, with_views
+from kerbline.bindings import assets, crashes, inventory, raw_crashes, road_lines, segments, table, with_views
 from kerbline.functions.geo import FT
 from kerbline.functions.text import OWNERS
 from kerbline.operators import aggregate as agg
@@ -446,41 +446,48 @@ def _enrich(spark, d):
     return build.enrich(c, s.withColumn("owner", F.expr(_OWNER)), nodes, look, node_m=500.0)
 
 
-_SUB = lambda name: f"({catalog_sql(name)})"
-
-
-def catalog_sql(name: str) -> str:
-    """The SQL of another query, for a job that chains its operator."""
-    from kerbline.plans import roads as road_plans
-    from kerbline.plans import spatial as spatial_plans
-
-    return {**spatial_plans.SQL, **road_plans.SQL}[name]
-
-
-def _mids_sql() -> str:
-    """Segments' middles in the place of crashes, for the polygon query's SQL."""
+def _built_sql() -> str:
+    """The build step by step: networks, sources, rules on what the sources tell, repairs of what the rules leave, surroundings."""
+    from kerbline.bindings import _ROADS
+    from kerbline.plans import roads as plan
     from kerbline.plans.spatial import _layer_sql
 
-    return _layer_sql("county")
-
-
-_BUILT = f"""WITH crashes AS (SELECT seg_id AS id, (u_lat + v_lat) / 2 AS lat, (u_lon + v_lon) / 2 AS lon FROM inventory), county AS ({_mids_sql()}),
- pairs AS (SELECT c.id, a.category, {_hav('c.lat', 'c.lon', 'a.lat', 'a.lon')} AS m, radius_ft / {FT} AS r FROM crashes c JOIN assets a ON abs(c.lat - a.lat) < 0.02 AND abs(c.lon - a.lon) < 0.02), near AS (SELECT id, count(DISTINCT category) AS categories, count(*) AS assets_near FROM pairs WHERE m <= r GROUP BY id),
+    case = lambda values: "CASE fc_code " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in values.items()) + " END"
+    text = lambda e: "'" in e or "STRING" in e
+    own = {"seg_id": "seg_id", **{f"{e}_{a}": f"mid_{a}" for e in "uv" for a in ("lat", "lon")}, "u_node": "seg_id", "v_node": "seg_id", "fc_code": "fc_code", "hpms_fc": "fc_code", "highway": f"coalesce({case(build.HIGHWAYS)}, 'unclassified')", "ref": "route", "aadt": "aadt", "road_source": "source", "area": "'Rural'", "is_intersection": "'No'", "curve_class": "0"}
+    columns = [*_ROADS, "fc"]
+    entered = ", ".join(f"{own.get(c) or (chr(39) * 2 if text(_ROADS.get(c, chr(39))) else 'NULL')} AS {c}" if c != "fc" else f"coalesce({case(plan.roads.CLASSES)}, '') AS fc" for c in columns)
+
+    def met(lines: str, known: str, number: int, source: str) -> str:
+        near = f"SELECT line_id, seg_id, d FROM (SELECT l.line_id, i.seg_id, round(d, 3) AS d, row_number() OVER (PARTITION BY l.line_id ORDER BY round(d, 3), i.seg_id) AS r FROM (SELECT l.line_id, i.seg_id, {_hav('l.mid_lat', 'l.mid_lon', 'i.y', 'i.x')} AS d FROM {lines} l JOIN (SELECT seg_id, (u_lat + v_lat) / 2 AS y, (u_lon + v_lon) / 2 AS x FROM {known}) i ON abs(l.mid_lat - i.y) < 0.002 AND abs(l.mid_lon - i.x) < 0.002) l JOIN {known} i ON l.seg_id = i.seg_id WHERE d <= 100) WHERE r = 1"
+        return f"SELECT l.*, coalesce(n.seg_id, -(l.line_id * 3 + {number})) AS seg_id, n.d AS dist_m, '{source}' AS source FROM {lines} l LEFT JOIN ({near}) n ON l.line_id = n.line_id"
+
+    plain = plan.PLAIN
+    value = lambda name: f"({plain[name]})"
+    return f"""WITH first_inventory AS (SELECT {', '.join(columns)} FROM base_inventory), met1 AS ({met('federal_lines', 'first_inventory', 1, 'HPMS')}), second_inventory AS (SELECT * FROM first_inventory UNION ALL SELECT {entered} FROM met1 WHERE dist_m IS NULL),
+ met2 AS ({met('state_lines', 'second_inventory', 2, 'StateDOT')}), inventory AS (SELECT * FROM second_inventory UNION ALL SELECT {entered} FROM met2 WHERE dist_m IS NULL), links AS (SELECT seg_id, count(*) AS lines FROM (SELECT * FROM met1 UNION ALL SELECT * FROM met2) WHERE dist_m IS NOT NULL GROUP BY seg_id),
+ sp AS {value('resolve_speed_limit')}, ln AS {value('resolve_lanes')}, su AS {value('resolve_surface')}, sg AS {value('resolve_signals')}, li AS {value('resolve_lighting')}, br AS {value('resolve_bridge')}, sc AS {value('resolve_school_zone')}, co AS {value('confidence_scores')}, ri AS {value('risk_indicators')},
  ends AS (SELECT u_node AS node, v_node AS other, name FROM inventory UNION ALL SELECT v_node, u_node, name FROM inventory), dg AS (SELECT node, count(*) AS degree, count(DISTINCT other) AS streets FROM ends GROUP BY node HAVING count(*) >= 3),
  cr AS (SELECT node, string_agg(name, ' & ' ORDER BY name) AS crossing FROM (SELECT node, name, row_number() OVER (PARTITION BY node ORDER BY name) AS r FROM (SELECT DISTINCT node, name FROM ends)) WHERE r <= 2 GROUP BY node HAVING count(*) = 2),
- a1 AS (SELECT ref, fc_code, median(aadt) AS m FROM inventory WHERE aadt IS NOT NULL GROUP BY ALL), a2 AS (SELECT name, fc_code, median(aadt) AS m FROM inventory WHERE aadt IS NOT NULL GROUP BY ALL), a3 AS (SELECT fc_code, median(aadt) AS m FROM inventory WHERE aadt IS NOT NULL GROUP BY ALL),
- kept AS (SELECT seg_id FROM (SELECT seg_id, row_number() OVER (PARTITION BY u_lat, u_lon, v_lat, v_lon, name, road_source ORDER BY seg_id) AS r FROM inventory) WHERE r = 1)
- SELECT i.seg_id, ru.fc, ru.speed, ru.ownership, ru.system, ru.facility, ru.rules, l.value AS lanes, l.source AS lanes_source, su.value AS paved, si.value AS signal, county.poly_id AS county_id, CAST(coalesce(near.categories, 0) AS INT) AS categories, coalesce(near.assets_near, 0) AS assets_near,
- greatest(coalesce(du.degree, 0), coalesce(dv.degree, 0)) AS degree, greatest(coalesce(du.streets, 0), coalesce(dv.streets, 0)) AS streets, CASE WHEN du.node IS NOT NULL OR dv.node IS NOT NULL THEN 'Yes' ELSE 'No' END AS at_node, coalesce(cu.crossing, cv.crossing, '') AS crossing,
- coalesce(CAST(i.aadt AS DOUBLE), a1.m, a2.m, a3.m) AS aadt, CASE WHEN i.aadt IS NOT NULL THEN 'source' WHEN a1.m IS NOT NULL THEN 'ref_fc' WHEN a2.m IS NOT NULL THEN 'name_fc' WHEN a3.m IS NOT NULL THEN 'fc_median' ELSE 'none' END AS aadt_source, co.signal_confidence, co.speed_confidence
- FROM inventory i JOIN kept USING (seg_id) JOIN {_SUB('road_rules_12')} ru ON i.seg_id = ru.seg_id JOIN {_SUB('resolve_lanes')} l ON i.seg_id = l.seg_id JOIN {_SUB('resolve_surface')} su ON i.seg_id = su.seg_id JOIN {_SUB('resolve_signals')} si ON i.seg_id = si.seg_id JOIN {_SUB('confidence_scores')} co ON i.seg_id = co.seg_id
- LEFT JOIN county ON i.seg_id = county.id LEFT JOIN near ON i.seg_id = near.id LEFT JOIN dg du ON i.u_node = du.node LEFT JOIN dg dv ON i.v_node = dv.node LEFT JOIN cr cu ON i.u_node = cu.node LEFT JOIN cr cv ON i.v_node = cv.node
- LEFT JOIN a1 ON i.ref = a1.ref AND i.fc_code = a1.fc_code LEFT JOIN a2 ON i.name = a2.name AND i.fc_code = a2.fc_code LEFT JOIN a3 ON i.fc_code = a3.fc_code"""
-
-
-@query("build_road_inventory", _BUILT, "inventory", "assets")
+ own AS (SELECT i.seg_id, greatest(coalesce(du.degree, 0), coalesce(dv.degree, 0)) AS degree, greatest(coalesce(du.streets, 0), coalesce(dv.streets, 0)) AS streets, CASE WHEN du.node IS NOT NULL OR dv.node IS NOT NULL THEN 'Yes' ELSE 'No' END AS at_node, coalesce(cu.crossing, cv.crossing, '') AS crossing
+  FROM inventory i LEFT JOIN dg du ON i.u_node = du.node LEFT JOIN dg dv ON i.v_node = dv.node LEFT JOIN cr cu ON i.u_node = cu.node LEFT JOIN cr cv ON i.v_node = cv.node),
+ stage1 AS (SELECT i.* REPLACE (CASE WHEN sp.value > 0 THEN CAST(sp.value AS VARCHAR) ELSE i.speed END AS speed, CASE WHEN ln.value > 0 THEN CAST(ln.value AS VARCHAR) ELSE i.lanes END AS lanes) FROM inventory i JOIN sp ON i.seg_id = sp.seg_id JOIN ln ON i.seg_id = ln.seg_id),
+ ruled AS ({plan._RULES.replace('FROM inventory i', 'FROM stage1 i')}), left_over AS (SELECT r.* EXCLUDE (k, came, law, rules) REPLACE (coalesce(TRY_CAST(left(r.fc, 1) AS INT), 0) AS fc_code, NULL AS hpms_speed, own.degree AS degree, own.streets AS streets) FROM ruled r JOIN own ON r.seg_id = own.seg_id),
+ fixed AS ({plain['road_fixes_13'].replace('FROM inventory', 'FROM left_over')}),
+ crashes AS (SELECT seg_id AS id, (u_lat + v_lat) / 2 AS lat, (u_lon + v_lon) / 2 AS lon FROM inventory), county AS ({_layer_sql('county')}), pairs AS (SELECT c.id, a.category, {_hav('c.lat', 'c.lon', 'a.lat', 'a.lon')} AS m, radius_ft / {FT} AS r FROM crashes c JOIN assets a ON abs(c.lat - a.lat) < 0.02 AND abs(c.lon - a.lon) < 0.02),
+ near AS (SELECT id, count(DISTINCT category) AS categories, count(*) AS assets_near FROM pairs WHERE m <= r GROUP BY id)
+ SELECT f.seg_id, i.road_source, coalesce(links.lines, 0) AS lines, r.fc, f.speed, sp.source AS speed_source, f.ownership, r.system, r.facility, array_to_string(r.rules, ',') AS rules, f.lanes, ln.source AS lanes_source, su.value AS paved, f.surface, sg.value AS signal, li.value AS lighting, br.value AS has_bridge, sc.value AS school, f.school_zone, f.route, f.intersection, f.alignment,
+ county.poly_id AS county_id, CAST(coalesce(near.categories, 0) AS INT) AS categories, coalesce(near.assets_near, 0) AS assets_near, own.degree, own.streets, own.at_node, own.crossing, f.aadt, f.aadt_source, co.signal_confidence, co.speed_confidence, ri.bridge_risk, ri.school_exposure, ri.departure_score, ri.speed_transition
+ FROM fixed f JOIN inventory i ON f.seg_id = i.seg_id JOIN ruled r ON f.seg_id = r.seg_id JOIN sp ON f.seg_id = sp.seg_id JOIN ln ON f.seg_id = ln.seg_id JOIN su ON f.seg_id = su.seg_id JOIN sg ON f.seg_id = sg.seg_id JOIN li ON f.seg_id = li.seg_id JOIN br ON f.seg_id = br.seg_id JOIN sc ON f.seg_id = sc.seg_id JOIN co ON f.seg_id = co.seg_id JOIN ri ON f.seg_id = ri.seg_id
+ JOIN own ON f.seg_id = own.seg_id LEFT JOIN county ON f.seg_id = county.id LEFT JOIN near ON f.seg_id = near.id LEFT JOIN links ON f.seg_id = links.seg_id"""
+
+
+@query("build_road_inventory", _built_sql(), "base_inventory", "assets", "federal_lines", "state_lines")
 def _inventory(spark, d):
-    from kerbline.plans.roads import LAW
+    """Open-map segments with the federal and the state's lines, in full."""
+    from kerbline.plans.roads import LAW, MEMBERS
 
     near = assets(spark, d).select("asset_id", "category", (F.col("radius_ft") / FT).alias("radius_m"), F.col("lat").alias("t_lat"), F.col("lon").alias("t_lon"))
-    return build.build_inventory(inventory(spark, d), near, _layer(spark, d, "county"), spark.createDataFrame(LAW, "fc_code int, area string, limit int"), 3000 / FT)
+    networks = [("HPMS", road_lines(spark, d, "federal_lines")), ("StateDOT", road_lines(spark, d, "state_lines"))]
+    law, speeds = spark.createDataFrame(LAW, "fc_code int, area string, limit int"), {25: F.col("s25"), 35: F.col("s35"), 55: F.col("s55")}
+    return build.build_inventory(inventory(spark, d), networks, near, _layer(spark, d, "county"), law, 3000 / FT, speeds, "DE", MEMBERS)

@@ -10,6 +10,8 @@ from kerbline.operators import authority as au
 from kerbline.operators import roads
 
 QUERIES, SQL = {}, {}
+#: The statements before the inventory is named, for jobs that chain the operators.
+PLAIN: dict[str, str] = {}
 STATE, PRIVATE = OWNERS["state"], OWNERS["private"]
 # Statutory limits by class and area.
 LAW = [(f, a, m) for f, (r, u) in {1: (65, 55), 2: (55, 45), 3: (50, 35), 4: (50, 35), 5: (50, 25), 6: (50, 25), 7: (25, 25)}.items() for a, m in (("Rural", r), ("Urban", u))]
@@ -20,7 +22,7 @@ def query(name: str, sql: str | None = None):
     def keep(f):
         QUERIES[name] = f
         if sql is not None:
-            SQL[name] = with_views(sql, "inventory")
+            PLAIN[name], SQL[name] = sql, with_views(sql, "inventory")
         return f
 
     return keep
