@@ -17,16 +17,41 @@ SHARES = ("pct_night_fatal", "pct_impaired_crash", "pct_distracted_crash", "pct_
 METRICS = (*COUNTS, *TRENDS, *SHARES, "safety_score")
 
 
+_SUMS = ("total_crash", "total_fatal", "total_fatal_serious_injury", "total_ped_crash", "total_bike_crash", "total_motorcycle_crash", "total_epdo", "total_night_crash", "total_night_fatal", "total_impaired_crash", "total_distracted_crash", "total_speed_crash")
+_TREND_OF = {"trend_total_crash": "total_crash", "trend_fatal": "total_fatal", "trend_ksi": "total_fatal_serious_injury", "trend_epdo": "total_epdo", "trend_ped_crash": "total_ped_crash", "trend_bike_crash": "total_bike_crash"}
+
+
+def yearly_sums(crashes: DataFrame, key: str = "juris") -> DataFrame:
+    """The counts of each jurisdiction and year, and its first crash there (id, district, mpo, planning): all that metrics and trends ask for, in one pass."""
+    fatal, ksi = F.col("severity") == "K", F.col("severity").isin("K", "A")
+    counts = {
+        "total_fatal": fatal, "total_fatal_serious_injury": ksi, "total_ped_crash": F.col("is_ped"), "total_bike_crash": F.col("is_bike"), "total_motorcycle_crash": F.col("is_motorcycle"), "total_night_crash": F.col("is_night"),
+        "total_night_fatal": F.col("is_night") & fatal, "total_impaired_crash": F.col("is_alcohol") | F.col("is_drug"), "total_distracted_crash": F.col("is_distracted"), "total_speed_crash": F.col("is_speed"),
+    }
+    first = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "district", "mpo", "planning"))).alias("first")
+    return crashes.groupBy(key, "year").agg(F.count("*").alias("total_crash"), F.sum("epdo").cast("long").alias("total_epdo"), *[yes(c).alias(k) for k, c in counts.items()], first)
+
+
+def _metrics_of(years: DataFrame, key: str) -> DataFrame:
+    sums = years.groupBy(key).agg(*[F.sum(c).alias(c) for c in _SUMS], F.min("first").alias("first"))
+    return sums.select(key, *_SUMS, "first.district", "first.mpo", "first.planning")
+
+
 def jurisdiction_metrics(crashes: DataFrame, key: str = "juris") -> DataFrame:
     """Twelve counts per jurisdiction and the first district, MPO and planning district by crash id."""
-    fatal, ksi = F.col("severity") == "K", F.col("severity").isin("K", "A")
-    impaired = F.col("is_alcohol") | F.col("is_drug")
-    first = lambda c: F.min_by(c, "id").alias(c)
-    return crashes.groupBy(key).agg(
-        F.count("*").alias("total_crash"), yes(fatal).alias("total_fatal"), yes(ksi).alias("total_fatal_serious_injury"), yes(F.col("is_ped")).alias("total_ped_crash"), yes(F.col("is_bike")).alias("total_bike_crash"),
-        yes(F.col("is_motorcycle")).alias("total_motorcycle_crash"), F.sum("epdo").cast("long").alias("total_epdo"), yes(F.col("is_night")).alias("total_night_crash"), yes(F.col("is_night") & fatal).alias("total_night_fatal"),
-        yes(impaired).alias("total_impaired_crash"), yes(F.col("is_distracted")).alias("total_distracted_crash"), yes(F.col("is_speed")).alias("total_speed_crash"), first("district"), first("mpo"), first("planning"),
-    )
+    return _metrics_of(yearly_sums(crashes, key), key)
+
+
+def _trends_of(years: DataFrame, key: str) -> DataFrame:
+    per_year = years.where(F.col("year").isNotNull()).groupBy("year").agg(F.sum("total_crash").alias("n"))  # some dozens of rows
+    valid = per_year.agg(F.sort_array(F.collect_list(F.struct("year", "n")), asc=False).alias("y"))
+    thin = (F.size("y") >= 2) & (F.get("y", F.lit(0))["n"] < F.get("y", F.lit(1))["n"] * 0.5)
+    valid = valid.select(F.when(thin, F.slice("y", 2, 1000)).otherwise(F.col("y")).alias("y")).select(F.transform("y", lambda s: s["year"]).alias("y"))
+    enough = F.size("y") >= 6
+    spans = valid.select(F.when(enough, F.slice("y", 1, 3)).alias("recent"), F.when(enough, F.slice("y", 4, 3)).alias("prior"))
+    part = years.join(F.broadcast(spans)).withColumn("part", F.when(F.array_contains("recent", F.col("year")), 1).when(F.array_contains("prior", F.col("year")), 0))  # spans: one row
+    sums = part.groupBy(key).agg(*[F.coalesce(F.sum(F.when(F.col("part") == k, F.col(c))), F.lit(0)).alias(f"{n}_{k}") for n, c in _TREND_OF.items() for k in (0, 1)])
+    return sums.select(key, *[F.when(F.col(f"{n}_0") > 0, F.round((F.col(f"{n}_1") - F.col(f"{n}_0")) / F.col(f"{n}_0") * 100, 1)).otherwise(0.0).alias(n) for n in _TREND_OF])
 
 
 def trend_metrics(crashes: DataFrame, key: str = "juris") -> DataFrame:
@@ -34,16 +59,7 @@ def trend_metrics(crashes: DataFrame, key: str = "juris") -> DataFrame:
 
     The last year is dropped when it has less than half of the crashes of the one before it.
     """
-    per_year = crashes.where(F.col("year").isNotNull()).groupBy("year").agg(F.count("*").alias("n"))  # some dozens of rows
-    years = per_year.agg(F.sort_array(F.collect_list(F.struct("year", "n")), asc=False).alias("y"))
-    thin = (F.size("y") >= 2) & (F.get("y", F.lit(0))["n"] < F.get("y", F.lit(1))["n"] * 0.5)
-    valid = years.select(F.when(thin, F.slice("y", 2, 1000)).otherwise(F.col("y")).alias("y")).select(F.transform("y", lambda s: s["year"]).alias("y"))
-    enough = F.size("y") >= 6
-    spans = valid.select(F.when(enough, F.slice("y", 1, 3)).alias("recent"), F.when(enough, F.slice("y", 4, 3)).alias("prior"))
-    part = crashes.join(F.broadcast(spans)).withColumn("part", F.when(F.array_contains("recent", F.col("year")), 1).when(F.array_contains("prior", F.col("year")), 0))
-    what = {"trend_total_crash": F.lit(1), "trend_fatal": F.when(F.col("severity") == "K", 1), "trend_ksi": F.when(F.col("severity").isin("K", "A"), 1), "trend_epdo": F.col("epdo"), "trend_ped_crash": F.when(F.col("is_ped"), 1), "trend_bike_crash": F.when(F.col("is_bike"), 1)}
-    sums = part.groupBy(key).agg(*[F.coalesce(F.sum(F.when(F.col("part") == k, v)), F.lit(0)).alias(f"{n}_{k}") for n, v in what.items() for k in (0, 1)])
-    return sums.select(key, *[F.when(F.col(f"{n}_0") > 0, F.round((F.col(f"{n}_1") - F.col(f"{n}_0")) / F.col(f"{n}_0") * 100, 1)).otherwise(0.0).alias(n) for n in what])
+    return _trends_of(kept(yearly_sums(crashes, key)), key)
 
 
 def share_metrics(metrics: DataFrame) -> DataFrame:
@@ -69,7 +85,9 @@ def safety_score(metrics: DataFrame) -> DataFrame:
 
 
 def all_metrics(crashes: DataFrame, key: str = "juris") -> DataFrame:
-    return safety_score(share_metrics(jurisdiction_metrics(crashes, key)).join(trend_metrics(crashes, key), key))
+    """Counts, trends, shares and score; the crashes are read once, and what follows reads a stored row per jurisdiction and year."""
+    years = kept(yearly_sums(crashes, key))
+    return safety_score(kept(share_metrics(_metrics_of(years, key)).join(_trends_of(years, key), key)))
 
 
 def rank_scopes(metrics: DataFrame, names=METRICS, key: str = "juris") -> DataFrame:
