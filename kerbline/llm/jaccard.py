@@ -10,7 +10,7 @@ words is a single shingle).  Two documents are linked where the Jaccard similari
    others, form a pool.  At similarity 0.8 all bands miss with probability 3e-6.
 3. Pools are compared in blocks of :data:`BLOCK` texts.  A pool of more than :data:`POOL` texts, as chance ties make
    in large corpora, isn't compared as a whole but bucket by bucket, each pair in its first common bucket alone; both
-   ways compare all pairs that have a bucket in common.  Inside a block pair, MinHash values are compared 32 at a
+   ways compare the pairs that have a bucket in common, and no others, so a pool's size changes no link.  Inside a block pair, MinHash values are compared 32 at a
    time; a pair is dropped as soon as the posterior probability that its similarity reaches the threshold, under a
    uniform prior, falls below :data:`TOLERANCE`.  What is left is verified exactly on the shingle sets.
 4. Blocks return sums, not pairs: how many documents each text is linked with, and a spanning tree of the links.
@@ -158,6 +158,7 @@ def least_matches(threshold: float, tolerance: float) -> tuple[int, ...]:
 def linked_pairs(sig_a, sig_b, sets_a, sets_b, same: bool, threshold: float = THRESHOLD, tolerance: float = TOLERANCE, first=None) -> tuple[np.ndarray, np.ndarray]:
     """Positions of linked pairs between two blocks: pruned on MinHash values, then verified on the sets.
 
+    Pairs without a common band are no candidates, however large their pool is.
     first: (bands of a, bands of b, bucket) where only pairs whose first common band is that bucket are wanted.
     """
     hits = np.zeros((len(sig_a), len(sig_b)), np.int16)
@@ -173,7 +174,13 @@ def linked_pairs(sig_a, sig_b, sets_a, sets_b, same: bool, threshold: float = TH
             hits += (sig_a[i, STEP * k : STEP * (k + 1)] == sig_b[j, STEP * k : STEP * (k + 1)]).sum(axis=1)
             ok = hits >= least
             i, j, hits = i[ok], j[ok], hits[ok]
-    if first is not None and len(i):
+    if first is None and len(i):
+        ok = np.empty(len(i), bool)
+        for at in range(0, len(i), 4096):
+            part = slice(at, at + 4096)
+            ok[part] = (sig_a[i[part]].reshape(-1, BANDS, ROWS) == sig_b[j[part]].reshape(-1, BANDS, ROWS)).all(axis=2).any(axis=1)
+        i, j = i[ok], j[ok]
+    elif len(i):
         bands_a, bands_b, bucket = first
         common = bands_a[i] == bands_b[j]
         ok = bands_a[i, common.argmax(axis=1)] == bucket
@@ -310,8 +317,9 @@ def one_of_each(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float
     # Texts of one row without links are their class's pick; only the others are looked at.
     shared = checkpoint(texts.where(F.col("filled") & ((F.col("copies") > 1) | F.col("root").isNotNull())).select("text_key", F.coalesce("root", "text_key").alias("group")))
     rows = checkpoint(members.join(small(shared, shared.count()), "text_key").groupBy("group", "doc_id", "text_key", "exact").agg(F.count("*").alias("times")))
-    pick = rows.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key", "exact")).alias("pick"))
-    judged = checkpoint(rows.join(pick, "group").select(F.col("doc_id").alias("of_id"), F.col("exact").alias("of_exact"), "times", (F.col("doc_id").eqNullSafe(F.col("pick.doc_id")) & (F.col("exact") == F.col("pick.exact"))).alias("stays")))
+    # A row per class: stored, so that a class with many rows isn't bound to the task that found its pick.
+    pick = checkpoint(rows.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key", "exact")).alias("pick")))
+    judged = checkpoint(rows.join(small(pick, pick.count()), "group").select(F.col("doc_id").alias("of_id"), F.col("exact").alias("of_exact"), "times", (F.col("doc_id").eqNullSafe(F.col("pick.doc_id")) & (F.col("exact") == F.col("pick.exact"))).alias("stays")))
     mine = F.col("own_id").eqNullSafe(F.col("of_id")) & (F.col("own_exact") == F.col("of_exact"))
     gone, twice = judged.where(~F.col("stays")).select("of_id", "of_exact"), judged.where(F.col("stays") & (F.col("times") > 1)).select("of_id", "of_exact")
     n_gone, n_twice = gone.count(), twice.count()

@@ -150,6 +150,19 @@ def test_pruning_keeps_pairs_at_the_threshold():
     assert list(need) == sorted(need) and need[0] >= 8
 
 
+def test_pairs_need_a_common_band():
+    """The same rule in small pools as in wide ones, where pairs meet in buckets."""
+    rng = np.random.default_rng(3)
+    sets = np.unique(rng.integers(0, 1 << 63, 300, dtype=np.uint64))
+    sig = np.repeat(jaccard.minhash(sets)[None], 3, axis=0)
+    sig[1].reshape(jaccard.BANDS, jaccard.ROWS)[:, 0] += 1  # four values of five agree in each band
+    sig[2].reshape(jaccard.BANDS, jaccard.ROWS)[1:, 0] += 1  # and one band in full
+    i, j = jaccard.linked_pairs(sig, sig, [sets] * 3, [sets] * 3, True)
+    assert sorted(zip(i, j)) == [(0, 2), (1, 2)]
+    bands = np.array([[hash(row.tobytes()) for row in x.reshape(jaccard.BANDS, jaccard.ROWS)] for x in sig])
+    assert [list(zip(*jaccard.linked_pairs(sig, sig, [sets] * 3, [sets] * 3, True, first=(bands, bands, b)))) for b in (bands[0, 0], bands[0, 1], bands[1, 1])] == [[(0, 2)], [], [(1, 2)]]
+
+
 def test_components(spark):
     rng = random.Random(7)
     edges = [(k, k + 1) for k in range(40)] + [(100 + rng.randrange(30), 100 + rng.randrange(30)) for _ in range(25)]
