@@ -52,22 +52,75 @@ def speed_transition(counts: dict[int, Column]) -> dict[str, Column]:
     return {"transition": F.when(many, "Yes").otherwise("No"), "diff": F.when(many, F.array_max(there) - F.array_min(there)).otherwise(0)}
 
 
-def traffic_engineering(aadt: Column, capacity: Column, direction: Column, trucks: Column, k: Column, lanes: Column) -> dict[str, Column]:
-    share = F.when(direction > 0, direction).otherwise(0.5)
-    vc = F.when(capacity > 0, F.least(F.lit(5.0), F.round(aadt / (capacity * share * 365) * 10, 2))).otherwise(0.0)
-    los = F.when(vc <= 0, "")
-    for top, grade in ((0.6, "A"), (0.7, "B"), (0.8, "C"), (0.9, "D"), (1.0, "E")):
-        los = los.when(vc <= top, grade)
+# Words of the structure codes and of the curve classes, and each class's points.
+STRUCTURES = {1: "Bridge", 2: "Tunnel", 3: "Causeway"}
+CURVES = {1: ("Straight", 0), 2: ("Slight", 10), 3: ("Moderate", 20), 4: ("Sharp", 30), 5: ("Extreme", 40)}
+
+
+def _steps(value: Column, steps, otherwise) -> Column:
+    """The first step's result whose limit the value doesn't exceed."""
+    out = F.when(F.lit(False), F.lit(otherwise))
+    for top, result in steps:
+        out = out.when(value <= top, F.lit(result))
+    return out.otherwise(F.lit(otherwise))
+
+
+def pavement(iri: Column, cracks: Column, psr: Column) -> Column:
+    """Good, Fair or Poor from roughness, serviceability and cracking, weighted; blank where neither of the first two is known."""
+    rough = _steps(iri, ((0, 50), (95, 90), (170, 60)), 20)
+    cracked = _steps(cracks, ((0, 50), (5, 90), (20, 60)), 20)
+    served = F.when(psr <= 0, 50).when(psr >= 3.5, 90).when(psr >= 2.5, 60).otherwise(20)
+    score = rough * 5 + served * 3 + cracked * 2  # tenths
+    return F.when((iri > 0) | (psr > 0), F.when(score >= 750, "Good").when(score >= 450, "Fair").otherwise("Poor")).otherwise("")
+
+
+def traffic_engineering(road: dict[str, Column]) -> dict[str, Column]:
+    """Volume over capacity and its level of service, trucks, peak hour, vehicles a lane, pavement, toll, HOV and structure.
+
+    road: aadt, capacity, direction (0: even), single_unit, combination, k_factor, lanes, iri, cracking, psr, toll, hov and
+    structure; what is null counts as 0.
+    """
+    c = {k: F.coalesce(v, F.lit(0)) for k, v in road.items()}
+    aadt, share = c["aadt"], F.when(c["direction"] > 0, c["direction"]).otherwise(0.5)
+    vc = F.when(c["capacity"] > 0, F.least(F.lit(5.0), F.round(aadt / (c["capacity"] * share * 365) * 10, 2))).otherwise(0.0)
+    yes = lambda x: F.when(x > 0, "Yes").otherwise("No")
+    kind = F.lit("No")
+    for k, word in STRUCTURES.items():
+        kind = F.when(c["structure"] == k, word).otherwise(kind)
     return {
-        "vc": vc, "los": los.otherwise("F"), "truck_pct": F.when(aadt > 0, F.round(trucks / aadt * 100, 1)).otherwise(0.0),
-        "peak_hour": F.when((aadt > 0) & (k > 0), F.round(aadt * k / 100)).otherwise(0.0).cast("int"), "per_lane": F.when(lanes > 0, F.round(aadt / lanes, 1)).otherwise(0.0),
+        "vc": vc, "los": F.when(vc <= 0, "").otherwise(_steps(vc, ((0.6, "A"), (0.7, "B"), (0.8, "C"), (0.9, "D"), (1.0, "E")), "F")),
+        "truck_pct": F.when(aadt > 0, F.round((c["single_unit"] + c["combination"]) / aadt * 100, 1)).otherwise(0.0), "peak_hour": F.when((aadt > 0) & (c["k_factor"] > 0), F.round(aadt * c["k_factor"] / 100)).otherwise(0.0).cast("int"),
+        "per_lane": F.when((aadt > 0) & (c["lanes"] > 0), F.round(aadt / (c["lanes"] * 365))).otherwise(0.0).cast("int"), "pavement": pavement(c["iri"], c["cracking"], c["psr"]), "is_toll": yes(c["toll"]), "is_hov": yes(c["hov"]), "on_structure": kind,
     }
 
 
-def curve_class(curvature: Column, inventory: Column, sign: Column) -> Column:
-    """1 to 5 from curvature, raised where the inventory or a sign says more."""
-    base = F.when(curvature <= 1.05, 1).when(curvature <= 1.15, 2).when(curvature <= 1.3, 3).when(curvature <= 1.6, 4).otherwise(5)
-    return F.greatest(base, F.coalesce(inventory, F.lit(0)), F.when(sign, 3).otherwise(0))
+def curve_analysis(road: dict[str, Column], signs: list[tuple[str, Column]], speeds: dict[int, Column]) -> dict[str, Column]:
+    """Class and label of a curve, its sign, advisory speed and what that lies below the limit, risk 0 to 100, and whether it is one.
+
+    road: curvature, length_m, inventory (federal class, 0 to 5), posted (mph), guard_rail (Yes); signs: names of curve
+    signs and whether they stand near, the first that does is told; speeds: limit -> how many signs of it stand near.
+    Segments under 20 metres count as straight.  A federal class of 3 or more, and any sign, make a moderate curve of a
+    lesser one.
+    """
+    bend = F.when(F.coalesce(road["length_m"], F.lit(0.0)) < 20, 1.0).otherwise(F.coalesce(road["curvature"], F.lit(1.0)))
+    federal, posted = F.coalesce(road["inventory"], F.lit(0)), F.coalesce(road["posted"], F.lit(0))
+    shape = _steps(bend, ((1.05, 1), (1.3, 2), (1.6, 3), (2.5, 4)), 5)
+    sign = F.coalesce(*[F.when(c, name) for name, c in signs], F.lit(""))
+    with_federal = F.when((federal >= 3) & (shape <= 2), 3).otherwise(shape)
+    kind = F.when((sign != "") & (with_federal <= 2), 3).otherwise(with_federal)
+    label, points = F.lit(CURVES[1][0]), F.lit(0)
+    for k, (word, worth) in CURVES.items():
+        label, points = F.when(kind == k, word).otherwise(label), F.when(with_federal == k, worth).otherwise(points)
+    near = F.array_min(F.filter(F.array(*[F.when(c > 0, F.lit(v)) for v, c in speeds.items()]), lambda x: x.isNotNull()))
+    advised = F.when(sign != "", F.coalesce(near, F.lit(0))).otherwise(0)
+    curved = with_federal >= 3
+    fast = F.when(~curved, 0).when(posted >= 55, 30).when(posted >= 45, 25).when(posted >= 35, 15).when(posted >= 25, 10).otherwise(5)
+    agree = curved.cast("int") + (sign != "").cast("int") + F.coalesce(road["guard_rail"], F.lit(False)).cast("int") + (federal > 0).cast("int")
+    risk = points + fast + F.when(curved & (sign == ""), 15).otherwise(0) + F.when(agree >= 3, 15).when(agree == 2, 10).otherwise(0)
+    return {
+        "curve_class": kind, "curve_label": label, "has_sign": F.when(sign != "", "Yes").otherwise("No"), "sign": sign, "advisory": advised, "differential": F.when(advised > 0, F.greatest(posted - advised, F.lit(0))).otherwise(0),
+        "risk": F.least(risk, F.lit(100)), "is_curve": F.when(((bend > 1.3) & (road["length_m"] > 20)) | (federal > 0) | (sign != ""), "Yes").otherwise("No"),
+    }
 
 
 def sentinels(c: Column, values=(-1, 0, 9999, 99999)) -> Column:

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from kerbline.bindings import assets, crashes, inventory, raw_crashes, road_lines, segments, table, with_views
-from kerbline.functions.geo import FT
+from kerbline.functions.geo import FT, haversine_m
 from kerbline.functions.text import OWNERS
 from kerbline.operators import aggregate as agg
 from kerbline.operators import authority as au
@@ -192,15 +192,32 @@ def _fresh(spark, d):
     return crashes(spark, d).select("id", au.freshness(F.col("crash_date"), F.lit("2004-01-01").cast("date")).alias("score"))
 
 
-@query("traffic_engineering", "SELECT seg_id, vc, CASE WHEN vc <= 0 THEN '' WHEN vc <= 0.6 THEN 'A' WHEN vc <= 0.7 THEN 'B' WHEN vc <= 0.8 THEN 'C' WHEN vc <= 0.9 THEN 'D' WHEN vc <= 1.0 THEN 'E' ELSE 'F' END AS los, CASE WHEN aadt > 0 THEN round(lanes_code * 1.0E0 / aadt * 100, 1) ELSE 0.0E0 END AS truck_pct, CASE WHEN aadt > 0 AND fc_code > 0 THEN CAST(round(aadt * fc_code / 100.0E0) AS INT) ELSE 0 END AS peak_hour FROM (SELECT *, least(5.0E0, round(aadt / ((lanes_code * 10) * 0.5E0 * 365) * 10, 2)) AS vc FROM segments WHERE aadt IS NOT NULL)", "segments")
+_TRAFFIC = """SELECT seg_id, vc, CASE WHEN vc <= 0 THEN '' WHEN vc <= 0.6 THEN 'A' WHEN vc <= 0.7 THEN 'B' WHEN vc <= 0.8 THEN 'C' WHEN vc <= 0.9 THEN 'D' WHEN vc <= 1.0 THEN 'E' ELSE 'F' END AS los, CASE WHEN aadt > 0 THEN round((lanes_code + seg_id % 40) * 1.0E0 / aadt * 100, 1) ELSE 0.0E0 END AS truck_pct, CASE WHEN aadt > 0 AND fc_code > 0 THEN CAST(round(aadt * fc_code / 100.0E0) AS INT) ELSE 0 END AS peak_hour,
+ CASE WHEN aadt > 0 AND lanes_code > 0 THEN CAST(round(aadt / (lanes_code * 365.0E0)) AS INT) ELSE 0 END AS per_lane, CASE WHEN iri > 0 OR psr > 0 THEN CASE WHEN score >= 750 THEN 'Good' WHEN score >= 450 THEN 'Fair' ELSE 'Poor' END ELSE '' END AS pavement, CASE WHEN seg_id % 3 > 0 THEN 'Yes' ELSE 'No' END AS is_toll, CASE WHEN seg_id % 4 > 0 THEN 'Yes' ELSE 'No' END AS is_hov, ['No', 'Bridge', 'Tunnel', 'Causeway', 'No'][seg_id % 5 + 1] AS on_structure
+ FROM (SELECT *, CASE WHEN lanes_code % 7 = 0 THEN 0.0E0 ELSE least(5.0E0, round(a / ((lanes_code * 10) * CASE WHEN seg_id % 3 = 0 THEN 0.6E0 ELSE 0.5E0 END * 365) * 10, 2)) END AS vc, (CASE WHEN iri <= 0 THEN 50 WHEN iri <= 95 THEN 90 WHEN iri <= 170 THEN 60 ELSE 20 END) * 5 + (CASE WHEN psr <= 0 THEN 50 WHEN psr >= 3.5 THEN 90 WHEN psr >= 2.5 THEN 60 ELSE 20 END) * 3 + (CASE WHEN cracks <= 0 THEN 50 WHEN cracks <= 5 THEN 90 WHEN cracks <= 20 THEN 60 ELSE 20 END) * 2 AS score
+ FROM (SELECT *, coalesce(aadt, 0) AS a, seg_id * 7 % 260 * (seg_id % 3) AS iri, seg_id % 30 AS cracks, seg_id % 50 * (seg_id % 4) / 30.0E0 AS psr FROM segments))"""
+
+
+@query("traffic_engineering", _TRAFFIC, "segments")
 def _traffic(spark, d):
-    v = au.traffic_engineering(F.col("aadt"), F.col("lanes_code") * 10, F.lit(0.0), F.col("lanes_code"), F.col("fc_code"), F.lit(0))
-    return segments(spark, d).where("aadt IS NOT NULL").select("seg_id", *[c.alias(k) for k, c in v.items() if k != "per_lane"])
+    c, k = F.col, F.col("seg_id")
+    road = {"aadt": c("aadt"), "capacity": F.when(c("lanes_code") % 7 != 0, c("lanes_code") * 10), "direction": F.when(k % 3 == 0, 0.6), "single_unit": c("lanes_code"), "combination": k % 40, "k_factor": c("fc_code"), "lanes": c("lanes_code"), "iri": k * 7 % 260 * (k % 3), "cracking": k % 30, "psr": k % 50 * (k % 4) / 30.0, "toll": k % 3, "hov": k % 4, "structure": k % 5}
+    return segments(spark, d).select("seg_id", *[v.alias(n) for n, v in au.traffic_engineering(road).items()])
+
+
+_CURVE = f"""SELECT seg_id, CASE WHEN sign <> '' AND k <= 2 THEN 3 ELSE k END AS curve_class, ['Straight', 'Slight', 'Moderate', 'Sharp', 'Extreme'][CASE WHEN sign <> '' AND k <= 2 THEN 3 ELSE k END] AS curve_label, CASE WHEN sign <> '' THEN 'Yes' ELSE 'No' END AS has_sign, sign, advisory, CASE WHEN advisory > 0 THEN greatest(posted - advisory, 0) ELSE 0 END AS differential,
+ CAST(least(100, (k - 1) * 10 + CASE WHEN k < 3 THEN 0 WHEN posted >= 55 THEN 30 WHEN posted >= 45 THEN 25 WHEN posted >= 35 THEN 15 WHEN posted >= 25 THEN 10 ELSE 5 END + CASE WHEN k >= 3 AND sign = '' THEN 15 ELSE 0 END + CASE WHEN agree >= 3 THEN 15 WHEN agree = 2 THEN 10 ELSE 0 END) AS INT) AS risk, CASE WHEN (bend > 1.3 AND m > 20) OR federal > 0 OR sign <> '' THEN 'Yes' ELSE 'No' END AS is_curve
+ FROM (SELECT *, CASE WHEN sign <> '' THEN CASE WHEN s25 > 0 THEN 25 WHEN s35 > 0 THEN 35 WHEN s55 > 0 THEN 55 ELSE 0 END ELSE 0 END AS advisory, CAST(k >= 3 AS INT) + CAST(sign <> '' AS INT) + CAST(map_guard_rail = 'Yes' AS INT) + CAST(federal > 0 AS INT) AS agree
+ FROM (SELECT *, CASE WHEN federal >= 3 AND base <= 2 THEN 3 ELSE base END AS k FROM (SELECT *, CASE WHEN bend <= 1.05 THEN 1 WHEN bend <= 1.3 THEN 2 WHEN bend <= 1.6 THEN 3 WHEN bend <= 2.5 THEN 4 ELSE 5 END AS base
+ FROM (SELECT *, CASE WHEN m < 20 THEN 1.0E0 ELSE curvature * CASE WHEN seg_id % 6 = 0 THEN 2 ELSE 1 END END AS bend FROM (SELECT *, {_hav('u_lat', 'u_lon', 'v_lat', 'v_lon')} AS m, coalesce(TRY_CAST(hpms_curve AS INT), 0) AS federal, coalesce(TRY_CAST(speed AS INT), 0) AS posted, CASE WHEN map_turn = 'Yes' THEN 'Turn' WHEN map_winding = 'Yes' THEN 'Winding Road' ELSE '' END AS sign FROM inventory)))))"""
 
 
-@query("curve_analysis", "SELECT seg_id, greatest(CASE WHEN k <= 1.05 THEN 1 WHEN k <= 1.15 THEN 2 WHEN k <= 1.3 THEN 3 WHEN k <= 1.6 THEN 4 ELSE 5 END, CASE WHEN seg_id % 11 = 0 THEN 4 ELSE 0 END, CASE WHEN seg_id % 13 = 0 THEN 3 ELSE 0 END) AS curve FROM (SELECT seg_id, 1 + lanes_code / 60.0E0 AS k FROM segments)", "segments")
+@query("curve_analysis", _CURVE, "inventory")
 def _curve(spark, d):
-    return segments(spark, d).select("seg_id", au.curve_class(1 + F.col("lanes_code") / 60.0, F.when(F.col("seg_id") % 11 == 0, 4), F.col("seg_id") % 13 == 0).alias("curve"))
+    c = F.col
+    road = {"curvature": c("curvature") * F.when(c("seg_id") % 6 == 0, 2).otherwise(1), "length_m": haversine_m(c("u_lat"), c("u_lon"), c("v_lat"), c("v_lon")), "inventory": c("hpms_curve").try_cast("int"), "posted": c("speed").try_cast("int"), "guard_rail": c("map_guard_rail") == "Yes"}
+    told = au.curve_analysis(road, [("Turn", c("map_turn") == "Yes"), ("Winding Road", c("map_winding") == "Yes")], {25: c("s25"), 35: c("s35"), 55: c("s55")})
+    return inventory(spark, d).select("seg_id", *[v.alias(k) for k, v in told.items()])
 
 
 _LAW = [(f, a, m) for f, (r, u) in {1: (65, 55), 2: (55, 45), 3: (50, 35), 4: (50, 35), 5: (50, 25), 6: (50, 25), 7: (25, 25)}.items() for a, m in (("Rural", r), ("Urban", u))]
@@ -265,8 +282,9 @@ def _nationwide(spark, d):
     path = f"{shared_dir(spark)}/states-{uuid.uuid4().hex}"
     fatal = crashes(spark, d).where("severity = 'K'").select("id", "region", "k_people", "route")
     fatal.write.partitionBy("region").parquet(path)
+    regions = sorted(r["region"] for r in spark.read.parquet(path).select("region").distinct().collect())  # folders, as states are
     files = []
-    for k in range(5):
+    for k in regions:
         one = spark.read.schema("id long, k_people long, route string").parquet(f"{path}/region={k}").withColumn("region", F.lit(k))
         files.append(one if k % 2 == 0 else one.drop("route"))
     return union_files(files).select("id", "region", F.col("k_people"), "route")
