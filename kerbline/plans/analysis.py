@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from kerbline.bindings import assets, crashes, inventory, raw_crashes, road_lines, segments, table, with_views
 from kerbline.functions.geo import FT, haversine_m
+from kerbline.functions import text
 from kerbline.functions.text import OWNERS
 from kerbline.operators import aggregate as agg
 from kerbline.operators import authority as au
 from kerbline.operators import forecast as fc
-from kerbline.operators import build, joins, ledger, outlook, stats
+from kerbline.operators import build, enrich, joins, ledger, outlook, stats
 from kerbline.operators import validate as va
 from kerbline.plans.spatial import _hav, _layer, _segment_match
 from kerbline.session import kept, shared_dir
@@ -389,6 +390,52 @@ def _movement(spark, d):
     return fc.rank_movement(fc.forecast(s), s)
 
 
+# Enrichment -------------------------------------------------------------------------------------------------
+
+
+_SAYS = ["Driver distracted by phone", "drowsy, fell asleep", "exceeded speed limit", "deer in road", "hit and run", "none"]
+_OWN_FIELDS = {
+    "id": "id", "circumstance": "CASE id % 6 " + " ".join(f"WHEN {k} THEN '{w}'" for k, w in enumerate(_SAYS)) + " END", **{k: ("CASE WHEN id % 50 = 0 THEN 'Yes' ELSE 'No' END" if k == list(enrich.TOLD)[0] else "''") for k in enrich.TOLD},
+    "private_property": "CASE id % 3 WHEN 0 THEN 'N' WHEN 1 THEN 'y' ELSE '' END", "mainline": "CASE WHEN id % 5 = 0 THEN 'Maybe' ELSE '' END", "collision": "CASE id % 7 WHEN 0 THEN '12. Ped' WHEN 1 THEN '13. Bicyclist' WHEN 2 THEN 'Ran Off Road' ELSE collision END",
+    "ped": "CASE WHEN id % 4 = 0 THEN 'Yes' ELSE 'No' END", "bike": "'No'", "severity": "severity", **{f"{k}_people": f"CASE WHEN id % 2 = 0 THEN 0 ELSE {k}_people END" for k in "kabc"}, "route": "CASE id % 9 WHEN 0 THEN 'I-95' WHEN 1 THEN 'US 13' WHEN 2 THEN '' ELSE route END", "fc": "CASE WHEN id % 2 = 0 THEN '' ELSE fc END",
+}
+_CANON_FIELDS = {
+    "id": "id", "alignment": "CASE id % 5 WHEN 0 THEN '10. On/Off Ramp' WHEN 1 THEN '' ELSE '1. Straight - Level' END", "curve_class": "CAST(id % 7 - 1 AS INT)", "terrain": "CAST(id % 4 AS INT)", "route": "CASE WHEN id % 3 = 0 THEN '' ELSE route END", "hpms_route": "CASE WHEN id % 12 = 0 THEN ' SR 7 ' ELSE '' END", "map_road": "CASE WHEN id % 9 = 0 THEN 'Elm St' END", "road_name": "''",
+    "intersection_name": "CASE id % 8 WHEN 0 THEN 'Oak St & Main' WHEN 3 THEN '12 & Main' WHEN 5 THEN 'Alone' ELSE '' END", "near_school": "CASE WHEN id % 10 = 0 THEN 'Yes' ELSE 'No' END", "school_zone": "'Yes'", "departure": "CASE WHEN id % 11 = 0 THEN 'Told' ELSE '' END", "collision": "CASE id % 7 WHEN 0 THEN 'Ran Off Road' WHEN 1 THEN 'Overturn' ELSE collision END",
+    "relation": "CASE id % 6 WHEN 0 THEN 'Off Roadway' WHEN 1 THEN '1. Main' ELSE '' END", "is_ramp": "CASE WHEN id % 13 = 0 THEN 'Yes' ELSE '' END", "injured": "''", **{f"{k}_people": f"{k}_people" for k in "abc"}, "ped": "CASE WHEN is_ped THEN 'Yes' ELSE 'No' END", "severity": "severity", "ped_killed": "'0'", "ped_injured": "CASE WHEN id % 1000 = 7 THEN '2' ELSE '0' END",
+    "speed_limit": "CASE WHEN id % 4 = 0 THEN '' ELSE '35' END", "speed_diff": "CASE WHEN id % 2 = 0 THEN '10' ELSE '0' END", "mpo": "CASE WHEN id % 3 = 0 THEN 'Dover/Kent County MPO' ELSE mpo END", "drowsy": "'No'",
+}
+_fields = lambda f: "SELECT " + ", ".join(f"{e} AS {n}" for n, e in f.items()) + " FROM {c}"
+_OWNED = enrich.TOLD[0]
+
+
+def _self_sql() -> str:
+    said = {k: f"regexp_matches(lower(coalesce(circumstance, '')), '{'|'.join(w)}')" for k, w in text.FLAG_WORDS.items()}
+    flags = ", ".join(f"{k}" if k == _OWNED else f"CASE WHEN {c} THEN 'Yes' ELSE 'No' END AS {k}" for k, c in said.items())
+    people = ", ".join(f"CAST(greatest({k}_people, CASE WHEN severity = '{k.upper()}' THEN 1 ELSE 0 END) AS INT) AS {k}_people" for k in "kabc")
+    fc = "CASE WHEN fc <> '' THEN fc WHEN route = 'I-95' THEN '1-Interstate (A,1)' WHEN route = 'US 13' THEN '3-Principal Arterial - Other (E,2)' ELSE '' END AS fc"
+    return f"SELECT id, {flags}, {people}, CASE WHEN mainline <> '' THEN mainline WHEN upper(private_property) = 'N' THEN 'Yes' ELSE 'No' END AS mainline, CASE WHEN ped = 'No' AND lower(collision) LIKE '%ped%' THEN 'Yes' ELSE ped END AS ped, CASE WHEN bike = 'No' AND lower(collision) LIKE '%bicycl%' THEN 'Yes' ELSE bike END AS bike, {fc} FROM ({_fields(_OWN_FIELDS).format(c='crashes')})"
+
+
+@query("self_enrichment", _self_sql(), "crashes")
+def _self(spark, d):
+    """Flags, mainline, people and class of crashes from their own fields; the first flag is the agency's own."""
+    got = enrich.self_enriched(spark.sql(_fields(_OWN_FIELDS), c=crashes(spark, d)))
+    return got.select("id", *enrich.TOLD, *[F.col(f"{k}_people").cast("int").alias(f"{k}_people") for k in "kabc"], "mainline", "ped", "bike", "fc")
+
+
+_CANON = f"""SELECT id, al AS alignment, coalesce(nullif(trim(route), ''), nullif(trim(hpms_route), ''), nullif(trim(map_road), ''), CASE WHEN contains(intersection_name, ' & ') AND NOT regexp_matches(split_part(intersection_name, ' & ', 1), '^-?[0-9]+$') THEN split_part(intersection_name, ' & ', 1) END, route) AS route, CASE WHEN near_school = 'Yes' THEN 'Yes' ELSE 'No' END AS school_zone,
+ CASE WHEN departure = '' AND (lower(collision) LIKE '%ran off%' OR lower(collision) LIKE '%overturn%' OR lower(relation) LIKE '%off roadway%') THEN CASE WHEN lower(al) LIKE '%curve%' THEN 'Curve Departure' ELSE 'Straight Departure' END ELSE departure END AS departure, CASE WHEN a_people + b_people + c_people > 0 THEN CAST(a_people + b_people + c_people AS VARCHAR) ELSE '' END AS injured,
+ CASE WHEN ped = 'Yes' AND severity = 'K' THEN '1' ELSE ped_killed END AS ped_killed, CASE WHEN none AND ped = 'Yes' AND severity IN ('A', 'B', 'C') THEN '1' ELSE ped_injured END AS ped_injured, CASE WHEN relation = '' AND is_ramp = 'Yes' THEN '10. On/Off Ramp' ELSE relation END AS relation, CASE WHEN speed_limit = '' AND speed_diff = '10' THEN '' ELSE speed_diff END AS speed_diff, CASE mpo WHEN 'Dover/Kent County MPO' THEN 'Dover / Kent County MPO' ELSE mpo END AS mpo, '' AS drowsy
+ FROM (SELECT *, count(*) FILTER (WHERE ped_injured <> '0') OVER () = 0 AS none, CASE WHEN curve_class > 0 AND NOT contains(alignment, 'Ramp') THEN CASE WHEN curve_class <= 2 THEN '1. Straight - Level' WHEN curve_class = 3 THEN '2. Curve - Level' ELSE '4. Grade - Curve' END WHEN alignment = '' THEN CASE terrain WHEN 1 THEN '1. Straight - Level' WHEN 2 THEN '3. Grade - Straight' WHEN 3 THEN '4. Grade - Curve' ELSE alignment END ELSE alignment END AS al FROM ({_fields(_CANON_FIELDS).format(c='crashes')}))"""
+
+
+@query("canonical_rules", _CANON, "crashes")
+def _canonical(spark, d):
+    got = enrich.canonical(spark.sql(_fields(_CANON_FIELDS), c=crashes(spark, d)), ("drowsy",))
+    return got.select("id", "alignment", "route", "school_zone", "departure", "injured", "ped_killed", "ped_injured", "relation", "speed_diff", "mpo", "drowsy")
+
+
 # Streams: each runs over what has landed and must equal the batch result -----------------------------------
 
 
