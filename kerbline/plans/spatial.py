@@ -9,6 +9,7 @@ from kerbline.functions.geo import FT, M_PER_DEG, haversine_m
 from kerbline.operators import joins
 from kerbline.operators import spatial as sp
 from kerbline.plans.aggregates import BRIDGE, bridge
+from kerbline.session import small
 
 QUERIES, SQL = {}, {}
 
@@ -121,21 +122,6 @@ def _authority(spark, d):
     return joins.overwrite_fill(s.select("seg_id", "name"), dot, "seg_id", {"name": "better"}, {})
 
 
-_RINGS = {1: [(-75.70, 38.80), (-75.55, 38.80), (-75.55, 39.10), (-75.70, 39.10)], 2: [(-75.55, 38.80), (-75.30, 38.80), (-75.30, 39.10), (-75.42, 38.95), (-75.55, 39.10)], 3: [(-75.70, 39.10), (-75.30, 39.10), (-75.30, 39.40), (-75.70, 39.40)]}
-
-
-def _polygons(spark):
-    return spark.createDataFrame([(k, [{"lon": x, "lat": y} for x, y in ring]) for k, ring in _RINGS.items()], "poly_id long, ring array<struct<lon:double,lat:double>>")
-
-
-def _ring_sql(lat="lat", lon="lon"):
-    cases = []
-    for k, ring in _RINGS.items():
-        edges = " + ".join(f"CASE WHEN ({ay!r}E0 > {lat}) <> ({by!r}E0 > {lat}) AND {lon} < ({bx!r}E0 - {ax!r}E0) * ({lat} - {ay!r}E0) / nullif({by!r}E0 - {ay!r}E0, 0) + {ax!r}E0 THEN 1 ELSE 0 END" for (ax, ay), (bx, by) in zip(ring, ring[1:] + ring[:1]))
-        cases.append(f"WHEN ({edges}) % 2 = 1 THEN {k}")
-    return "CAST(CASE " + " ".join(cases) + " END AS BIGINT)"
-
-
 def _at(x, y, *steps):
     """Vertices as SQL of a key k: a base point and steps from it."""
     return [(f"{x} + {a!r}E0", f"{y} + {b!r}E0") for a, b in steps]
@@ -188,16 +174,22 @@ def _pip_mpo(spark, d):
     return sp.point_in_polygon(crashes(spark, d), _layer(spark, d, "mpo"))
 
 
-@query("area_type", f"SELECT id, CASE {_ring_sql()} WHEN 1 THEN 'Urban' WHEN 2 THEN 'Suburban' ELSE 'Rural' END AS area FROM crashes", "crashes")
+_DENSITY = f"{_KEY} * 37 % 200"
+
+
+@query("area_type", f"WITH p AS ({_layer_sql('place')}) SELECT p.id, CASE WHEN poly_id IS NULL THEN 'Rural' WHEN {_DENSITY.replace(_KEY, 'poly_id')} >= 100 THEN 'Urban' ELSE 'Suburban' END AS area FROM p", "crashes")
 def _area(spark, d):
-    land = F.element_at(F.create_map(F.lit(1), F.lit(150.0), F.lit(2), F.lit(40.0)), F.col("poly_id").cast("int"))
-    return sp.point_in_polygon(crashes(spark, d), _polygons(spark).where("poly_id < 3")).select("id", F.when(land >= 100, "Urban").when(land.isNotNull(), "Suburban").otherwise("Rural").alias("area"))
+    """Urban and suburban by the density of the place a crash lies in, rural outside all places."""
+    density = spark.sql(f"SELECT CAST({_KEY} AS BIGINT) AS poly_id, {_DENSITY} AS density FROM {{n}}", n=table(spark, d, "nation"))
+    at = sp.point_in_polygon(crashes(spark, d), _layer(spark, d, "place")).join(small(density), "poly_id", "left")
+    return at.select("id", F.when(F.col("density") >= 100, "Urban").when(F.col("density").isNotNull(), "Suburban").otherwise("Rural").alias("area"))
 
 
-@query("validate_jurisdiction", f"SELECT stated, actual, count(*) AS n FROM (SELECT region % 3 + 1 AS stated, {_ring_sql()} AS actual FROM crashes) WHERE actual IS NOT NULL AND actual <> stated GROUP BY ALL", "crashes")
+@query("validate_jurisdiction", f"WITH p AS ({_layer_sql('county')}) SELECT stated, actual, count(*) AS n FROM (SELECT c.fips AS stated, p.poly_id AS actual FROM crashes c JOIN p ON c.id = p.id) WHERE actual IS NOT NULL AND actual <> stated GROUP BY ALL", "crashes")
 def _validate(spark, d):
+    """How often the county that a crash lies in isn't the stated one, per pair."""
     c = crashes(spark, d)
-    both = c.select("id", (F.col("region") % 3 + 1).alias("stated")).join(sp.point_in_polygon(c, _polygons(spark)), "id")
+    both = c.select("id", F.col("fips").alias("stated")).join(sp.point_in_polygon(c, _layer(spark, d, "county")), "id")
     return both.where(F.col("poly_id").isNotNull() & (F.col("poly_id") != F.col("stated"))).groupBy("stated", F.col("poly_id").alias("actual")).agg(F.count("*").alias("n"))
 
 
