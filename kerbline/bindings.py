@@ -116,7 +116,7 @@ INVENTORY_SQL = f"SELECT *, {_FC} AS fc FROM (SELECT " + ", ".join(f"{e} AS {n}"
 _IF = lambda cond, yes, no: f"CASE WHEN {cond} THEN {yes} ELSE {no} END"
 #: An agency's export as it comes: texts, with missing, contradictory and misplaced values at stated keys.
 _RAW = {
-    "id": "id", "route": _IF("id % 74 = 0", "''", "route"), "severity": "CASE WHEN id % 60 = 0 THEN '' WHEN id % 3 = 0 THEN 'O' ELSE severity END", **{f"{k}_people": f"{k}_people" for k in "kabc"},
+    "id": "id", "fips": _IF("id % 19 = 0", "NULL", "fips"), "route": _IF("id % 74 = 0", "''", "route"), "severity": "CASE WHEN id % 60 = 0 THEN '' WHEN id % 3 = 0 THEN 'O' ELSE severity END", **{f"{k}_people": f"{k}_people" for k in "kabc"},
     "collision": "CASE id % 40 WHEN 0 THEN 'Bicycle crossing' WHEN 1 THEN 'BIKE' WHEN 2 THEN 'Motorcycle overturned' WHEN 3 THEN 'Unknown' ELSE collision END",
     "weather": _IF("id % 33 = 0", "'n/a'", "weather"), "light": _IF("id % 34 = 0", "NULL", "light"), "surface": _IF("id % 21 = 0", "' '", "'1. Dry'"),
     "ped": _IF("id % 22 = 0", "'Yes'", "'No'"), "ped_killed": _IF("is_ped", "k_people", "0"), "ped_injured": _IF("is_ped", "a_people + b_people + c_people", "0"),

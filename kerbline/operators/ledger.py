@@ -232,3 +232,21 @@ def report(checked: DataFrame) -> DataFrame:
     """check, severity, n, fixed, and the share mended in percent."""
     sums = issue_table(checked).groupBy("check", "severity").agg(F.count("*").alias("n"), F.count(F.when(F.col("fixed"), 1)).alias("fixed"))
     return sums.withColumn("fix_rate", F.round(F.col("fixed") * 100 / F.col("n"), 1))
+
+
+def quality_score(checked: DataFrame, placed: Column) -> DataFrame:
+    """One row: geography, severity, fix_rate and gps in percent, and score: a quarter of each, 0 to 100.
+
+    ``placed`` tells whether a row's jurisdiction is known.  Severity counts mended values; gps is the share of rows
+    that have a position now; without issues the fix rate is 100.  An empty table scores 100 but for what no row shows.
+    """
+    valid = F.coalesce(F.col("severity").isin("K", "A", "B", "C", "O"), F.lit(False))
+    lost = F.exists("issues", lambda e: (e["check"] == "missing_gps") & ~e["fixed"])
+    one = checked.agg(
+        F.count("*").alias("n"), F.count(F.when(placed, 1)).alias("placed"), F.count(F.when(valid, 1)).alias("valid"), F.count(F.when(~lost, 1)).alias("there"),
+        F.coalesce(F.sum(F.size("issues")), F.lit(0)).alias("found"), F.coalesce(F.sum(F.size(F.filter("issues", lambda e: e["fixed"]))), F.lit(0)).alias("fixed"),
+    )
+    pct = lambda part, whole, none: F.when(F.col(whole) > 0, F.col(part) * 100 / F.col(whole)).otherwise(none)
+    shares = one.select(pct("placed", "n", 0.0).alias("geography"), pct("valid", "n", 0.0).alias("severity"), F.round(pct("fixed", "found", 100.0), 1).alias("fix_rate"), pct("there", "n", 100.0).alias("gps"), "n")
+    quarters = sum((F.least(F.lit(25.0), F.col(c) * 0.25) for c in ("severity", "fix_rate", "gps")), F.least(F.lit(25.0), F.col("geography") * 0.25))
+    return shares.select(*[F.round(c, 4).alias(c) for c in ("geography", "severity", "fix_rate", "gps")], F.round(quarters, 1).alias("score"), "n")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbline.functions.severity import CLASSES, EPDO_WEIGHTS
-from kerbline.operators.forecast import QUANTILES, forecast
+from kerbline.operators.forecast import QUANTILES, backtest, forecast
 
 SERIES = ["scope", "target", "key"]
 #: Targets whose keys share out the crashes among them.
@@ -147,3 +147,29 @@ def figures(history: DataFrame, forecasts: DataFrame, preset: str = "fhwa2025")
     for x in out[1:]:
         both = both.unionByName(x)
     return both
+
+
+# The worth of a grade, the weight of each target, and the best score of each overall grade.
+WORTH, WEIGHTS = {"A": 1.0, "B": 2.0, "C": 3.0, "D": 4.0}, {"total": 0.5, "severity": 0.3, "corridor": 0.2}
+OVERALL = ((1.5, "A"), (2.5, "B"), (3.5, "C"))
+
+
+def overall_grades(history: DataFrame, hold: int = HALF) -> DataFrame:
+    """scope, grade, score and the mean worth of each target, from backtests of the total, the severities and the routes.
+
+    Grades are worth 1 to 4; what has no grade (or a worse one) counts as 3 by itself, keys without one are left out of
+    a target's mean, and a target without any graded key is worth 3.
+    """
+    series = history.where(F.col("target").isin(*WEIGHTS)).select(F.concat_ws(_BETWEEN, *SERIES).alias("series"), "month", "value")
+    part = F.split("series", _BETWEEN)
+    told = backtest(series, hold).select(F.get(part, F.lit(0)).alias("scope"), F.get(part, F.lit(1)).alias("target"), "grade")
+    worth = F.lit(3.0)
+    for grade, value in WORTH.items():
+        worth = F.when(F.col("grade") == grade, value).otherwise(worth)
+    counted = (F.col("grade") != "N/A") | (F.col("target") == "total")
+    means = told.groupBy("scope").agg(*[F.coalesce(F.avg(F.when((F.col("target") == t) & counted, worth)), F.lit(3.0)).alias(t) for t in WEIGHTS])
+    score = sum((F.col(t) * w for t, w in WEIGHTS.items()), F.lit(0.0))
+    grade = F.when(F.lit(False), "")
+    for top, g in OVERALL:
+        grade = grade.when(score < top, g)
+    return means.select("scope", grade.otherwise("D").alias("grade"), F.round(score, 4).alias("score"), *[F.round(t, 4).alias(t) for t in WEIGHTS])

@@ -63,6 +63,31 @@ def fix_gps_route_median(rows: DataFrame) -> DataFrame:
     return rows.join(m, "route", "left").select("id", F.coalesce("lat", "m_lat").alias("lat"), F.coalesce("lon", "m_lon").alias("lon"), fixed.alias("fixed"))
 
 
+# How far an asset of each kind may lie to count as near, in feet.
+NEAR_FT = {
+    "nearest_bridge_": 500, "nearest_rail_xing_": 500, "nearest_school_": 2000, "nearest_transit_": 500, "nearest_poi_bar_": 2000, "nearest_poi_clinic_": 2000, "nearest_poi_college_": 2000, "nearest_poi_crossing_": 500, "nearest_poi_fuel_": 1000,
+    "nearest_poi_hospital_": 2000, "nearest_poi_parking_": 500, "nearest_poi_rest_area_": 1000, "nearest_poi_restaurant_": 1000, "nearest_poi_signal_": 500, "nearest_poi_stop_sign_": 500,
+}
+
+
+def blank_beyond(rows: DataFrame, limits: dict[str, int] | None = None) -> DataFrame:
+    """Assets beyond their limit aren't near: ``<prefix>dist_ft`` becomes 0, other columns of the prefix 0 or null by type.
+
+    Kinds whose distance the table lacks are left alone; a null distance counts as 0.  One projection.
+    """
+    new, kinds = {}, {f.name: f.dataType.typeName() for f in rows.schema}
+    for prefix, limit in (limits or NEAR_FT).items():
+        dist = f"{prefix}dist_ft"
+        if dist not in kinds:
+            continue
+        far = F.coalesce(F.col(dist) > limit, F.lit(False))
+        for c in rows.columns:
+            if c.startswith(prefix):
+                number = kinds[c] in ("byte", "short", "integer", "long", "float", "double", "decimal")
+                new[c] = F.when(~far, F.coalesce(F.col(c), F.lit(0).cast(rows.schema[c].dataType)) if c == dist else F.col(c)).otherwise(F.lit(0 if number else None).cast(rows.schema[c].dataType))
+    return rows.withColumns(new)
+
+
 def sanity(rows: DataFrame, checks: dict) -> DataFrame:
     """check, passed, total, pct of range rules: one aggregation, then turned to rows."""
     one = rows.agg(F.count("*").alias("total"), *[F.count(F.when(c, 1)).alias(k) for k, c in checks.items()])

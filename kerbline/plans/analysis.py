@@ -122,13 +122,15 @@ def _infer(spark, d):
     return checked.select("id", "fc", way("fc").alias("fc_way"), "facility", way("facility").alias("facility_way"))
 
 
-@query("validation_ledger", f"""WITH {_SNAPPED}, {_INFERRED}, hurt AS (SELECT id, CASE WHEN k_people > 0 THEN 'K' WHEN a_people > 0 THEN 'A' WHEN b_people > 0 THEN 'B' WHEN c_people > 0 THEN 'C' ELSE 'O' END AS told, severity FROM raw),
+_FOUND = f"""WITH {_SNAPPED}, {_INFERRED}, hurt AS (SELECT id, CASE WHEN k_people > 0 THEN 'K' WHEN a_people > 0 THEN 'A' WHEN b_people > 0 THEN 'B' WHEN c_people > 0 THEN 'C' ELSE 'O' END AS told, severity FROM raw),
  e AS (SELECT CASE WHEN missing THEN 'missing_gps' ELSE 'bounds' END AS "check", 'error' AS severity, (m_lat IS NOT NULL OR (far AND c_lat IS NOT NULL)) AS fixed FROM placed WHERE missing OR far
  UNION ALL SELECT 'severity', 'warning', true FROM hurt WHERE trim(severity) <> '' AND told <> 'O' AND severity <> told
  UNION ALL SELECT "check", severity, fixed FROM ({' UNION ALL '.join(_CROSS + _TIMES)})
  UNION ALL SELECT 'missing_field', 'warning', false FROM (SELECT unnest([{', '.join(f"CASE WHEN {_BLANK(c if c != 'severity' else 's2')} THEN 1 END" for c in ledger.CRITICAL[:5])}]) AS u FROM (SELECT raw.*, CASE WHEN trim(raw.severity) <> '' AND told <> 'O' THEN told ELSE raw.severity END AS s2 FROM raw JOIN hurt ON raw.id = hurt.id)) WHERE u = 1
- UNION ALL SELECT 'missing_field', 'warning', fc_way <> 'none' FROM i3 WHERE no_fc UNION ALL SELECT 'missing_field', 'warning', coalesce(ft_route, ft_class, ft_words) IS NOT NULL FROM i3 WHERE no_ft)
-SELECT "check", severity, count(*) AS n, count(*) FILTER (WHERE fixed) AS fixed, round(count(*) FILTER (WHERE fixed) * 100.0E0 / count(*), 1) AS fix_rate FROM e GROUP BY ALL""", "raw")
+ UNION ALL SELECT 'missing_field', 'warning', fc_way <> 'none' FROM i3 WHERE no_fc UNION ALL SELECT 'missing_field', 'warning', coalesce(ft_route, ft_class, ft_words) IS NOT NULL FROM i3 WHERE no_ft)"""
+
+
+@query("validation_ledger", _FOUND + """ SELECT "check", severity, count(*) AS n, count(*) FILTER (WHERE fixed) AS fixed, round(count(*) FILTER (WHERE fixed) * 100.0E0 / count(*), 1) AS fix_rate FROM e GROUP BY ALL""", "raw")
 def _ledger_report(spark, d):
     """All checks in one pass, as the report of the ledger."""
     return ledger.report(ledger.run_checks(raw_crashes(spark, d), BOX))
@@ -172,17 +174,25 @@ def _people(spark, d):
     return build.people(c).select("id", "k_people", "injured", "ped_killed", "ped_injured")
 
 
-@query("blank_beyond_threshold", "SELECT seg_id, CASE WHEN lanes_code * 40 <= 1000 THEN name END AS nearest, lanes_code * 40 AS dist_ft FROM segments", "segments")
+_NEAR = {"nearest_school_dist_ft": "school_ft", "nearest_school_name": "name", "nearest_school_count": "CAST(schools AS INT)", "nearest_bridge_dist_ft": "CASE WHEN seg_id % 7 = 0 THEN NULL ELSE degree * 110 END", "nearest_bridge_name": "ref", "nearest_poi_fuel_dist_ft": "streets * 300.0E0", "nearest_poi_fuel_id": "CAST(seg_id * 3 AS BIGINT)"}
+_CUT = lambda c, ft, limit, none: f"CASE WHEN coalesce({ft} > {limit}, false) THEN {none} ELSE {c} END"
+
+
+@query("blank_beyond_threshold", f"SELECT seg_id, coalesce({_CUT('d1', 'd1', 2000, 0)}, 0) AS nearest_school_dist_ft, {_CUT('n1', 'd1', 2000, 'NULL')} AS nearest_school_name, {_CUT('c1', 'd1', 2000, 0)} AS nearest_school_count, coalesce({_CUT('d2', 'd2', 500, 0)}, 0) AS nearest_bridge_dist_ft, {_CUT('n2', 'd2', 500, 'NULL')} AS nearest_bridge_name, coalesce({_CUT('d3', 'd3', 1000, 0)}, 0) AS nearest_poi_fuel_dist_ft, {_CUT('i3', 'd3', 1000, 0)} AS nearest_poi_fuel_id FROM (SELECT seg_id, {', '.join(f'{e} AS {n}' for e, n in zip(_NEAR.values(), ('d1', 'n1', 'c1', 'd2', 'n2', 'd3', 'i3')))} FROM inventory)", "inventory")
 def _blank(spark, d):
-    dist = F.col("lanes_code") * 40
-    return segments(spark, d).select("seg_id", F.when(dist <= 1000, F.col("name")).alias("nearest"), dist.alias("dist_ft"))
+    near = inventory(spark, d).selectExpr("seg_id", *[f"{e} AS {n}" for n, e in _NEAR.items()])
+    return va.blank_beyond(near)
 
 
-@query("validation_report", "SELECT round(25.0E0 * count(*) FILTER (WHERE route <> '') / count(*) + 25.0E0 * count(*) FILTER (WHERE node <> '') / count(*) + 25.0E0 * count(*) FILTER (WHERE severity IN ('K','A','B','C','O')) / count(*) + 25.0E0 * count(*) FILTER (WHERE fc <> '') / count(*), 2) AS score, count(*) AS n FROM crashes", "crashes")
+_SCORE_SQL = """ SELECT round(geo, 4) AS geography, round(sev, 4) AS severity, fix AS fix_rate, round(gps, 4) AS gps, round(least(25.0E0, geo * 0.25E0) + least(25.0E0, sev * 0.25E0) + least(25.0E0, fix * 0.25E0) + least(25.0E0, gps * 0.25E0), 1) AS score, n FROM (SELECT
+ (SELECT count(fips) * 100.0E0 / count(*) FROM raw) AS geo, (SELECT count(*) FILTER (WHERE CASE WHEN trim(h.severity) <> '' AND told <> 'O' THEN told ELSE h.severity END IN ('K', 'A', 'B', 'C', 'O')) * 100.0E0 / count(*) FROM hurt h) AS sev,
+ (SELECT round(count(*) FILTER (WHERE fixed) * 100.0E0 / count(*), 1) FROM e) AS fix, (SELECT count(*) FILTER (WHERE NOT (missing AND m_lat IS NULL)) * 100.0E0 / count(*) FROM placed) AS gps, (SELECT count(*) FROM raw) AS n)"""
+
+
+@query("validation_report", _FOUND + _SCORE_SQL, "raw")
 def _report(spark, d):
-    share = lambda c: F.lit(25.0) * F.count(F.when(c, 1)) / F.count("*")
-    parts = [F.col("route") != "", F.col("node") != "", F.col("severity").isin(*"KABCO"), F.col("fc") != ""]
-    return crashes(spark, d).agg(F.round(sum((share(p) for p in parts[1:]), share(parts[0])), 2).alias("score"), F.count("*").alias("n"))
+    """The quality score of an export after all checks: geography, severity, fix rate and positions, a quarter each."""
+    return ledger.quality_score(ledger.run_checks(raw_crashes(spark, d), BOX), F.col("fips").isNotNull())
 
 
 # Authority and risk -----------------------------------------------------------------------------------------
@@ -384,6 +394,12 @@ def _targets_of(spark, d):
     return _targets(spark, d)
 
 
+@query("backtest_overall")
+def _overall(spark, d):
+    """Each jurisdiction's grade over its total, severities and routes."""
+    return outlook.overall_grades(kept(_targets(spark, d)))
+
+
 @query("rank_movement")
 def _movement(spark, d):
     s = _series(spark, d)

@@ -151,3 +151,24 @@ def test_reconciled(case):
     one = {r.key: r.p50 for r in got if (r.scope, r.target) == ("X", "severity") and r.month == min(x.month for x in got if x.scope == "X")}
     raw = {k: plain["X", "severity", k, min(x.month for x in got if x.scope == "X")].p50 for k in one}
     assert all(one[k] * raw["O"] == pytest.approx(raw[k] * one["O"], rel=1e-9) for k in one)
+
+
+def test_overall_grades(case):
+    """From the grades of the single series, by hand."""
+    from kerbline.operators.forecast import backtest
+
+    _, history, _ = case
+    series = history.where("target IN ('total', 'severity', 'corridor')").selectExpr("concat(scope, '|', target, '|', key) AS series", "month", "value")
+    grades = defaultdict(lambda: defaultdict(list))
+    for r in backtest(series).collect():
+        scope, target, _ = r.series.split("|")
+        grades[scope][target].append(r.grade)
+    worth = {"A": 1, "B": 2, "C": 3, "D": 4}
+    want = {}
+    for scope, g in grades.items():
+        one = lambda t: [worth.get(x, 3) for x in g[t] if x != "N/A"]
+        mean = lambda t: sum(one(t)) / len(one(t)) if one(t) else 3
+        score = 0.5 * worth.get(g["total"][0] if g["total"] else "", 3) + 0.3 * mean("severity") + 0.2 * mean("corridor")
+        want[scope] = ("A" if score < 1.5 else "B" if score < 2.5 else "C" if score < 3.5 else "D", round(score, 4))
+    got = {r.scope: (r.grade, r.score) for r in outlook.overall_grades(history).collect()}
+    assert got.keys() == want.keys() and all(got[k][0] == v[0] and abs(got[k][1] - v[1]) < 1e-3 for k, v in want.items()) and "X" in got
