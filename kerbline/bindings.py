@@ -109,7 +109,7 @@ _ROADS = {
     "bridge": _CHOICE("p", "yes", "viaduct", "no", "", "", "", "", ""), "hpms_structure": "CASE WHEN p % 10 = 0 THEN CAST(p % 4 AS INT) END", "near_bridge": _YES("p % 6 = 0"), "near_school": _YES("p % 4 = 0"), "map_school": _YES("p % 7 = 2"),
     "school_pupils": "CAST(p * 29 % 1500 AS STRING)", "schools": "CAST(p % 6 AS STRING)", "bridge_condition": _CHOICE("p", "Poor", "Fair", "Good", "", "Unknown", "Serious"), "bridge_year": "CASE WHEN p % 12 = 0 THEN '' ELSE CAST(1900 + p % 120 AS STRING) END", "bridge_width": "CAST(p % 20 AS STRING)",
     "map_guard_rail": _YES("p % 10 = 0"), "hpms_curve": "CASE WHEN p % 3 = 0 THEN CAST(p % 4 AS STRING) ELSE '' END", "curvature": "1 + (p % 20) / 20.0E0", "map_turn": _YES("p % 11 = 0"), "map_winding": _YES("p % 19 = 0"), "s25": "CAST(p % 2 AS INT)", "s35": "CAST(p % 3 AS INT)", "s55": "CASE WHEN p % 5 = 0 THEN 1 ELSE 0 END",
-    "highway": _CHOICE("p", "motorway", "primary", "residential", "footway", "tertiary_link", "service", "trunk", "secondary", "unclassified"), "hpms_fc": "CASE WHEN p % 2 = 0 THEN CAST(p % 8 AS INT) END", "sdot_fc": "CASE WHEN p % 3 = 0 THEN CAST(p * 3 % 8 AS INT) END", "hpms_median": "CAST(p % 6 AS INT)",
+    "highway": _CHOICE("p", "motorway", "primary", "residential", "footway", "tertiary_link", "service", "trunk", "secondary", "unclassified"), "hpms_fc": "CASE WHEN p % 2 = 0 THEN CAST(p % 8 AS INT) END", "sdot_fc": "CASE WHEN p % 3 = 0 THEN CAST(p * 3 % 8 AS INT) END", "hpms_median": "CAST(p % 6 AS INT)", "hpms_facility": "CASE WHEN p % 4 = 0 THEN NULL ELSE CAST(p * 5 % 8 AS INT) END",
 }
 _FC = "CASE fc_code " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in _LABELS["fc_code"].items()) + " ELSE '' END"
 INVENTORY_SQL = f"SELECT *, {_FC} AS fc FROM (SELECT " + ", ".join(f"{e} AS {n}" for n, e in _ROADS.items()) + " FROM (SELECT p_partkey AS p, CASE WHEN p_partkey % 10 = 1 THEN p_partkey - 1 ELSE p_partkey END AS q FROM part) keys) road_rows"

@@ -296,6 +296,11 @@ HIGHWAY_CLASS = {"motorway": 1, "motorway_link": 1, "trunk": 2, "trunk_link": 2,
 MEDIANS = {1: "1. Two-Way, Not Divided", 2: "2. Two-Way, Divided, Unprotected Median", 3: "3. Two-Way, Divided, Positive Median Barrier", 4: "4. One-Way, Not Divided"}
 
 
+FACILITIES = {1: ONE_WAY, 2: TWO_WAY, 3: TWO_WAY, 4: DIVIDED, 5: "5-Reversible Exclusively", 6: DIVIDED}
+SURFACES = {1: CONCRETE, 2: ASPHALT, 3: ASPHALT, 4: "4. Slag, Gravel, Stone", 5: "5. Dirt", 6: "6. Other", 7: ASPHALT, 8: "5. Dirt", 9: "6. Other", 10: ASPHALT, 11: CONCRETE}
+ALIGNMENTS = {1: "1. Straight - Level", 2: "1. Straight - Level", 3: "2. Curve - Level", 4: "4. Grade - Curve", 5: "4. Grade - Curve"}
+
+
 def _of(c: Column, values: dict) -> Column:
     out = F.lit(None)
     for k, v in values.items():
@@ -304,7 +309,12 @@ def _of(c: Column, values: dict) -> Column:
 
 
 def standard_columns(inventory: DataFrame) -> DataFrame:
-    """The standard columns of a segment from all its sources, each by its own order of authority, with the sources of class and owner."""
+    """The standard columns of a segment from all its sources, each by its own order of authority, with the sources of class, owner and facility.
+
+    Facility and surface are the federal table's alone; alignment goes by the curve's class; speed, lanes and school zone
+    are those that :func:`kerbline.operators.authority.resolve_speed`, :func:`resolve_lanes` and :func:`resolve_school_zone` choose.
+    """
+    from kerbline.operators.authority import resolve_speed
     fc = by_authority([("HPMS", F.when(F.col("hpms_fc") > 0, F.col("hpms_fc"))), ("StateDOT", F.when(F.col("sdot_fc") > 0, F.col("sdot_fc"))), ("OSM", _of(F.trim("highway"), HIGHWAY_CLASS))], ("", F.lit(0)))
     df = inventory.withColumns({"fc_code": fc["value"].cast("int"), "fc_source": fc["source"]})
     by_code = F.lit(None).cast("string")
@@ -322,6 +332,10 @@ def standard_columns(inventory: DataFrame) -> DataFrame:
         F.coalesce(_of(F.col("hpms_median"), MEDIANS), F.lit("")).alias("description"), route.alias("route"),
         F.when(F.coalesce("mpo", F.lit("")) != "", "Urban").otherwise("Rural").alias("area_type"), control.alias("control"),
         intersection_type(F.col("is_intersection"), F.col("degree"), F.col("streets")).alias("intersection"),
+        F.coalesce(_of(F.col("hpms_facility"), FACILITIES), F.lit("")).alias("facility"), F.when(F.col("hpms_facility") > 0, "HPMS").otherwise("").alias("facility_source"), F.coalesce(_of(F.col("hpms_surface"), SURFACES), F.lit("")).alias("surface"),
+        F.coalesce(_of(F.col("curve_class"), ALIGNMENTS), F.lit("")).alias("alignment"), resolve_school_zone(F.col("map_school"), F.col("near_school"))["value"].alias("school_zone"),
+        resolve_speed(F.col("sdot_speed"), F.col("hpms_speed"), F.col("map_speed"), F.col("maxspeed"), F.col("fc_code") == 7, F.col("mpo") != "", F.col("fc_code").isin(5, 6))["value"].alias("speed"),
+        resolve_lanes(F.col("sdot_lanes"), F.col("hpms_lanes"), F.col("osm_lanes"))["value"].alias("lanes"),
     )
 
 

@@ -149,7 +149,9 @@ _STD = f"""SELECT seg_id, coalesce({_CASE('code', roads.CLASSES)}, '') AS fc, fc
  coalesce(CASE WHEN sdot_route NOT IN ('', 'nan', '0') THEN sdot_route END, {_WORD('hpms_route', ", '0'")}, {_WORD('ref')}, {_WORD('name')}, '') AS route,
  CASE WHEN mpo <> '' THEN 'Urban' ELSE 'Rural' END AS area_type,
  CASE WHEN map_signal = 'Yes' OR poi_signal = 'Yes' OR coalesce(hpms_signal, 0) > 0 THEN '3. Traffic Signal' WHEN map_stop = 'Yes' OR poi_stop = 'Yes' THEN '4. Stop Sign' WHEN map_yield = 'Yes' THEN '8. Yield Sign' ELSE '' END AS control,
- CASE WHEN is_intersection = 'Yes' AND streets IS NOT NULL THEN CASE WHEN streets >= 5 THEN '5. Five-Point, or More' WHEN streets = 4 THEN '4. Four Approaches' WHEN streets = 3 THEN '3. Three Approaches' ELSE '1. Not at Intersection' END WHEN is_intersection = 'Yes' THEN CASE WHEN degree >= 10 THEN '5. Five-Point, or More' WHEN degree >= 8 THEN '4. Four Approaches' WHEN degree >= 6 THEN '3. Three Approaches' ELSE '1. Not at Intersection' END ELSE '1. Not at Intersection' END AS intersection
+ CASE WHEN is_intersection = 'Yes' AND streets IS NOT NULL THEN CASE WHEN streets >= 5 THEN '5. Five-Point, or More' WHEN streets = 4 THEN '4. Four Approaches' WHEN streets = 3 THEN '3. Three Approaches' ELSE '1. Not at Intersection' END WHEN is_intersection = 'Yes' THEN CASE WHEN degree >= 10 THEN '5. Five-Point, or More' WHEN degree >= 8 THEN '4. Four Approaches' WHEN degree >= 6 THEN '3. Three Approaches' ELSE '1. Not at Intersection' END ELSE '1. Not at Intersection' END AS intersection,
+ coalesce({_CASE('hpms_facility', roads.FACILITIES)}, '') AS facility, CASE WHEN hpms_facility > 0 THEN 'HPMS' ELSE '' END AS facility_source, coalesce({_CASE('hpms_surface', roads.SURFACES)}, '') AS surface, coalesce({_CASE('curve_class', roads.ALIGNMENTS)}, '') AS alignment, CASE WHEN map_school = 'Yes' OR near_school = 'Yes' THEN 'Yes' ELSE 'No' END AS school_zone,
+ coalesce({_mph('sdot_speed')}, {_mph('hpms_speed')}, {_mph('map_speed')}, {_mph('maxspeed')}, CASE WHEN code = 7 THEN CASE WHEN mpo <> '' THEN 25 ELSE 50 END WHEN code IN (5, 6) THEN 35 END) AS speed, coalesce({_ln('sdot_lanes')}, {_ln('hpms_lanes')}, {_ln('osm_lanes')}, 0) AS lanes
  FROM (SELECT *, CASE WHEN coalesce(hpms_fc, 0) > 0 THEN hpms_fc WHEN coalesce(sdot_fc, 0) > 0 THEN sdot_fc ELSE coalesce({_HW}, 0) END AS code, CASE WHEN coalesce(hpms_fc, 0) > 0 THEN 'HPMS' WHEN coalesce(sdot_fc, 0) > 0 THEN 'StateDOT' WHEN {_HW} IS NOT NULL THEN 'OSM' ELSE '' END AS fc_source FROM inventory)"""
 
 
