@@ -152,15 +152,16 @@ def check_cross_field(x: Ledger) -> None:
 
 def check_datetime(x: Ledger) -> None:
     """Dates m/d/y that can't be read or are out of range, years that contradict them, times that no clock shows."""
-    parts = F.split(F.trim(F.coalesce("crash_date", F.lit(""))), "/")
-    month, day, year = (F.get(parts, F.lit(k)).try_cast("int") for k in range(3))
-    three = F.size(parts) == 3
+    # Parts are columns of their own, as several entries ask for them.
+    x.rows = x.rows.withColumn("_learnt_parts", F.split(F.trim(F.coalesce("crash_date", F.lit(""))), "/")).withColumns({f"_learnt_{c}": F.get("_learnt_parts", F.lit(k)).try_cast("int") for k, c in enumerate(("month", "day", "year"))} | {"_learnt_clock": F.trim(F.coalesce("crash_time", F.lit(""))).try_cast("int")})
+    month, day, year = (F.col(f"_learnt_{c}") for c in ("month", "day", "year"))
+    three = F.size("_learnt_parts") == 3
     readable = three & month.isNotNull() & day.isNotNull() & year.isNotNull()
     stated = F.trim(F.coalesce(F.col("crash_year").cast("string"), F.lit("")))
     x.note("date_time", "error", "crash_date", three & ~readable)
     x.note("date_time", "warning", "crash_date", readable & ~(month.between(1, 12) & day.between(1, 31) & year.between(1990, 2030)))
     x.note("date_time", "warning", "crash_year", readable & (stated != "") & (stated != year.cast("string")), new=year.cast("string"), way=F.lit("date"))
-    clock = F.trim(F.coalesce("crash_time", F.lit(""))).try_cast("int")
+    clock = F.col("_learnt_clock")
     x.note("date_time", "warning", "crash_time", (clock < 0) | (clock > 2359) | (F.pmod(clock, F.lit(100)) >= 60))
 
 
