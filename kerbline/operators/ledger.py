@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbline.functions.severity import severity_from_counts
-from kerbline.operators.aggregate import majority
 from kerbline.operators.spatial import nearest_by_rings
 from kerbline.operators.validate import percentile_bounds, route_medians
 from kerbline.session import kept, small
@@ -50,8 +49,8 @@ def _told(column: Column, words, at: int = 1, fits=None) -> Column:
 class Ledger:
     """Rows, and the entries that checks add to them."""
 
-    def __init__(self, rows: DataFrame):
-        self.rows, self.n = rows, 0
+    def __init__(self, rows: DataFrame, classes: DataFrame | None = None):
+        self.rows, self.classes, self.n = rows, classes, 0
 
     def note(self, check: str, severity: str, field: str, when: Column, old: Column | None = None, new: Column | None = None, way: Column | None = None, write: dict[str, Column] | None = None) -> Ledger:
         """An entry where ``when`` holds.  Where ``new`` isn't null the row is mended: ``write`` has the columns' values
@@ -101,17 +100,30 @@ def nearest_cells(bad: DataFrame, good: DataFrame, reach: float = REACH) -> Data
     return found.join(targets, "target_id").select("id", F.col("t_lat").alias("lat"), F.col("t_lon").alias("lon"), "dist")
 
 
-def learnt(rows: DataFrame, box) -> tuple[DataFrame, DataFrame]:
-    """A row per route (middle crash with count, majority class and facility) and per class (majority facility)."""
+def learnt_places(rows: DataFrame, box) -> DataFrame:
+    """A row per route: its middle crash and how many there are."""
     lat, lon, on_route = F.col("lat"), F.col("lon"), F.trim(F.coalesce("route", F.lit(""))) != ""
     seen = rows.where(on_route & ~without_place(lat, lon) & ~outside(lat, lon, box, MARGIN))
-    medians = route_medians(seen.select("route", "lon", "lat", "id")).select("route", F.col("lat").alias("_learnt_lat"), F.col("lon").alias("_learnt_lon"), F.col("n").alias("_learnt_n"))
+    return kept(route_medians(seen).select("route", F.col("lat").alias("_learnt_lat"), F.col("lon").alias("_learnt_lon"), F.col("n").alias("_learnt_n")))
+
+
+def learnt_fields(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A row per route (majority class and facility, the class of a single crash) and per class (majority facility).
+
+    Rows are read once, as counts per route, class and facility.
+    """
+    on_route = F.trim(F.coalesce("route", F.lit(""))) != ""
     known = rows.select(*[F.when(~unknown(F.col(c)), F.col(c)).alias(c) for c in ("fc", "facility")], F.when(on_route, F.col("route")).alias("route"))
-    votes = lambda key, value, least=2: majority(known, key, value, least).select(key, F.col(value).alias(f"_learnt_{key}_{value}"))
+    counted = kept(known.groupBy("route", "fc", "facility").agg(F.count("*").alias("n")))
+
+    def votes(key: str, value: str) -> DataFrame:
+        n = counted.where(F.col(key).isNotNull() & F.col(value).isNotNull()).groupBy(key, value).agg(F.sum("n").alias("n"))
+        best = n.groupBy(key).agg(F.max(F.struct("n", F.col(value).alias("v"))).alias("m")).where("m.n >= 2")
+        return best.select(key, F.col("m.v").alias(f"_learnt_{key}_{value}"))
+
     # A route's only class is taken even from a single crash.
-    only = known.where("route IS NOT NULL AND fc IS NOT NULL").groupBy("route").agg(F.min("fc").alias("low"), F.max("fc").alias("high"), F.count("*").alias("n"))
-    single = only.where("low = high AND n = 1").select("route", F.col("low").alias("_learnt_only"))
-    routes = medians.join(votes("route", "fc"), "route", "full").join(votes("route", "facility"), "route", "full").join(single, "route", "full")
+    only = counted.where("route IS NOT NULL AND fc IS NOT NULL").groupBy("route").agg(F.min("fc").alias("_learnt_only"), F.sum("n").alias("n"))
+    routes = votes("route", "fc").join(votes("route", "facility"), "route", "full").join(only.where("n = 1").drop("n"), "route", "full")
     return kept(routes), kept(votes("fc", "facility").withColumnRenamed("fc", "_learnt_class"))
 
 
@@ -190,34 +202,39 @@ def _with_class(rows: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def run_checks(rows: DataFrame, box=None, groups: tuple[str, ...] = GROUPS) -> DataFrame:
-    """The rows, mended, with ``issues``; stored.
+    """The rows, mended, with ``issues``; stored, for several readings."""
+    return kept(checks(rows, box, groups))
+
+
+def checks(rows: DataFrame, box=None, groups: tuple[str, ...] = GROUPS) -> DataFrame:
+    """The rows, mended, with ``issues``, for one reading, which computes the columns it asks for.
 
     rows: id, route, severity, k_people to c_people, ped, ped_killed, ped_injured, bike, motorcycle, the flags,
     collision, weather, light, surface, fc, facility, description, system, crash_date, crash_time, crash_year (text), lat and
     lon, and whatever else.  ``box`` (lat_min, lat_max, lon_min, lon_max) are the bounds; without it the middle 96 % of
-    the positions, widened, and none for fewer than a hundred.
+    the positions, widened, and none for fewer than a hundred.  A group alone needs the columns it names only.
     """
     if box is None and "gps" in groups:
         one = percentile_bounds(rows.where(~without_place(F.col("lat"), F.col("lon")))).collect()  # a row at most
         box = tuple(one[0]) if one else (-90.0, 90.0, -180.0, 180.0)
     box = box or (-90.0, 90.0, -180.0, 180.0)
-    needs = {"gps", "fields"} & set(groups)
-    if needs:
-        routes, classes = learnt(rows, box)
-        rows = rows.join(small(routes), "route", "left")
+    source, classes = rows, None
     if "gps" in groups:
+        rows = rows.join(small(learnt_places(source, box)), "route", "left")
         lat, lon = F.col("lat"), F.col("lon")
         fine = ~without_place(lat, lon)
-        lost = rows.where(fine & outside(lat, lon, box) & F.col("_learnt_lat").isNull()).select("id", "lat", "lon")
-        cells = nearest_cells(lost, rows.where(fine & ~outside(lat, lon, box)).select("lat", "lon"))
-        rows = rows.join(small(cells.select("id", F.col("lat").alias("_learnt_cell_lat"), F.col("lon").alias("_learnt_cell_lon"))), "id", "left")
-    x = Ledger(rows)
-    if needs:
-        x.classes = classes
+        lost = rows.where(fine & outside(lat, lon, box) & F.col("_learnt_lat").isNull()).select(F.struct("lat", "lon").alias("id"), "lat", "lon").distinct()
+        # Positions look for their cell, not rows.
+        cells = nearest_cells(lost, source.where(fine & ~outside(lat, lon, box)).select("lat", "lon"))
+        rows = rows.join(small(kept(cells.select("id.lat", "id.lon", F.col("lat").alias("_learnt_cell_lat"), F.col("lon").alias("_learnt_cell_lon")))), ["lat", "lon"], "left")
+    if "fields" in groups:
+        routes, classes = learnt_fields(source)
+        rows = rows.join(small(routes), "route", "left")
+    x = Ledger(rows, classes)
     for name, check in (("gps", lambda x: check_gps(x, box)), ("severity", check_severity), ("cross_field", check_cross_field), ("datetime", check_datetime), ("fields", check_fields)):
         if name in groups:
             check(x)
-    return kept(x.done())
+    return x.done()
 
 
 def issue_table(checked: DataFrame) -> DataFrame:
