@@ -50,11 +50,14 @@ class Ledger:
     """Rows, and the entries that checks add to them."""
 
     def __init__(self, rows: DataFrame, classes: DataFrame | None = None):
-        self.rows, self.classes, self.n = rows, classes, 0
+        self.rows, self.classes, self.n, self.slots, self.writes = rows, classes, 0, {}, {}
 
     def note(self, check: str, severity: str, field: str, when: Column, old: Column | None = None, new: Column | None = None, way: Column | None = None, write: dict[str, Column] | None = None) -> Ledger:
         """An entry where ``when`` holds.  Where ``new`` isn't null the row is mended: ``write`` has the columns' values
-        (without it, ``field`` becomes ``new``); ``way`` tells how it was found."""
+        (without it, ``field`` becomes ``new``); ``way`` tells how it was found.
+
+        Notes see the columns as they were at the last :meth:`settle`.  Of those since then, no two may mend a column of one row.
+        """
         none = F.lit(None).cast("string")
         value = none if new is None else new.cast("string")
         entry = F.struct(
@@ -63,13 +66,26 @@ class Ledger:
         )
         slot = f"_entry_{self.n}"
         self.n += 1
-        self.rows = self.rows.withColumn(slot, F.when(F.coalesce(when, F.lit(False)), entry))
+        self.slots[slot] = F.when(F.coalesce(when, F.lit(False)), entry)
         if new is not None:
-            mended = F.col(slot).isNotNull() & F.col(f"{slot}.fixed")
-            self.rows = self.rows.withColumns({c: F.when(mended, v).otherwise(F.col(c)) for c, v in (write or {field: new}).items()})
+            for c, v in (write or {field: new}).items():
+                self.writes.setdefault(c, []).append((F.col(f"{slot}.fixed"), v))
+        return self
+
+    def settle(self) -> Ledger:
+        """Entries and mended values so far become columns: two projections, however many notes there are."""
+        mended = {}
+        for c, values in self.writes.items():
+            mended[c] = F.col(c)
+            for fixed, v in reversed(values):
+                mended[c] = F.when(fixed, v).otherwise(mended[c])
+        self.rows = self.rows.withColumns(self.slots) if self.slots else self.rows
+        self.rows = self.rows.withColumns(mended) if mended else self.rows
+        self.slots, self.writes = {}, {}
         return self
 
     def done(self) -> DataFrame:
+        self.settle()
         slots = [f"_entry_{k}" for k in range(self.n)]
         return self.rows.withColumn("issues", F.array_compact(F.array(*slots))).drop(*slots, *[c for c in self.rows.columns if c.startswith("_learnt_")])
 
@@ -179,7 +195,10 @@ def check_datetime(x: Ledger) -> None:
 
 def check_fields(x: Ledger) -> None:
     """Critical fields without a value; functional class, then facility, are inferred: by the route's majority, the
-    system or the class's usual facility and the description, and the route's prefix, in this order."""
+    system or the class's usual facility and the description, and the route's prefix, in this order.
+
+    The checks before it mend columns of their own each, so they are settled together here."""
+    x.settle()
     for field in CRITICAL:
         if field not in ("fc", "facility"):
             x.note("missing_field", "warning", field, unknown(F.col(field)))
@@ -193,7 +212,7 @@ def check_fields(x: Ledger) -> None:
 
     infer("fc", [("route_majority", F.coalesce("_learnt_route_fc", "_learnt_only")), ("system", _told(lower("system"), SYSTEMS)), ("prefix", prefix(1))])
     # The class that was just inferred speaks too.
-    x.rows = _with_class(x.rows, x.classes)
+    x.rows = _with_class(x.settle().rows, x.classes)
     infer("facility", [("route_majority", F.col("_learnt_route_facility")), ("class_majority", F.col("_learnt_fc_facility")), ("description", _told(lower("description"), DESCRIPTIONS)), ("prefix", prefix(2))])
 
 
@@ -218,12 +237,16 @@ def checks(rows: DataFrame, box=None, groups: tuple[str, ...] = GROUPS) -> DataF
         one = percentile_bounds(rows.where(~without_place(F.col("lat"), F.col("lon")))).collect()  # a row at most
         box = tuple(one[0]) if one else (-90.0, 90.0, -180.0, 180.0)
     box = box or (-90.0, 90.0, -180.0, 180.0)
-    source, classes = rows, None
+    # What is learnt from other rows reads a few columns several times: they are stored, the wide rows are derived once.
+    learns = {"gps": ("lat", "lon"), "fields": ("fc", "facility")}
+    wanted = [c for g, columns in learns.items() if g in groups for c in columns]
+    source, classes = kept(rows.select("route", *wanted)) if wanted else rows, None
     if "gps" in groups:
-        rows = rows.join(small(learnt_places(source, box)), "route", "left")
+        middles = small(learnt_places(source, box))
+        rows = rows.join(middles, "route", "left")
         lat, lon = F.col("lat"), F.col("lon")
         fine = ~without_place(lat, lon)
-        lost = rows.where(fine & outside(lat, lon, box) & F.col("_learnt_lat").isNull()).select(F.struct("lat", "lon").alias("id"), "lat", "lon").distinct()
+        lost = source.join(middles, "route", "left").where(fine & outside(lat, lon, box) & F.col("_learnt_lat").isNull()).select(F.struct("lat", "lon").alias("id"), "lat", "lon").distinct()
         # Positions look for their cell, not rows.
         cells = nearest_cells(lost, source.where(fine & ~outside(lat, lon, box)).select("lat", "lon"))
         rows = rows.join(small(kept(cells.select("id.lat", "id.lon", F.col("lat").alias("_learnt_cell_lat"), F.col("lon").alias("_learnt_cell_lon")))), ["lat", "lon"], "left")

@@ -171,3 +171,13 @@ def test_one_group_alone_and_no_rows(spark, case):
     far = fine.limit(1).withColumns({"id": F.lit(9999).cast("long"), "lat": F.lit(45.0)})
     out = lambda x: {r.row_id for r in ledger.issue_table(ledger.run_checks(x, None, ("gps",))).where(F.col("check") == "bounds").collect()}
     assert fine.count() > 150 and out(fine.unionByName(far)) == {9999} and out(fine.limit(50).unionByName(far)) == set()
+
+
+def test_rows_are_derived_twice_and_notes_share_projections(spark, case, monkeypatch):
+    """Once for what is learnt, as a narrow table, and once for the checks, whose notes don't stack a projection each."""
+    _, df = case
+    seen, kept = [], ledger.kept
+    monkeypatch.setattr(ledger, "kept", lambda x: seen.append(x._jdf.queryExecution().optimizedPlan().toString()) or kept(x))
+    plan = ledger.checks(df, BOX)._jdf.queryExecution()
+    assert sum("LogicalRDD" in p for p in seen) == 1
+    assert plan.optimizedPlan().toString().count("LogicalRDD") == 1 and plan.analyzed().toString().count("Project") < 40
